@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from siftwork.functions import presets
 from siftwork.functions.aliases import COUNTRY_ALIASES
-from siftwork.functions.columns import col, quoted, require_columns
+from siftwork.functions.columns import col, melt_aggregates, require_columns
 from siftwork.functions.labels import parse_labels
 from siftwork.operators.state import FittedStage, OptionEstimator
 from siftwork.sources.shared import shared_path
@@ -69,7 +69,7 @@ def class_list(df: DataFrame, target: str) -> list:
     return level_list(df, target, MAX_LEVELS)
 
 
-def fold_free_outcome(df: DataFrame, target: str, kind: str, index: int | None) -> Column:
+def target_outcome(df: DataFrame, target: str, kind: str, index: int | None) -> Column:
     """What target encoding averages: a 0/1 indicator of one class, or the target itself."""
     continuous = kind == "continuous" or (
         kind == "auto" and isinstance(df.schema[target].dataType, (T.DoubleType, T.FloatType, T.DecimalType))
@@ -139,7 +139,7 @@ class FeatureEncoder(OptionEstimator):
     def _target_plans(self, df: DataFrame, column: str, target: str) -> list[dict]:
         kind, index = self.option("target_kind"), self.option("class_index")
         if not self.option("per_class"):
-            return [_target_plan(df, column, fold_free_outcome(df, target, kind, index), None)]
+            return [_target_plan(df, column, target_outcome(df, target, kind, index), None)]
         plans = []
         for c in class_list(df, target):
             outcome = (col(target) == F.lit(c)).cast("double")
@@ -281,24 +281,6 @@ class LabelCoderModel(FittedStage):
 
 def label_sums(df: DataFrame, columns: list[str]) -> DataFrame:
     """Sum of each indicator column, smallest first."""
-    from siftwork.functions.columns import melt_aggregates
-
     rows = [(F.lit(c).alias("column"), F.sum(col(c)).cast("bigint").alias("rows")) for c in columns]
     return melt_aggregates(df, rows).orderBy("rows", "column")
 
-
-__all__ = [
-    "FeatureEncoder",
-    "FeatureEncoderModel",
-    "LabelCoder",
-    "LabelCoderModel",
-    "indicator_columns",
-    "label_sums",
-    "level_list",
-    "onehot_columns",
-    "out_of_fold_target",
-    "quoted",
-    "smoothed",
-    "target_statistics",
-    "top_labels",
-]

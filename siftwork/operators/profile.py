@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siftwork.functions.columns import col, melt_aggregates, numeric_columns, quoted, text_columns
+from siftwork.functions.columns import col, melt_aggregates, numeric_columns, text_columns
 from siftwork.operators.quantiles import exact_quantiles
 
 
@@ -164,5 +164,5 @@ def wide_text_columns(df: DataFrame, candidates: Sequence[str], limit: int, appr
     if not names:
         return []
     distinct = F.approx_count_distinct if approximate else F.count_distinct
-    row = df.agg(*[distinct(col(c)).alias(quoted(c).strip("`")) for c in names]).collect()[0]
+    row = df.agg(*[distinct(col(c)).alias(f"n{i}") for i, c in enumerate(names)]).collect()[0]
     return [c for i, c in enumerate(names) if row[i] > limit]
