@@ -249,7 +249,7 @@ class VectorArray(FittedStage):
 
 
 class MarginProbability(FittedStage):
-    """Normalised sigmoids of one-versus-rest margins; the prediction follows the probabilities."""
+    """Normalised sigmoids of one-versus-rest margins. The prediction stays the largest margin."""
 
     def _transform(self, df: DataFrame) -> DataFrame:
         v = self.values

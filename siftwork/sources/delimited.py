@@ -52,6 +52,7 @@ def scan_delimited(
     null_tokens: Sequence[str] = NULL_TOKENS,
     partitions: int | None = None,
     multi_line: bool = False,
+    header: bool = True,
 ) -> DataFrame:
     """Rows with too many fields are dropped, rows with too few are padded with nulls.
 
@@ -65,7 +66,7 @@ def scan_delimited(
     reader = (
         spark.read.schema(text)
         .option("sep", sep)
-        .option("header", True)
+        .option("header", header)
         .option("enforceSchema", True)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
