@@ -111,8 +111,8 @@ def exact_quantiles(
 ) -> dict[tuple, dict[str, list[float | None]]]:
     """Linear-interpolation quantiles per group: ``{group: {column: [value per prob]}}``.
 
-    Missing values are ignored; a column without values gives None.  ``n_rows``
-    (when the caller already knows it) lets a small table be answered in one pass.
+    Missing values are ignored; a column without values gives None.  A small table
+    is answered in one pass; ``n_rows`` saves counting it when the caller knows.
     """
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
     if not columns:
@@ -120,7 +120,9 @@ def exact_quantiles(
     keys = [col(b) for b in by]
     values = {c: col(c).cast("double") for c in columns}
 
-    if n_rows is not None and n_rows <= SMALL_ROWS:
+    if n_rows is None:
+        n_rows = df.count()
+    if n_rows <= SMALL_ROWS:
         wanted = F.array(*[F.lit(p) for p in probs])
         aggs = [F.percentile(values[c], wanted).alias(f"q{i}") for i, c in enumerate(columns)]
         rows = _collect_groups(df.groupBy(*keys).agg(*aggs)) if by else df.agg(*aggs).collect()
