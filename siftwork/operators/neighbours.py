@@ -189,7 +189,7 @@ class KNNModel(FittedStage):
 
     def _vote(self, near: Column) -> Column:
         """Summed weights per class; neighbours at distance 0 outvote all others."""
-        exact = F.exists(near, lambda m: m["distances"] == 0)
+        exact = near[0]["distances"] == 0  # nearest first
 
         def weight(m: Column) -> Column:
             if self.values["weights"] == "uniform":
