@@ -239,18 +239,13 @@ def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     wide = placed.groupBy("__key").agg(
         *[F.max(F.when(F.col("task") == t, F.col("rank"))).alias(f"r{t}") for t in range(len(rankings))]
     )
-    rows = [
-        (
-            F.lit(names[i]).alias("column_a"),
-            F.lit(names[j]).alias("column_b"),
-            F.when(
-                (F.stddev_pop(F.when(F.col(f"r{b}").isNotNull(), F.col(f"r{a}"))) > 0)
-                & (F.stddev_pop(F.when(F.col(f"r{a}").isNotNull(), F.col(f"r{b}"))) > 0),
-                F.corr(f"r{a}", f"r{b}"),
-            ).alias("rho"),
-        )
-        for i, j, a, b in wanted
-    ]
+    rows = []
+    for i, j, a, b in wanted:
+        x, y = F.col(f"r{a}"), F.col(f"r{b}")
+        paired = x.isNotNull() & y.isNotNull()
+        spread = F.stddev_pop(F.when(paired, x)) * F.stddev_pop(F.when(paired, y))
+        rho = F.try_divide(F.covar_pop(x, y), spread)
+        rows.append((F.lit(names[i]).alias("column_a"), F.lit(names[j]).alias("column_b"), rho.alias("rho")))
     return melt_aggregates(wide, rows)
 
 

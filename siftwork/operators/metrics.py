@@ -59,9 +59,8 @@ def class_scores(per_class: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def classification_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, and precision, recall and F1 each as plain and support-weighted class means."""
-    scores = class_scores(class_counts(counts, by), by)
+def _averages(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Class scores to one row per group, with the rows they stand for."""
 
     def weighted(c: str) -> Column:
         return _ratio(F.sum(F.col(c) * F.col("support")), F.sum("support"))
@@ -74,9 +73,15 @@ def classification_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFra
         weighted("recall").alias("recall_weighted"),
         F.avg("f1").alias("f1_macro"),
         weighted("f1").alias("f1_weighted"),
+        F.sum("support").alias("support"),
     )
 
 
+def classification_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, and precision, recall and F1 each as plain and support-weighted class means."""
+    return _averages(class_scores(class_counts(counts, by), by), by).drop("support")
+
+
 def evaluate(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return classification_metrics(confusion_counts(df, label, prediction))
 
@@ -85,9 +90,7 @@ def classification_report(counts: DataFrame) -> DataFrame:
     """One row per class, then accuracy, macro average and weighted average."""
     scores = class_scores(class_counts(counts))
     per_class = scores.select(F.col("class").cast("string").alias("name"), "precision", "recall", "f1", "support")
-    metrics = classification_metrics(counts)
-    total = counts.agg(F.sum("n").alias("support"))
-    summary = metrics.withColumn("k", F.lit(0)).join(total.withColumn("k", F.lit(0)), "k")
+    summary = _averages(scores)
     none = F.lit(None).cast("double")
 
     def line(name: str, precision: Column, recall: Column, f1: Column) -> Column:

@@ -128,9 +128,9 @@ def report_row(model: MissingValueModel, profile: DataFrame, threshold: float) -
             )
         ).alias("missing_value_analysis")
     )
-    # One row per side: both are whole-table aggregates of per-column reports.
-    joined = packed_stats.withColumn("k", F.lit(0)).join(packed_profile.withColumn("k", F.lit(0)), "k")
-    return joined.select(
+    both = packed_stats.unionByName(packed_profile, allowMissingColumns=True)
+    row = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+    return row.select(
         F.struct(
             F.lit(float(threshold)).alias("threshold_drop_feature"),
             F.lit("Drop features >95% missing, impute others based on type").alias("description"),
