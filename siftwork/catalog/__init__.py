@@ -7,6 +7,7 @@ import importlib
 from siftwork.catalog.base import ORACLES, QUERIES
 
 for _module in (
+    "flagship",
     "scans",
     "filters",
     "missing",
