@@ -28,6 +28,7 @@ from siftwork.operators.metrics import balanced_weights
 from siftwork.operators.neighbours import KNNClassifier
 from siftwork.operators.reduce import VECTOR, FeatureVector
 from siftwork.operators.state import FittedStage, OptionEstimator
+from siftwork.sources.shared import shared_dir, stage
 
 LABEL, WEIGHT, RAW, KNN_INPUT = "__label", "__weight", "rawPrediction", "__array"
 MAX_TREE_DEPTH = 30
@@ -178,6 +179,10 @@ class Classifier(OptionEstimator):
         return [model.fit(weighted)]
 
     def _fit_xgboost(self, train, params, classes) -> list:
+        # Boosting grows a lineage per round; Spark cuts it by checkpoints when it knows where to put them.
+        context = train.sparkSession.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(shared_dir(train.sparkSession))
         booster = GBTClassifier(
             maxIter=params["n_estimators"],
             maxDepth=params["max_depth"],
@@ -204,7 +209,7 @@ class Classifier(OptionEstimator):
             **extra,
         )
         rest = OneVsRest(classifier=machine, featuresCol="__fourier", labelCol=LABEL, **extra).fit(weighted)
-        margins = rest.transform(weighted).select(RAW, LABEL)
+        margins = stage(rest.transform(weighted).select(vector_to_array(F.col(RAW)).alias("margins"), LABEL), "margins")
         slopes, offsets = platt_scales(margins, len(classes))
         return [fourier, rest, MarginProbability().with_state(slopes=slopes, offsets=offsets)]
 
@@ -231,7 +236,7 @@ def platt_scales(margins: DataFrame, k: int) -> tuple[list[float], list[float]]:
     slopes, offsets = [], []
     for c in range(k):
         one = margins.select(
-            array_to_vector(F.array(vector_to_array(F.col(RAW))[c])).alias("m"),
+            array_to_vector(F.array(F.col("margins")[c])).alias("m"),
             (F.col(LABEL) == c).cast("double").alias("y"),
         )
         fitted = LogisticRegression(featuresCol="m", labelCol="y", standardization=False).fit(one)

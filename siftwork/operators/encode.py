@@ -11,7 +11,7 @@ from siftwork.functions.aliases import COUNTRY_ALIASES
 from siftwork.functions.columns import col, melt_aggregates, require_columns
 from siftwork.functions.labels import parse_labels
 from siftwork.operators.state import FittedStage, OptionEstimator
-from siftwork.sources.shared import shared_path
+from siftwork.sources.shared import shared_path, stage
 
 MAX_LEVELS = 500
 MAX_INLINE_LEVELS = 20_000
@@ -210,10 +210,11 @@ class FeatureEncoderModel(FittedStage):
 def out_of_fold_target(df: DataFrame, column: str, outcome: Column, fold: str, out: str) -> DataFrame:
     """Target encoding where each row is encoded from the other folds, so its own outcome never leaks in."""
     y = outcome.cast("double")
-    cells = (
+    cells = stage(
         df.where(outcome.isNotNull())
         .groupBy(col(column).alias("__c"), col(fold).alias("__f"))
-        .agg(F.count(y).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
+        .agg(F.count(y).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q")),
+        "cells",
     )
     held = cells.select("__c", "__f", "n", "s", "q")
     totals = cells.groupBy("__c").agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"), F.sum("q").alias("tq"))

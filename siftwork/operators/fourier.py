@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from siftwork.operators.state import FittedStage, OptionEstimator
@@ -16,10 +17,12 @@ register_pickle_by_value(sys.modules[__name__])
 
 
 def gamma_scale(df: DataFrame, vector: str, width: int) -> float:
-    """1 / (features · variance over all cells), from one aggregate."""
-    cells = df.select(F.explode(vector_to_array(F.col(vector))).alias("x"))
-    variance = cells.agg(F.var_pop("x")).collect()[0][0]
-    return 1.0 / (width * variance) if variance else 1.0
+    """1 / (features · variance over all cells), from per-feature sums in one aggregate."""
+    summary = df.select(Summarizer.metrics("count", "mean", "normL2").summary(F.col(vector)).alias("s")).first()["s"]
+    cells = summary["count"] * width
+    mean = float(summary["mean"].toArray().mean())
+    variance = float((summary["normL2"].toArray() ** 2).sum()) / cells - mean * mean
+    return 1.0 / (width * variance) if variance > 0 else 1.0
 
 
 class FourierFeatures(OptionEstimator):

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from siftwork.functions.columns import col
 from siftwork.operators.split import sample_exact
@@ -30,7 +30,6 @@ register_pickle_by_value(sys.modules[__name__])
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 20_000
 MAX_PIVOTS = 1_024
-CANDIDATES = "distances array<double>, ids array<bigint>, codes array<int>"
 
 
 def _powers(metric: str, p: float) -> float:
@@ -76,10 +75,20 @@ def search(rows: np.ndarray, points: np.ndarray, ids: np.ndarray, codes: np.ndar
 
 
 def _frame(found: Iterator) -> pd.DataFrame:
-    rows = list(found)
+    rows = [(d, i.tolist(), c) for d, i, c in found]
     return pd.DataFrame({n: [r[i] for r in rows] for i, n in enumerate(("distances", "ids", "codes"))})
 
 
+def _names(series: pd.Series) -> np.ndarray:
+    """Row keys as an array that sorts: numbers as they are, texts as fixed-width strings."""
+    return series.to_numpy(dtype=str) if series.dtype == object or str(series.dtype) == "str" else series.to_numpy()
+
+
+def _key(df: DataFrame, key: str) -> Column:
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    return col(key).cast("bigint" if whole else "string")
+
+
 def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, dtype=float) for x in series]) if len(series) else np.zeros((0, 1))
 
@@ -87,7 +96,7 @@ def _matrix(series: pd.Series) -> np.ndarray:
 class KNNClassifier(OptionEstimator):
     """k nearest neighbours over an ``array<double>`` feature column with an integer class code.
 
-    ``key`` (bigint) identifies rows on both sides and breaks distance ties.
+    ``key`` (a whole number or a text) identifies rows on both sides and breaks distance ties.
     """
 
     def __init__(
@@ -122,7 +131,7 @@ class KNNClassifier(OptionEstimator):
 
     def _fit(self, df: DataFrame) -> "KNNModel":
         points = df.select(
-            col(self.option("key")).cast("bigint").alias("id"),
+            _key(df, self.option("key")).alias("id"),
             col(self.option("label")).cast("int").alias("code"),
             col(self.option("features")).cast("array<double>").alias("x"),
         )
@@ -143,6 +152,7 @@ class KNNClassifier(OptionEstimator):
             n_classes=n_classes,
             features=self.option("features"),
             key=self.option("key"),
+            key_type=dict(points.dtypes)["id"],
             block_rows=self.option("block_rows"),
         )
         if n * (width or 1) * 8 <= self.option("broadcast_bytes"):
@@ -204,19 +214,26 @@ class KNNModel(FittedStage):
         return F.array(*[votes(c) for c in range(self.values["n_classes"])])
 
     def neighbours(self, df: DataFrame) -> DataFrame:
-        """``df`` with ``__near``: the k nearest points as (distances, ids, codes), nearest first."""
+        """``df`` with ``__near``: the k nearest points as (distances, ids, codes), nearest first.
+
+        Against a broadcast this is a projection (and works on streams); against cells it is a join
+        whose first half is written to the shared folder.
+        """
         return self._by_broadcast(df) if self.values["cells"] is None else self._by_cells(df)
 
+    def _candidates(self) -> str:
+        return f"distances array<double>, ids array<{self.values['key_type']}>, codes array<int>"
+
     def _by_broadcast(self, df: DataFrame) -> DataFrame:
         v = self.values
         k, p = v["k"], v["p"]
         # fit() checked that all points fit into the broadcast limit.
         points = df.sparkSession.read.parquet(v["path"]).toPandas()
         held = df.sparkSession.sparkContext.broadcast(
-            (_matrix(points["x"]), points["id"].to_numpy(), points["code"].to_numpy(dtype="int32"))
+            (_matrix(points["x"]), _names(points["id"]), points["code"].to_numpy(dtype="int32"))
         )
 
-        @F.pandas_udf("struct<distances: array<double>, ids: array<bigint>, codes: array<int>>")
+        @F.pandas_udf(f"struct<{self._candidates()}>")
         def look(x: pd.Series) -> pd.DataFrame:
             m, ids, codes = held.value
             return _frame(search(_matrix(x), m, ids, codes, k, p))
@@ -252,7 +269,7 @@ class KNNModel(FittedStage):
 
         path = shared_path(spark, "visits")
         df.select(
-            col(v["key"]).cast("bigint").alias("q"), col(v["features"]).cast("array<double>").alias("x")
+            _key(df, v["key"]).alias("q"), col(v["features"]).cast("array<double>").alias("x")
         ).withColumn("cell", F.explode(reachable("x"))).write.parquet(path)
         visits = spark.read.parquet(path)
         # One row per cell, at most MAX_PIVOTS.
@@ -277,7 +294,7 @@ class KNNModel(FittedStage):
             found = search(
                 _matrix(asking["x"]),
                 _matrix(block["x"]),
-                block["id"].to_numpy(),
+                _names(block["id"]),
                 block["code"].to_numpy(dtype="int32"),
                 k,
                 p,
@@ -287,12 +304,11 @@ class KNNModel(FittedStage):
             return out
 
         keys = ["cell", "block", "copy"]
-        candidates = (
-            left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(within_block, f"q bigint, {CANDIDATES}")
-        )
+        schema = f"q {dict(visits.dtypes)['q']}, {self._candidates()}"
+        candidates = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(within_block, schema)
         merged = candidates.groupBy("q").agg(
             F.slice(
                 F.array_sort(F.flatten(F.collect_list(F.arrays_zip("distances", "ids", "codes")))), 1, k
             ).alias("__near")
         )
-        return df.join(merged, col(v["key"]) == F.col("q"), "left").drop("q")
+        return df.join(merged, _key(df, v["key"]) == F.col("q"), "left").drop("q")

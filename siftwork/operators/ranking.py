@@ -56,9 +56,10 @@ def _small(df: DataFrame, rows: list, schema: str) -> DataFrame:
 def cut_hashes(
     df: DataFrame, keys: Sequence[str], cuts: Mapping, sizes: Mapping, stratum: str | None, seed: int
 ) -> dict:
-    """Hash found at each zero-based cut rank: ``{stratum: {rank: hash}}``.
+    """Hash at each zero-based cut rank: ``{stratum: {rank: (hash, copies)}}``.
 
-    ``cuts`` maps a stratum to ranks in ``1 .. size-1``.
+    ``cuts`` maps a stratum to ranks in ``1 .. size-1``. ``copies`` is the number
+    of rows with that same hash before the cut: 0 when the key identifies rows.
     """
     s = col(stratum).alias("s") if stratum is not None else F.lit(None).cast("string").alias("s")
     narrow = df.select(s, key_hash(keys, seed).alias("h"))
@@ -96,23 +97,30 @@ def cut_hashes(
         rows = hit.collect()
         target = [(r["ts"], r["cut"], r["p"], r["rest"]) for r in rows]
         largest = max(r["count"] for r in rows)
+    result: dict = {k: {} for k in cuts}
+    if largest > BUCKET_ROWS:
+        # All 32 digits are used up: every open bucket is one key, however many rows share it.
+        for k, cut, h, rest in target:
+            result[k][cut] = (h, rest)
+        return result
     buckets = _small(narrow, sorted({(t[0], t[2]) for t in target}, key=str), f"bs {s_type}, prefix string")
     condition = narrow["s"].eqNullSafe(buckets["bs"])
     if digits:
         condition = condition & (F.substring("h", 1, digits) == buckets["prefix"])
     inside = narrow.join(buckets, condition)
     w = Window.partitionBy("bs", "prefix").orderBy("h")
-    ranked = inside.select("bs", "prefix", "h", (F.row_number().over(w) - 1).alias("rank"))
+    ranked = inside.select(
+        "bs", "prefix", "h", (F.row_number().over(w) - 1).alias("rank"), (F.rank().over(w) - 1).alias("first")
+    )
     wanted = _small(narrow, target, f"ts {s_type}, cut bigint, tp string, rest bigint")
     found = ranked.join(
         wanted,
         ranked["bs"].eqNullSafe(wanted["ts"])
         & (ranked["prefix"] == wanted["tp"])
         & (ranked["rank"] == wanted["rest"]),
-    ).select("ts", "cut", "h")
-    result: dict = {k: {} for k in cuts}
+    ).select("ts", "cut", "h", (F.col("rank") - F.col("first")).alias("copies"))
     for r in found.collect():
-        result[r["ts"]][r["cut"]] = r["h"]
+        result[r["ts"]][r["cut"]] = (r["h"], r["copies"])
     return result
 
 
@@ -129,7 +137,8 @@ def label_by_quota(
 ) -> DataFrame:
     """Give the first ``quotas[stratum][0]`` rows of the random order the first label, and so on.
 
-    ``keys`` must identify a row: rows sharing a key share a hash and land together.
+    ``keys`` should identify a row: rows sharing a key share a hash and land together,
+    after the cut that would divide them.
     """
     edges = {}
     for k, parts in quotas.items():
@@ -144,21 +153,22 @@ def label_by_quota(
 
     def bounds(k) -> list[str]:
         # 'g' sorts after every hex digit, '' before: an empty or a full part needs no hash.
-        return ["" if e <= 0 else "g" if e >= sizes[k] else hashes[k][e] for e in edges[k]]
+        return ["" if e <= 0 else "g" if e >= sizes[k] else hashes[k][e][0] for e in edges[k]]
 
     names = F.array(*[F.lit(x).cast(label_type) for x in labels])
+    hashed = df.withColumn("__hash", key_hash(keys, seed))
 
     def pick(ends: Column) -> Column:
-        passed = F.size(F.filter(ends, lambda e: e <= key_hash(keys, seed)))
-        return F.try_element_at(names, passed + 1)
+        passed = sum(((ends[i] <= F.col("__hash")).cast("int") for i in range(len(labels))), F.lit(1))
+        return F.try_element_at(names, passed)
 
     if stratum is None:
         ends = F.array(*[F.lit(b) for b in bounds(None)])
-        return df.withColumn(out, pick(ends))
+        return hashed.withColumn(out, pick(ends)).drop("__hash")
     s_type = dict(df.select(col(stratum).alias("s")).dtypes)["s"]
     table = _small(df, [(k, bounds(k)) for k in edges], f"__s {s_type}, __ends array<string>")
     return (
-        df.join(table, col(stratum).eqNullSafe(F.col("__s")), "left")
+        hashed.join(table, col(stratum).eqNullSafe(F.col("__s")), "left")
         .withColumn(out, pick(F.col("__ends")))
-        .drop("__s", "__ends")
+        .drop("__s", "__ends", "__hash")
     )

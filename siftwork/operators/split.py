@@ -8,20 +8,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from siftwork.functions.columns import col, require_columns
-from siftwork.operators.ranking import label_by_quota, largest_remainder, stratum_sizes
+from siftwork.operators.ranking import cut_hashes, key_hash, label_by_quota, largest_remainder, stratum_sizes
 
 SPLITS = ("train", "val", "test")
 BALANCE_TOLERANCE = 0.05
 
 
 def sample_exact(df: DataFrame, key: Sequence[str] | str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows without replacement, the same ones for the same seed; all rows when there are fewer."""
+    """``n`` rows without replacement, the same ones for the same seed; all rows when there are fewer.
+
+    Copies of one key are interchangeable: when the cut falls among them, as many as fit are taken.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     total = df.count()
     if total <= n:
         return df
-    marked = label_by_quota(df, keys, {None: [n]}, {None: total}, ["in"], seed=seed, out="__in")
-    return marked.where(F.col("__in") == "in").drop("__in")
+    if n <= 0:
+        return df.limit(0)
+    edge, copies = cut_hashes(df, keys, {None: [n]}, {None: total}, None, seed)[None][n]
+    below = df.where(key_hash(keys, seed) < F.lit(edge))
+    if not copies:
+        return below
+    return below.unionByName(df.where(key_hash(keys, seed) == F.lit(edge)).limit(copies))
 
 
 def check_ratios(train: float, val: float, test: float) -> None:

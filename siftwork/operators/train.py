@@ -87,6 +87,7 @@ class TrainedModel:
                 "std": float(np.std(accuracy)),
                 "folds": folds,
             }
+            train = held.drop("__fold")
         self.fitted = self.estimator.fit(train)
         metrics = {"accuracy": scores_of(self.fitted.transform(train), label)["accuracy"]}
         self.history["train_metrics"] = metrics

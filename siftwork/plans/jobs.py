@@ -17,7 +17,7 @@ from siftwork.operators.profile import missing_profile, wide_text_columns
 from siftwork.operators.split import assign_split, sample_exact, split_metadata
 from siftwork.operators.train import SearchResult, TrainedModel, grid_search
 from siftwork.plans.prepare import fit_preparation, preparation
-from siftwork.sources.delimited import header_of, land, land_once, product_schema, scan_delimited, valid_class
+from siftwork.sources.delimited import header_of, land, land_once, product_schema, scan_delimited, select_wanted, valid_class
 from siftwork.sources.documents import landing_document, write_document
 from siftwork.sources.shared import stage
 from siftwork.sources.splits import load_split, save_splits
@@ -30,10 +30,11 @@ def landing_job(
 ) -> DataFrame:
     """Raw product file -> filtered parquet, and the landing document; nothing happens if ``out`` exists."""
     header = header_of(spark, raw)
-    table = scan_delimited(spark, raw, product_schema(header), partitions=partitions)
+    # Parsed once: a gzip file keeps one task busy, and rows and totals are both needed.
+    table = stage(select_wanted(scan_delimited(spark, raw, product_schema(header), partitions=partitions)), "landing")
     kept = land(table)
     if sample is not None:
-        kept = sample_exact(stage(kept, "landing"), KEY, sample)
+        kept = sample_exact(kept, KEY, sample)
     land_once(kept, out)
     missing = [c for c in presets.RELEVANT_COLUMNS if c not in header]
     existing = [c for c in presets.RELEVANT_COLUMNS if c in header]

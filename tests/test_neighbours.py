@@ -75,3 +75,12 @@ def test_cells_join_without_pairs(points):
     model = KNNClassifier(n_neighbors=3, **KINDS["cells"]).fit(points)
     plan = model.neighbours(points)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_text_keys(spark, points, kind):
+    named = points.withColumn("id", F.format_string("p%05d", "id"))
+    model = KNNClassifier(n_neighbors=5, **KINDS[kind]).fit(named)
+    got = {r["id"]: [n["ids"] for n in r["__near"]] for r in model.neighbours(named).collect()}
+    plain = KNNClassifier(n_neighbors=5).fit(points).neighbours(points).collect()
+    assert got == {f"p{r['id']:05d}": [f"p{n['ids']:05d}" for n in r["__near"]] for r in plain}

@@ -129,3 +129,14 @@ def test_verdict(spark, rows):
 def test_labelling_moves_no_rows(rows):
     plan = assign_split(rows, "y", "code")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+
+
+def test_one_key_on_a_third_of_the_rows(spark, monkeypatch):
+    """Copies of a key cannot be told apart: samples stay exact, splits keep them together."""
+    df = spark.range(900).select(F.when(F.col("id") < 300, -1).otherwise(F.col("id")).alias("code"), F.lit("a").alias("y"))
+    for bucket_rows in (50_000, 10):
+        monkeypatch.setattr(ranking, "BUCKET_ROWS", bucket_rows)
+        for n in (1, 250, 450, 899):
+            assert sample_exact(df, "code", n).count() == n
+        out = assign_split(df, "y", "code")
+        assert out.where("code = -1").select("split_group").distinct().count() == 1
