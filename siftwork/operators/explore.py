@@ -18,10 +18,9 @@ MAX_RANK_BUCKETS = 5_000
 
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows and share per class, most frequent first."""
+    total = df.count()
     counted = df.groupBy(col(column).alias("class")).agg(F.count(F.lit(1)).alias("rows"))
-    # One row per class reaches the window.
-    total = F.sum("rows").over(Window.partitionBy(F.lit(0)))
-    return counted.select("class", "rows", (F.col("rows") / total).alias("share")).orderBy(F.desc("rows"), "class")
+    return counted.withColumn("share", F.col("rows") / F.lit(total)).orderBy(F.desc("rows"), "class")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from siftwork.functions.columns import col
 from siftwork.operators.ranking import stratum_sizes
@@ -140,10 +140,11 @@ def balanced_weights(df: DataFrame, label: str, out: str = "class_weight") -> Da
 
 
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:
-    counted = df.where(col(label).isNotNull()).groupBy(col(label).alias("class")).agg(F.count(F.lit(1)).alias("rows"))
-    over_all = Window.partitionBy(F.lit(0))
-    weight = F.sum("rows").over(over_all) / (F.count(F.lit(1)).over(over_all) * F.col("rows"))
-    return counted.select("class", "rows", weight.alias("weight"))
+    sizes = stratum_sizes(df.where(col(label).isNotNull()), label)
+    total, k = sum(sizes.values()), len(sizes)
+    rows = [(c, n, total / (k * n)) for c, n in sizes.items()]
+    schema = f"class {dict(df.select(col(label).alias('c')).dtypes)['c']}, rows bigint, weight double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def generalisation_gap(df: DataFrame, train: str, val: str, limit: float = GAP_LIMIT) -> DataFrame:

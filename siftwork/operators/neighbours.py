@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from siftwork.functions.columns import col
 from siftwork.operators.split import sample_exact
 from siftwork.operators.state import FittedStage, OptionEstimator
-from siftwork.sources.shared import shared_path
+from siftwork.sources.shared import shared_path, stage
 
 # Task functions travel with the job, so executors need no installed copy of this package.
 register_pickle_by_value(sys.modules[__name__])
@@ -243,6 +243,7 @@ class KNNModel(FittedStage):
         return found.withColumn("__near", zipped).drop("__found")
 
     def _by_cells(self, df: DataFrame) -> DataFrame:
+        """Two joins: the nearest cells give each row a k-th distance, which then rules out most other cells."""
         v = self.values
         k, p, spark = v["k"], v["p"], df.sparkSession
         cells = sorted(v["cells"])
@@ -253,34 +254,51 @@ class KNNModel(FittedStage):
         held = spark.sparkContext.broadcast((pivots, number, count, least, most))
 
         @F.pandas_udf("array<int>")
-        def reachable(x: pd.Series) -> pd.Series:
-            """Cells that may hold one of the k nearest points of a row."""
-            centre, names, sizes, low, high = held.value
+        def nearest_cells(x: pd.Series) -> pd.Series:
+            """The nearest cells that together hold k points."""
+            centre, names, sizes, _, _ = held.value
+            order = np.argsort(distances(_matrix(x), centre, p), axis=1)
+            needed = (np.cumsum(sizes[order], axis=1) < k).sum(axis=1) + 1
+            return pd.Series([names[o[:n]] for o, n in zip(order, needed)])
+
+        @F.pandas_udf("array<int>")
+        def other_cells(x: pd.Series, limit: pd.Series, seen: pd.Series) -> pd.Series:
+            """Cells not seen yet that may hold a point within the limit."""
+            centre, names, _, low, high = held.value
             gaps = distances(_matrix(x), centre, p)
-            upper = gaps + high[None, :]
-            order = np.argsort(upper, axis=1)
-            filled = np.cumsum(sizes[order], axis=1) >= k
-            first = np.where(filled.any(axis=1), filled.argmax(axis=1), len(names) - 1)
-            rows = np.arange(len(gaps))
-            limit = upper[rows, order[rows, first]]
-            lower = np.maximum(np.maximum(gaps - high[None, :], low[None, :] - gaps), 0.0)
-            visit = lower <= limit[:, None] * (1 + 1e-9) + 1e-12
-            return pd.Series([names[r] for r in visit])
-
-        path = shared_path(spark, "visits")
-        df.select(
-            _key(df, v["key"]).alias("q"), col(v["features"]).cast("array<double>").alias("x")
-        ).withColumn("cell", F.explode(reachable("x"))).write.parquet(path)
-        visits = spark.read.parquet(path)
+            # A point lies within its cell's radius, beyond its inner radius, and nearer to its own pivot.
+            lower = np.maximum(gaps - high[None, :], low[None, :] - gaps)
+            lower = np.maximum(lower, (gaps - gaps.min(axis=1, keepdims=True)) / 2)
+            edge = limit.to_numpy()[:, None]
+            visit = lower <= edge * (1 + 1e-9) + 1e-12
+            return pd.Series([np.setdiff1d(names[r], s) for r, s in zip(visit, seen)])
+
+        asking = df.select(_key(df, v["key"]).alias("q"), col(v["features"]).cast("array<double>").alias("x"))
+        asking = stage(asking.withColumn("seen", nearest_cells("x")), "asking")
+        first = stage(self._search_cells(asking.select("q", "x", F.explode("seen").alias("cell"))), "near-cells")
+        limit = F.array_max(F.slice(F.array_sort(F.flatten(F.collect_list("distances"))), 1, k))
+        limits = first.groupBy("q").agg(limit.alias("limit"), F.sum(F.size("distances")).alias("n"))
+        # Fewer than k points in reach means that there are no more: any distance will do.
+        limits = limits.select("q", F.when(F.col("n") >= k, F.col("limit")).otherwise(float("inf")).alias("limit"))
+        bounded = asking.join(limits, "q")
+        rest = bounded.select("q", "x", F.explode(other_cells("x", "limit", "seen")).alias("cell"))
+        candidates = first.unionByName(self._search_cells(stage(rest, "far-cells")))
+        every = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("distances", "ids", "codes"))))
+        merged = candidates.groupBy("q").agg(F.slice(every, 1, k).alias("__near"))
+        return df.join(merged, _key(df, v["key"]) == F.col("q"), "left").drop("q")
+
+    def _search_cells(self, visits: DataFrame) -> DataFrame:
+        """For every (q, x, cell) the k nearest points of each block of that cell."""
+        v = self.values
+        k, p, rows = v["k"], v["p"], v["block_rows"]
         # One row per cell, at most MAX_PIVOTS.
         load = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
-        rows = v["block_rows"]
-        shape = [(c, -(-n // rows), -(-load.get(c, 1) // rows)) for c, n, *_ in v["cells"]]
-        plan = F.broadcast(spark.createDataFrame(shape, "cell int, blocks bigint, copies bigint"))
-        points = spark.read.parquet(v["cell_path"]).join(plan, "cell")
+        shape = [(c, -(-n // rows), -(-load[c] // rows)) for c, n, *_ in v["cells"] if c in load]
+        plan = F.broadcast(visits.sparkSession.createDataFrame(shape, "cell int, blocks bigint, copies bigint"))
         zero = F.lit(0).cast("bigint")
         every_copy = F.explode(F.sequence(zero, F.col("copies") - 1)).alias("copy")
         every_block = F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block")
+        points = visits.sparkSession.read.parquet(v["cell_path"]).join(plan, "cell")
         right = points.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).select(
             "cell", "block", every_copy, "id", "code", "x"
         )
@@ -305,10 +323,4 @@ class KNNModel(FittedStage):
 
         keys = ["cell", "block", "copy"]
         schema = f"q {dict(visits.dtypes)['q']}, {self._candidates()}"
-        candidates = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(within_block, schema)
-        merged = candidates.groupBy("q").agg(
-            F.slice(
-                F.array_sort(F.flatten(F.collect_list(F.arrays_zip("distances", "ids", "codes")))), 1, k
-            ).alias("__near")
-        )
-        return df.join(merged, _key(df, v["key"]) == F.col("q"), "left").drop("q")
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(within_block, schema)

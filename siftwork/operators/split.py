@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from siftwork.functions.columns import col, require_columns
 from siftwork.operators.ranking import cut_hashes, key_hash, label_by_quota, largest_remainder, stratum_sizes
@@ -108,20 +108,13 @@ def assign_folds(
 
 def split_distribution(df: DataFrame, target: str, split: str = "split_group") -> DataFrame:
     """Rows and share per (split, class); a class absent from a split counts 0."""
+    totals = df.agg(*[F.count_if(col(split) == s).alias(s) for s in SPLITS]).collect()[0]
     counted = df.groupBy(col(target).alias("class")).agg(
         *[F.count_if(col(split) == s).alias(f"n_{s}") for s in SPLITS]
     )
-    # One row per class from here on.
-    over_all = Window.partitionBy(F.lit(0))
-    shares = counted.select(
-        "class",
-        *[F.col(f"n_{s}") for s in SPLITS],
-        *[
-            F.coalesce(F.try_divide(F.col(f"n_{s}"), F.sum(f"n_{s}").over(over_all)), F.lit(0.0)).alias(f"share_{s}")
-            for s in SPLITS
-        ],
+    return counted.select(
+        "*", *[(F.col(f"n_{s}") / F.lit(max(totals[s], 1))).alias(f"share_{s}") for s in SPLITS]
     )
-    return shares
 
 
 def verify_stratification(df: DataFrame, target: str, split: str = "split_group") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siftwork.functions import presets
 from siftwork.functions.aliases import COUNTRY_ALIASES
-from siftwork.functions.columns import col, require_columns
+from siftwork.functions.columns import col, nan_to_null, require_columns
 from siftwork.functions.labels import clean_list, strict_entries
 from siftwork.operators.classify import GRIDS, NAMES, Classifier
 from siftwork.operators.missing import MissingValueHandler, report_row
@@ -17,7 +17,16 @@ from siftwork.operators.profile import missing_profile, wide_text_columns
 from siftwork.operators.split import assign_split, sample_exact, split_metadata
 from siftwork.operators.train import SearchResult, TrainedModel, grid_search
 from siftwork.plans.prepare import fit_preparation, preparation
-from siftwork.sources.delimited import header_of, land, land_once, product_schema, scan_delimited, select_wanted, valid_class
+from siftwork.sources.delimited import (
+    header_of,
+    land,
+    land_once,
+    landed_before,
+    product_schema,
+    scan_delimited,
+    select_wanted,
+    valid_class,
+)
 from siftwork.sources.documents import landing_document, write_document
 from siftwork.sources.shared import stage
 from siftwork.sources.splits import load_split, save_splits
@@ -29,6 +38,8 @@ def landing_job(
     spark: SparkSession, raw: str, out: str, sample: int | None = None, partitions: int | None = None
 ) -> DataFrame:
     """Raw product file -> filtered parquet, and the landing document; nothing happens if ``out`` exists."""
+    if landed_before(spark, out):
+        return spark.read.parquet(out)
     header = header_of(spark, raw)
     # Parsed once: a gzip file keeps one task busy, and rows and totals are both needed.
     table = stage(select_wanted(scan_delimited(spark, raw, product_schema(header), partitions=partitions)), "landing")
@@ -54,7 +65,7 @@ def prepare_table(df: DataFrame, split_first: bool = True, ratios=(0.7, 0.15, 0.
 
 
 def prepare_job(spark: SparkSession, source: str, out: str, eda_only: bool = False, **options) -> dict[str, str]:
-    df = spark.read.parquet(source)
+    df = nan_to_null(spark.read.parquet(source))
     require_columns(df, [presets.TARGET, KEY])
     if eda_only:
         preparation(**options).fit(df).transform(df).write.mode("overwrite").parquet(f"{out}/eda")
@@ -79,7 +90,7 @@ def clean_table(df: DataFrame, iso_names: dict[str, str] | None = None):
 
 
 def clean_job(spark: SparkSession, source: str, out: str, report: str | None = None) -> None:
-    df = spark.read.parquet(source)
+    df = nan_to_null(spark.read.parquet(source))
     cleaned, handler = clean_table(df)
     cleaned.write.mode("overwrite").parquet(out)
     if report:

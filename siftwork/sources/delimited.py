@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from siftwork.functions import presets
@@ -109,6 +110,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
+def landed_before(spark: SparkSession, path: str) -> bool:
+    """Whether a finished table is already there."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def land_once(df: DataFrame, path: str) -> None:
     """Write unless the output is already there."""
     df.write.mode("ignore").parquet(path)
