@@ -48,6 +48,29 @@ def pca_threshold(spark, sf_dir):
     return rounded(variance_table(spark, model), "explained", "cumulative")
 
 
+@query(
+    "i1_pca_threshold_pair",
+    f"""WITH {PAIR_SQL} SELECT 1 AS component, {r6_sql("l1 / (l1 + l2)")} AS explained, {r6_sql("l1 / (l1 + l2)")} AS cumulative
+       FROM eig UNION ALL SELECT 2, {r6_sql("l2 / (l1 + l2)")}, {r6_sql("1e0")} FROM eig WHERE l1 / (l1 + l2) < 0.6""",
+)
+def pca_threshold_pair(spark, sf_dir):
+    """The same choice on two columns, where SQL can follow."""
+    model = FeatureReducer(0.6, metadata=["code", "o_orderpriority"]).fit(stage(pair_input(spark, sf_dir)))
+    return rounded(variance_table(spark, model), "explained", "cumulative")
+
+
+@query(
+    "i2_pca_fixed_pair",
+    f"""WITH {PAIR_SQL} SELECT 1 AS feature, 1 AS component, {r6_sql("s1 * u")} AS loading FROM vec
+       UNION ALL SELECT 2, 1, {r6_sql("s1 * w")} FROM vec""",
+)
+def pca_fixed_pair(spark, sf_dir):
+    """Loadings of a single component of two columns."""
+    model = FeatureReducer(n_components=1, metadata=["code", "o_orderpriority"]).fit(stage(pair_input(spark, sf_dir)))
+    rows = [(i + 1, 1, float(r[0])) for i, r in enumerate(component_info(model)["loadings"])]
+    return rounded(spark.createDataFrame(rows, "feature int, component int, loading double"), "loading")
+
+
 @query("i2_pca_fixed")
 def pca_fixed(spark, sf_dir):
     """A fixed number of components, capped by the number of columns."""

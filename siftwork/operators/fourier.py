@@ -73,4 +73,5 @@ class FourierModel(FittedStage):
                 return pd.Series([], dtype=object)
             return pd.Series(list(factor * np.cos(np.stack(x.to_list()) @ weights + phases)))
 
+        project = project.asNondeterministic()  # evaluate once, wherever the result is used
         return df.withColumn(v["output"], array_to_vector(project(vector_to_array(F.col(v["input"])))))

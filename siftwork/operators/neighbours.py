@@ -238,6 +238,8 @@ class KNNModel(FittedStage):
             m, ids, codes = held.value
             return _frame(search(_matrix(x), m, ids, codes, k, p))
 
+        # Marked so that the optimizer neither repeats the search nor moves it below a filter it feeds.
+        look = look.asNondeterministic()
         found = df.withColumn("__found", look(col(v["features"]).cast("array<double>")))
         zipped = F.arrays_zip("__found.distances", "__found.ids", "__found.codes")
         return found.withColumn("__near", zipped).drop("__found")
@@ -281,8 +283,9 @@ class KNNModel(FittedStage):
         # Fewer than k points in reach means that there are no more: any distance will do.
         limits = limits.select("q", F.when(F.col("n") >= k, F.col("limit")).otherwise(float("inf")).alias("limit"))
         bounded = asking.join(limits, "q")
-        rest = bounded.select("q", "x", F.explode(other_cells("x", "limit", "seen")).alias("cell"))
-        candidates = first.unionByName(self._search_cells(stage(rest, "far-cells")))
+        reach = bounded.withColumn("more", other_cells.asNondeterministic()("x", "limit", "seen"))
+        rest = stage(reach.select("q", "x", F.explode("more").alias("cell")), "far-cells")
+        candidates = first.unionByName(self._search_cells(rest))
         every = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("distances", "ids", "codes"))))
         merged = candidates.groupBy("q").agg(F.slice(every, 1, k).alias("__near"))
         return df.join(merged, _key(df, v["key"]) == F.col("q"), "left").drop("q")

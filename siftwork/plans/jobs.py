@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -49,7 +50,10 @@ def landing_job(
     land_once(kept, out)
     missing = [c for c in presets.RELEVANT_COLUMNS if c not in header]
     existing = [c for c in presets.RELEVANT_COLUMNS if c in header]
-    write_document(landing_document(table, valid_class(), presets.TARGET, existing, missing), f"{out}_metadata")
+    origin = {"data_source": raw, "download_date": datetime.now().strftime("%Y-%m-%d %H:%M:%S")}
+    sampled = spark.read.parquet(out) if sample is not None else None
+    document = landing_document(table, valid_class(), presets.TARGET, existing, missing, origin, sampled)
+    write_document(document, f"{out}_metadata")
     return spark.read.parquet(out)
 
 

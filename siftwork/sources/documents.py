@@ -29,10 +29,21 @@ def landing_document(
     existing: Sequence[str],
     missing: Sequence[str],
     constants: Mapping[str, str] | None = None,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
-    """Totals, kept rows, columns and class counts of a landing as one nested row, from one scan."""
-    counted = raw.groupBy(F.when(kept, F.upper(col(target))).alias("grade")).agg(F.count(F.lit(1)).alias("n"))
-    classes = F.filter(F.collect_list(F.struct("grade", "n")), lambda e: e["grade"].isNotNull())
+    """Totals, kept rows, columns and class counts of a landing as one nested row, from one scan.
+
+    When a sample was written the class counts are those of the sample.
+    """
+    grade = F.when(kept, F.upper(col(target)))
+    counted = raw.groupBy(grade.alias("grade")).agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("drawn"))
+    shown = F.col("n")
+    if sampled is not None:
+        drawn = sampled.groupBy(F.upper(col(target)).alias("grade")).agg(F.count(F.lit(1)).alias("drawn"))
+        counted = counted.drop("drawn").join(drawn, "grade", "left")
+        shown = F.coalesce("drawn", F.lit(0))
+    # One row per class from here on.
+    classes = F.filter(F.collect_list(F.struct("grade", shown.alias("n"))), lambda e: e["grade"].isNotNull())
     row = counted.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_products"),
         F.coalesce(F.sum(F.when(F.col("grade").isNotNull(), F.col("n"))), F.lit(0)).alias("filtered_products"),

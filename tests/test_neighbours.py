@@ -71,6 +71,12 @@ def test_bad_options(spark):
         KNNClassifier().fit(spark.createDataFrame([], "id bigint, label int, features array<double>"))
 
 
+def test_the_search_runs_once(points):
+    scored = KNNClassifier(n_neighbors=3).fit(points).transform(points)
+    text = scored.select(F.posexplode("probability"))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ArrowEvalPython") == 1
+
+
 def test_cells_join_without_pairs(points):
     model = KNNClassifier(n_neighbors=3, **KINDS["cells"]).fit(points)
     plan = model.neighbours(points)._jdf.queryExecution().executedPlan().toString()

@@ -9,7 +9,7 @@ from siftwork.operators.train import HISTORY_SCHEMA
 from siftwork.plans import jobs
 from siftwork.sources.delimited import header_of, land, product_schema, read_csv, scan_delimited, valid_class, write_csv
 from siftwork.sources.documents import landing_document, read_documents
-from siftwork.sources.shared import shared_path, stage
+from siftwork.sources.shared import shared_dir, shared_path, stage
 from siftwork.sources.splits import load_split, save_splits
 from siftwork.streaming.landing import land_stream, source
 
@@ -80,6 +80,28 @@ def test_landing_document(spark):
     }
 
 
+def test_landing_document_of_a_sample(spark):
+    df = spark.createDataFrame([("A",), ("a",), ("e",), ("x",), (None,)], "g string")
+    drawn = spark.createDataFrame([("a",)], "g string")
+    row = landing_document(df, valid_class("g"), "g", ["g"], [], sampled=drawn).collect()[0]
+    assert (row["total_products"], row["filtered_products"]) == (5, 3)
+    assert row["grade_distribution"] == {"A": 1, "E": 0}
+
+
+def test_shared_folder_follows_the_setting(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    def session(setting, master):
+        conf = SimpleNamespace(get=lambda key, default=None: setting if key == "spark.checkpoint.dir" else default)
+        context = SimpleNamespace(getConf=lambda: conf, master=master, applicationId="app")
+        return SimpleNamespace(sparkContext=context, conf=conf)
+
+    assert shared_dir(session("hdfs://x/y/", "yarn")) == "hdfs://x/y"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session(None, "yarn"))
+    assert shared_dir(session(None, "local[2]")) == shared_dir(session(None, "local[2]"))
+
+
 def test_run_documents_of_any_depth(spark, tmp_path):
     for name, extra in (("a", {"training_history": {"val_metrics": {"f1_macro": 0.5}}}), ("b/c", {})):
         os.makedirs(tmp_path / name)
