@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -45,38 +44,62 @@ def distances(rows: np.ndarray, points: np.ndarray, p: float) -> np.ndarray:
     return np.sqrt(total) if p == 2 else total if p == 1 else total ** (1 / p)
 
 
-def few_distances(row: np.ndarray, points: np.ndarray, p: float) -> np.ndarray:
-    gap = np.abs(points - row)
+def listed_distances(rows: np.ndarray, points: np.ndarray, p: float) -> np.ndarray:
+    """Distance of every row to its own list of points: (n, d) against (n, m, d)."""
+    gap = np.abs(points - rows[:, None, :])
     if p == 2:
-        return np.sqrt((gap * gap).sum(axis=1))
-    return gap.sum(axis=1) if p == 1 else (gap**p).sum(axis=1) ** (1 / p)
+        return np.sqrt((gap * gap).sum(axis=2))
+    return gap.sum(axis=2) if p == 1 else (gap**p).sum(axis=2) ** (1 / p)
 
 
-def search(rows: np.ndarray, points: np.ndarray, ids: np.ndarray, codes: np.ndarray, k: int, p: float) -> Iterator:
+def _ordered(exact: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """First k of each row by distance, then by position (points are sorted by id)."""
+    by_id = np.argsort(near, axis=1)
+    near, exact = np.take_along_axis(near, by_id, 1), np.take_along_axis(exact, by_id, 1)
+    order = np.argsort(exact, axis=1, kind="stable")[:, :k]
+    return np.take_along_axis(exact, order, 1), np.take_along_axis(near, order, 1)
+
+
+def search(rows: np.ndarray, points: np.ndarray, ids: np.ndarray, codes: np.ndarray, k: int, p: float) -> pd.DataFrame:
     """Per row the k nearest points, ordered by distance then id."""
+    by_id = np.argsort(ids)
+    points, ids, codes = points[by_id], ids[by_id], codes[by_id]
     k = min(k, len(points))
+    spare = min(k + 8, len(points))
     norms = (points * points).sum(axis=1)
+    parts = []
     for start in range(0, len(rows), 256):
         part = rows[start : start + 256]
         if p == 2:
             own = (part * part).sum(axis=1)
             rough = own[:, None] + norms[None, :] - 2 * part @ points.T
-            # The shortcut formula rounds; keep everything its error could hide, then measure exactly.
-            slack = 1e-13 * points.shape[1] * (own[:, None] + norms.max(initial=0.0)) + 1e-300
+            # The shortcut formula rounds; this bounds its error.
+            slack = 4e-13 * points.shape[1] * (own + norms.max()) + 1e-300
         else:
             rough = distances(part, points, p)
-            slack = 1e-12 * rough
-        edge = np.partition(rough, k - 1, axis=1)[:, k - 1 : k]
-        for i, keep in enumerate(rough - 4 * slack <= edge):
-            near = np.flatnonzero(keep)
-            exact = distances(part[i : i + 1], points[near], p)[0]
-            order = np.lexsort((ids[near], exact))[:k]
-            yield exact[order], ids[near][order], codes[near][order]
+            slack = 4e-12 * rough.max(axis=1)
+        near = np.argpartition(rough, spare - 1, axis=1)[:, :spare]
+        exact, best = _ordered(listed_distances(part, points[near], p), near, k)
+        if spare < len(points):
+            # Points left out are at least as far as the farthest one kept, give or take the error.
+            left_out = np.take_along_axis(rough, near, 1).max(axis=1) - slack
+            reached = exact[:, -1] ** 2 if p == 2 else exact[:, -1]
+            for i in np.flatnonzero(left_out <= reached + slack):
+                close = np.flatnonzero(rough[i] <= reached[i] + 2 * slack[i])[None, :]
+                gaps = listed_distances(part[i : i + 1], points[close], p)
+                exact[i], best[i] = (x[0] for x in _ordered(gaps, close, k))
+        parts.append((exact, best))
+    found = {"distances": [], "ids": [], "codes": []}
+    for exact, best in parts:
+        found["distances"].extend(exact)
+        found["ids"].extend(ids[best].tolist())
+        found["codes"].extend(codes[best])
+    return pd.DataFrame(found)
 
 
-def _frame(found: Iterator) -> pd.DataFrame:
-    rows = [(d, i.tolist(), c) for d, i, c in found]
-    return pd.DataFrame({n: [r[i] for r in rows] for i, n in enumerate(("distances", "ids", "codes"))})
+def _key(df: DataFrame, key: str) -> Column:
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    return col(key).cast("bigint" if whole else "string")
 
 
 def _names(series: pd.Series) -> np.ndarray:
@@ -84,11 +107,6 @@ def _names(series: pd.Series) -> np.ndarray:
     return series.to_numpy(dtype=str) if series.dtype == object or str(series.dtype) == "str" else series.to_numpy()
 
 
-def _key(df: DataFrame, key: str) -> Column:
-    whole = isinstance(df.schema[key].dataType, T.IntegralType)
-    return col(key).cast("bigint" if whole else "string")
-
-
 def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, dtype=float) for x in series]) if len(series) else np.zeros((0, 1))
 
@@ -236,7 +254,7 @@ class KNNModel(FittedStage):
         @F.pandas_udf(f"struct<{self._candidates()}>")
         def look(x: pd.Series) -> pd.DataFrame:
             m, ids, codes = held.value
-            return _frame(search(_matrix(x), m, ids, codes, k, p))
+            return search(_matrix(x), m, ids, codes, k, p)
 
         # Marked so that the optimizer neither repeats the search nor moves it below a filter it feeds.
         look = look.asNondeterministic()
@@ -312,17 +330,10 @@ class KNNModel(FittedStage):
         def within_block(asking: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
             if not len(asking) or not len(block):
                 return pd.DataFrame({"q": [], "distances": [], "ids": [], "codes": []})
-            found = search(
-                _matrix(asking["x"]),
-                _matrix(block["x"]),
-                _names(block["id"]),
-                block["code"].to_numpy(dtype="int32"),
-                k,
-                p,
-            )
-            out = _frame(found)
-            out.insert(0, "q", asking["q"].to_numpy())
-            return out
+            codes = block["code"].to_numpy(dtype="int32")
+            found = search(_matrix(asking["x"]), _matrix(block["x"]), _names(block["id"]), codes, k, p)
+            found.insert(0, "q", asking["q"].to_numpy())
+            return found
 
         keys = ["cell", "block", "copy"]
         schema = f"q {dict(visits.dtypes)['q']}, {self._candidates()}"
