@@ -172,6 +172,14 @@ def _target_plan(df: DataFrame, column: str, outcome: Column, out: str | None) -
 class FeatureEncoderModel(FittedStage):
     """Levels live here, so the output columns are fixed and new rows need no look at the data."""
 
+    def tables(self) -> dict[str, str]:
+        return {f"levels{i}": plan["path"] for i, plan in enumerate(self.values["plans"]) if "path" in plan}
+
+    def with_tables(self, folders: dict[str, str]) -> "FeatureEncoderModel":
+        v = self.values
+        plans = [{**p, "path": folders[f"levels{i}"]} if "path" in p else p for i, p in enumerate(v["plans"])]
+        return self.with_state(**{**v, "plans": plans})
+
     def _transform(self, df: DataFrame) -> DataFrame:
         v = self.values
         aliases = v["aliases"] or COUNTRY_ALIASES

@@ -1,6 +1,6 @@
 """Exact k nearest neighbours as a Spark join.
 
-A reference side of a checked size is broadcast and searched in place.  A larger
+A set of points of a checked size is broadcast and searched in place.  A larger
 one is cut into Voronoi cells around sampled pivots; the triangle inequality
 tells which cells can hold a neighbour of a row, and only those are joined, by
 an equi-join on the cell.  Cells are split into blocks of bounded size and busy
@@ -203,6 +203,14 @@ class KNNClassifier(OptionEstimator):
 class KNNModel(FittedStage):
     """Adds ``prediction`` (class code) and ``probability`` (array over the classes)."""
 
+    def tables(self) -> dict[str, str]:
+        v = self.values
+        return {"points": v["path"]} if v["cells"] is None else {"cells": v["cell_path"]}
+
+    def with_tables(self, folders: dict[str, str]) -> "KNNModel":
+        places = {"points": "path", "cells": "cell_path"}
+        return self.with_state(**{**self.values, **{places[name]: folder for name, folder in folders.items()}})
+
     def _transform(self, df: DataFrame) -> DataFrame:
         found = self.neighbours(df)
         scores = self._vote(F.col("__near"))

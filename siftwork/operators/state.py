@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 
 
 class Options(Params):
@@ -30,6 +30,22 @@ class OptionEstimator(Estimator, Options, DefaultParamsReadable, DefaultParamsWr
     pass
 
 
+class FittedWriter(DefaultParamsWriter):
+    """Saves the state and a copy of every table it points to, so a saved model stands on its own."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        for name, source in self.instance.tables().items():
+            self.sparkSession.read.parquet(source).write.parquet(f"{path}/tables/{name}")
+
+
+class FittedReader(DefaultParamsReader):
+    def load(self, path: str):
+        stage = super().load(path)
+        names = stage.tables() if stage.isSet("state") else {}
+        return stage.with_tables({name: f"{path}/tables/{name}" for name in names}) if names else stage
+
+
 class FittedStage(Model, DefaultParamsReadable, DefaultParamsWritable):
     """A model that holds parameters only; transforming is a projection or a filter."""
 
@@ -43,3 +59,17 @@ class FittedStage(Model, DefaultParamsReadable, DefaultParamsWritable):
         if not self.isSet("state"):
             raise ValueError(f"{type(self).__name__} has not been fitted. Call fit() first.")
         return json.loads(self.getOrDefault("state"))
+
+    def tables(self) -> dict[str, str]:
+        """Name and folder of the tables that are too large for the state."""
+        return {}
+
+    def with_tables(self, folders: dict[str, str]):
+        raise NotImplementedError
+
+    def write(self) -> FittedWriter:
+        return FittedWriter(self)
+
+    @classmethod
+    def read(cls) -> FittedReader:
+        return FittedReader(cls)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siftwork.functions.labels import clean_list, iso_entries, parse_labels, strict_entries, strict_label
 from siftwork.operators import encode
 from siftwork.operators.derive import FeatureDeriver
-from siftwork.operators.encode import FeatureEncoder, LabelCoder, out_of_fold_target
+from siftwork.operators.encode import FeatureEncoder, FeatureEncoderModel, LabelCoder, out_of_fold_target
 from siftwork.operators.reduce import FeatureReducer, component_info, plane, variance_table
 from siftwork.operators.scale import FeatureScaler, FeatureScalerModel
 
@@ -78,12 +78,15 @@ def smooth(y, group):
 
 
 @pytest.mark.parametrize("inline", [True, False])
-def test_target_encoding(spark, monkeypatch, inline):
+def test_target_encoding(spark, monkeypatch, tmp_path, inline):
     if not inline:
         monkeypatch.setattr(encode, "MAX_INLINE_LEVELS", 1)
     rows = [("p", "a"), ("p", "b"), ("p", "a"), ("q", "c"), ("q", "a"), ("r", "c")]
     df = spark.createDataFrame(rows, "pnns_groups_2 string, y string")
     model = FeatureEncoder({"pnns_groups_2": "target"}, "y").fit(df)
+    model.write().overwrite().save(str(tmp_path / "e"))
+    model = FeatureEncoderModel.load(str(tmp_path / "e"))
+    assert bool(model.tables()) is not inline
     hits = {k: [float(y == "a") for g, y in rows if g == k] for k in "pqr"}
     everything = sum(hits.values(), [])
     new = spark.createDataFrame([("p",), ("q",), ("r",), ("unseen",), (None,)], "pnns_groups_2 string")

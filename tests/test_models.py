@@ -45,7 +45,7 @@ def test_fourier_features_learn_what_lines_cannot(orders):
     assert kernel >= 0.85 > linear
 
 
-def test_logistic_matches_a_reference_solution(spark):
+def test_logistic_matches_newton_steps(spark):
     """Two classes: compare with Newton steps on C·sum(loss) + |w|²/2 in the two-class softmax form."""
     draw = np.random.default_rng(3)
     x = draw.normal(size=(300, 2))

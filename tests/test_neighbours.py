@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftwork.operators.neighbours import KNNClassifier
+from siftwork.operators.neighbours import KNNClassifier, KNNModel
 
 KINDS = {"broadcast": {}, "cells": {"broadcast_bytes": 0, "block_rows": 40}}
 
@@ -90,3 +90,13 @@ def test_text_keys(spark, points, kind):
     got = {r["id"]: [n["ids"] for n in r["__near"]] for r in model.neighbours(named).collect()}
     plain = KNNClassifier(n_neighbors=5).fit(points).neighbours(points).collect()
     assert got == {f"p{r['id']:05d}": [f"p{n['ids']:05d}" for n in r["__near"]] for r in plain}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_saved_model_stands_on_its_own(points, tmp_path, kind):
+    model = KNNClassifier(n_neighbors=3, **KINDS[kind]).fit(points)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = KNNModel.load(str(tmp_path / "m"))
+    assert all(folder.startswith(str(tmp_path)) for folder in again.tables().values())
+    columns = ["id", "prediction"]
+    assert again.transform(points).select(columns).exceptAll(model.transform(points).select(columns)).count() == 0
