@@ -69,20 +69,6 @@ def class_list(df: DataFrame, target: str) -> list:
     return level_list(df, target, MAX_LEVELS)
 
 
-def target_outcome(df: DataFrame, target: str, kind: str, index: int | None) -> Column:
-    """What target encoding averages: a 0/1 indicator of one class, or the target itself."""
-    continuous = kind == "continuous" or (
-        kind == "auto" and isinstance(df.schema[target].dataType, (T.DoubleType, T.FloatType, T.DecimalType))
-    )
-    if continuous:
-        return col(target).cast("double")
-    classes = class_list(df, target)
-    if not classes:
-        raise ValueError(f"target column {target!r} has no values")
-    chosen = index if index is not None else (1 if len(classes) == 2 else 0)
-    return (col(target) == F.lit(classes[chosen])).cast("double")
-
-
 class FeatureEncoder(OptionEstimator):
     """Encodes each listed column by its method: ``multilabel``, ``onehot`` or ``target``.
 
@@ -137,33 +123,66 @@ class FeatureEncoder(OptionEstimator):
         return FeatureEncoderModel().with_state(plans=plans, aliases=self.option("aliases"))
 
     def _target_plans(self, df: DataFrame, column: str, target: str) -> list[dict]:
-        kind, index = self.option("target_kind"), self.option("class_index")
-        if not self.option("per_class"):
-            return [_target_plan(df, column, target_outcome(df, target, kind, index), None)]
-        plans = []
-        for c in class_list(df, target):
-            outcome = (col(target) == F.lit(c)).cast("double")
-            plans.append(_target_plan(df, column, outcome, f"{column}_{c}"))
-        plans[-1]["drop"] = True
-        return plans
+        if is_continuous(df, target, self.option("target_kind")):
+            return [_continuous_plan(df, column, col(target))]
+        classes = class_list(df, target)
+        if not classes:
+            raise ValueError(f"target column {target!r} has no values")
+        if self.option("per_class"):
+            plans = _class_plans(df, column, target, {c: f"{column}_{c}" for c in classes})
+            plans[-1]["drop"] = True
+            return plans
+        index = self.option("class_index")
+        chosen = index if index is not None else (1 if len(classes) == 2 else 0)
+        return _class_plans(df, column, target, {classes[chosen]: None})
+
+
+def is_continuous(df: DataFrame, target: str, kind: str) -> bool:
+    """Whether target encoding averages the target itself rather than the share of a class."""
+    return kind == "continuous" or (
+        kind == "auto" and isinstance(df.schema[target].dataType, (T.DoubleType, T.FloatType, T.DecimalType))
+    )
 
 
-def _target_plan(df: DataFrame, column: str, outcome: Column, out: str | None) -> dict:
-    totals = (
-        df.where(outcome.isNotNull())
-        .agg(F.avg(outcome.cast("double")).alias("m"), F.var_pop(outcome.cast("double")).alias("v"))
-        .collect()[0]
+def _class_plans(df: DataFrame, column: str, target: str, outputs: Mapping) -> list[dict]:
+    """Smoothed share of each class per category: the rows are read once for all classes."""
+    stats = stage(
+        df.where(col(target).isNotNull())
+        .groupBy(col(column).alias("category"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.count_if(col(target) == F.lit(c)).alias(f"h{i}") for i, c in enumerate(outputs)],
+        ),
+        "category-counts",
     )
+    totals = stats.agg(F.sum("n").alias("n"), *[F.sum(f"h{i}").alias(f"h{i}") for i in range(len(outputs))]).first()
+    plans = []
+    for i, out in enumerate(outputs.values()):
+        share = totals[f"h{i}"] / totals["n"] if totals["n"] else 0.0
+        mean = F.col(f"h{i}") / F.col("n")
+        value = smoothed(F.col("n"), mean, mean * (1 - mean), F.lit(share), F.lit(share * (1 - share)))
+        plans.append(_plan(stats, column, value, out, share))
+    return plans
+
+
+def _continuous_plan(df: DataFrame, column: str, outcome: Column) -> dict:
+    y = outcome.cast("double")
+    totals = df.agg(F.avg(y).alias("m"), F.var_pop(y).alias("v")).first()
     mean, variance = totals["m"] or 0.0, totals["v"] or 0.0
-    stats = target_statistics(df, column, outcome).where(F.col("category").isNotNull())
-    encoded = stats.select(
-        F.col("category").cast("string").alias("category"),
-        smoothed(F.col("n"), F.col("mean"), F.col("variance"), F.lit(mean), F.lit(variance)).alias("value"),
+    stats = target_statistics(df, column, outcome)
+    value = smoothed(F.col("n"), F.col("mean"), F.col("variance"), F.lit(mean), F.lit(variance))
+    return _plan(stats, column, value, None, mean)
+
+
+def _plan(stats: DataFrame, column: str, value: Column, out: str | None, mean: float) -> dict:
+    """A lookup kept in the model while it is small, as a table in the shared folder otherwise."""
+    encoded = stats.where(F.col("category").isNotNull()).select(
+        F.col("category").cast("string").alias("category"), value.alias("value")
     )
     rows = encoded.limit(MAX_INLINE_LEVELS + 1).collect()
     plan = {"column": column, "method": "target", "out": out, "mean": mean}
     if len(rows) > MAX_INLINE_LEVELS:
-        path = shared_path(df.sparkSession, "levels")
+        path = shared_path(stats.sparkSession, "levels")
         encoded.write.parquet(path)
         return {**plan, "path": path}
     return {**plan, "levels": [[r["category"], r["value"]] for r in rows]}

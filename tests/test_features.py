@@ -95,6 +95,19 @@ def test_target_encoding(spark, monkeypatch, tmp_path, inline):
     np.testing.assert_allclose(sorted(got), sorted(expected))
 
 
+def test_target_encoding_of_numbers_and_of_two_classes(spark):
+    rows = [("p", 1.5, "n"), ("p", 2.0, "y"), ("q", 7.0, "y"), ("q", 9.5, "y"), ("q", 8.0, "n")]
+    df = spark.createDataFrame(rows, "g string, v double, y string")
+    numbers = FeatureEncoder({"g": "target"}, "v").fit(df).transform(df)
+    expected = {k: smooth([v for _, v, _ in rows], [v for g, v, _ in rows if g == k]) for k in "pq"}
+    for r, (g, _, _) in zip(numbers.collect(), rows):
+        assert math.isclose(r["g"], expected[g])
+    hits = {k: [float(y == "y") for g, _, y in rows if g == k] for k in "pq"}
+    second = FeatureEncoder({"g": "target"}, "y").fit(df).transform(df)
+    for r, (g, _, _) in zip(second.collect(), rows):
+        assert math.isclose(r["g"], smooth(hits["p"] + hits["q"], hits[g]))
+
+
 def test_target_encoding_needs_a_target(spark):
     df = spark.createDataFrame([("p",)], "pnns_groups_2 string")
     with pytest.raises(ValueError, match="needs the column"):
