@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.llm import curve_packing, prefix_tokens
+from siftwork.llm import curve_packing, nnpu_toxicity, prefix_tokens, quality_outliers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,17 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+@query("op3_quality_outliers")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_outliers.judge(table(spark, sf_dir, "documents"))
+
+
 @query("op8_prefix_tokens")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op10_nnpu_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return nnpu_toxicity.score(documents, nnpu_toxicity.fit(documents, table(spark, sf_dir, "labels")))
