@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.llm import curve_packing, nnpu_toxicity, prefix_tokens, quality_outliers
+from siftwork.llm import curve_packing, nnpu_toxicity, prefix_tokens, quality_outliers, template_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_template_lines", template_lines.ORACLE)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_lines.drop_templates(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
 @query("op2_curve_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
