@@ -6,8 +6,8 @@ similar content get close keys.  Spark range-sorts the documents by key, and eac
 that is cut every ``capacity`` tokens.  What is left at the end of a range is cut into sequences whose sizes are powers
 of two, so that nothing needs padding.
 
-Equal keys are ordered by id and then by token ids, so ties and repeated rows have a fixed place; a range boundary may
-fall between them, so a large group of copies does not end up in one task.  Null texts are empty and still get the
+Equal keys are ordered by id and then by token ids, so ties and repeated rows have a fixed place.  Ranges are cut by key
+and id, so a large group of copies does not end up in one task.  Null texts are empty and still get the
 closing id.  An empty table gives an empty result.  Other columns are not read.
 """
 
@@ -180,7 +180,7 @@ def pack(
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = (
         documents.select("id", "curve", "ids")
-        .repartitionByRange(partitions, "curve", "id", "ids")
+        .repartitionByRange(partitions, "curve", "id")
         .sortWithinPartitions("curve", "id", "ids")
         .select("id", "ids", F.spark_partition_id().alias("range"))
     )
