@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.llm import bag_minhash, curve_packing, nnpu_toxicity, prefix_tokens, quality_outliers, template_lines
+from siftwork.llm import bag_minhash, curve_packing, epsilon_grid, nnpu_toxicity, prefix_tokens, quality_outliers, template_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_epsilon_grid")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsilon_grid.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_prefix_tokens")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.token_counts(table(spark, sf_dir, "documents"))
