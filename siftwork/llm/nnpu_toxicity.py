@@ -144,18 +144,26 @@ def fold_of(key: str):
     return F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS
 
 
-def sampled(rows: DataFrame, most: int) -> list[np.ndarray]:
-    """Inputs of the ``most`` rows with the smallest hashes of their ids; a bounded collect."""
+def sampled(rows: DataFrame, wanted: DataFrame, most: int) -> list[np.ndarray]:
+    """Inputs of the ``most`` of the ``wanted`` (id, print) with the smallest hashes; a bounded collect.
+
+    Ids and fingerprints are ranked by themselves, so texts of rows that aren't chosen don't move.
+    """
 
     def inputs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "body"):
             sets = [np.unique(np.array([h for w in set(find_words(x)) for h in word_inputs(w)], "<u4")) for x in frame["body"]]
-            yield pd.DataFrame({"rank": frame["rank"], "id": frame["id"], "inputs": [s.tobytes() for s in sets]})
+            yield pd.DataFrame({"rank": frame["rank"], "id": frame["id"], "print": frame["print"], "inputs": [s.tobytes() for s in sets]})
 
-    chosen = rows.select(F.xxhash64(F.lit("nnpu"), "id").alias("rank"), "id", "body").orderBy("rank", "id", "body").limit(most)
-    # The rows come in no promised order, and mini-batches depend on it.
-    found = chosen.mapInPandas(inputs, "rank long, id string, inputs binary").collect()
-    return [np.frombuffer(r.inputs, "<u4") for r in sorted(found, key=lambda r: (r["rank"], r.id, r.inputs))]
+    ranked = wanted.select("id", "print", F.xxhash64(F.lit("nnpu"), "id").alias("rank")).distinct()
+    chosen = [tuple(r) for r in ranked.orderBy("rank", "id", "print").limit(most).collect()]
+    if not chosen:
+        return []
+    few = rows.sparkSession.createDataFrame(chosen, "id string, print long, rank long")
+    found = rows.join(F.broadcast(few), ["id", "print"]).mapInPandas(inputs, "rank long, id string, print long, inputs binary")
+    # Copies of a row count once, and the order is fixed, for the mini-batches depend on it.
+    once = found.groupBy("rank", "id", "print").agg(F.min("inputs").alias("inputs")).collect()
+    return [np.frombuffer(r.inputs, "<u4") for r in sorted(once, key=lambda r: (r["rank"], r["id"], r["print"]))]
 
 
 def fit(
@@ -186,10 +194,11 @@ def fit(
     if prior <= 0:
         return empty
     prior = min(max(prior, 1e-4), 0.9)
-    rows = df.select(F.col(f"`{key}`").cast("string").alias("id"), text_of(text).alias("body"))
+    rows = df.select(F.col(f"`{key}`").cast("string").alias("id"), F.xxhash64(text_of(text)).alias("print"), text_of(text).alias("body"))
     rows = rows.where(F.col("id").isNotNull() & (fold_of("id") != HELD_OUT))
-    positive = sampled(rows.join(marks.where("mark = 1").select("id"), "id", "left_semi"), max_positive)
-    rest = sampled(rows, max_unlabelled)
+    names = rows.select("id", "print")
+    positive = sampled(rows, names.join(marks.where("mark = 1").select("id"), "id", "left_semi"), max_positive)
+    rest = sampled(rows, names, max_unlabelled)
     if not positive or not rest:
         return empty
     inputs = select_inputs(positive, rest, max_inputs)
