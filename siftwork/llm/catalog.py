@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.llm import bag_minhash, curve_packing, epsilon_grid, nnpu_toxicity, prefix_tokens, quality_outliers, suffix_dedup, template_lines
+from siftwork.llm import bag_minhash, curve_packing, epsilon_grid, nnpu_toxicity, prefix_tokens, quality_outliers, recompression, suffix_dedup, template_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
 
 
+@query("op5_recompression")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(table(spark, sf_dir, "documents"), with_words=False)
+
+
 @query("op6_bag_minhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
