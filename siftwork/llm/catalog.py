@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.llm import bag_minhash, curve_packing, epsilon_grid, nnpu_toxicity, prefix_tokens, quality_outliers, recompression, suffix_dedup, template_lines
+from siftwork.llm import bag_minhash, curve_packing, epsilon_grid, nnpu_toxicity, prefix_tokens, quality_outliers, recompression, soft_mixing, suffix_dedup, template_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query("op9_soft_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return soft_mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("print")
+
+
 @query("op10_nnpu_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")

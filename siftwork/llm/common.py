@@ -72,6 +72,13 @@ def slices(frames: Iterator[pd.DataFrame], column: str, characters: int = 4_000_
             yield frame.iloc[start:stop]
 
 
+def small(frames: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """Arrow batches cut to at most ``rows`` rows."""
+    for frame in frames:
+        for start in range(0, len(frame), rows):
+            yield frame.iloc[start : start + rows]
+
+
 def _edges(values: np.ndarray) -> Iterator[tuple[int, int]]:
     cuts = np.flatnonzero(np.diff(values)) + 1
     return zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)])

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from siftwork.llm.common import mix64, slices, text_of
+from siftwork.llm.common import mix64, slices, small, text_of
 from siftwork.llm.tokens import byte_tokenizer, tokenizer_path
 from siftwork.sources.shared import stage
 
@@ -132,7 +132,7 @@ def cut_stream(frames: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.Dat
             yield key, start, len(ids), zlib.crc32(body), total, (number << 40) | sequence, offset, body
             offset += len(ids)
 
-    for frame in frames:
+    for frame in small(frames, 500):
         out: list[tuple] = []
         for row in frame.itertuples(index=False):
             number = int(row.range)

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siftwork.llm.common import U64, mix64, signed, slices, text_of
+from siftwork.llm.common import U64, mix64, signed, slices, small, text_of
 from siftwork.sources.shared import shared_path
 
 ENTRIES = 1_000_000
@@ -136,12 +136,6 @@ def unzipped(blobs: pd.Series) -> list[str]:
     return [opener.decompress(x).decode("utf-8", "surrogatepass") for x in blobs]
 
 
-def small(frames: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for start in range(0, len(frame), rows):
-            yield frame.iloc[start : start + rows]
-
-
 def contexts(docs: DataFrame, keys: DataFrame, anchors: Anchors, cut: Callable[[list[str]], Callable[[int, int, int], bytes]]) -> DataFrame:
     """One row per anchor with a recurring key: key, id, print, first window, place of the anchor in the stretch, the stretch."""
 
