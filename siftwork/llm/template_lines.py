@@ -17,6 +17,8 @@ same result.  Other columns pass through, whatever their names.  An empty table
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siftwork.llm.common import fresh
@@ -32,8 +34,10 @@ def masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), F.lit(FIELD)).otherwise(token)
 
 
-def tokens(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda t: t != "")
+def evened(line: Column) -> Column:
+    """The line's tokens with one blank between them; most lines are so already."""
+    odd = [line.contains(c) for c in ("  ", "\t", "\x0b", "\f", "\r")] + [line.startswith(" "), line.endswith(" ")]
+    return F.when(reduce(Column.__or__, odd), F.btrim(F.regexp_replace(line, SPACE, " "), F.lit(" "))).otherwise(line)
 
 
 def documents(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -44,9 +48,11 @@ def documents(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def leaf_lines(rows: DataFrame) -> DataFrame:
     """Lines with at least one token and their leaf."""
-    lines = rows.select("id", "digest", F.posexplode(F.split("body", "\n")).alias("no", "line"))
-    lines = lines.withColumn("words", tokens(F.col("line"))).withColumn("n", F.size("words")).where("n > 0")
-    lead = {f"k{i}": F.when(F.col("n") > i, masked(F.get("words", F.lit(i)))).otherwise(F.lit("")) for i in range(DEPTH)}
+    lines = rows.select("id", "digest", F.posexplode(F.split("body", "\n")).alias("no", "raw"))
+    lines = lines.select("id", "digest", "no", evened(F.col("raw")).alias("line")).where("line <> ''")
+    blanks = F.char_length("line") - F.char_length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
+    lines = lines.withColumn("n", blanks + 1).withColumn("head", F.split(F.substring_index("line", " ", DEPTH), " "))
+    lead = {f"k{i}": F.when(F.col("n") > i, masked(F.get("head", F.lit(i)))).otherwise(F.lit("")) for i in range(DEPTH)}
     return lines.withColumns(lead).select("id", "digest", "no", "line", *LEAF)
 
 
@@ -55,7 +61,7 @@ def candidates(rows: DataFrame, min_docs: int) -> DataFrame:
     lines = leaf_lines(rows)
     seen = lines.select("id", "digest", *LEAF).distinct().groupBy(*LEAF).count().where(F.col("count") >= min_docs)
     kept = lines.join(seen.drop("count"), LEAF)
-    masks = F.transform(tokens(F.col("line")), masked)
+    masks = F.transform(F.split("line", " "), masked)
     kept = kept.select("id", "digest", "no", *LEAF, masks.alias("masks"))
     return kept.withColumn("line_key", F.unhex(F.md5(F.array_join("masks", " ").cast("binary"))))
 
