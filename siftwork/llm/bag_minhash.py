@@ -183,7 +183,7 @@ def classes_and_groups(df: DataFrame, key: str, text: str, threshold: float) ->
         these = outside.where(F.col("turn") == turn).select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"))
         across = these.join(split.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry")), "bucket").where("rx <> ry")
         pairs = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = pairs.join(first, ["a", "b"], "left_anti")
+        pairs = stage(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
         more = stage(verified(pairs, texts, threshold), "links")
         links = links.unionByName(more)
         first = first.unionByName(pairs) if turns else first

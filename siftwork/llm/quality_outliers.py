@@ -37,6 +37,7 @@ STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 FLOORS = {"v0": 0.10, "v1": 0.12, "v2": 0.12, "v3": 0.08, "v4": 1.5}
 SIZE = len(FLOORS)
 BINS_PER_UNIT = 64
+POOLS_SENT = 20_000  # rows of about 400 bytes
 
 
 def repeated_words(ids: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -177,8 +178,20 @@ def _bin_at(rows: DataFrame, share: float) -> DataFrame:
     return reached.where(F.col("upto") >= F.ceil(F.col("all") * share)).groupBy("pool", "start").agg(F.min("bin").alias("edge"))
 
 
-def estimates(vectors: DataFrame, *, share: float = 0.75, steps: int = 5) -> DataFrame:
+def per_pool(small: DataFrame, rows: int) -> DataFrame:
+    """A table with a row or two per pool, to be joined with documents: sent to all tasks if it has few rows.
+
+    A pool may hold a third of all documents, which then stay where they are.  Beyond the bound Spark joins by shuffle.
+    """
+    return F.broadcast(small) if rows <= POOLS_SENT else small
+
+
+def estimates(vectors: DataFrame, pool_count: int, *, share: float = 0.75, steps: int = 5) -> DataFrame:
     """Robust estimates per ``pool``: mean, triangle, logdet, and ``scale`` for squared distances."""
+
+    def sent(small: DataFrame) -> DataFrame:
+        return per_pool(small, pool_count)
+
     starts = F.explode(F.array(F.lit(0), F.lit(1))).alias("start")
     both = vectors.select("pool", *FLOORS, starts)
     # Start 0: all rows.  Start 1: the rows nearest to the coordinates' medians, by their quartile spreads.
@@ -192,16 +205,16 @@ def estimates(vectors: DataFrame, *, share: float = 0.75, steps: int = 5) -> Dat
         ).alias("width"),
     )
     gap = [(F.col(c) - F.col("middle")[i]) / F.col("width")[i] for i, c in enumerate(FLOORS)]
-    near = both.join(middles, "pool").withColumn(
+    near = both.join(sent(middles), "pool").withColumn(
         "within", (F.col("start") == 0) | (reduce(Column.__add__, [g * g for g in gap]) <= chi_square_quantile(0.5, SIZE))
     )
     present = stage(_with_inverse(near.where("within").groupBy("pool", "start").agg(*_moments())), "mcd")
     for _ in range(steps):
-        placed = both.join(present, ["pool", "start"]).withColumn("bin", _bin(_distance()))
-        nearest = placed.join(_bin_at(placed, share), ["pool", "start"]).where("bin <= edge")
+        placed = both.join(sent(present), ["pool", "start"]).withColumn("bin", _bin(_distance()))
+        nearest = placed.join(sent(_bin_at(placed, share)), ["pool", "start"]).where("bin <= edge")
         present = stage(_with_inverse(nearest.groupBy("pool", "start").agg(*_moments())), "mcd")
     best = present.groupBy("pool").agg(F.min(F.struct("logdet", "start", "mean", "triangle")).alias("b")).select("pool", "b.*")
-    placed = vectors.join(best, "pool").withColumn("bin", _bin(_distance()))
+    placed = vectors.join(sent(best), "pool").withColumn("bin", _bin(_distance()))
     median = F.exp((F.col("edge") + 1.0) / BINS_PER_UNIT) - 1.0
     scale = F.greatest(F.lit(1.0), median / chi_square_quantile(0.5, SIZE))
     return best.join(_bin_at(placed, 0.5).select("pool", scale.alias("scale")), "pool")
@@ -236,15 +249,16 @@ def judge(
     The estimates are made from documents that pass the base rules.
     """
     rows = stage(statistics(df, key, text, lang, source), "quality")
-    groups = pools(rows.where(~F.col("base_failed")), least_rows)
+    groups = stage(pools(rows.where(~F.col("base_failed")), least_rows), "pools")
+    group_count, pool_count = groups.agg(F.count(F.lit(1)), F.countDistinct("pool")).first()
     same = F.col("g.lang").eqNullSafe(F.col("r.lang")) & F.col("g.source").eqNullSafe(F.col("r.source"))
-    placed = rows.withColumns(transformed()).alias("r").join(groups.alias("g"), same, "left").select("r.*", "g.pool")
+    placed = rows.withColumns(transformed()).alias("r").join(per_pool(groups, group_count).alias("g"), same, "left").select("r.*", "g.pool")
     vectors = placed.where(~F.col("base_failed")).select("pool", *FLOORS)
     small = vectors.where("pool = 'rest'").limit(least_rows).count() < least_rows
     if small:
         vectors = vectors.where("pool <> 'rest'")
-    found = estimates(vectors, share=share, steps=steps)
-    out = placed.join(found, "pool", "left").withColumn("distance2", _distance() / F.col("scale"))
+    found = stage(estimates(vectors, pool_count, share=share, steps=steps), "estimates")
+    out = placed.join(per_pool(found, pool_count), "pool", "left").withColumn("distance2", _distance() / F.col("scale"))
     near = F.coalesce(F.col("distance2") <= chi_square_quantile(confidence, SIZE), F.lit(True))
     return out.select(
         F.col("id").alias(key), *STATISTICS[:5], "base_failed", (~F.col("base_failed") & near).alias("kept"), "distance2"
