@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siftwork.llm import bag_minhash, curve_packing, nnpu_toxicity, soft_mixing, template_lines
 from siftwork.llm.catalog import table
+from siftwork.llm.common import ship
 from siftwork.sources.shared import stage
 
 
@@ -25,11 +26,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     out = template_lines.drop_templates(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return bag_minhash.one_of_each(docs)
 
 
@@ -38,6 +41,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return curve_packing.pack(docs)
 
 

@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Words are runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = re.compile("[^\x20\x09-\x0d]+")
 U64 = np.uint64
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands the package to all workers once per application, for sessions that were started without it."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-package-"), "siftwork.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def find_words(text: str | None) -> list[str]:
     """The words of a text; null has none.
 
