@@ -8,10 +8,12 @@ only up to the time at which all components of the document are likely to be set
 most shingles cost one random number.
 
 Documents with the same words are one class.  Classes that agree in a band of the signature meet in a bucket.  First all
-members of a bucket are compared with its smallest; when the links found have joined the bucket into components, only
-pairs across components remain, and those are compared too, in blocks of bounded width.  No pair that meets in a bucket
-is left out unless it already is in one component.  Links are decided by the exact overlap of the word shingles.  With
-32 bands of 4, a pair at the threshold of 0.8 is missed with a probability of 5e-8.
+members of a bucket are compared with its leader, the one that meets most others.  When the links found have joined the
+bucket into components, only pairs across components remain.  Of these, pairs go on that three exact bounds allow to be
+similar enough: distances to the leader that differ by no more than the pair may (the triangle inequality), sizes, and
+a common element in the prefixes of both, in an order that puts first what the leader lacks.  So a pair that meets in a
+bucket is left out only if it can't be linked or already is in one component.  Links are decided by the exact overlap of
+the word shingles.  With 32 bands of 4, a pair at the threshold of 0.8 is missed with a probability of 5e-8.
 
 Texts of one to four words have a single shingle, all their words.  Texts without words (and null ones) form one class
 of their own.  Rows with equal ids are judged each by its own text; a null id counts after all others, and a group without
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from siftwork.llm.common import U64, find_words, fresh, mix64, signed, slices, text_of, word_hashes, word_ids
 from siftwork.llm.components import connected
@@ -35,7 +37,6 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 COMPONENTS = BANDS * ROWS
 STEP = U64(0x9E3779B97F4A7C15)
-BLOCK = 64
 
 
 def shingles(lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,8 +140,26 @@ def sketched(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInPandas(sketch, f"id {df.schema[key].dataType.simpleString()}, node binary, bands array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose exact weighted Jaccard similarity reaches ``threshold``."""
+def prefix(bag: tuple[np.ndarray, np.ndarray], leader: tuple[np.ndarray, np.ndarray], threshold: float) -> np.ndarray:
+    """The first elements of a multiset, in the order: what the leader lacks, then the rest, each by hash.
+
+    Two multisets of the threshold's similarity share an element among their first ``size - ceil(threshold * size) + 1``,
+    whatever the order, if it is the same for both.  This order puts first what tells copies of the leader apart.
+    """
+    value, count = bag
+    at = np.searchsorted(leader[0], value)
+    at[at == len(leader[0])] = 0
+    held = np.where(leader[0][at] == value, leader[1][at], 0) if len(leader[0]) else np.zeros(len(value), np.int64)
+    size = int(count.sum())
+    most = size - math.ceil(threshold * size - 1e-9) + 1
+    item = np.repeat(np.arange(len(value)), count)
+    turn = np.arange(size) - np.repeat(np.cumsum(count) - count, count)
+    name = mix64(value[item] + turn.astype(np.uint64) * STEP)
+    return name[np.lexsort((name, turn < held[item]))][:most]
+
+
+def compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """For the pairs (a, b): exact weighted Jaccard similarity, and size and prefix of b with a as the leader."""
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "text_b", 2_000_000):
@@ -149,12 +168,17 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             owner, value, count = shingles([find_words(bodies[k]) for k in left] + [find_words(x) for x in frame["text_b"]])
             cut = np.searchsorted(owner, np.arange(len(left) + len(frame) + 1))
             bags = [(value[s:e], count[s:e]) for s, e in zip(cut, cut[1:])]
-            good = [overlap(bags[left[a]], bags[len(left) + i]) >= threshold for i, a in enumerate(frame["a"])]
-            yield frame.loc[np.array(good, bool), ["a", "b"]]
+            both = [(bags[left[a]], bags[len(left) + i]) for i, a in enumerate(frame["a"])]
+            yield frame[["a", "b"]].assign(
+                same=[overlap(x, y) for x, y in both],
+                size=[int(y[1].sum()) for _, y in both],
+                prefix=[signed(prefix(y, x, threshold)) for x, y in both],
+            )
 
     joined = pairs.join(texts.select(F.col("node").alias("b"), F.col("body").alias("text_b")), "b")
     joined = joined.join(texts.select(F.col("node").alias("a"), F.col("body").alias("text_a")), "a")
-    return joined.select("a", "b", "text_a", "text_b").mapInPandas(compare, "a binary, b binary")
+    schema = "a binary, b binary, same double, size long, prefix array<long>"
+    return joined.select("a", "b", "text_a", "text_b").mapInPandas(compare, schema)
 
 
 def classes_and_groups(df: DataFrame, key: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -162,33 +186,40 @@ def classes_and_groups(df: DataFrame, key: str, text: str, threshold: float) ->
     rows = stage(sketched(df, key, text), "sketches")
     classes = stage(rows.groupBy("node").agg(F.min("id").alias("class_id"), F.first("bands", ignorenulls=True).alias("bands")), "classes")
     met = classes.select("node", F.explode("bands").alias("bucket"))
-    leaders = met.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    members = stage(met.join(leaders, "bucket"), "buckets")
-    first = stage(members.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "pairs")
-    wanted = members.select("node").distinct()
+    shared = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stage(met.join(shared, "bucket"), "buckets")
+    # A bucket's leader is the member that meets most others, over all buckets: of a text and its copies, the text.
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    leaders = members.join(weights, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("a"))
+    members = stage(members.join(leaders, "bucket").where("node <> a").select("bucket", "a", "node"), "members")
+    first = members.select("a", F.col("node").alias("b")).distinct()
+    wanted = members.select("node").unionByName(members.select(F.col("a").alias("node"))).distinct()
     bodies = df.select(same_words(text_of(text)).alias("node"), text_of(text).alias("body"))
     texts = stage(bodies.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("body").alias("body")), "texts")
-    links = stage(verified(first, texts, threshold), "links")
+    tested = stage(compared(first, texts, threshold), "tested")
+    links = tested.where(F.col("same") >= threshold).select("a", "b")
     roots = connected(links)
 
-    # What is left: pairs in one bucket and different components, at least one outside the bucket's main component.
+    # What is left: pairs of one bucket in different components, at least one outside the bucket's main component.
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    shares = placed.groupBy("bucket", "root").count()
-    main = shares.groupBy("bucket").agg(F.max(F.struct("count", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts"))
-    split = stage(placed.select("bucket", "node", "root").join(main.where("parts > 1"), "bucket"), "split")
-    order = Window.partitionBy("bucket").orderBy("node")
-    outside = stage(split.where("root <> main").withColumn("turn", F.floor((F.row_number().over(order) - 1) / BLOCK)), "outside")
-    turns = outside.agg(F.max("turn")).first()[0]
-    for turn in range(-1 if turns is None else turns + 1):
-        these = outside.where(F.col("turn") == turn).select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"))
-        across = these.join(split.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry")), "bucket").where("rx <> ry")
-        pairs = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = stage(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-        more = stage(verified(pairs, texts, threshold), "links")
-        links = links.unionByName(more)
-        first = first.unionByName(pairs) if turns else first
-    if turns is not None:
-        roots = connected(links)
+    parts = placed.groupBy("bucket", "root").count().groupBy("bucket").agg(
+        F.max(F.struct("count", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts")
+    )
+    facts = tested.select("a", F.col("b").alias("node"), "same", "size", "prefix")
+    split = placed.join(parts.where("parts > 1"), "bucket").join(facts, ["a", "node"])
+    # The distances to the leader differ by no more than the pair's own; sizes and prefixes bound the overlap.
+    split = stage(split.where(F.col("size") > 0), "split")
+    x, y = split.where("root <> main").alias("x"), split.alias("y")
+    near = (F.abs(F.col("x.same") - F.col("y.same")) <= 1 - threshold + 1e-9) & (
+        F.least("x.size", "y.size") >= threshold * F.greatest("x.size", "y.size") - 1e-9
+    )
+    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    across = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & once & near
+    pairs = x.join(y, across & F.arrays_overlap("x.prefix", "y.prefix"))
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    more = stage(compared(pairs, texts, threshold).where(F.col("same") >= threshold).select("a", "b"), "links")
+    if not more.isEmpty():
+        roots = connected(links.unionByName(more))
 
     named = classes.select("node", "class_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = named.groupBy("root").agg(F.min("class_id").alias("group_id"))

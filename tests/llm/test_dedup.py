@@ -83,12 +83,21 @@ def test_near_duplicates_by_brute_force(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
 
 
-def test_links_across_components_of_a_bucket(spark, monkeypatch):
-    """With one wide bucket per band and small blocks, only the later rounds can find most links."""
-    monkeypatch.setattr(bag_minhash, "BLOCK", 12)
-    monkeypatch.setattr(bag_minhash, "band_keys", lambda s: np.zeros((len(s), bag_minhash.BANDS), np.uint64))
-    texts = variants(3)[6:34]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+def test_links_across_components_of_a_bucket(spark):
+    """A chain of edits: most members are far from any one leader and linked only to their neighbours."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    text = [rng.choice(words) for _ in range(150)]
+    texts = [" ".join(text)]
+    for i in range(60):
+        text[(i * 7) % 150] = rng.choice(words)
+        texts.append(" ".join(text))
+    for _ in range(60):
+        text = texts[0].split()
+        for _ in range(rng.randint(1, 15)):
+            text[rng.randrange(150)] = rng.choice(words)
+        texts.append(" ".join(text))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.group_id for r in bag_minhash.near_duplicates(df).collect()}
     assert got == brute_groups(texts)
 
