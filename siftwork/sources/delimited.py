@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from siftwork.functions import presets
@@ -111,14 +110,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
 
 
 def landed_before(spark: SparkSession, path: str) -> bool:
-    """Whether a finished table is already there."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    """Whether a finished table is already there; a write that broke off leaves no success mark."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 def land_once(df: DataFrame, path: str) -> None:
-    """Write unless the output is already there."""
-    df.write.mode("ignore").parquet(path)
+    """Write unless a finished output is already there; what a broken write left is replaced."""
+    if not landed_before(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)

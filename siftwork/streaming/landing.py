@@ -14,10 +14,11 @@ from siftwork.functions.columns import col
 from siftwork.sources.delimited import land, valid_class
 
 
-def finish(query: StreamingQuery, seconds: int) -> None:
-    """Wait for an available-now query; a failed or stuck one is an error, not an empty result."""
-    done = query.awaitTermination(seconds)
-    if not done:
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Wait for an available-now query, for ``seconds`` at most if given; a failed or late one is an error."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError("the stream did not finish in time")
     if query.exception() is not None:
@@ -65,7 +66,7 @@ def land_stream(
     out: str,
     target: str = presets.TARGET,
     classes: Sequence[str] = presets.CLASSES,
-    seconds: int = 3600,
+    seconds: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Process what is there; returns the landed rows and the counters.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from siftwork.streaming.landing import finish
 
 
-def score_stream(stream: DataFrame, model: Transformer, out: str, seconds: int = 3600) -> DataFrame:
+def score_stream(stream: DataFrame, model: Transformer, out: str, seconds: int | None = None) -> DataFrame:
     """Transform the available rows and append them to ``out``; returns what was written so far."""
     scored = model.transform(stream)
     query = (

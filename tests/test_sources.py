@@ -224,3 +224,15 @@ def test_fit_sees_train_rows_only(spark, products, tmp_path):
     full = preparation().fit(marked)
     full.write().overwrite().save(str(tmp_path / "full"))
     assert PipelineModel.load(str(tmp_path / "full")).transform(marked).columns == full.transform(marked).columns
+
+
+def test_a_broken_landing_is_replaced(spark, tmp_path):
+    from siftwork.sources.delimited import land_once, landed_before
+
+    path = str(tmp_path / "landed")
+    (tmp_path / "landed" / "_temporary").mkdir(parents=True)
+    assert not landed_before(spark, path)
+    land_once(spark.range(3), path)
+    assert landed_before(spark, path)
+    land_once(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 3
