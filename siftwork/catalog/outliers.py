@@ -29,8 +29,8 @@ def _profile_sql(source: str, columns: dict) -> str:
 
 # Rows outside the upper fence must exist for the filter to have an effect.
 FENCED = {"c_acctbal": (0, 9000), "price_ratio": (0, 1000000)}
-FENCED_SQL = f"""{FEATURES_SQL}, fe AS (SELECT code, c_acctbal, avg_price / avg_disc AS price_ratio FROM features
-  WHERE avg_disc IS NULL OR avg_disc > 0),
+FENCED_SQL = f"""{FEATURES_SQL}, fe AS (SELECT code, c_acctbal,
+  CASE WHEN avg_disc = 0 THEN 0e0 ELSE avg_price / avg_disc END AS price_ratio FROM features),
 inside AS (SELECT * FROM fe WHERE c_acctbal BETWEEN 0 AND 9000
   AND (price_ratio IS NULL OR price_ratio BETWEEN 0 AND 1000000)),
 fences AS (SELECT LEAST(9000, QUANTILE_CONT(c_acctbal, 0.75) + 3 * (QUANTILE_CONT(c_acctbal, 0.75) - QUANTILE_CONT(c_acctbal, 0.25))) AS a,
@@ -40,8 +40,8 @@ cleaned AS (SELECT inside.* FROM inside, fences WHERE c_acctbal <= a AND (price_
 
 
 def fenced_input(spark, sf_dir):
-    df = features(spark, sf_dir).where("avg_disc IS NULL OR avg_disc > 0")
-    return stage(df.selectExpr("code", "c_acctbal", "avg_price / avg_disc AS price_ratio"))
+    ratio = "IF(avg_disc = 0, 0D, avg_price / avg_disc) AS price_ratio"
+    return stage(features(spark, sf_dir).selectExpr("code", "c_acctbal", ratio))
 
 
 @query("d1_outlier_profile", f"WITH {FEATURES_SQL} {_profile_sql('features', CHECKED)}")

@@ -10,11 +10,12 @@ from siftwork.functions.columns import col
 
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str], keep_first_by: str) -> DataFrame:
-    """One row per key: the one with the smallest ``keep_first_by``.
+    """One row per key: the one with the smallest ``keep_first_by``; a missing one comes last, ties go by a row hash.
 
-    Copies are reduced inside each task before the shuffle, so a key held by a
-    large part of the table arrives as one row per task.
+    Keys are grouped by a 128-bit digest, so long texts are neither sorted nor compared.  Copies are reduced inside
+    each task before the shuffle, so a key held by a large part of the table arrives as one row per task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    kept = F.min_by(F.struct(*[col(c) for c in rest]), col(keep_first_by)).alias("kept")
-    return df.groupBy(*[col(k) for k in keys]).agg(kept).select(*[col(k) for k in keys], "kept.*").select(df.columns)
+    digest = F.md5(F.to_json(F.struct(*[col(k) for k in keys])).cast("binary"))
+    rows = F.struct(*[col(c) for c in df.columns])
+    order = F.struct(col(keep_first_by).isNull(), col(keep_first_by), F.xxhash64(*[col(c) for c in df.columns]))
+    return df.groupBy(digest.alias("__digest")).agg(F.min_by(rows, order).alias("kept")).select("kept.*")

@@ -237,10 +237,12 @@ class FeatureEncoderModel(FittedStage):
 def out_of_fold_target(df: DataFrame, column: str, outcome: Column, fold: str, out: str) -> DataFrame:
     """Target encoding where each row is encoded from the other folds, so its own outcome never leaks in."""
     y = outcome.cast("double")
+    zero = F.lit(0.0)
+    # Every category and fold of the input has a cell, also those without any outcome.
     cells = stage(
-        df.where(outcome.isNotNull())
-        .groupBy(col(column).alias("__c"), col(fold).alias("__f"))
-        .agg(F.count(y).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q")),
+        df.groupBy(col(column).alias("__c"), col(fold).alias("__f")).agg(
+            F.count(y).alias("n"), F.coalesce(F.sum(y), zero).alias("s"), F.coalesce(F.sum(y * y), zero).alias("q")
+        ),
         "cells",
     )
     held = cells.select("__c", "__f", "n", "s", "q")
@@ -255,8 +257,8 @@ def out_of_fold_target(df: DataFrame, column: str, outcome: Column, fold: str, o
         )
     )
     rest = (
-        held.join(totals, "__c")
-        .join(by_fold, F.col("__f") == F.col("__g"))
+        held.join(totals.withColumnRenamed("__c", "__t"), F.col("__c").eqNullSafe(F.col("__t")))
+        .join(by_fold, F.col("__f").eqNullSafe(F.col("__g")))
         .select(
             "__c",
             "__f",
@@ -273,7 +275,7 @@ def out_of_fold_target(df: DataFrame, column: str, outcome: Column, fold: str, o
     value = F.coalesce(smoothed(F.col("n"), mean, variance, F.col("m"), all_variance), F.col("m"))
     table = rest.select("__c", "__f", value.alias("__v"))
     return (
-        df.join(table, (col(column) == F.col("__c")) & (col(fold) == F.col("__f")), "left")
+        df.join(table, col(column).eqNullSafe(F.col("__c")) & col(fold).eqNullSafe(F.col("__f")), "left")
         .withColumn(out, F.col("__v"))
         .drop("__c", "__f", "__v")
     )

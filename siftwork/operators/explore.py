@@ -18,9 +18,9 @@ MAX_RANK_BUCKETS = 5_000
 
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows and share per class, most frequent first."""
-    total = df.count()
     counted = df.groupBy(col(column).alias("class")).agg(F.count(F.lit(1)).alias("rows"))
-    return counted.withColumn("share", F.col("rows") / F.lit(total)).orderBy(F.desc("rows"), "class")
+    # One row per class is left to add up.
+    return counted.withColumn("share", F.col("rows") / F.sum("rows").over(Window.partitionBy())).orderBy(F.desc("rows"), "class")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -53,18 +53,12 @@ def flag_distribution(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 def top_categories_by_class(df: DataFrame, column: str, target: str, classes: Sequence, n: int = 20) -> DataFrame:
     """The ``n`` most frequent categories with their rows per class."""
-    top = (
+    counted = (
         df.where(col(column).isNotNull())
         .groupBy(col(column).alias("category"))
-        .agg(F.count(F.lit(1)).alias("total"))
-        .orderBy(F.desc("total"), "category")
-        .limit(n)
+        .agg(*[F.count_if(col(target) == c).alias(f"n_{c}") for c in classes], F.count(F.lit(1)).alias("total"))
     )
-    per_class = df.groupBy(col(column).alias("category")).agg(
-        *[F.count_if(col(target) == c).alias(f"n_{c}") for c in classes]
-    )
-    # The top list holds n rows.
-    return per_class.join(F.broadcast(top), "category").orderBy(F.desc("total"), "category")
+    return counted.orderBy(F.desc("total"), "category").limit(n)
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], by: str | None = None, whisker: float = TUKEY) -> DataFrame:

@@ -17,11 +17,11 @@ register_pickle_by_value(sys.modules[__name__])
 
 
 def gamma_scale(df: DataFrame, vector: str, width: int) -> float:
-    """1 / (features · variance over all cells), from per-feature sums in one aggregate."""
-    summary = df.select(Summarizer.metrics("count", "mean", "normL2").summary(F.col(vector)).alias("s")).first()["s"]
-    cells = summary["count"] * width
-    mean = float(summary["mean"].toArray().mean())
-    variance = float((summary["normL2"].toArray() ** 2).sum()) / cells - mean * mean
+    """1 / (features · variance over all cells): the features' own variances and the spread of their means."""
+    summary = df.select(Summarizer.metrics("count", "mean", "variance").summary(F.col(vector)).alias("s")).first()["s"]
+    n = summary["count"]
+    within = float(summary["variance"].toArray().mean()) * (n - 1) / n if n > 1 else 0.0
+    variance = within + float(summary["mean"].toArray().var())
     return 1.0 / (width * variance) if variance > 0 else 1.0
 
 

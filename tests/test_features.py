@@ -208,3 +208,37 @@ def test_pca_full_threshold_and_cap(spark, cloud):
         model.transform(cloud.drop("c"))
     flat = plane(model.transform(cloud).withColumn("g", F.lit("b")), "g", ["a", "b"])
     assert {r["class_code"] for r in flat.collect()} == {1}
+
+
+def test_out_of_fold_encoding_reaches_every_row(spark):
+    from siftwork.operators.encode import out_of_fold_target
+
+    rows = [(1, "a", 0, 1.0), (2, "a", 1, 0.0), (3, None, 0, 1.0), (4, None, 1, 1.0), (5, "a", 0, None), (6, "b", 1, None)]
+    df = spark.createDataFrame(rows, "k int, c string, fold int, y double")
+    got = {r.k: r.e for r in out_of_fold_target(df, "c", F.col("y"), "fold", "e").collect()}
+    assert all(v is not None for v in got.values()) and len(got) == 6
+    assert got[5] == got[1] and got[6] == 1.0
+
+
+def test_duplicates_without_an_order_key_keep_their_columns(spark):
+    from siftwork.operators.dedupe import drop_duplicates
+
+    df = spark.createDataFrame([("x", None, 1), ("x", None, 1), ("y", 2, 5), ("y", None, 6), ("y", 1, 7)], "t string, o int, v int")
+    assert sorted(map(tuple, drop_duplicates(df, ["t"], "o").collect())) == [("x", None, 1), ("y", 1, 7)]
+
+
+def test_gamma_of_far_values(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from siftwork.operators.fourier import gamma_scale
+
+    df = spark.createDataFrame([(Vectors.dense([1e9 + a, 1e9 + b]),) for a, b in ((0, 1), (1, 0), (0, 0), (1, 1))], ["v"])
+    assert abs(gamma_scale(df, "v", 2) - 2.0) < 1e-6
+
+
+def test_grid_points_that_mean_the_same(spark):
+    from siftwork.operators.train import effective
+
+    assert effective("knn", {"metric": "minkowski", "n_neighbors": 5}) == effective("knn", {"metric": "euclidean", "n_neighbors": 5})
+    assert effective("knn", {"metric": "manhattan"}) != effective("knn", {"metric": "euclidean"})
+    assert effective("random_forest", {"max_depth": None, "min_samples_split": 5}) == effective("random_forest", {"max_depth": 30})
