@@ -155,7 +155,8 @@ class Classifier(OptionEstimator):
         model = LogisticRegression(
             featuresCol=VECTOR,
             labelCol=LABEL,
-            family="multinomial",
+            # The softmax form of two classes would halve the penalty.
+            family="binomial" if len(classes) == 2 else "multinomial",
             maxIter=params["max_iter"],
             regParam=1.0 / (params["C"] * train.count()),
             elasticNetParam=0.0,

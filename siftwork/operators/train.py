@@ -18,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from siftwork.functions.columns import col, numeric_columns
-from siftwork.operators.classify import NAMES, Classifier, classes_of
+from siftwork.operators.classify import MAX_TREE_DEPTH, NAMES, Classifier, classes_of
 from siftwork.operators.metrics import GAP_LIMIT, classification_report, confusion_counts, confusion_matrix, evaluate
 from siftwork.operators.split import assign_folds
 from siftwork.sources.documents import write_document
@@ -188,12 +188,29 @@ def grid_points(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(names, values)) for values in itertools.product(*[grid[n] for n in names])]
 
 
+def effective(model: str, params: Mapping) -> tuple:
+    """What of a grid point reaches the model; points with the same answer are one fit."""
+    seen = dict(params)
+    if model == "knn" and seen.get("metric") == "minkowski" and seen.get("p", 2) == 2:
+        seen["metric"] = "euclidean"
+    if model == "random_forest":
+        seen.pop("min_samples_split", None)
+        if "max_depth" in seen:
+            seen["max_depth"] = min(seen["max_depth"] or MAX_TREE_DEPTH, MAX_TREE_DEPTH)
+    return tuple(sorted((k, repr(v)) for k, v in seen.items()))
+
+
 def grid_search(
     df: DataFrame, estimator: Classifier, grid: Mapping[str, Sequence], key: str, folds: int = 5, parallelism: int = 2
 ) -> SearchResult:
-    """Mean macro F1 over stratified folds for every grid point; refits the best on all rows."""
+    """Mean macro F1 over stratified folds for every grid point; refits the best on all rows.
+
+    Points that differ only in what the model ignores, or says in two ways, are fitted once and share their score.
+    """
     label = estimator.option("label")
     points = grid_points(grid)
+    kinds = [effective(estimator.option("model"), p) for p in points]
+    fitted = list(dict.fromkeys(kinds))
     features = estimator.option("features")
     held = stage(assign_folds(df, label, key, folds, out="__fold"), "tuning")
     if features is None:
@@ -203,7 +220,7 @@ def grid_search(
         estimator = estimator.copy({estimator.options: json.dumps({**options, "features": features})})
     search = CrossValidator(
         estimator=estimator,
-        estimatorParamMaps=[{estimator.options: estimator.options_json(**p)} for p in points],
+        estimatorParamMaps=[{estimator.options: estimator.options_json(**points[kinds.index(k)])} for k in fitted],
         evaluator=MacroF1(label),
         numFolds=folds,
         foldCol="__fold",
@@ -211,7 +228,8 @@ def grid_search(
         seed=42,
     )
     result = search.fit(held.withColumn("__fold", col("__fold").cast("int")))
-    means = list(result.avgMetrics)
+    scores = dict(zip(fitted, result.avgMetrics))
+    means = [scores[k] for k in kinds]
     best = int(np.argmax(means))
     return SearchResult(
         estimator.option("model"), float(means[best]), points[best], folds, list(zip(points, means)), result.bestModel

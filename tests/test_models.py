@@ -46,16 +46,15 @@ def test_fourier_features_learn_what_lines_cannot(orders):
 
 
 def test_logistic_matches_newton_steps(spark):
-    """Two classes: compare with Newton steps on C·sum(loss) + |w|²/2 in the two-class softmax form."""
+    """Two classes: compare with Newton steps on C·sum(loss) + |w|²/2."""
     draw = np.random.default_rng(3)
     x = draw.normal(size=(300, 2))
     y = (x @ [1.5, -1.0] + draw.logistic(size=300) > 0).astype(float)
     df = spark.createDataFrame([(i, float(a), float(b), "ny"[int(t)]) for i, ((a, b), t) in enumerate(zip(x, y))], "code int, a double, b double, y string")
     model = Classifier("logistic_regression", ["a", "b"], "y", class_weight=None, C=0.1).fit(df)
     got = np.array([r["probability"][1] for r in model.transform(df).orderBy("code").collect()])
-    # Softmax with weights ±v and penalty |v|² equals a logistic in w = 2v with penalty |w|²/4.
     w, ones = np.zeros(3), np.c_[x, np.ones(300)]
-    ridge = np.diag([0.5 / 0.1, 0.5 / 0.1, 0.0])
+    ridge = np.diag([1 / 0.1, 1 / 0.1, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-ones @ w))
         w -= np.linalg.solve(ones.T @ (ones * (p * (1 - p))[:, None]) + ridge, ones.T @ (p - y) + ridge @ w)
