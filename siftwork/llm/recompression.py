@@ -186,12 +186,13 @@ def remove_repeats(df: DataFrame, *, key: str = "doc_id", text: str = "text", le
     docs = W.documents(df, key, text)
     parts = W.partitions_of(docs)
     anchors = word_anchors(length)
-    keys = W.recurring(docs, anchors, True, parts)
-    found = W.contexts(docs, keys, anchors, word_cutter(length))
+    classes = W.text_classes(docs)
+    found = W.contexts(docs, classes, W.recurring(docs, anchors, True, parts), anchors, word_cutter(length))
     spans = W.spans(found, W.judged(found, judge_words(length), parts), F.lit(True))
 
-    def finish(body: str, ranges: list[tuple[int, int]]) -> tuple:
+    def finish(body: str, ranges: list[tuple[int, int]], whole: bool) -> tuple:
         words = find_words(body)
+        ranges = [(0, len(words))] if whole and len(words) >= length else ranges
         edges = [0, *[x for r in ranges for x in r], len(words)]
         kept = [w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]
         joined = " ".join(kept)
@@ -201,5 +202,5 @@ def remove_repeats(df: DataFrame, *, key: str = "doc_id", text: str = "text", le
     schema, names = "n_words long, n_removed long, kept_sha256 string", ["n_words", "n_removed", "kept_sha256"]
     if with_words:
         schema, names = schema + ", kept string, removed array<array<long>>", [*names, "kept", "removed"]
-    out = W.applied(docs, spans, finish, length, schema, names)
+    out = W.applied(docs, classes, spans, F.col("copies") > 1, finish, length, schema, names)
     return out.withColumn("id", F.when(F.col("id") < (1 << 63) - 1, F.col("id"))).withColumnRenamed("id", key)

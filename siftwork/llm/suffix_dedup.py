@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from siftwork.llm import windows as W
 from siftwork.llm.common import U64, mix64
 
-GRAM = 16
+GRAM = 24
 BASE = 0x9E3779B97F4A7C15
 CHUNK = 1 << 20
 
@@ -229,24 +229,25 @@ def answers(frame: pd.DataFrame, flags: np.ndarray, owner: np.ndarray, inside: n
     )
 
 
-def repeated_bytes(df: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 50) -> tuple[DataFrame, DataFrame]:
-    """The documents, and per document the ranges of window starts that an earlier document has too."""
+def repeated_bytes(df: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 50) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents, their classes, and per class the ranges of window starts that an earlier document has too."""
     if length < GRAM:
         raise ValueError(f"strings must have at least {GRAM} bytes")
     docs = W.documents(df, key, text)
     parts = W.partitions_of(docs)
     anchors = byte_anchors(length)
-    keys = W.recurring(docs, anchors, False, parts)
-    found = W.contexts(docs, keys, anchors, byte_cutter(length))
-    return docs, W.spans(found, W.judged(found, judge_bytes(length), parts), F.col("low") < F.col("id"))
+    classes = W.text_classes(docs)
+    found = W.contexts(docs, classes, W.recurring(docs, anchors, False, parts), anchors, byte_cutter(length))
+    return docs, classes, W.spans(found, W.judged(found, judge_bytes(length), parts), F.col("low") < F.col("id"))
 
 
 def remove_repeats(df: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 50, with_bytes: bool = True) -> DataFrame:
     """Per row: key, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and (``with_bytes``) ``kept`` and the ``removed`` ranges."""
-    docs, found = repeated_bytes(df, key=key, text=text, length=length)
+    docs, classes, found = repeated_bytes(df, key=key, text=text, length=length)
 
-    def finish(body: str, ranges: list[tuple[int, int]]) -> tuple:
+    def finish(body: str, ranges: list[tuple[int, int]], whole: bool) -> tuple:
         data = body.encode("utf-8", "surrogatepass")
+        ranges = [(0, len(data))] if whole and len(data) >= length else ranges
         edges = [0, *[x for r in ranges for x in r], len(data)]
         kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
         out = (len(data), len(data) - len(kept), len(ranges), hashlib.sha256(kept).hexdigest())
@@ -255,5 +256,5 @@ def remove_repeats(df: DataFrame, *, key: str = "doc_id", text: str = "text", le
     schema, names = "n_bytes long, n_removed long, n_spans long, kept_sha256 string", ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     if with_bytes:
         schema, names = schema + ", kept binary, removed array<array<long>>", [*names, "kept", "removed"]
-    out = W.applied(docs, found, finish, length, schema, names)
+    out = W.applied(docs, classes, found, F.col("id") > F.col("low"), finish, length, schema, names)
     return out.withColumn("id", F.when(F.col("id") < (1 << 63) - 1, F.col("id"))).withColumnRenamed("id", key)

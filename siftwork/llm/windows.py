@@ -3,27 +3,29 @@
 An operator picks for every window one anchor that depends on the window's content only, so equal windows have equal
 anchor keys at equal places.  The job then runs in steps, and only what recurs moves on:
 
-1. Every document's distinct anchor keys are gathered.  A task first settles what recurs among its own documents: of a
-   key it sends one entry to the key's partition, whatever the number of its documents, and the others, already known to
-   recur, to partitions by document.  So a key that a third of all documents share adds one entry per task.
-2. Documents with recurring keys get them back and give the stretches of text around those anchors, the contexts.
+1. Every text's distinct anchor keys are gathered.  A task first settles what recurs among its own texts: of a key it
+   sends one entry to the key's partition, whatever the number of its texts, and the others, already known to recur, to
+   partitions by text.  So a key that a third of all texts share adds one entry per task.
+2. Texts with recurring keys get them back and give the stretches around those anchors, the contexts.  Documents with
+   equal texts are one class here, for which the one with the smallest id stands; its copies are answered by counting.
 3. Equal contexts are counted and collapsed before they meet; the operator compares the distinct contexts of a key and
    says which of their windows recur.
 4. The answers join the documents again and become spans.
 
-A text travels compressed, and twice at most.
+A text travels compressed, and twice at most.  What a finished step has shuffled is given up before the next.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siftwork.llm.common import U64, mix64, signed, slices, small, text_of
-from siftwork.sources.shared import shared_path
+from siftwork.sources.shared import shared_path, stage
 
 ENTRIES = 1_000_000
 GATHER = 50_000
@@ -32,9 +34,21 @@ Anchors = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def documents(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Id (a null one after all others), a fingerprint of the text, and the text (null: empty)."""
-    last = F.lit((1 << 63) - 1)
-    return df.select(F.coalesce(F.col(f"`{key}`").cast("long"), last).alias("id"), F.xxhash64(text_of(text)).alias("print"), text_of(text).alias("body"))
+    """Id (a null one after all others), two fingerprints of the text, and the text (null: empty)."""
+    number = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit((1 << 63) - 1))
+    body = text_of(text)
+    return df.select(number.alias("id"), F.xxhash64(body).alias("print"), F.unhex(F.md5(body.cast("binary"))).alias("digest"), body.alias("body"))
+
+
+def text_classes(docs: DataFrame) -> DataFrame:
+    """Equal texts: digest, print, smallest id, number of documents."""
+    return stage(docs.groupBy("digest", "print").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies")), "classes")
+
+
+def give_up_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that are no longer held; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -57,12 +71,12 @@ def settled(ids: np.ndarray, keys: np.ndarray, several: np.ndarray) -> tuple[np.
 
 
 def recurring(docs: DataFrame, anchors: Anchors, same_document: bool, partitions: int) -> DataFrame:
-    """(id, keys): per document the anchor keys that other documents have too, or that it has twice (``same_document``)."""
+    """(print, keys): per text the anchor keys that other texts have too, or that it has twice (``same_document``)."""
 
     def entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for frame in slices(frames, "body"):
-            ids = frame["id"].to_numpy(np.int64)
+        for frame in slices(frames, "body", 1_500_000):
+            ids = frame["print"].to_numpy(np.int64)
             owner, key, *_ = anchors(frame["body"].tolist())
             order = np.lexsort((key, owner))
             owner, key = owner[order], key[order]
@@ -81,6 +95,9 @@ def recurring(docs: DataFrame, anchors: Anchors, same_document: bool, partitions
         ids, keys, several = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((ids, keys))
         ids, keys, several = ids[order], keys[order], several[order]
+        new = np.ones(len(keys), bool)  # copies of a text are one
+        new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+        ids, keys, several = ids[new], keys[new], several[new]
         again, first = settled(ids, keys, several)
         # One entry stands for the key; the rest are settled and go wherever there is room.
         room = np.where(first, mix64(keys), mix64(ids.view(np.uint64) + U64(77))) % U64(partitions)
@@ -100,7 +117,7 @@ def recurring(docs: DataFrame, anchors: Anchors, same_document: bool, partitions
                 i, k = unplanes(row.ids), unplanes(row.keys).view(np.uint64)
                 a = np.unpackbits(np.frombuffer(row.again, np.uint8), count=len(i)).astype(bool)
                 f = np.unpackbits(np.frombuffer(row.first, np.uint8), count=len(i)).astype(bool)
-                yield pd.DataFrame({"id": i[~f], "key": signed(k[~f])})
+                yield pd.DataFrame({"print": i[~f], "key": signed(k[~f])})
                 ids.append(i[f]), keys.append(k[f]), again.append(a[f])
         if ids:
             i, k, a = np.concatenate(ids), np.concatenate(keys), np.concatenate(again)
@@ -108,12 +125,16 @@ def recurring(docs: DataFrame, anchors: Anchors, same_document: bool, partitions
             for part in range(16):  # bounds what is sorted at once
                 mine = room == U64(part)
                 order = np.lexsort((i[mine], k[mine]))
-                pi, pk = i[mine][order], k[mine][order]
-                yes, _ = settled(pi, pk, a[mine][order])
-                yield pd.DataFrame({"id": pi[yes], "key": signed(pk[yes])})
+                pi, pk, pa = i[mine][order], k[mine][order], a[mine][order]
+                new = np.ones(len(pk), bool)
+                new[1:] = (pk[1:] != pk[:-1]) | (pi[1:] != pi[:-1])
+                at = np.flatnonzero(new)
+                known = np.logical_or.reduceat(pa, at) if len(at) else pa
+                yes, _ = settled(pi[at], pk[at], known)
+                yield pd.DataFrame({"print": pi[at][yes], "key": signed(pk[at][yes])})
 
-    sent = docs.select("id", "body").mapInPandas(entries, "room int, ids binary, keys binary, again binary, first binary")
-    return sent.repartition(partitions, "room").mapInPandas(answers, "id long, key long").groupBy("id").agg(F.collect_set("key").alias("keys"))
+    sent = docs.select("print", "body").mapInPandas(entries, "room int, ids binary, keys binary, again binary, first binary")
+    return sent.repartition(partitions, "room").mapInPandas(answers, "print long, key long").groupBy("print").agg(F.collect_set("key").alias("keys"))
 
 
 def zipped(docs: DataFrame) -> DataFrame:
@@ -126,7 +147,7 @@ def zipped(docs: DataFrame) -> DataFrame:
         for frame in slices(frames, "body"):
             yield frame.assign(body=[press.compress(x.encode("utf-8", "surrogatepass")) for x in frame["body"]])
 
-    return docs.mapInPandas(pack, "id long, print long, body binary")
+    return docs.mapInPandas(pack, "id long, print long, digest binary, body binary")
 
 
 def unzipped(blobs: pd.Series) -> list[str]:
@@ -136,11 +157,13 @@ def unzipped(blobs: pd.Series) -> list[str]:
     return [opener.decompress(x).decode("utf-8", "surrogatepass") for x in blobs]
 
 
-def contexts(docs: DataFrame, keys: DataFrame, anchors: Anchors, cut: Callable[[list[str]], Callable[[int, int, int], bytes]]) -> DataFrame:
+def contexts(
+    docs: DataFrame, classes: DataFrame, keys: DataFrame, anchors: Anchors, cut: Callable[[list[str]], Callable[[int, int, int], bytes]]
+) -> DataFrame:
     """One row per anchor with a recurring key: key, id, print, first window, place of the anchor in the stretch, the stretch."""
 
     def around(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in small(frames):
+        for frame in small(frames, 400):
             texts = unzipped(frame["body"])
             owner, key, start, stop, place = anchors(texts)
             order = np.argsort(owner, kind="stable")
@@ -166,10 +189,13 @@ def contexts(docs: DataFrame, keys: DataFrame, anchors: Anchors, cut: Callable[[
                 }
             )
 
-    joined = zipped(docs).join(keys, "id").select("id", "print", "body", "keys")
+    wanted = keys.join(classes, "print").select(F.col("low").alias("id"), "digest", "keys")
+    joined = zipped(docs).join(wanted, ["id", "digest"]).select("id", "print", "body", "keys")
     rows = joined.mapInPandas(around, "key long, id long, print long, start int, lead int, body binary")
     spark, path = docs.sparkSession, shared_path(docs.sparkSession, "contexts")
     rows.withColumn("mark", F.xxhash64("body", "lead")).write.option("compression", "zstd").parquet(path)
+    del wanted, joined, rows, keys
+    give_up_shuffles(spark)
     return spark.read.parquet(path)
 
 
@@ -216,18 +242,22 @@ def stretches(windows: np.ndarray, length: int) -> list[tuple[int, int]]:
     return list(zip(begin[at].tolist(), end[np.append(at[1:] - 1, len(end) - 1)].tolist()))
 
 
-def applied(docs: DataFrame, found: DataFrame, finish: Callable[[str, list], tuple], length: int, schema: str, names: list[str]) -> DataFrame:
-    """Every document with its spans, put through ``finish``."""
+def applied(
+    docs: DataFrame, classes: DataFrame, found: DataFrame, copied: Column, finish: Callable[[str, list, bool], tuple], length: int, schema: str, names: list[str]
+) -> DataFrame:
+    """Every document with its spans, put through ``finish``; ``copied`` (from id, low, copies) says that all of it recurs."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small(frames):
             out = []
-            for body, ranges in zip(unzipped(frame["body"]), frame["spans"]):
+            for body, ranges, whole in zip(unzipped(frame["body"]), frame["spans"], frame["whole"]):
                 windows = np.array([(r["a"], r["b"]) for r in ranges] if ranges is not None else [], np.int64).reshape(-1, 2)
-                out.append(finish(body, stretches(windows, length)))
+                out.append(finish(body, stretches(windows, length), whole))
             yield pd.concat([frame[["id"]].reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1)
 
-    return zipped(docs).join(found, ["id", "print"], "left").select("id", "body", "spans").mapInPandas(run, f"id long, {schema}")
+    spanned = classes.join(found.withColumnRenamed("id", "low"), ["low", "print"], "left").select("digest", "low", "copies", "spans")
+    rows = zipped(docs).join(spanned, "digest").select("id", "body", "spans", copied.alias("whole"))
+    return rows.mapInPandas(run, f"id long, {schema}")
 
 
 def partitions_of(docs: DataFrame) -> int:
