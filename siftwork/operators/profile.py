@@ -10,11 +10,44 @@ from siftwork.functions.columns import col, melt_aggregates, numeric_columns, te
 from siftwork.operators.quantiles import exact_quantiles
 
 
+def cell_digest(df: DataFrame, name: str) -> Column:
+    """128 bits that stand for a cell; null for a missing one, one value for both zeros."""
+    kind = dict(df.dtypes)[name]
+    if kind in ("double", "float"):
+        text = F.when(col(name) == 0, F.lit("0")).otherwise(col(name).cast("string"))
+    elif kind.startswith(("array", "struct", "map")):
+        text = F.when(col(name).isNotNull(), F.to_json(F.struct(col(name))))
+    else:
+        text = col(name)
+    return F.unhex(F.md5(text if kind == "binary" else text.cast("string").cast("binary")))
+
+
+def distinct_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Per column (``__column``) its exact number of distinct values.
+
+    Cells are reduced to digests and collapsed inside each task, so neither whole rows nor long texts are copied per
+    column as several exact counts in one aggregate would.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("__column"), cell_digest(df, c).alias("__cell")) for c in names]))
+    values = df.select(cells.alias("c")).select("c.*").where(F.col("__cell").isNotNull()).distinct()
+    return values.groupBy("__column").agg(F.count(F.lit(1)).alias("__distinct"))
+
+
+def with_distinct(profile: DataFrame, df: DataFrame, names: Sequence[str], approximate: bool = False) -> DataFrame:
+    """``profile`` (one row per ``column``) with ``unique_values``."""
+    if approximate:
+        rows = [(F.lit(c).alias("__column"), F.approx_count_distinct(col(c)).alias("__distinct")) for c in names]
+        counts = melt_aggregates(df, rows)
+    else:
+        counts = distinct_counts(df, names)
+    joined = profile.join(counts, F.col("column") == F.col("__column"), "left")
+    return joined.withColumn("unique_values", F.coalesce("__distinct", F.lit(0)).cast("bigint")).drop("__column", "__distinct")
+
+
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Per column: missing count, percentage (2 places), type, distinct values present."""
     names = list(columns) if columns is not None else df.columns
     types = dict(df.dtypes)
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
     rows = [
         (
             F.lit(c).alias("column"),
@@ -26,11 +59,10 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, approxi
                 2,
             ).alias("missing_percentage"),
             F.lit(types[c]).alias("dtype"),
-            distinct(col(c)).alias("unique_values"),
         )
         for c in names
     ]
-    return melt_aggregates(df, rows).orderBy(F.desc("missing_percentage"), "column")
+    return with_distinct(melt_aggregates(df, rows), df, names, approximate).orderBy(F.desc("missing_percentage"), "column")
 
 
 def missing_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -88,13 +120,13 @@ def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) ->
     rows = [
         (
             F.lit(c).alias("column"),
-            F.count_distinct(col(c)).alias("unique_values"),
             (F.count(F.lit(1)) - F.count(col(c))).alias("nulls"),
             F.try_divide((F.count(F.lit(1)) - F.count(col(c))) * F.lit(100.0), F.count(F.lit(1))).alias("null_pct"),
         )
         for c in names
     ]
-    return melt_aggregates(df, rows).orderBy(F.desc("null_pct"), "column")
+    wide = with_distinct(melt_aggregates(df, rows), df, names)
+    return wide.select("column", "unique_values", "nulls", "null_pct").orderBy(F.desc("null_pct"), "column")
 
 
 def distinct_samples(df: DataFrame, column: str, few: int = 10, sample: int = 5) -> DataFrame:
@@ -163,6 +195,8 @@ def wide_text_columns(df: DataFrame, candidates: Sequence[str], limit: int, appr
     names = [c for c in candidates if c in df.columns]
     if not names:
         return []
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    row = df.agg(*[distinct(col(c)).alias(f"n{i}") for i, c in enumerate(names)]).collect()[0]
-    return [c for i, c in enumerate(names) if row[i] > limit]
+    if approximate:
+        found = df.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in names]).first().asDict()
+    else:
+        found = {r["__column"]: r["__distinct"] for r in distinct_counts(df, names).collect()}  # a row per column
+    return [c for c in names if found.get(c, 0) > limit]
