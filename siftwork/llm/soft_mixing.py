@@ -141,8 +141,9 @@ def fit_rates(
         wanted = np.maximum(shares, 1e-12) ** flatten
     else:
         wanted = np.array([float(targets.get(d, 0.0)) for d in domains])
-        if (wanted < 0).any() or not wanted.sum():
-            raise ValueError("targets must be non-negative and name at least one domain")
+        unknown = sorted(d for d, w in targets.items() if w and d not in domains)
+        if unknown or (wanted < 0).any() or not wanted.sum():
+            raise ValueError(f"targets must be non-negative and name labelled domains; not labelled: {unknown}")
     wanted = wanted / wanted.sum()
     moment = np.array([[sums[f"m{min(i, j)}_{max(i, j)}"] for j in range(size)] for i in range(size)]) / total
     # Gaps are measured in the metric in which every domain is as easy to move; the gradient is then at most 1 + ridge steep.

@@ -218,7 +218,7 @@ def mixing_rows(spark):
         d = ("en", "en", "en", "de", "en", "fr")[i % 6]
         rows.append((i, " ".join(rng.choice(vocabulary[d]) for _ in range(rng.randint(5, 60))), d, "c"))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, copies string")
-    return df, df.where("doc_id % 3 = 0").select("doc_id")
+    return df, df.where("doc_id % 5 = 0").select("doc_id")
 
 
 def test_rates_meet_the_targets(spark):
