@@ -53,9 +53,9 @@ class FeatureReducer(OptionEstimator):
         metadata = self.option("metadata")
         names = numeric_columns(df, exclude=metadata)
         if not numeric_columns(df):
-            raise ValueError("No numerical columns found for PCA")
+            raise ValueError("the table has no number column to reduce")
         if not names:
-            raise ValueError("No numerical feature columns found for PCA (all excluded)")
+            raise ValueError("every number column is metadata, nothing is left to reduce")
         # VectorAssembler reads dots in names as nesting, so feed it plain aliases.
         assembler = FeatureVector().with_state(columns=names)
         vectors = assembler.transform(df).select(VECTOR)

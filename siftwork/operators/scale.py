@@ -43,7 +43,7 @@ class FeatureScaler(OptionEstimator):
         method = self.option("method")
         names = numeric_columns(df, exclude=self.option("exclude"))
         if not names:
-            raise ValueError("No numerical features found to scale: all numeric columns are metadata.")
+            raise ValueError("nothing to scale: every number column is metadata")
         logged = set(self.option("log_columns")) if method == "standard" else set()
         values = {c: log1p_floor(col(c)) if c in logged else col(c).cast("double") for c in names}
         aggs = []

@@ -34,7 +34,7 @@ def sample_exact(df: DataFrame, key: Sequence[str] | str, n: int, seed: int = 42
 
 def check_ratios(train: float, val: float, test: float) -> None:
     if not math.isclose(train + val + test, 1.0, rel_tol=0.0, abs_tol=1e-6):
-        raise ValueError(f"Ratios must sum to 1.0, got {train + val + test}")
+        raise ValueError(f"the three shares add up to {train + val + test}, not to 1")
 
 
 def split_quotas(sizes: dict, train: float, val: float, test: float) -> dict:

@@ -57,7 +57,7 @@ class FittedStage(Model, DefaultParamsReadable, DefaultParamsWritable):
     @property
     def values(self) -> dict:
         if not self.isSet("state"):
-            raise ValueError(f"{type(self).__name__} has not been fitted. Call fit() first.")
+            raise ValueError(f"{type(self).__name__} holds no fitted state")
         return json.loads(self.getOrDefault("state"))
 
     def tables(self) -> dict[str, str]:

@@ -60,7 +60,7 @@ class TrainedModel:
 
     def _ready(self) -> PipelineModel:
         if self.fitted is None:
-            raise ValueError(f"{self.name} has not been trained yet. Call train() first.")
+            raise ValueError(f"train {self.name} before using it")
         return self.fitted
 
     def train(self, train: DataFrame, val: DataFrame | None = None, folds: int = 5, key: str | None = None) -> dict:

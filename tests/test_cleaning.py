@@ -56,7 +56,7 @@ def test_fitted_parameters_do_not_follow_new_rows(spark, tmp_path):
 
 
 def test_unfitted_and_missing_target(spark):
-    with pytest.raises(ValueError, match="not been fitted"):
+    with pytest.raises(ValueError, match="no fitted state"):
         MissingValueModel().transform(spark.range(1))
     with pytest.raises(ValueError, match="target"):
         MissingValueHandler("y").fit(spark.range(1))

@@ -92,9 +92,9 @@ def test_record_save_and_load(spark, orders, logistic, tmp_path):
 
 
 def test_untrained_and_unknown(spark):
-    with pytest.raises(ValueError, match="has not been trained"):
+    with pytest.raises(ValueError, match="before using it"):
         TrainedModel(Classifier("svm")).predict(spark.range(1))
-    with pytest.raises(ValueError, match="has not been trained"):
+    with pytest.raises(ValueError, match="before using it"):
         TrainedModel(Classifier("svm")).save("/tmp/never", spark)
     with pytest.raises(ValueError, match="unknown model"):
         Classifier("perceptron")

@@ -72,7 +72,7 @@ def test_all_in_one_split(rows):
 
 
 def test_bad_ratios_and_target(rows):
-    with pytest.raises(ValueError, match="sum to 1.0"):
+    with pytest.raises(ValueError, match="add up to"):
         assign_split(rows, "y", "code", 0.5, 0.2, 0.2)
     with pytest.raises(ValueError, match="target"):
         assign_split(rows, "z", "code")
