@@ -57,7 +57,8 @@ def packed(df: DataFrame, key: str, vector: str) -> DataFrame:
                     blobs.append(None)
                     continue
                 v = np.trim_zeros(v, "b") + 0.0
-                single = v.astype("<f4")
+                with np.errstate(over="ignore"):
+                    single = v.astype("<f4")
                 exact = np.array_equal(single, v)
                 blobs.append(b"4" + single.tobytes() if exact else b"8" + v.astype("<f8").tobytes())
             yield pd.DataFrame({"id": frame["id"], "blob": blobs})

@@ -215,8 +215,8 @@ def answers(frame: pd.DataFrame, flags: np.ndarray, owner: np.ndarray, inside: n
     cut = np.flatnonzero(np.diff(own)) + 1
     some = own[np.append(0, cut)] if len(own) else own
 
-    def lists(x: np.ndarray) -> list[np.ndarray]:
-        return np.split(x, cut) if len(own) else []
+    def lists(x: np.ndarray) -> pd.Series:
+        return pd.Series(np.split(x, cut) if len(own) else [], dtype=object)
 
     return pd.DataFrame(
         {

@@ -250,7 +250,7 @@ def brute_vectors(rows, threshold=0.95):
     for i, (key, v) in enumerate(rows):
         v = np.array([np.nan if x is None else x for x in v], float) if v is not None else np.empty(0)
         if len(v) and np.isfinite(v).all() and v.any():
-            good[i] = v
+            good[i] = v / np.abs(v).max()
     size = max(map(len, good.values()), default=0)
     good = {i: np.append(v, np.zeros(size - len(v))) for i, v in good.items()}
     links = [(i, j) for i in good for j in good if j < i and good[i] @ good[j] / np.sqrt((good[i] @ good[i]) * (good[j] @ good[j])) >= threshold]
