@@ -18,6 +18,7 @@ A text travels compressed, and twice at most.  What a finished step has shuffled
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ from siftwork.sources.shared import shared_path, stage
 
 ENTRIES = 1_000_000
 GATHER = 50_000
+SHORT = (1 << 40) - 1  # two texts that share a key are taken for one with a probability of 1e-12
 # Per batch of texts: number of the text, anchor key, first window, last window + 1, place of the anchor.
 Anchors = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
@@ -46,9 +48,14 @@ def text_classes(docs: DataFrame) -> DataFrame:
 
 
 def give_up_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that are no longer held; it does so when the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete the shuffle files of plans that are no longer held; it does so when the driver collects garbage.
+
+    The first collection frees what Python held, the second what hung on that.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -71,12 +78,12 @@ def settled(ids: np.ndarray, keys: np.ndarray, several: np.ndarray) -> tuple[np.
 
 
 def recurring(docs: DataFrame, anchors: Anchors, same_document: bool, partitions: int) -> DataFrame:
-    """(print, keys): per text the anchor keys that other texts have too, or that it has twice (``same_document``)."""
+    """(print, keys): per text (the last 40 bits of its print) the anchor keys that other texts have too, or that it has twice (``same_document``)."""
 
     def entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for frame in slices(frames, "body", 1_500_000):
-            ids = frame["print"].to_numpy(np.int64)
+            ids = frame["print"].to_numpy(np.int64) & SHORT
             owner, key, *_ = anchors(frame["body"].tolist())
             order = np.lexsort((key, owner))
             owner, key = owner[order], key[order]
@@ -189,7 +196,8 @@ def contexts(
                 }
             )
 
-    wanted = keys.join(classes, "print").select(F.col("low").alias("id"), "digest", "keys")
+    short = classes.select(F.col("print").bitwiseAND(SHORT).alias("print"), F.col("low").alias("id"), "digest")
+    wanted = keys.join(short, "print").select("id", "digest", "keys")
     joined = zipped(docs).join(wanted, ["id", "digest"]).select("id", "print", "body", "keys")
     rows = joined.mapInPandas(around, "key long, id long, print long, start int, lead int, body binary")
     spark, path = docs.sparkSession, shared_path(docs.sparkSession, "contexts")
@@ -227,7 +235,11 @@ def spans(found: DataFrame, answers: DataFrame, wanted: Column) -> DataFrame:
     ranges = F.explode(F.arrays_zip("froms", "tos", "lows")).alias("r")
     rows = found.select("key", "mark", "id", "print", "start").join(answers, ["key", "mark"]).select("id", "print", "start", ranges)
     rows = rows.select("id", "print", "start", "r.froms", "r.tos", F.col("r.lows").alias("low")).where(wanted)
-    return rows.groupBy("id", "print").agg(F.collect_set(F.struct((F.col("start") + F.col("froms")).alias("a"), (F.col("start") + F.col("tos")).alias("b"))).alias("spans"))
+    window = F.struct((F.col("start") + F.col("froms")).alias("a"), (F.col("start") + F.col("tos")).alias("b"))
+    out = stage(rows.groupBy("id", "print").agg(F.collect_set(window).alias("spans")), "spans")
+    del rows, answers, found
+    give_up_shuffles(out.sparkSession)
+    return out
 
 
 def stretches(windows: np.ndarray, length: int) -> list[tuple[int, int]]:
