@@ -148,6 +148,14 @@ def word_cutter(length: int):
     return prepare
 
 
+def word_windows(length: int) -> Callable[[bytes], list[bytes]]:
+    def cut(body: bytes) -> list[bytes]:
+        words = body.split(b" ")
+        return [b" ".join(words[i : i + length]) for i in range(len(words) - length + 1)]
+
+    return cut
+
+
 def judge_words(length: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
         lists = [x.decode("utf-8", "surrogatepass").split(" ") for x in frame["body"]]
@@ -188,7 +196,7 @@ def remove_repeats(df: DataFrame, *, key: str = "doc_id", text: str = "text", le
     anchors = word_anchors(length)
     classes = W.text_classes(docs)
     found = W.contexts(docs, classes, W.recurring(docs, anchors, True, parts), anchors, word_cutter(length))
-    spans = W.spans(found, W.judged(found, judge_words(length), parts), F.lit(True))
+    spans = W.spans(found, W.judged(found, judge_words(length), word_windows(length), parts), F.lit(True))
 
     def finish(body: str, ranges: list[tuple[int, int]], whole: bool) -> tuple:
         words = find_words(body)

@@ -100,6 +100,10 @@ def byte_cutter(length: int):
     return prepare
 
 
+def byte_windows(length: int) -> Callable[[bytes], list[bytes]]:
+    return lambda body: [body[i : i + length] for i in range(len(body) - length + 1)]
+
+
 class SuffixOrder:
     """Merge sort of suffixes within groups, comparing by hashes."""
 
@@ -238,7 +242,7 @@ def repeated_bytes(df: DataFrame, *, key: str = "doc_id", text: str = "text", le
     anchors = byte_anchors(length)
     classes = W.text_classes(docs)
     found = W.contexts(docs, classes, W.recurring(docs, anchors, False, parts), anchors, byte_cutter(length))
-    return docs, classes, W.spans(found, W.judged(found, judge_bytes(length), parts), F.col("low") < F.col("id"))
+    return docs, classes, W.spans(found, W.judged(found, judge_bytes(length), byte_windows(length), parts), F.col("low") < F.col("id"))
 
 
 def remove_repeats(df: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 50, with_bytes: bool = True) -> DataFrame:

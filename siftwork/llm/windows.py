@@ -9,7 +9,8 @@ anchor keys at equal places.  The job then runs in steps, and only what recurs m
 2. Texts with recurring keys get them back and give the stretches around those anchors, the contexts.  Documents with
    equal texts are one class here, for which the one with the smallest id stands; its copies are answered by counting.
 3. Equal contexts are counted and collapsed before they meet; the operator compares the distinct contexts of a key and
-   says which of their windows recur.
+   says which of their windows recur.  A key with very many distinct contexts is split: its windows are counted by their
+   content, on as many tasks as there are.
 4. The answers join the documents again and become spans.
 
 A text travels compressed, and twice at most.  What a finished step has shuffled is given up before the next.
@@ -30,6 +31,7 @@ from siftwork.sources.shared import shared_path, stage
 
 ENTRIES = 1_000_000
 GATHER = 50_000
+HOT = 2_000  # distinct contexts from which a key is split by window
 SHORT = (1 << 40) - 1  # two texts that share a key are taken for one with a probability of 1e-12
 # Per batch of texts: number of the text, anchor key, first window, last window + 1, place of the anchor.
 Anchors = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
@@ -207,12 +209,26 @@ def contexts(
     return spark.read.parquet(path)
 
 
-def judged(found: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], partitions: int) -> DataFrame:
+def hot_keys(found: DataFrame) -> DataFrame:
+    """Keys with more than about ``HOT`` distinct contexts, by a sample of the marks.
+
+    Only the way to a key's answers depends on it, not the answers.  There are at most rows / ``HOT`` such keys.
+    """
+    every = max(1, HOT // 250)
+    some = found.where(F.pmod(F.col("mark"), F.lit(every)) == 0).select("key", "mark").distinct()
+    return stage(some.groupBy("key").count().where(F.col("count") * every > HOT).select("key"), "hot")
+
+
+def distinct_contexts(found: DataFrame) -> DataFrame:
+    return found.groupBy("key", "mark", "lead", "body").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("times"))
+
+
+def judged(found: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], windows: Callable[[bytes], list[bytes]], partitions: int) -> DataFrame:
     """Distinct contexts to ``judge`` (key, mark, lead, body, first id, number), whole keys at a time; returns its answers.
 
-    Answers: key, mark, froms, tos (windows of the context), lows (smallest id that has those windows).
+    Answers: key, mark, froms, tos (windows of the context), lows (smallest id that has those windows).  Hot keys are
+    judged by the contents of their ``windows`` instead.
     """
-    distinct = found.groupBy("key", "mark", "lead", "body").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("times"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -226,8 +242,50 @@ def judged(found: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], part
         if held is not None and len(held):
             yield judge(held.reset_index(drop=True))
 
-    ordered = distinct.repartition(partitions, "key").sortWithinPartitions("key")
-    return ordered.mapInPandas(run, "key long, mark long, froms array<int>, tos array<int>, lows array<long>")
+    hot = hot_keys(found)
+    split = not hot.isEmpty()
+    cold = found.join(F.broadcast(hot), "key", "left_anti") if split else found
+    ordered = distinct_contexts(cold).repartition(partitions, "key").sortWithinPartitions("key")
+    out = ordered.mapInPandas(run, "key long, mark long, froms array<int>, tos array<int>, lows array<long>")
+    return out.unionByName(judged_by_window(found.join(F.broadcast(hot), "key", "left_semi"), windows)) if split else out
+
+
+def judged_by_window(found: DataFrame, windows: Callable[[bytes], list[bytes]]) -> DataFrame:
+    """The same answers, from counts per key, place of the anchor in the window, and content; no task holds a key."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in small(frames):
+            pieces = [windows(x) for x in frame["body"]]
+            owner = np.repeat(np.arange(len(pieces)), [len(x) for x in pieces])
+            inside = np.concatenate([np.arange(len(x), dtype=np.int32) for x in pieces])
+            rows = frame[["key", "mark", "low", "times"]].iloc[owner].reset_index(drop=True)
+            place = frame["lead"].to_numpy(np.int32)[owner] - inside
+            yield rows.assign(inside=inside, place=place, window=[w for x in pieces for w in x])
+
+    distinct = stage(distinct_contexts(found), "hot-contexts")
+    cells = distinct.mapInPandas(cut, "key long, mark long, low long, times long, inside int, place int, window binary")
+    same = ["key", "place", "window"]
+    sums = cells.groupBy(*same).agg(F.min("low").alias("low"), F.sum("times").alias("times"), F.count(F.lit(1)).alias("n"))
+    again = stage(sums.where("times > 1").select(*same, "low", "n"), "hot-windows")
+    # What is inside a passage is shared by most contexts of its key: such windows, at most rows / GATHER, go to all tasks.
+    common, rare = F.broadcast(again.where(F.col("n") > GATHER).drop("n")), again.where(F.col("n") <= GATHER).drop("n")
+    mine = cells.drop("low", "times")
+    hits = mine.join(common, same).unionByName(mine.join(common, same, "left_anti").join(rare, same))
+    runs = hits.groupBy("key", "mark").agg(F.sort_array(F.collect_list(F.struct("inside", "low"))).alias("hits"))
+
+    def apart(x: Column, y: Column) -> Column:
+        return F.coalesce((x["inside"] + 1 != y["inside"]) | (x["low"] != y["low"]), F.lit(True))
+
+    h = F.col("hits")
+    first = F.filter(h, lambda x, i: (i == 0) | apart(F.get(h, i - 1), x))
+    last = F.filter(h, lambda x, i: apart(x, F.get(h, i + 1)))
+    return runs.select(
+        "key",
+        "mark",
+        F.transform(first, lambda x: x["inside"]).alias("froms"),
+        F.transform(last, lambda x: x["inside"] + 1).alias("tos"),
+        F.transform(first, lambda x: x["low"]).alias("lows"),
+    )
 
 
 def spans(found: DataFrame, answers: DataFrame, wanted: Column) -> DataFrame:

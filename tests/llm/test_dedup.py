@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftwork.llm import bag_minhash, epsilon_grid, recompression, suffix_dedup
+from siftwork.llm import bag_minhash, epsilon_grid, recompression, suffix_dedup, windows
 from siftwork.llm.components import connected
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -234,6 +234,45 @@ def test_repeated_words_of_odd_rows(spark, monkeypatch):
     assert recompression.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def few_of_a_key(kind, most):
+    """``kind``, refusing frames with more than ``most`` contexts of one key."""
+
+    def made(length):
+        judge = kind(length)
+
+        def run(frame):
+            assert frame["key"].value_counts().max() <= most
+            return judge(frame)
+
+        return run
+
+    return made
+
+
+@pytest.mark.parametrize("gather", [50_000, 7])
+def test_a_passage_in_differing_surroundings_is_split_by_window(spark, monkeypatch, gather):
+    """At the edges of a shared passage one key has a context of its own per document; no task may hold them all."""
+    monkeypatch.setattr(windows, "HOT", 8, raising=False)
+    monkeypatch.setattr(windows, "GATHER", gather)
+    monkeypatch.setattr(suffix_dedup, "judge_bytes", few_of_a_key(suffix_dedup.judge_bytes, 8))
+    monkeypatch.setattr(recompression, "judge_words", few_of_a_key(recompression.judge_words, 8))
+    rng = random.Random(9)
+
+    def some(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+    passage, tails = some(45), [some(30) for _ in range(4)]
+    texts = [" ".join([some(40), passage, rng.choice(tails), some(40)]) for _ in range(60)] + ["", None, passage, some(50)]
+    rows = [(i * 3, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(df).collect()}
+    for (key, _), e in zip(rows, brute_bytes([(k, (t or "").encode()) for k, t in rows])):
+        assert (got[key].n_bytes, got[key].n_removed, got[key].n_spans, got[key].kept_sha256) == e, key
+    got = {r.doc_id: r for r in recompression.remove_repeats(df).collect()}
+    for (key, _), e in zip(rows, brute_words(texts)):
+        assert (got[key].n_words, got[key].n_removed, got[key].kept_sha256) == e, key
+
+
 def test_interior_symbols_depend_on_the_window_alone():
     rng = np.random.default_rng(6)
     window = recompression.mix64(rng.integers(0, 6, 35).astype(np.uint64))
