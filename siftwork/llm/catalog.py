@@ -40,7 +40,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_quality_outliers")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_outliers.judge(table(spark, sf_dir, "documents"))
+    return quality_outliers.judge(table(spark, sf_dir, "documents"), steps=30)
 
 
 @query("op4_suffix_dedup")

@@ -3,7 +3,7 @@
 Each document gets a vector of transformed statistics: word length, marks per word, repeated lines, repeated words, size.
 For every language and source a minimum-covariance-determinant estimate is found by concentration steps, run for all
 groups at once: distances from the present centre, the nearest ``share`` of each group, their mean and covariance, and so
-on until the determinants settle.  Two starts are run side by side and the one with the smaller determinant is taken.
+on until determinants and centres settle or ``steps`` are done.  Two starts are run side by side and the one with the smaller determinant is taken.
 The covariance is then scaled so that the median distance fits the chi-square law, and a document is rejected where its
 squared Mahalanobis distance exceeds the law's ``confidence`` quantile.
 
@@ -37,6 +37,7 @@ STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 FLOORS = {"v0": 0.10, "v1": 0.12, "v2": 0.12, "v3": 0.08, "v4": 1.5}
 SIZE = len(FLOORS)
 BINS_PER_UNIT = 64
+SETTLED = 1e-9  # change of a log determinant or of a centre
 POOLS_SENT = 20_000  # rows of about 400 bytes
 
 
@@ -187,7 +188,11 @@ def per_pool(small: DataFrame, rows: int) -> DataFrame:
 
 
 def estimates(vectors: DataFrame, pool_count: int, *, share: float = 0.75, steps: int = 5) -> DataFrame:
-    """Robust estimates per ``pool``: mean, triangle, logdet, and ``scale`` for squared distances."""
+    """Robust estimates per ``pool``: mean, triangle, logdet, and ``scale`` for squared distances.
+
+    A step that changes no determinant and no centre (where all spreads are the least ones, determinants stand still
+    before the centres do) is the last one; ``steps`` bounds their number.
+    """
 
     def sent(small: DataFrame) -> DataFrame:
         return per_pool(small, pool_count)
@@ -212,7 +217,11 @@ def estimates(vectors: DataFrame, pool_count: int, *, share: float = 0.75, steps
     for _ in range(steps):
         placed = both.join(sent(present), ["pool", "start"]).withColumn("bin", _bin(_distance()))
         nearest = placed.join(sent(_bin_at(placed, share)), ["pool", "start"]).where("bin <= edge")
-        present = stage(_with_inverse(nearest.groupBy("pool", "start").agg(*_moments())), "mcd")
+        before, present = present, stage(_with_inverse(nearest.groupBy("pool", "start").agg(*_moments())), "mcd")
+        old = before.select("pool", "start", F.col("logdet").alias("old"), F.col("mean").alias("centre"))
+        moved = F.exists(F.zip_with("mean", "centre", lambda x, y: F.abs(x - y)), lambda x: x > SETTLED)
+        if present.join(old, ["pool", "start"]).where(moved | (F.abs(F.col("logdet") - F.col("old")) > SETTLED)).isEmpty():
+            break
     best = present.groupBy("pool").agg(F.min(F.struct("logdet", "start", "mean", "triangle")).alias("b")).select("pool", "b.*")
     placed = vectors.join(sent(best), "pool").withColumn("bin", _bin(_distance()))
     median = F.exp((F.col("edge") + 1.0) / BINS_PER_UNIT) - 1.0
@@ -242,7 +251,7 @@ def judge(
     least_rows: int = 100,
     share: float = 0.75,
     steps: int = 5,
-    confidence: float = 1 - 1e-12,
+    confidence: float = 0.999,
 ) -> DataFrame:
     """Per document: counts, ``base_failed``, ``distance2`` (null without an estimate), and ``kept``.
 

@@ -51,6 +51,23 @@ def test_outliers_are_rejected_and_clean_rows_kept(spark):
         assert r.base_failed is False and r.kept == (not r.junk)
 
 
+def test_moderate_junk_is_rejected(spark):
+    """A symbol on every second word; 40 % repeated short lines."""
+    rng = random.Random(15)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    rows = []
+    for i in range(400):
+        lines = [[rng.choice(words) for _ in range(3)] for _ in range(40)]
+        if i % 40 == 0:
+            lines = [[w + "$" * ((j + n) % 2) for n, w in enumerate(x)] for j, x in enumerate(lines)]
+        if i % 40 == 1:
+            lines = [["read", "more", "here"] if n % 5 in (0, 2) else x for n, x in enumerate(lines)]
+        rows.append((i, "\n".join(map(" ".join, lines)), "en", "s"))
+    got = quality_outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == {i for i in range(400) if i % 40 in (0, 1)}
+
+
 def numpy_mcd(x, share=0.75, steps=5):
     """The same estimate on one group, in plain NumPy."""
     size, floor = x.shape[1], np.array(list(quality_outliers.FLOORS.values()))
