@@ -123,10 +123,25 @@ def _dot(vector: np.ndarray) -> Column:
     return reduce(Column.__add__, [F.col("posterior")[k] * float(v) for k, v in enumerate(vector)])
 
 
+def _likeliest() -> Column:
+    """Place of the likeliest domain, from 1."""
+    return F.array_position("posterior", F.array_max("posterior")).cast("int")
+
+
+def _wanted(domains: list[str], targets: dict[str, float] | None) -> Column:
+    """Whether the likeliest domain has a positive target."""
+    if targets is None:
+        return F.lit(True)
+    return _likeliest().isin([k for k, d in enumerate(domains, 1) if targets.get(d, 0.0) > 0])
+
+
 def fit_rates(
-    rows: DataFrame, domains: list[str], targets: dict[str, float] | None, *, flatten: float = 0.7, ridge: float = 1e-6, steps: int = 30, restage: int = 10
+    rows: DataFrame, domains: list[str], targets: dict[str, float] | None, *, flatten: float = 0.7, ridge: float = 1e-6, steps: int = 30, restage: int = 10, bounded: bool = False
 ) -> tuple[DataFrame, dict[str, float], dict[str, float]]:
-    """``rows`` with ``rate``; the targets, and the expected shares that the rates give."""
+    """``rows`` with ``rate``; the targets, and the expected shares that the rates give.
+
+    ``bounded``: no rate falls below what the most reduced domain needs, but for documents of domains with target 0.
+    """
     size = len(domains)
     sums = rows.agg(
         F.sum(F.col("n_words").cast("double")).alias("n"),
@@ -149,10 +164,13 @@ def fit_rates(
     # Gaps are measured in the metric in which every domain is as easy to move; the gradient is then at most 1 + ridge steep.
     metric = np.linalg.pinv(moment, rcond=1e-9, hermitian=True)
     step = 1.0 / (1.0 + ridge)
+    least = F.lit(0.0)
+    if bounded:
+        least = F.when(_wanted(domains, targets), float(min(w / s for w, s in zip(wanted, shares) if w > 0 and s > 0))).otherwise(0.0)
     present, rate, got = rows.withColumn("rate", F.lit(1.0)), F.col("rate"), shares
     for turn in range(1, steps + 1):
         gap = metric @ (got - wanted)
-        rate = F.greatest(F.lit(0.0), rate * (1 - step * ridge) + (step * ridge) - _dot(step * gap))
+        rate = F.greatest(least, rate * (1 - step * ridge) + (step * ridge) - _dot(step * gap))
         if turn % restage == 0:
             # Ten steps make one expression; then the rates are written, so that it stays short.
             present, rate = stage(present.withColumn("rate", rate), "rates"), F.col("rate")
@@ -177,20 +195,29 @@ def mix(
 ) -> DataFrame:
     """Per row: key, ``n_words``, ``domain`` (the likeliest), ``posterior``, ``rate``, ``copies``.
 
-    Copies follow the rates, scaled so that the smallest positive rate gives one copy, or less if the largest would give
-    more than ``most_copies``.  Whole copies are certain; the rest of a rate is decided by a hash of id and text.
+    Copies follow the rates, scaled so that the smallest rate gives one copy.  If the largest would then give more than
+    ``most_copies``, the rates are fitted again with a bound from below, so that a few documents that lie between domains
+    don't multiply all others; the copies then follow from the targets alone.  Every document has a copy at least, but for
+    those of domains with target 0.  Whole copies are certain; the rest of a rate is decided by a hash of id and text.
     """
     model = fit_domains(df, labels, key=key, text=text, domain=domain)
     rows = stage(memberships(df, model, key, text), "memberships")
-    rated, _, _ = fit_rates(rows, model.domains, targets, flatten=flatten)
-    rated = stage(rated, "rated")
-    low, high = rated.where("rate > 0 AND n_words > 0").agg(F.min("rate"), F.max("rate")).first()
-    scale = min(1.0 / low, most_copies / high) if low else 1.0
-    wanted = F.round(F.col("rate") * scale, 9)
+    serves = _wanted(model.domains, targets)
+
+    def rated_by(bounded: bool) -> tuple[DataFrame, float | None, float | None]:
+        out = stage(fit_rates(rows, model.domains, targets, flatten=flatten, bounded=bounded)[0], "rated")
+        return out, *out.where("n_words > 0").where(serves).agg(F.min("rate"), F.max("rate")).first()
+
+    rated, low, high = rated_by(False)
+    if low is not None and high > most_copies * low:
+        rated, low, _ = rated_by(True)
+    wanted = F.round(F.col("rate") * (1.0 / low if low else 1.0), 9)
     chance = F.pmod(F.xxhash64(F.lit("mix"), "id", "print"), F.lit(1 << 30)) / float(1 << 30)
     copies = (F.floor(wanted) + F.when(chance < wanted - F.floor(wanted), 1).otherwise(0)).cast("int")
+    # Texts without words weigh nothing, whatever their rates.
+    copies = F.when(serves, F.greatest(copies, F.lit(1))).otherwise(copies)
     names = F.array(*map(F.lit, model.domains))
-    likeliest = F.element_at(names, F.array_position("posterior", F.array_max("posterior")).cast("int"))
+    likeliest = F.element_at(names, _likeliest())
     return rated.select(F.col("id").alias(key), "n_words", likeliest.alias("domain"), "posterior", "rate", copies.alias("copies"), "print")
 
 

@@ -263,6 +263,36 @@ def test_rates_are_the_least_squares_solution(spark):
         soft_mixing.fit_rates(rows, model.domains, {"xx": 1.0})
 
 
+@pytest.mark.parametrize("targets", [None, {"en": 0.3, "de": 0.7}])
+def test_no_document_of_a_very_common_language_is_dropped(spark, monkeypatch, targets):
+    rng = random.Random(16)
+    vocabulary = {d: [d + "".join(rng.choice("abcdef") for _ in range(4)) for _ in range(100)] for d in ("en", "de")}
+    rows = [(i, " ".join(rng.choice(vocabulary[d]) for _ in range(n)), d) for i, (d, n) in enumerate([("en", 120)] * 2500 + [("de", 10)] * 8)]
+    df = spark.createDataFrame([*rows, (4000, None, "en")], "doc_id long, text string, lang string")
+    # A model that knows the words: a trained one is too unsure of eight documents.
+    weights = np.zeros((soft_mixing.BUCKETS, 2))
+    for k, d in enumerate(("de", "en")):
+        np.add.at(weights[:, k], (soft_mixing.word_hashes(vocabulary[d]) % np.uint64(soft_mixing.BUCKETS)).astype(int), 25.0)
+    monkeypatch.setattr(soft_mixing, "fit_domains", lambda *_, **__: soft_mixing.DomainModel(["de", "en"], weights, np.zeros(2)))
+    got = soft_mixing.mix(df, df.select("doc_id"), targets=targets).toPandas()
+    assert len(got) == 2509 and (got.copies >= 1).all()
+
+    def shares(times):
+        weight = (times * got.n_words).to_numpy()[:, None] * np.stack(got.posterior.to_numpy())
+        return weight.sum(axis=0) / weight.sum()
+
+    present = shares(1 + 0 * got.rate)
+    assert present[1] / present[0] > 1024
+    wanted = np.array([targets["de"], targets["en"]]) if targets else present**0.7 / (present**0.7).sum()
+    assert np.allclose(shares(got.rate), wanted, rtol=0.05) and np.allclose(shares(got.copies), wanted, rtol=0.2)
+
+
+def test_documents_of_an_unwanted_language_go(spark):
+    df, labels = mixing_rows(spark)
+    got = soft_mixing.mix(df, labels, targets={"en": 0.9, "de": 0.1}).toPandas()
+    assert (got.copies[got.domain != "fr"] >= 1).all() and (got.copies[got.domain == "fr"] == 0).mean() > 0.9
+
+
 def test_mixing_of_odd_rows(spark):
     df, labels = mixing_rows(spark)
     odd = spark.createDataFrame([(None, "enabcd", None, "c"), (601, None, "en", "c"), (601, None, "en", "c"), (602, "", "de", None)], df.schema)
