@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.llm import bag_minhash, curve_packing, epsilon_grid, nnpu_toxicity, prefix_tokens, quality_outliers, recompression, soft_mixing, suffix_dedup, template_lines
+from siftwork.llm import bag_minhash, conversation_repair, curve_packing, epsilon_grid, nnpu_toxicity, prefix_tokens, quality_outliers, recompression, setm_phrases, soft_mixing, suffix_dedup, template_lines, unigram_language
 from siftwork.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return nnpu_toxicity.score(documents, nnpu_toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
+@query("op11_setm_phrases", setm_phrases.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setm_phrases.phrases(table(spark, sf_dir, "documents"))
+
+
+@query("op12_unigram_language")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return unigram_language.identify(documents, unigram_language.fit(documents))
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
