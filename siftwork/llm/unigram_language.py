@@ -41,17 +41,52 @@ MEMORY = 400_000
 CHUNK = 20_000
 
 
-@dataclass(frozen=True)
 class Vocabulary:
-    """Numbers of the pieces that words can hold; number 0 is the unknown character, ``heads`` all their beginnings."""
-
-    pieces: dict[str, int]
-    heads: frozenset[str]
+    """Numbers of the pieces that words can hold, number 0 being the unknown character, and the same as a tree in arrays.
+
+    The child of a node by a character's class is the slot ``base[node] + class``, if ``parent`` has the node there;
+    ``piece`` is the number of the piece that ends at a slot, or -1.  So many words go down the tree in one step.
+    """
+
+    def __init__(self, pieces: dict[str, int]):
+        self.pieces = pieces
+        self.classes = np.zeros(0x110000, np.int32)
+        letters = sorted({c for p in pieces for c in p})
+        self.classes[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        children: dict[str, list[str]] = {}
+        for head in sorted({p[:n] for p in pieces for n in range(1, len(p) + 1)}):
+            children.setdefault(head[:-1], []).append(head)
+        slots = 2 * sum(map(len, children.values())) + 2 * len(letters) + 2
+        self.base, self.parent, self.piece = np.zeros(slots, np.int32), np.full(slots, -1, np.int32), np.full(slots, -1, np.int32)
+        free = np.ones(slots, bool)
+        free[0] = False
+        slot, places = {"": 0}, {}
+        room = slots - len(letters) - 1
+        # Nodes with many children first, each at the first displacement at which all its slots are free.
+        for node in sorted(children, key=lambda h: (-len(children[h]), h)):
+            own = self.classes[[ord(h[-1]) for h in children[node]]]
+            fits = free[own[0] : own[0] + room].copy()
+            for c in own[1:]:
+                fits &= free[c : c + room]
+            start = int(np.argmax(fits))
+            free[start + own] = False
+            slot.update(zip(children[node], (start + own).tolist()))
+            places[node] = start
+        for node, heads in children.items():
+            self.base[slot[node]] = places[node]
+            for head in heads:
+                self.parent[slot[head]] = slot[node]
+                self.piece[slot[head]] = pieces.get(head, -1)
 
     @property
     def size(self) -> int:
         return len(self.pieces) + 1
 
+    def spelt(self, words: list[str]) -> np.ndarray:
+        """Classes of the characters of marked words of one length."""
+        marked = np.array([BEGIN + w for w in words])
+        return self.classes[marked.view(np.uint32).reshape(len(words), -1)]
+
 
 @lru_cache(maxsize=2)
 def vocabulary(name: str) -> Vocabulary:
@@ -69,38 +104,46 @@ def vocabulary(name: str) -> Vocabulary:
         body = piece.removeprefix(BEGIN)
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)) and (not body or RUN.fullmatch(body)) and body == body.lower():
             found.setdefault(piece, len(found) + 1)
-    return Vocabulary(found, frozenset(p[:n] for p in found for n in range(1, len(p) + 1)))
+    return Vocabulary(found)
+
+
+def runs_of(text: str | None) -> Counter:
+    """The runs of letters and numerals of a text, in lower case."""
+    return Counter(RUN.findall(text.lower())) if text else Counter()
+
+
+def is_word(run: str) -> bool:
+    """Runs of numerals alone aren't words."""
+    return run.isascii() or any(map(str.isalpha, run))
 
 
 def words_of(text: str | None) -> Counter:
-    """The runs of letters of a text, in lower case; runs of numerals alone aren't words."""
-    found = Counter(RUN.findall(text.lower())) if text else Counter()
-    return Counter({w: n for w, n in found.items() if w.isascii() or any(map(str.isalpha, w))})
-
-
-def lattice(words: list[str], vocab: Vocabulary) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """All pieces that fit words of one length: per end place, from near to far starts: (end, start, word, piece)."""
-    edges: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-    pieces, heads = vocab.pieces, vocab.heads
-    for number, word in enumerate(words):
-        marked = BEGIN + word
-        n = len(marked)
-        for start in range(n):
-            single = marked[start]
-            if single not in pieces:
-                own = edges.setdefault((start + 1, start), ([], []))
-                own[0].append(number)
-                own[1].append(0)
-            for end in range(start + 1, n + 1):
-                part = marked[start:end]
-                if part not in heads:
-                    break
-                piece = pieces.get(part)
-                if piece is not None:
-                    own = edges.setdefault((end, start), ([], []))
-                    own[0].append(number)
-                    own[1].append(piece)
-    return [(end, start, np.array(w), np.array(p)) for (end, start), (w, p) in sorted(edges.items())]
+    return Counter({w: n for w, n in runs_of(text).items() if is_word(w)})
+
+
+def lattice(words: list[str], vocab: Vocabulary) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """All pieces that fit words of one length: (end, start, words, pieces), by end and start."""
+    spelt = vocab.spelt(words)
+    span = spelt.shape[1]
+    out = []
+    for start in range(span):
+        at, node = np.arange(len(words)), np.zeros(len(words), np.int32)
+        for end in range(start + 1, span + 1):
+            slot = vocab.base[node] + spelt[at, end - 1]
+            held = vocab.parent[slot] == node
+            lost, at, node = at[~held], at[held], slot[held]
+            piece = vocab.piece[node]
+            known = piece >= 0
+            if end == start + 1:
+                # A character that isn't a piece is the unknown one.
+                strange = np.concatenate([lost, at[~known]])
+                if len(strange):
+                    out.append((end, start, strange, np.zeros(len(strange), np.int32)))
+            if not len(at):
+                break
+            if known.any():
+                out.append((end, start, at[known], piece[known]))
+    return sorted(out, key=lambda e: e[:2])
 
 
 def forward(edges: list, words: int, length: int, weights: np.ndarray) -> np.ndarray:
@@ -125,13 +168,14 @@ def long_word(word: str, vocab: Vocabulary, weights: np.ndarray) -> np.ndarray:
             ahead[k] = ahead[k] / here
         if marked[start] not in vocab.pieces:
             ahead[start + 1] = ahead.get(start + 1, 0) + weights[0]
+        node = 0
         for end in range(start + 1, len(marked) + 1):
-            part = marked[start:end]
-            if part not in vocab.heads:
+            slot = int(vocab.base[node] + vocab.classes[ord(marked[end - 1])])
+            if vocab.parent[slot] != node:
                 break
-            piece = vocab.pieces.get(part)
-            if piece is not None:
-                ahead[end] = ahead.get(end, 0) + weights[piece]
+            node = slot
+            if vocab.piece[node] >= 0:
+                ahead[end] = ahead.get(end, 0) + weights[vocab.piece[node]]
     return logs + np.log(ahead[len(marked)])
 
 
@@ -172,7 +216,8 @@ def expectations(words: list[str], times: np.ndarray, vocab: Vocabulary, weights
             for end, start, w, p in sorted(edges, key=lambda e: (-e[1], -e[0])):
                 beta[start, w] += beta[end, w] * weights[p]
             for end, start, w, p in edges:
-                np.add.at(out, p, np.rint(alpha[start, w] * weights[p] * beta[end, w] * UNIT).astype(np.int64))
+                uses = np.rint(alpha[start, w] * weights[p] * beta[end, w] * UNIT).astype(np.int64)
+                np.add.at(out, p, uses)
     return out
 
 
@@ -184,30 +229,49 @@ class Model:
     weights: np.ndarray
     vocab: str
 
-    def judge(self, texts: list[str | None], memory: dict[str, np.ndarray]) -> tuple[list[str], list[float]]:
+    def judge(self, texts: list[str | None], memory: Memory) -> tuple[list[str], list[float]]:
         """Best language and its posterior per text; ``memory`` keeps words met before."""
-        counted = [words_of(t) for t in texts]
-        new = list({w: None for c in counted for w in c if w not in memory})
-        if len(memory) + len(new) > MEMORY:
-            memory.clear()
-            new = list({w: None for c in counted for w in c})
-        if new and self.languages:
-            memory.update(zip(new, log_likelihoods(new, vocabulary(self.vocab), self.weights)))
-        names, scores = [], []
-        for c in counted:
-            if not c or not self.languages:
-                names.append("und")
-                scores.append(0.0)
-                continue
-            # In the order of the words, so that sums don't depend on what else a task has read.
-            kept = sorted(c)
-            total = np.array([c[w] for w in kept], np.float64) @ np.array([memory[w] for w in kept])
-            best = int(np.argmax(total))
-            names.append(self.languages[best])
-            scores.append(min(1.0, 1.0 / float(np.exp(total - total[best]).sum())))
+        names, scores = ["und"] * len(texts), [0.0] * len(texts)
+        if not self.languages:
+            return names, scores
+        counted = [runs_of(t) for t in texts]
+        memory.learn(counted, lambda words: log_likelihoods(words, vocabulary(self.vocab), self.weights))
+        for i, found in enumerate(counted):
+            # In the order of the text, so that sums don't depend on what else a task has read.
+            at = np.fromiter(map(memory.places.__getitem__, found), np.int64, count=len(found))
+            times = np.fromiter(found.values(), np.float64, count=len(found))[at > 0]
+            if len(times):
+                total = (memory.logs[at[at > 0]] * times[:, None]).sum(axis=0)
+                best = int(np.argmax(total))
+                names[i] = self.languages[best]
+                scores[i] = min(1.0, 1.0 / float(np.exp(total - total[best]).sum()))
         return names, scores
 
 
+class Memory:
+    """Log probabilities of words met before; place 0 is for runs that aren't words."""
+
+    def __init__(self, languages: int):
+        self.places: dict[str, int] = {}
+        self.logs, self.size = np.zeros((1, languages)), 1
+
+    def learn(self, counted: list[Counter], judge) -> None:
+        if self.size > MEMORY:
+            self.places.clear()
+            self.size = 1
+        new = list(dict.fromkeys(w for found in counted for w in found if w not in self.places))
+        words = [w for w in new if is_word(w)]
+        self.places.update(dict.fromkeys(new, 0))
+        if not words:
+            return
+        self.places.update(zip(words, range(self.size, self.size + len(words))))
+        need = self.size + len(words)
+        if need > len(self.logs):
+            self.logs = np.concatenate([self.logs, np.zeros((max(need, 2 * len(self.logs)) - len(self.logs), self.logs.shape[1]))])
+        self.logs[self.size : need] = judge(words)
+        self.size = need
+
+
 def fold_of(key: str):
     """crc32 of the id as text, by the number of folds; row held out where it is 0."""
     return F.crc32(F.col(f"`{key}`").cast("string").cast("binary")) % FOLDS
@@ -285,7 +349,7 @@ def identify(df: DataFrame, model: Model, *, key: str = "doc_id", text: str = "t
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory: dict[str, np.ndarray] = {}
+        memory = Memory(len(sent.value.languages))
         for frame in slices(frames, "body"):
             names, scores = sent.value.judge(frame["body"].tolist(), memory)
             yield pd.DataFrame({"id": frame["id"], "lang_pred": names, "score": scores})
