@@ -22,20 +22,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftwork.llm.common import slices, text_of
+from siftwork.llm.windows import give_up_shuffles
 from siftwork.sources.shared import stage
 
-BLOCK = 4_000_000  # positions
+BLOCK = 1_500_000  # positions
 # Everything that ends a piece becomes a line feed, a tab a blank.
 EVEN = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 GAP, NOTHING = 0, 1
-# One row per group (at is null), and one with the occurrences (code is null).
-LEVEL_1 = "block long, lang string, code int, word string, times long, at binary, codes binary"
-LEVEL_N = "block long, code int, a long, b long, times long, at binary, codes binary"
+NONE = np.empty(0, np.int64)
+# One row per group (at is null), and one with the occurrences (place is null).
+LEVEL_1 = "block long, lang string, place long, word string, times long, at binary, codes binary"
+LEVEL_N = "block long, place long, a long, b long, times long, at binary, codes binary"
+# A group of a block is named by both numbers in one; blocks by partition and order.
+CODES, BLOCKS = 29, 14
 
 
 def pressed(values: np.ndarray) -> bytes:
@@ -81,7 +86,7 @@ class Block:
                 {
                     "block": block,
                     "lang": lang,
-                    "code": pd.array(some, "Int32"),
+                    "place": pd.array([(block << CODES) + i for i in some], "Int64"),
                     "word": [words[i].decode("utf-8", "replace") for i in some],
                     "times": pd.array(times[some.start : some.stop], "Int64"),
                     "at": None,
@@ -89,7 +94,7 @@ class Block:
                 }
             )
         yield pd.DataFrame(
-            {"block": [block], "lang": lang, "code": pd.array([None], "Int32"), "word": None, "times": pd.array([None], "Int64"), "at": [pressed(np.diff(at, prepend=0))], "codes": [pressed(codes)]}
+            {"block": [block], "lang": lang, "place": pd.array([None], "Int64"), "word": None, "times": pd.array([None], "Int64"), "at": [pressed(np.diff(at, prepend=0))], "codes": [pressed(codes)]}
         )
 
 
@@ -97,7 +102,7 @@ def words_of(df: DataFrame, text: str, lang: str) -> DataFrame:
     """Level 1: the occurrences of all words, and per block its distinct words."""
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base, made = TaskContext.get().partitionId() << 32, 0
+        base, made = TaskContext.get().partitionId() << BLOCKS, 0
         open_blocks: dict[str, Block] = {}
         for frame in slices(frames, "body"):
             for name, bodies in frame.groupby("lang")["body"]:
@@ -115,58 +120,68 @@ def words_of(df: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def frequent(level: DataFrame, names: list[str], least: int, name: str) -> DataFrame:
-    """The groups of a level that are frequent, with an id of their own."""
-    counted = level.where("code IS NOT NULL").groupBy(*names).agg(F.sum("times").alias("f")).where(F.col("f") >= least)
-    return stage(counted.withColumn("id", F.monotonically_increasing_id()), name)
+    """The frequent groups of every block: place and id; the group's names and number stand where both are the same.
 
+    A group's id is the smallest of its places.  Its rows meet once, one per block, to be summed and to be judged.
+    """
+    groups = Window.partitionBy(*names)
+    counted = level.where("place IS NOT NULL").select("place", *names, "times")
+    counted = counted.withColumn("f", F.sum("times").over(groups)).withColumn("id", F.min("place").over(groups)).where(F.col("f") >= least)
+    once = [F.when(F.col("place") == F.col("id"), F.col(n)).alias(n) for n in [*names, "f"]]
+    out = stage(counted.select("place", "id", *once), name)
+    give_up_shuffles(out.sparkSession)
+    return out
+
+
+def groups_table(block: pa.Scalar, a: np.ndarray, b: np.ndarray, times: np.ndarray) -> pa.Table:
+    """One row per distinct group of a block."""
+    n = len(times)
+    wide, blob = pa.int64(), pa.nulls(n, pa.binary())
+    block = block.as_py()
+    columns = [pa.array(np.full(n, block), wide), pa.array((block << CODES) + np.arange(n), wide), pa.array(a, wide), pa.array(b, wide), pa.array(times, wide), blob, blob]
+    return pa.table(columns, names=[x.split()[0] for x in LEVEL_N.split(", ")])
 
-def extended(level: DataFrame, found: DataFrame, names: list[str], last: bool) -> DataFrame:
+
+def extended(level: DataFrame, found: DataFrame, last: bool) -> DataFrame:
     """The next level: occurrences of frequent groups, merge-joined with those at the next position."""
 
-    def merge(key: tuple, occurrences: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"block": [], "code": [], "a": [], "b": [], "times": [], "at": [], "codes": []})
+    def merge(key: tuple, occurrences: pa.Table, kept: pa.Table) -> pa.Table:
         if not len(occurrences) or not len(kept):
-            return out
-        at, codes = np.cumsum(unpressed(occurrences["at"].iloc[0])), unpressed(occurrences["codes"].iloc[0])
-        ids = np.full(max(int(codes.max(initial=0)), int(kept["code"].max())) + 1, -1, np.int64)
-        ids[kept["code"].to_numpy()] = kept["id"].to_numpy()
+            return groups_table(key[0], NONE, NONE, NONE)
+        at, codes = np.cumsum(unpressed(occurrences["at"][0].as_py())), unpressed(occurrences["codes"][0].as_py())
+        frequent_codes = kept["place"].to_numpy() & ((1 << CODES) - 1)
+        ids = np.full(max(int(codes.max(initial=0)), int(frequent_codes.max())) + 1, -1, np.int64)
+        ids[frequent_codes] = kept["id"].to_numpy()
         ids = ids[codes]
         at, ids = at[ids >= 0], ids[ids >= 0]
         # Both sides are sorted by position, and a position holds one group: the partner is the next row or missing.
         join = np.flatnonzero(at[1:] == at[:-1] + 1)
-        if not len(join):
-            return out
         known, flat = np.unique(ids, return_inverse=True)
-        pair, number, times = np.unique(flat[join].astype(np.int64) * len(known) + flat[join + 1], return_inverse=True, return_counts=True)
-        groups = pd.DataFrame(
-            {"block": key[0], "code": pd.array(np.arange(len(pair)), "Int32"), "a": pd.array(known[pair // len(known)], "Int64"), "b": pd.array(known[pair % len(known)], "Int64"), "times": pd.array(times, "Int64"), "at": None, "codes": None}
-        )
-        if last:
+        pair, number, times = np.unique(flat[join] * len(known) + flat[join + 1], return_inverse=True, return_counts=True)
+        groups = groups_table(key[0], known[pair // max(1, len(known))], known[pair % max(1, len(known))], times)
+        if last or not len(join):
             return groups
-        blank = pd.array([None], "Int64")
-        where = pd.DataFrame({"block": [key[0]], "code": pd.array([None], "Int32"), "a": blank, "b": blank, "times": blank, "at": [pressed(np.diff(at[join], prepend=0))], "codes": [pressed(number)]})
-        return pd.concat([groups, where], ignore_index=True)
+        where = {"block": [key[0]], "place": [None], "a": [None], "b": [None], "times": [None], "at": [pressed(np.diff(at[join], prepend=0))], "codes": [pressed(number)]}
+        return pa.concat_tables([groups, pa.table(where, schema=groups.schema)])
 
-    kept = level.where("code IS NOT NULL").select("block", "code", *names).join(found.select("id", *names), names)
-    kept = kept.select(F.col("block").alias("owner"), "code", "id")
-    places = level.where("code IS NULL").select("block", "at", "codes")
-    return places.groupBy("block").cogroup(kept.groupBy("owner")).applyInPandas(merge, LEVEL_N)
+    kept = found.select(F.shiftright("place", CODES).alias("owner"), "place", "id")
+    places = level.where("place IS NULL").select("block", "at", "codes")
+    return places.groupBy("block").cogroup(kept.groupBy("owner")).applyInArrow(merge, LEVEL_N)
 
 
 def mined(df: DataFrame, text: str, lang: str, least: int, most_words: int) -> tuple[DataFrame, list[DataFrame]]:
     """Word totals per language, and per length the frequent phrases with the counts of all their beginnings and ends."""
     level = stage(words_of(df, text, lang), "occurrences-1")
-    totals = level.where("code IS NOT NULL").groupBy("lang").agg(F.sum("times").alias("n"))
-    names = ["lang", "word"]
-    found = frequent(level, names, least, "groups-1")
+    totals = level.where("place IS NOT NULL").groupBy("lang").agg(F.sum("times").alias("n"))
+    found = frequent(level, ["lang", "word"], least, "groups-1")
     none = F.array().cast("array<long>")
-    phrases = [found.select("id", "lang", F.col("word").alias("phrase"), "f", none.alias("heads"), none.alias("tails"))]
+    first = found.where("place = id").select("id", "lang", F.col("word").alias("phrase"), "f", none.alias("heads"), none.alias("tails"))
+    phrases = [first]
     for k in range(2, most_words + 1):
-        level = stage(extended(level, found, names, k == most_words), f"occurrences-{k}")
-        names = ["a", "b"]
-        found = frequent(level, names, least, f"groups-{k}")
+        level = stage(extended(level, found, k == most_words), f"occurrences-{k}")
+        found = frequent(level, ["a", "b"], least, f"groups-{k}")
         x, y = phrases[-1].alias("x"), phrases[-1].alias("y")
-        joined = found.alias("g").join(x, F.col("g.a") == F.col("x.id")).join(y, F.col("g.b") == F.col("y.id"))
+        joined = found.where("place = id").alias("g").join(x, F.col("g.a") == F.col("x.id")).join(y, F.col("g.b") == F.col("y.id"))
         phrase = F.concat("x.phrase", F.lit(" "), F.substring_index("y.phrase", " ", -1))
         heads, tails = F.array_append("x.heads", F.col("x.f")), F.array_append("y.tails", F.col("y.f"))
         named = joined.select("g.id", "g.a", "g.b", "x.lang", phrase.alias("phrase"), "g.f", heads.alias("heads"), tails.alias("tails"))
