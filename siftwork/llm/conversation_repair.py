@@ -349,12 +349,17 @@ def edits_of(paths: DataFrame) -> DataFrame:
     """One row per edit: place of the row it stands at, order there, letter, and the role it gives, if any."""
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+
+        def frame_of() -> pd.DataFrame:
+            return pd.DataFrame(out, columns=["place", "order", "letter", "given"])
+
         for frame in frames:
             for first, end, letters in zip(frame["first"], frame["end"], frame["letters"]):
                 # Users and assistants take turns up to the state at the end, whatever comes before them.
                 stays = sum(x != "D" for x in letters)
                 rows = sum(x != "I" for x in letters)
-                out, read = [], 0
+                read = 0
                 for order, letter in enumerate(letters):
                     given = None
                     if letter != "D":
@@ -364,8 +369,11 @@ def edits_of(paths: DataFrame) -> DataFrame:
                     # A run has a row at least; what is inserted after its last row stands there.
                     out.append((int(first) + min(read, rows - 1), order, letter, given))
                     read += letter != "I"
-                for k in range(0, len(out), 100_000):
-                    yield pd.DataFrame(out[k : k + 100_000], columns=["place", "order", "letter", "given"])
+                    if len(out) >= 50_000:
+                        yield frame_of()
+                        out.clear()
+        if out:
+            yield frame_of()
 
     return paths.select("first", "end", "letters").mapInPandas(walk, "place long, order long, letter string, given string")
 
@@ -414,7 +422,7 @@ def digests(turns: DataFrame) -> DataFrame:
 def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For rows (conv, turn, role, text): a report per conversation, and the repaired turns."""
     ordered = sorted_rows(rows)
-    paths = stage(paths_of(runs_of(ordered)), "conversation-paths")
+    paths = stage(paths_of(stage(runs_of(ordered), "conversation-runs")), "conversation-paths")
     report = paths.where("audit IS NOT NULL").select("conv", *[x.split()[0] for x in REPORT.split(", ")])
     return report, repaired(ordered, paths)
 
