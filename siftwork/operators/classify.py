@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     OneVsRest,
@@ -22,15 +21,17 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from siftwork.functions import presets
 from siftwork.functions.columns import col, numeric_columns
+from siftwork.operators.boosting import SoftmaxBooster
 from siftwork.operators.encode import LabelCoder
 from siftwork.operators.fourier import FourierFeatures
 from siftwork.operators.metrics import balanced_weights
 from siftwork.operators.neighbours import KNNClassifier
 from siftwork.operators.reduce import VECTOR, FeatureVector
 from siftwork.operators.state import FittedStage, OptionEstimator
-from siftwork.sources.shared import shared_dir, stage
+from siftwork.sources.shared import stage
 
-LABEL, WEIGHT, RAW, KNN_INPUT = "__label", "__weight", "rawPrediction", "__array"
+LABEL, WEIGHT, RAW = "__label", "__weight", "rawPrediction"
+KNN_INPUT = BOOST_INPUT = "__array"
 MAX_TREE_DEPTH = 30
 
 # Default hyperparameters per model.
@@ -52,6 +53,9 @@ DEFAULTS = {
         "learning_rate": 0.1,
         "subsample": 0.8,
         "colsample_bytree": 0.8,
+        "reg_alpha": 0.1,
+        "reg_lambda": 1.0,
+        "min_child_weight": 1,
     },
 }
 
@@ -180,21 +184,9 @@ class Classifier(OptionEstimator):
         return [model.fit(weighted)]
 
     def _fit_xgboost(self, train, params, classes) -> list:
-        # Boosting grows a lineage per round; Spark cuts it by checkpoints when it knows where to put them.
-        context = train.sparkSession.sparkContext
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(shared_dir(train.sparkSession))
-        booster = GBTClassifier(
-            maxIter=params["n_estimators"],
-            maxDepth=params["max_depth"],
-            stepSize=params["learning_rate"],
-            subsamplingRate=params["subsample"],
-            featureSubsetStrategy=str(float(params["colsample_bytree"])),
-            seed=self.option("seed"),
-        )
-        rest = OneVsRest(classifier=booster, featuresCol=VECTOR, labelCol=LABEL)
-        # A boosted margin F means probability 1 / (1 + exp(-2F)).
-        return [rest.fit(train), MarginProbability().with_state(slopes=[2.0] * len(classes), offsets=[0.0] * len(classes))]
+        booster = SoftmaxBooster(BOOST_INPUT, LABEL, len(classes), key=self.option("key"), seed=self.option("seed"), **params)
+        arrays = VectorArray().with_state(input=VECTOR, output=BOOST_INPUT)
+        return [arrays, booster.fit(arrays.transform(train))]
 
     def _fit_svm(self, train, params, classes) -> list:
         if params["kernel"] != "rbf":
