@@ -9,15 +9,17 @@ most shingles cost one random number.
 
 Documents with the same words are one class.  Classes that agree in a band of the signature meet in a bucket.  First all
 members of a bucket are compared with its leader, the one that meets most others.  When the links found have joined the
-bucket into components, only pairs across components remain.  Of these, pairs go on that three exact bounds allow to be
-similar enough: distances to the leader that differ by no more than the pair may (the triangle inequality), sizes, and
-a common element in the prefixes of both, in an order that puts first what the leader lacks.  So a pair that meets in a
-bucket is left out only if it can't be linked or already is in one component.  Links are decided by the exact overlap of
-the word shingles.  With 32 bands of 4, a pair at the threshold of 0.8 is missed with a probability of 5e-8.
+bucket into components, only pairs across components remain.  Members of such buckets are put into blocks of bounded
+size, by their largest bucket and by size class (linked texts are in the same class or in neighbouring ones), and pairs
+of blocks that meet in a bucket are compared within a task, all texts of one with all of the other by one product of
+matrices; a pair of blocks gives a spanning forest of its links, never the pairs.  Pairs of blocks are left out if exact
+bounds say that they hold no link (sizes, and distances to the bucket's leader, which differ by no more than the pair
+may) or if all their members in the bucket are in one component.  Links are decided by the exact overlap of the word
+shingles.  With 32 bands of 4, a pair at the threshold of 0.8 is missed with a probability of 5e-8.
 
 Texts of one to four words have a single shingle, all their words.  Texts without words (and null ones) form one class
 of their own.  Rows with equal ids are judged each by its own text; a null id counts after all others, and a group without
-any id has a null one.  All rows that share the smallest id of a group stay.  An empty table gives an empty result.
+any id has a null one.  ``one_of_each`` keeps exactly one row of a group, whatever its rows share.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 COMPONENTS = BANDS * ROWS
 STEP = U64(0x9E3779B97F4A7C15)
+BLOCK, BLOCK_CHARS = 256, 4_000_000  # texts and characters that a block holds, about
+COLUMNS = 8192
 
 
 def shingles(lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,26 +144,41 @@ def sketched(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInPandas(sketch, f"id {df.schema[key].dataType.simpleString()}, node binary, bands array<long>")
 
 
-def prefix(bag: tuple[np.ndarray, np.ndarray], leader: tuple[np.ndarray, np.ndarray], threshold: float) -> np.ndarray:
-    """The first elements of a multiset, in the order: what the leader lacks, then the rest, each by hash.
-
-    Two multisets of the threshold's similarity share an element among their first ``size - ceil(threshold * size) + 1``,
-    whatever the order, if it is the same for both.  This order puts first what tells copies of the leader apart.
-    """
-    value, count = bag
-    at = np.searchsorted(leader[0], value)
-    at[at == len(leader[0])] = 0
-    held = np.where(leader[0][at] == value, leader[1][at], 0) if len(leader[0]) else np.zeros(len(value), np.int64)
-    size = int(count.sum())
-    most = size - math.ceil(threshold * size - 1e-9) + 1
-    item = np.repeat(np.arange(len(value)), count)
-    turn = np.arange(size) - np.repeat(np.cumsum(count) - count, count)
-    name = mix64(value[item] + turn.astype(np.uint64) * STEP)
-    return name[np.lexsort((name, turn < held[item]))][:most]
+def overlaps(x: list[tuple[np.ndarray, np.ndarray]], y: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Sizes of the multiset intersections of all of ``x`` with all of ``y``."""
+
+    def items(bags: list) -> tuple[np.ndarray, np.ndarray]:
+        """Every element as often as it occurs, each time under another name: (bag, name)."""
+        owner = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
+        value, count = (np.concatenate([b[k] for b in bags]) if bags else np.empty(0, np.int64) for k in (0, 1))
+        item = np.repeat(np.arange(len(value)), count)
+        turn = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+        return owner[item], mix64(value[item].astype(np.uint64) + turn.astype(np.uint64) * STEP)
+
+    (own_x, name_x), (own_y, name_y) = items(x), items(y)
+    common = np.intersect1d(name_x, name_y)
+    out = np.zeros((len(x), len(y)), np.float64)
+    sides = []
+    for own, name in ((own_x, name_x), (own_y, name_y)):
+        at = np.searchsorted(common, name)
+        at[at == len(common)] = 0
+        held = common[at] == name if len(common) else np.zeros(len(name), bool)
+        order = np.argsort(at[held], kind="stable")
+        sides.append((own[held][order], at[held][order]))
+    for low in range(0, len(common), COLUMNS):
+        width = min(COLUMNS, len(common) - low)
+        dense = []
+        for (own, at), n in zip(sides, (len(x), len(y))):
+            a, b = np.searchsorted(at, (low, low + width))
+            matrix = np.zeros((n, width), np.float32)
+            matrix[own[a:b], at[a:b] - low] = 1.0
+            dense.append(matrix)
+        out += dense[0] @ dense[1].T
+    return out
 
 
 def compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """For the pairs (a, b): exact weighted Jaccard similarity, and size and prefix of b with a as the leader."""
+    """For the pairs (a, b): exact weighted Jaccard similarity, and the size of b."""
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "text_b", 2_000_000):
@@ -172,15 +191,106 @@ def compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             yield frame[["a", "b"]].assign(
                 same=[overlap(x, y) for x, y in both],
                 size=[int(y[1].sum()) for _, y in both],
-                prefix=[signed(prefix(y, x, threshold)) for x, y in both],
             )
 
     joined = pairs.join(texts.select(F.col("node").alias("b"), F.col("body").alias("text_b")), "b")
     joined = joined.join(texts.select(F.col("node").alias("a"), F.col("body").alias("text_a")), "a")
-    schema = "a binary, b binary, same double, size long, prefix array<long>"
+    schema = "a binary, b binary, same double, size long"
     return joined.select("a", "b", "text_a", "text_b").mapInPandas(compare, schema)
 
 
+def blocks_compared(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the remaining members (bucket, node, root, rest, same, size) of buckets, as forests.
+
+    ``rest`` says that the member is outside its bucket's main component, ``same`` is its similarity to the leader.
+    """
+    # Blocks: by the largest bucket that a member is in, its size class, and as many parts as that needs.
+    sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    homes = left.join(sizes, "bucket").groupBy("node").agg(
+        F.max(F.struct("n", "bucket"))["bucket"].alias("home"), F.first("size").alias("size"), F.first("root").alias("root")
+    )
+    homes = homes.withColumn("step", F.floor(F.log("size") / -np.log(threshold) + 1e-9).cast("int"))
+    homes = homes.join(texts.select("node", F.char_length("body").alias("chars")), "node")
+    loads = homes.groupBy("home", "step").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("chars") / BLOCK_CHARS)).alias("parts")
+    )
+    block = F.xxhash64("home", "step", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block")
+    homes = stage(homes.join(loads, ["home", "step"]).select("node", "root", "step", block), "blocks")
+
+    # Pairs of blocks that meet in a bucket and may hold a link.
+    met = left.join(homes.select("node", "block", "step"), "node").groupBy("bucket", "block", "step").agg(
+        F.max("rest").alias("rest"), F.min("same").alias("low"), F.max("same").alias("high"), F.min("root").alias("r0"), F.max("root").alias("r1")
+    )
+    met = stage(met, "blocks-met")
+    x, y = met.alias("x"), met.alias("y")
+    apart = 1 - threshold + 1e-9
+    near = (F.col("x.low") - F.col("y.high") <= apart) & (F.col("y.low") - F.col("x.high") <= apart)
+    one = (F.col("x.r0") == F.col("x.r1")) & (F.col("y.r0") == F.col("y.r1")) & (F.col("x.r0") == F.col("y.r0"))
+    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.block") <= F.col("y.block")) & (F.abs(F.col("x.step") - F.col("y.step")) <= 1))
+    pairs = pairs.where((F.col("x.rest") | F.col("y.rest")) & near & ~one).select(F.col("x.block").alias("p"), F.col("y.block").alias("q")).distinct()
+    sides = F.when(F.col("p") == F.col("q"), F.array("p")).otherwise(F.array("p", "q"))
+    wanted = pairs.select("p", "q", F.explode(sides).alias("block")).join(homes, "block").join(texts, "node")
+    wanted = wanted.select("p", "q", (F.col("block") == F.col("p")).alias("first"), "node", "root", "body")
+
+    def forest(nodes: list, roots: list, first: np.ndarray, bags: list, alone: bool) -> list[tuple]:
+        xs = np.flatnonzero(first)
+        ys = xs if alone else np.flatnonzero(~first)
+        both = overlaps([bags[i] for i in xs], [bags[i] for i in ys])
+        total = np.array([b[1].sum() for b in bags], np.float64)
+        i, j = np.nonzero(both >= threshold * (total[xs][:, None] + total[ys][None, :] - both) - 1e-9)
+        up: dict = {}
+
+        def top(k):
+            while up.get(k, k) != k:
+                k = up[k]
+            return k
+
+        out = []
+        for a, b in zip(xs[i].tolist(), ys[j].tolist()):
+            s, t = top(roots[a]), top(roots[b])
+            if s != t:
+                up[max(s, t)] = min(s, t)
+                out.append((nodes[a], nodes[b]))
+        return out
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(frames, ["p", "q"], "body", 4_000_000):
+            owner, value, count = shingles([find_words(t) for t in frame["body"]])
+            cut = np.searchsorted(owner, np.arange(len(frame) + 1))
+            bags = [(value[s:e], count[s:e]) for s, e in zip(cut, cut[1:])]
+            p, q, first = (frame[c].to_numpy() for c in ("p", "q", "first"))
+            edge = np.flatnonzero((p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1
+            nodes, roots = frame["node"].tolist(), frame["root"].tolist()
+            out = []
+            for s, e in zip([0, *edge.tolist()], [*edge.tolist(), len(frame)]):
+                out += forest(nodes[s:e], roots[s:e], first[s:e].astype(bool), bags[s:e], p[s] == q[s])
+            yield pd.DataFrame(out, columns=["a", "b"])
+
+    ordered = wanted.repartition("p", "q").sortWithinPartitions("p", "q")
+    return ordered.mapInPandas(compare, "a binary, b binary").distinct()
+
+
+def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str], column: str, characters: int) -> Iterator[pd.DataFrame]:
+    """Sorted rows in frames of about ``characters`` of text that never split a group."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for frame in frames:
+        if not len(frame):
+            continue
+        same = (frame[keys].to_numpy()[1:] == frame[keys].to_numpy()[:-1]).all(axis=1)
+        cuts = (np.flatnonzero(~same) + 1).tolist()
+        for s, e in zip([0, *cuts], [*cuts, len(frame)]):
+            part = frame.iloc[s:e]
+            new = bool(held) and (held[-1][keys].iloc[-1] != part[keys].iloc[0]).any()
+            if new and size >= characters:
+                yield pd.concat(held, ignore_index=True)
+                held, size = [], 0
+            held.append(part)
+            size += int(part[column].str.len().sum())
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def classes_and_groups(df: DataFrame, key: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Rows (id, node, bands) and, per node, ``class_id`` and ``group_id``."""
     rows = stage(sketched(df, key, text), "sketches")
@@ -205,25 +315,16 @@ def classes_and_groups(df: DataFrame, key: str, text: str, threshold: float) ->
     parts = placed.groupBy("bucket", "root").count().groupBy("bucket").agg(
         F.max(F.struct("count", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts")
     )
-    facts = tested.select("a", F.col("b").alias("node"), "same", "size", "prefix")
+    facts = tested.select("a", F.col("b").alias("node"), "same", "size")
     split = placed.join(parts.where("parts > 1"), "bucket").join(facts, ["a", "node"])
-    # The distances to the leader differ by no more than the pair's own; sizes and prefixes bound the overlap.
-    split = stage(split.where(F.col("size") > 0), "split")
-    x, y = split.where("root <> main").alias("x"), split.alias("y")
-    near = (F.abs(F.col("x.same") - F.col("y.same")) <= 1 - threshold + 1e-9) & (
-        F.least("x.size", "y.size") >= threshold * F.greatest("x.size", "y.size") - 1e-9
-    )
-    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    across = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & once & near
-    pairs = x.join(y, across & F.arrays_overlap("x.prefix", "y.prefix"))
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    more = stage(compared(pairs, texts, threshold).where(F.col("same") >= threshold).select("a", "b"), "links")
+    left = stage(split.where(F.col("size") > 0).select("bucket", "node", "root", (F.col("root") != F.col("main")).alias("rest"), "same", "size"), "split")
+    more = stage(blocks_compared(left, texts, threshold), "links")
     if not more.isEmpty():
         roots = connected(links.unionByName(more))
 
     named = classes.select("node", "class_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = named.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    return rows, named.join(groups, "root").select("node", "class_id", "group_id")
+    return rows, named.join(groups, "root").select("node", "class_id", "root", "group_id")
 
 
 def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
@@ -234,10 +335,15 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", t
 
 
 def one_of_each(df: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns: of every group those with its smallest id."""
+    """The rows of ``df`` that stay, with all their columns: of every group one with its smallest id.
+
+    Of several such rows the one with the smallest hash of its text stays, of equal ones the first as it was written.
+    """
+    mark, number = fresh(df, "node", "number")
+    df = stage(df.withColumn(number, F.monotonically_increasing_id()), "rows")
     _, found = classes_and_groups(df, key, text, threshold)
-    (mark,) = fresh(df, "node")
     rows = df.withColumn(mark, same_words(text_of(text))).alias("d")
-    stays = F.col(f"d.`{key}`").eqNullSafe(F.col("g.group_id"))
-    joined = rows.join(found.alias("g"), (F.col(f"d.`{mark}`") == F.col("g.node")) & stays, "left_semi")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns])
+    least = F.col(f"d.`{key}`").eqNullSafe(F.col("g.group_id"))
+    joined = rows.join(found.alias("g"), (F.col(f"d.`{mark}`") == F.col("g.node")) & least)
+    stays = joined.groupBy("g.root").agg(F.min(F.struct(F.xxhash64(text_of(text)).alias("print"), F.col(f"d.`{number}`").alias("number")))["number"].alias("stays"))
+    return df.join(stays, F.col(f"`{number}`") == F.col("stays"), "left_semi").drop(number)

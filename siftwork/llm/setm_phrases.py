@@ -31,7 +31,7 @@ from siftwork.llm.common import slices, text_of
 from siftwork.llm.windows import give_up_shuffles
 from siftwork.sources.shared import stage
 
-BLOCK = 1_500_000  # positions
+BLOCK = 3_000_000  # positions
 # Everything that ends a piece becomes a line feed, a tab a blank.
 EVEN = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 GAP, NOTHING = 0, 1
@@ -149,7 +149,7 @@ def extended(level: DataFrame, found: DataFrame, last: bool) -> DataFrame:
         if not len(occurrences) or not len(kept):
             return groups_table(key[0], NONE, NONE, NONE)
         at, codes = np.cumsum(unpressed(occurrences["at"][0].as_py())), unpressed(occurrences["codes"][0].as_py())
-        frequent_codes = kept["place"].to_numpy() & ((1 << CODES) - 1)
+        frequent_codes = kept["code"].to_numpy()
         ids = np.full(max(int(codes.max(initial=0)), int(frequent_codes.max())) + 1, -1, np.int64)
         ids[frequent_codes] = kept["id"].to_numpy()
         ids = ids[codes]
@@ -164,7 +164,8 @@ def extended(level: DataFrame, found: DataFrame, last: bool) -> DataFrame:
         where = {"block": [key[0]], "place": [None], "a": [None], "b": [None], "times": [None], "at": [pressed(np.diff(at[join], prepend=0))], "codes": [pressed(number)]}
         return pa.concat_tables([groups, pa.table(where, schema=groups.schema)])
 
-    kept = found.select(F.shiftright("place", CODES).alias("owner"), "place", "id")
+    code = F.col("place").bitwiseAND((1 << CODES) - 1).cast("int").alias("code")
+    kept = found.select(F.shiftright("place", CODES).alias("owner"), code, "id")
     places = level.where("place IS NULL").select("block", "at", "codes")
     return places.groupBy("block").cogroup(kept.groupBy("owner")).applyInArrow(merge, LEVEL_N)
 

@@ -110,6 +110,36 @@ def test_near_duplicates_of_odd_rows(spark):
     assert bag_minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_small_blocks_find_the_same_links(spark, monkeypatch):
+    """Blocks of three texts, a large and a small leader, texts of very different sizes in one bucket."""
+    monkeypatch.setattr(bag_minhash, "BLOCK", 3)
+    test_links_across_components_of_a_bucket(spark)
+    test_near_duplicates_by_brute_force(spark)
+
+
+def test_overlaps_of_many_texts_at_once():
+    rng = random.Random(8)
+    lists = [[rng.choice("abc") for _ in range(rng.choice([0, 3, 5, 40]))] for _ in range(40)]
+    owner, value, count = bag_minhash.shingles(lists)
+    cut = np.searchsorted(owner, np.arange(41))
+    bags = [(value[s:e], count[s:e]) for s, e in zip(cut, cut[1:])]
+    both = bag_minhash.overlaps(bags[:15], bags[15:])
+    for i in range(15):
+        for j in range(25):
+            a, b = (dict(zip(*map(np.ndarray.tolist, x))) for x in (bags[i], bags[15 + j]))
+            assert both[i, j] == sum(min(n, b.get(v, 0)) for v, n in a.items())
+
+
+def test_exactly_one_row_of_a_group_stays(spark):
+    """Rows ingested twice, equal ids with different texts, groups without ids, clashing names."""
+    body = "one two three four five six seven eight nine ten"
+    rows = [(1, body), (1, body), (1, body + " "), (2, body), (None, "alpha beta gamma delta eps"), (None, "alpha beta gamma delta eps"), (3, None), (3, "")]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, root int, node string")
+    kept = bag_minhash.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted([(r.doc_id, (r.text or "").strip()) for r in kept.collect()], key=str) == sorted([(1, body), (None, "alpha beta gamma delta eps"), (3, "")], key=str)
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(0)
     values = rng.integers(1, 2**63, 40).astype(np.uint64)
