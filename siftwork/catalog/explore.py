@@ -132,7 +132,18 @@ def _rho(a: str, b: str) -> str:
 )
 def rank_correlation(spark, sf_dir):
     """Columns with ties, hot values and missing cells."""
-    return rounded(spearman(features(spark, sf_dir), ["qty", "avg_disc", "max_tax", "c_acctbal"], "code"), "rho")
+    return rounded(spearman(features(spark, sf_dir), ["qty", "avg_disc", "max_tax", "c_acctbal"]), "rho")
+
+
+@query(
+    "l9_spearman_repeated_rows",
+    f"""WITH {FEATURES_SQL.replace("features AS (", "once AS (")}, features AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE qty > 100)
+       {" UNION ALL ".join(_rho(a, b) for a, b in [('avg_disc', 'qty'), ('max_tax', 'qty'), ('max_tax', 'avg_disc')])}""",
+)
+def rank_correlation_of_copies(spark, sf_dir):
+    """Some rows twice, so that no column names a row."""
+    df = features(spark, sf_dir)
+    return rounded(spearman(df.unionByName(df.where("qty > 100")), ["qty", "avg_disc", "max_tax"]), "rho")
 
 
 @query(

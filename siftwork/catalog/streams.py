@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from siftwork.catalog.base import RANGES, RAW_SQL, features, query, r6_sql, raw_products, rounded
 from siftwork.catalog.filters import FLOW_COLUMNS, FLOW_RULES, FLOW_SQL
+from siftwork.catalog.models import EMB_SQL, ODD_KEY, knn_ctes, parts, vectors
 from siftwork.functions.presets import CLASSES, RELEVANT_COLUMNS
+from siftwork.operators.neighbours import KNNClassifier
 from siftwork.plans.prepare import fit_preparation, preparation
 from siftwork.sources.shared import shared_path
 from siftwork.streaming.landing import land_stream, source
 from siftwork.streaming.scoring import score_stream
 
 
-def _arriving(df, name: str):
+def _arriving(df, name: str, key: str = "code"):
     """The table as a folder of several files, read as a stream of a few files per batch."""
     path = shared_path(df.sparkSession, name)
-    df.repartition(6, "code").write.parquet(path)
+    df.repartition(6, key).write.parquet(path)
     return source(df.sparkSession, path, df.schema, maxFilesPerTrigger=2)
 
 
@@ -63,3 +67,15 @@ def stream_scoring(spark, sf_dir):
     )
     scored = score_stream(stream, fit_preparation(flow, df), shared_path(spark, "scored"))
     return rounded(scored, *FLOW_COLUMNS)
+
+
+@query(
+    "st2_stream_neighbours",
+    f"WITH {EMB_SQL}, {knn_ctes('te', 'tr')} SELECT vec_id AS row, CAST(prediction AS DOUBLE) AS prediction FROM pred",
+)
+def stream_neighbours(spark, sf_dir):
+    """Vectors that arrive as a stream, with repeated and missing keys, scored by a join over cells."""
+    train, test = parts(vectors(spark, sf_dir), "train", "test")
+    arriving = test.select(F.col("vec_id").alias("row"), "embedding").withColumn("vec_id", F.expr(ODD_KEY.replace("vec_id", "row")))
+    model = KNNClassifier("embedding", "label", "vec_id", broadcast_bytes=0, block_rows=2000).fit(train)
+    return score_stream(_arriving(arriving, "vectors", "row"), model, shared_path(spark, "scored")).select("row", "prediction")

@@ -23,15 +23,16 @@ from siftwork.functions import presets
 from siftwork.functions.columns import col, numeric_columns
 from siftwork.operators.boosting import SoftmaxBooster
 from siftwork.operators.encode import LabelCoder
-from siftwork.operators.fourier import FourierFeatures
 from siftwork.operators.metrics import balanced_weights
 from siftwork.operators.neighbours import KNNClassifier
+from siftwork.operators.nystroem import NystroemFeatures
 from siftwork.operators.reduce import VECTOR, FeatureVector
 from siftwork.operators.state import FittedStage, OptionEstimator
 from siftwork.sources.shared import stage
 
 LABEL, WEIGHT, RAW = "__label", "__weight", "rawPrediction"
 KNN_INPUT = BOOST_INPUT = "__array"
+KERNEL = "__kernel"
 MAX_TREE_DEPTH = 30
 
 # Default hyperparameters per model.
@@ -191,20 +192,19 @@ class Classifier(OptionEstimator):
     def _fit_svm(self, train, params, classes) -> list:
         if params["kernel"] != "rbf":
             raise ValueError("only the rbf kernel is approximated")
-        fourier = FourierFeatures(
-            VECTOR, "__fourier", params["components"], params["gamma"], self.option("seed")
-        ).fit(train)
-        weighted, extra = self._weighted(fourier.transform(train), params)
+        features = NystroemFeatures(VECTOR, KERNEL, params["components"], params["gamma"], self.option("seed")).fit(train)
+        train = stage(features.transform(train), "kernel-features")
+        weighted, extra = self._weighted(train, params)
         machine = LinearSVC(
             maxIter=params["max_iter"],
             regParam=1.0 / (params["C"] * train.count()),
             standardization=False,
             **extra,
         )
-        rest = OneVsRest(classifier=machine, featuresCol="__fourier", labelCol=LABEL, **extra).fit(weighted)
+        rest = OneVsRest(classifier=machine, featuresCol=KERNEL, labelCol=LABEL, **extra).fit(weighted)
         margins = stage(rest.transform(weighted).select(vector_to_array(F.col(RAW)).alias("margins"), LABEL), "margins")
         slopes, offsets = platt_scales(margins, len(classes))
-        return [fourier, rest, MarginProbability().with_state(slopes=slopes, offsets=offsets)]
+        return [features, rest, MarginProbability().with_state(slopes=slopes, offsets=offsets)]
 
     def _fit_knn(self, train, params, classes) -> list:
         key = self.option("key")
@@ -272,7 +272,7 @@ class ClassDecoder(FittedStage):
         out = df.withColumn("prediction", decoded)
         if not isinstance(df.schema["probability"].dataType, T.ArrayType):
             out = out.withColumn("probability", vector_to_array("probability"))
-        return out.drop(VECTOR, "__fourier", KNN_INPUT, RAW)
+        return out.drop(VECTOR, KERNEL, KNN_INPUT, RAW)
 
 
 def classes_of(model: PipelineModel) -> list:

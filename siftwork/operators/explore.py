@@ -184,19 +184,20 @@ def _average_ranks(values: DataFrame) -> DataFrame:
     )
 
 
-def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation of every column pair (i > j), average ranks, pairwise complete.
 
     A column is ranked once, and again only for partners whose missing cells
     shrink its population. Ranks are computed on distinct values and attached to
     the rows by value: values holding more than a thousandth of a column form a
     small table (at most a thousand per ranking) that is broadcast; the others
-    are joined by shuffle, where no key is hot any more.
+    are joined by shuffle, where no key is hot any more. Rows need no key: each
+    has a number that is written with the staged input.
     """
     names = list(columns)
     values = {c: col(c).cast("double") for c in names}
     narrow = stage(
-        df.select(col(key).alias("__key"), *[values[c].alias(f"v{i}") for i, c in enumerate(names)]), "rank-input"
+        df.select(F.monotonically_increasing_id().alias("__row"), *[values[c].alias(f"v{i}") for i, c in enumerate(names)]), "rank-input"
     )
     pairs = [(i, j) for i in range(len(names)) for j in range(i)]
     both = {(i, j): F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull() for i, j in pairs}
@@ -218,7 +219,7 @@ def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     for (i, partner), task in rankings.items():
         value = F.col(f"v{i}") if partner is None else F.when(F.col(f"v{partner}").isNotNull(), F.col(f"v{i}"))
         cells.append(F.struct(F.lit(task).alias("task"), value.alias("value")))
-    long = narrow.select("__key", F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    long = narrow.select("__row", F.inline(F.array(*cells))).where(F.col("value").isNotNull())
     ranked = stage(
         _average_ranks(long.groupBy("task", "value").agg(F.count(F.lit(1)).alias("n"))), "ranks"
     )
@@ -229,7 +230,7 @@ def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     placed = long.join(hot, ["task", "value"]).unionByName(
         long.join(hot.select("task", "value"), ["task", "value"], "left_anti").join(cold, ["task", "value"])
     )
-    wide = placed.groupBy("__key").agg(
+    wide = placed.groupBy("__row").agg(
         *[F.max(F.when(F.col("task") == t, F.col("rank"))).alias(f"r{t}") for t in range(len(rankings))]
     )
     rows = []

@@ -29,6 +29,7 @@ register_pickle_by_value(sys.modules[__name__])
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 20_000
 MAX_PIVOTS = 1_024
+ASKING = "__asking"
 
 
 def _powers(metric: str, p: float) -> float:
@@ -114,7 +115,7 @@ def _matrix(series: pd.Series) -> np.ndarray:
 class KNNClassifier(OptionEstimator):
     """k nearest neighbours over an ``array<double>`` feature column with an integer class code.
 
-    ``key`` (a whole number or a text) identifies rows on both sides and breaks distance ties.
+    ``key`` (a whole number or a text) names the points and breaks distance ties. Rows that ask need none.
     """
 
     def __init__(
@@ -157,7 +158,9 @@ class KNNClassifier(OptionEstimator):
         path = shared_path(spark, "points")
         points.write.parquet(path)
         points = spark.read.parquet(path)
-        n, width, top = points.agg(F.count(F.lit(1)), F.max(F.size("x")), F.max("code")).collect()[0]
+        named = F.length(F.col("id").cast("string")) * 4 if dict(points.dtypes)["id"] == "string" else F.lit(8)
+        held = F.sum(F.size("x").cast("long") * 8 + F.coalesce(named, F.lit(0)) + 4)
+        n, top, size = points.agg(F.count(F.lit(1)), F.max("code"), held).collect()[0]
         if not n:
             raise ValueError("no rows to learn from")
         n_classes = self.option("n_classes") or top + 1
@@ -173,7 +176,7 @@ class KNNClassifier(OptionEstimator):
             key_type=dict(points.dtypes)["id"],
             block_rows=self.option("block_rows"),
         )
-        if n * (width or 1) * 8 <= self.option("broadcast_bytes"):
+        if size <= self.option("broadcast_bytes"):
             return KNNModel().with_state(**base, cells=None)
         return KNNModel().with_state(**base, **self._build_cells(points, n, base["p"]))
 
@@ -254,9 +257,10 @@ class KNNModel(FittedStage):
         v = self.values
         k, p = v["k"], v["p"]
         # fit() checked that all points fit into the broadcast limit.
-        points = df.sparkSession.read.parquet(v["path"]).toPandas()
+        points = df.sparkSession.read.parquet(v["path"]).select("id", "code", "x").toArrow()
+        cells = points["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         held = df.sparkSession.sparkContext.broadcast(
-            (_matrix(points["x"]), _names(points["id"]), points["code"].to_numpy(dtype="int32"))
+            (cells.reshape(len(points), -1), _names(points["id"].to_pandas()), points["code"].to_numpy().astype("int32"))
         )
 
         @F.pandas_udf(f"struct<{self._candidates()}>")
@@ -301,7 +305,9 @@ class KNNModel(FittedStage):
             visit = lower <= edge * (1 + 1e-9) + 1e-12
             return pd.Series([np.setdiff1d(names[r], s) for r, s in zip(visit, seen)])
 
-        asking = df.select(_key(df, v["key"]).alias("q"), col(v["features"]).cast("array<double>").alias("x"))
+        # Every asking row has a number of its own, fixed by writing it; keys may be repeated or missing.
+        df = stage(df.withColumn(ASKING, F.monotonically_increasing_id()), "asking-rows")
+        asking = df.select(F.col(ASKING).alias("q"), col(v["features"]).cast("array<double>").alias("x"))
         asking = stage(asking.withColumn("seen", nearest_cells("x")), "asking")
         first = stage(self._search_cells(asking.select("q", "x", F.explode("seen").alias("cell"))), "near-cells")
         limit = F.array_max(F.slice(F.array_sort(F.flatten(F.collect_list("distances"))), 1, k))
@@ -314,7 +320,7 @@ class KNNModel(FittedStage):
         candidates = first.unionByName(self._search_cells(rest))
         every = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("distances", "ids", "codes"))))
         merged = candidates.groupBy("q").agg(F.slice(every, 1, k).alias("__near"))
-        return df.join(merged, _key(df, v["key"]) == F.col("q"), "left").drop("q")
+        return df.join(merged, F.col(ASKING) == F.col("q"), "left").drop("q", ASKING)
 
     def _search_cells(self, visits: DataFrame) -> DataFrame:
         """For every (q, x, cell) the k nearest points of each block of that cell."""

@@ -129,7 +129,7 @@ def test_spearman_matches_ranks(spark, monkeypatch, bucket_rows):
         F.lit(1.0).alias("same"),
     ).cache()
     pdf = df.toPandas()
-    got = {(r["column_a"], r["column_b"]): r["rho"] for r in spearman(df, ["ties", "hot", "gaps", "holes", "same"], "id").collect()}
+    got = {(r["column_a"], r["column_b"]): r["rho"] for r in spearman(df, ["ties", "hot", "gaps", "holes", "same"]).collect()}
     assert len(got) == 10
     for (a, b), rho in got.items():
         if "same" in (a, b):

@@ -100,3 +100,20 @@ def test_saved_model_stands_on_its_own(points, tmp_path, kind):
     assert all(folder.startswith(str(tmp_path)) for folder in again.tables().values())
     columns = ["id", "prediction"]
     assert again.transform(points).select(columns).exceptAll(model.transform(points).select(columns)).count() == 0
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_asking_rows_need_no_key(spark, points, kind):
+    """Keys repeated, missing, texts, or absent: every row gets the answer for its own point."""
+    asking = points.where("id % 7 = 0").withColumn("row", F.col("id"))
+    model = KNNClassifier(n_neighbors=5, **KINDS[kind]).fit(points)
+    expected = brute(points, asking, 5, 2)
+    odd = {
+        "repeated": asking.withColumn("id", F.lit(3)),
+        "missing": asking.withColumn("id", F.lit(None).cast("long")),
+        "text": asking.withColumn("id", F.concat(F.lit("k"), (F.col("id") % 3).cast("string"))),
+        "absent": asking.drop("id"),
+    }
+    for rows in odd.values():
+        got = {r["row"]: [n["ids"] for n in r["__near"]] for r in model.neighbours(rows).collect()}
+        assert got == {i: ids for i, (ids, _) in expected.items()}
