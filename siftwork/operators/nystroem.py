@@ -69,7 +69,8 @@ class NystroemFeatures(OptionEstimator):
             if not len(x):
                 return pd.Series([], dtype=float)
             near = kernel(np.stack(x.to_list()), pilot, gamma)
-            return pd.Series(np.clip((1.0 - np.einsum("ij,jk,ik->i", near, inverse, near)) / weight, 1e-12, 1.0))
+            # Not cut off at 1: rows that the pilot doesn't span at all come first.
+            return pd.Series(np.maximum((1.0 - np.einsum("ij,jk,ik->i", near, inverse, near)) / weight, 1e-12))
 
         # The smallest of exponential times with these rates: a sample without replacement by weight.
         chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "x"), 11) + F.lit(0.5)) * F.lit(2.0**-53)
