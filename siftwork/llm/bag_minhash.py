@@ -39,8 +39,8 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 COMPONENTS = BANDS * ROWS
 STEP = U64(0x9E3779B97F4A7C15)
-BLOCK, BLOCK_CHARS = 256, 4_000_000  # texts and characters that a block holds, about
-COLUMNS = 8192
+BLOCK, BLOCK_CHARS = 512, 4_000_000  # texts and characters that a block holds, about
+COLUMNS = 4096
 
 
 def shingles(lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
