@@ -10,7 +10,7 @@ most shingles cost one random number.
 Documents with the same words are one class.  Classes that agree in a band of the signature meet in a bucket.  First all
 members of a bucket are compared with its leader, the one that meets most others.  When the links found have joined the
 bucket into components, only pairs across components remain.  Members of such buckets are put into blocks of bounded
-size, by their largest bucket and by size class (linked texts are in the same class or in neighbouring ones), and pairs
+size: those of a large component together, others by the main component of their largest bucket, all by size class (linked texts are in the same class or in neighbouring ones), and pairs
 of blocks that meet in a bucket are compared within a task, all texts of one with all of the other by one product of
 matrices; a pair of blocks gives a spanning forest of its links, never the pairs.  Pairs of blocks are left out if exact
 bounds say that they hold no link (sizes, and distances to the bucket's leader, which differ by no more than the pair
@@ -40,6 +40,7 @@ BANDS, ROWS = 32, 4
 COMPONENTS = BANDS * ROWS
 STEP = U64(0x9E3779B97F4A7C15)
 BLOCK, BLOCK_CHARS = 512, 4_000_000  # texts and characters that a block holds, about
+LARGE = 64  # members from which a component has blocks of its own
 COLUMNS = 4096
 
 
@@ -200,22 +201,26 @@ def compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def blocks_compared(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between the remaining members (bucket, node, root, rest, same, size) of buckets, as forests.
+    """Links (a, b) between the remaining members (bucket, node, root, main, rest, same, size) of buckets, as forests.
 
-    ``rest`` says that the member is outside its bucket's main component, ``same`` is its similarity to the leader.
+    ``main`` is the bucket's largest component, ``rest`` says that the member is outside it, ``same`` is its similarity
+    to the leader.
     """
-    # Blocks: by the largest bucket that a member is in, its size class, and as many parts as that needs.
+    # Blocks: large components by themselves, the others by the main component of their largest bucket; then the size
+    # class, and as many parts as that needs.
     sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     homes = left.join(sizes, "bucket").groupBy("node").agg(
-        F.max(F.struct("n", "bucket"))["bucket"].alias("home"), F.first("size").alias("size"), F.first("root").alias("root")
+        F.max(F.struct("n", "bucket", "main"))["main"].alias("main"), F.first("size").alias("size"), F.first("root").alias("root")
     )
+    large = homes.groupBy("root").agg((F.count(F.lit(1)) >= LARGE).alias("large"))
+    homes = homes.join(large, "root").withColumn("home", F.when(F.col("large"), F.col("root")).otherwise(F.col("main")))
     homes = homes.withColumn("step", F.floor(F.log("size") / -np.log(threshold) + 1e-9).cast("int"))
     homes = homes.join(texts.select("node", F.char_length("body").alias("chars")), "node")
-    loads = homes.groupBy("home", "step").agg(
+    loads = homes.groupBy("large", "home", "step").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("chars") / BLOCK_CHARS)).alias("parts")
     )
-    block = F.xxhash64("home", "step", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block")
-    homes = stage(homes.join(loads, ["home", "step"]).select("node", "root", "step", block), "blocks")
+    block = F.xxhash64("large", "home", "step", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block")
+    homes = stage(homes.join(loads, ["large", "home", "step"]).select("node", "root", "step", block), "blocks")
 
     # Pairs of blocks that meet in a bucket and may hold a link.
     met = left.join(homes.select("node", "block", "step"), "node").groupBy("bucket", "block", "step").agg(
@@ -317,7 +322,7 @@ def classes_and_groups(df: DataFrame, key: str, text: str, threshold: float) ->
     )
     facts = tested.select("a", F.col("b").alias("node"), "same", "size")
     split = placed.join(parts.where("parts > 1"), "bucket").join(facts, ["a", "node"])
-    left = stage(split.where(F.col("size") > 0).select("bucket", "node", "root", (F.col("root") != F.col("main")).alias("rest"), "same", "size"), "split")
+    left = stage(split.where(F.col("size") > 0).select("bucket", "node", "root", "main", (F.col("root") != F.col("main")).alias("rest"), "same", "size"), "split")
     more = stage(blocks_compared(left, texts, threshold), "links")
     if not more.isEmpty():
         roots = connected(links.unionByName(more))
