@@ -174,16 +174,18 @@ def test_the_risk_corrects_for_toxic_text_among_the_unlabelled():
     assert base + weights[0] > 0
 
 
-def brute_templates(rows, min_docs=10, most=0.3):
+def brute_templates(rows, min_docs=10, most=0.34, min_same=2):
     """The rules on Python lists, line by line."""
-    parsed = []
+    parsed, same = [], collections.defaultdict(set)
     for i, (key, text) in enumerate(rows):
         for no, line in enumerate((text or "").split("\n")):
-            masks = tuple("<*>" if re.search("[0-9]", t) else t for t in re.findall(r"[^ \t\n\x0b\f\r]+", line))
+            words = tuple(re.findall(r"[^ \t\n\x0b\f\r]+", line))
+            masks = tuple("<*>" if re.search("[0-9]", t) else t for t in words)
             if masks:
-                parsed.append(((key, text), no, masks))
+                parsed.append(((key, text), no, masks, words))
+                same[words].add((key, text))
     by_leaf, pairs = collections.defaultdict(set), collections.defaultdict(set)
-    for doc, _, masks in parsed:
+    for doc, _, masks, _ in parsed:
         by_leaf[len(masks), masks[:3]].add(doc)
         pairs[masks].add(doc)
     support = collections.Counter()
@@ -200,11 +202,11 @@ def brute_templates(rows, min_docs=10, most=0.3):
             templates[masks] = (len(masks), kept)
             found[templates[masks]] |= pairs[masks]
     gone = collections.defaultdict(set)
-    for doc, no, masks in parsed:
-        docs = found.get(templates.get(masks), ())
-        ids = [d[0] for d in docs if d[0] is not None]
-        if len(docs) >= min_docs and ids and (doc[0] is None or doc[0] > min(ids)):
-            gone[doc].add(no)
+    for doc, no, masks, words in parsed:
+        for docs, least in ((found.get(templates.get(masks), ()), min_docs), (same[words], min_same)):
+            ids = [d[0] for d in docs if d[0] is not None]
+            if len(docs) >= least and ids and (doc[0] is None or doc[0] > min(ids)):
+                gone[doc].add(no)
     return ["\n".join(x for no, x in enumerate(t.split("\n")) if no not in gone[k, t]) if t is not None else None for k, t in rows]
 
 
@@ -227,6 +229,20 @@ def test_templates_by_brute_force(spark):
     assert brute_templates(rows) != [t for _, t in rows]
 
 
+def test_lines_that_are_the_same_go_from_two_documents_on(spark):
+    """Lines of fields only, lines of two documents, templates with a third of their tokens free, very long lines."""
+    long_line = " ".join(f"w{i}x" for i in range(60_000))
+    rows = [(i, f"© 2021 2022\nown line number {chr(97 + i) * 5}\nArticle was written by {chr(97 + i) * 3} {chr(98 + i) * 4}") for i in range(12)]
+    rows += [(20, f"{long_line}\nend here"), (21, f"start here\n {long_line}\n\u2003"), (2**60 + 1, "end here"), (None, "start  here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in template_lines.drop_templates(df).collect()}
+    assert got == {k: t for (k, _), t in zip(rows, brute_templates(rows))}
+    assert got[3] == "own line number ddddd" and got[0].startswith("© 2021 2022")
+    assert got[21] == "start here\n\u2003" and got[2**60 + 1] == "" and got[None] == ""
+    kept = template_lines.drop_templates(df, min_same=100, max_fields=0.0).collect()
+    assert {r.text for r in kept if r.doc_id == 21} == {rows[13][1]}
+
+
 def mixing_rows(spark):
     rng = random.Random(8)
     vocabulary = {d: [d + "".join(rng.choice("abcdef") for _ in range(4)) for _ in range(200)] for d in ("en", "de", "fr")}
