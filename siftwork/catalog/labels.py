@@ -8,12 +8,11 @@ from siftwork.catalog.base import query, table
 from siftwork.functions.aliases import COUNTRY_ALIASES
 from siftwork.functions.labels import (
     canonical_label,
-    clean_list,
     iso_entries,
     parse_labels,
     strict_entries,
-    strict_label,
 )
+from siftwork.operators.lookup import clean_column, with_name
 
 
 def _quoted(text: str) -> str:
@@ -63,9 +62,8 @@ def _entries(spark, sf_dir) -> dict[str, str]:
 )
 def strict_lookup(spark, sf_dir):
     origin = F.expr(ORIGIN.format(text="STRING"))
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", strict_label(origin, _entries(spark, sf_dir)).alias("country")
-    )
+    df = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    return with_name(df, origin, "country", _entries(spark, sf_dir)).select("c_custkey", "country")
 
 
 CLEAN_SQL = f"""WITH {STRICT_SQL},
@@ -79,9 +77,8 @@ CLEAN_SQL = f"""WITH {STRICT_SQL},
 @query("e3_clean_list", f"{CLEAN_SQL} FROM c LEFT JOIN j ON j.c_custkey = c.c_custkey")
 def clean_cells(spark, sf_dir):
     cell = F.expr(ORIGINS.format(one=ORIGIN.format(text="STRING"), text="STRING"))
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", clean_list(cell, _entries(spark, sf_dir)).alias("countries")
-    )
+    df = table(spark, sf_dir, "customer").select("c_custkey", cell.alias("countries"))
+    return clean_column(df, "countries", _entries(spark, sf_dir))
 
 
 @query(
@@ -104,8 +101,8 @@ def parse_cells(spark, sf_dir):
     f"{CLEAN_SQL}, c_mktsegment FROM c LEFT JOIN j ON j.c_custkey = c.c_custkey "
     "JOIN customer ON customer.c_custkey = c.c_custkey",
 )
-def clean_column(spark, sf_dir):
+def clean_in_table(spark, sf_dir):
     """The cleaned list replaces its column; the rest of the table stays."""
     df = table(spark, sf_dir, "customer")
     cells = df.select("c_custkey", "c_mktsegment", F.expr(ORIGINS.format(one=ORIGIN.format(text="STRING"), text="STRING")).alias("countries"))
-    return cells.withColumn("countries", clean_list(F.col("countries"), _entries(spark, sf_dir)))
+    return clean_column(cells, "countries", _entries(spark, sf_dir))

@@ -69,9 +69,14 @@ def strict_entries(iso_names: Mapping[str, str], aliases: Mapping[str, str] = CO
     return resolved
 
 
+def strict_text(label: Column) -> Column:
+    """Lower, trim, drop every ``en:``, turn ``-`` into a blank."""
+    return F.replace(F.replace(strip(F.lower(label)), F.lit("en:"), F.lit("")), F.lit("-"), F.lit(" "))
+
+
 def strict_label(label: Column, entries: Mapping[str, str]) -> Column:
-    """Lower, trim, drop every ``en:``, turn ``-`` into a blank, look up; unknown gives null."""
-    text = F.replace(F.replace(strip(F.lower(label)), F.lit("en:"), F.lit("")), F.lit("-"), F.lit(" "))
+    """The strict text looked up; unknown gives null."""
+    text = strict_text(label)
     return F.when(text != "", F.try_element_at(lookup_map(entries), text))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from siftwork.functions import presets
 from siftwork.functions.aliases import COUNTRY_ALIASES
 from siftwork.functions.columns import col, nan_to_null, require_columns
-from siftwork.functions.labels import clean_list, strict_entries
+from siftwork.functions.labels import iso_entries, strict_entries
 from siftwork.operators.classify import GRIDS, NAMES, Classifier
+from siftwork.operators.lookup import clean_column
 from siftwork.operators.missing import MissingValueHandler, report_row
 from siftwork.operators.profile import missing_profile, wide_text_columns
 from siftwork.operators.split import assign_split, sample_exact, split_metadata
@@ -86,16 +88,31 @@ def clean_table(df: DataFrame, iso_names: dict[str, str] | None = None):
     handler = MissingValueHandler().fit(df)
     out = handler.transform(df)
     if "countries" in out.columns:
-        entries = strict_entries(iso_names or {}, COUNTRY_ALIASES)
-        out = out.withColumn("countries", clean_list(col("countries"), entries))
+        out = clean_column(out, "countries", strict_entries(iso_names or {}, COUNTRY_ALIASES))
     gone = [presets.REDUNDANT_COLUMN] if presets.REDUNDANT_COLUMN in out.columns else []
     gone += wide_text_columns(out, presets.WIDE_TEXT_COLUMNS, presets.WIDE_TEXT_LIMIT)
     return out.drop(*gone), handler
 
 
-def clean_job(spark: SparkSession, source: str, out: str, report: str | None = None) -> None:
+def country_names(spark: SparkSession, path: str, codes: Sequence[str] = (), name: str = "name") -> dict[str, str]:
+    """Lookup entries from a country table (Parquet, or delimited with a header); by default every other column is a code."""
+    table = spark.read.option("header", True).csv(path) if path.endswith((".csv", ".csv.gz")) else spark.read.parquet(path)
+    require_columns(table, [name, *codes])
+    return iso_entries(table, list(codes) or [c for c in table.columns if c != name], name)
+
+
+def clean_job(
+    spark: SparkSession,
+    source: str,
+    out: str,
+    report: str | None = None,
+    countries: str | None = None,
+    codes: Sequence[str] = (),
+    name: str = "name",
+) -> None:
+    """The stand-alone cleaning of a table; ``countries`` is the path of the country table for strict lists."""
     df = nan_to_null(spark.read.parquet(source))
-    cleaned, handler = clean_table(df)
+    cleaned, handler = clean_table(df, country_names(spark, countries, codes, name) if countries else None)
     cleaned.write.mode("overwrite").parquet(out)
     if report:
         write_document(report_row(handler, missing_profile(df), 0.95), report)
@@ -128,6 +145,7 @@ def main(argv: list[str] | None = None) -> None:
     landing = jobs.add_parser("land")
     landing.add_argument("--raw", required=True)
     landing.add_argument("--sample", type=int)
+    landing.add_argument("--partitions", type=int)
     prepare = jobs.add_parser("prepare")
     prepare.add_argument("--no-pca", action="store_true")
     prepare.add_argument("--scale-method", choices=["standard", "minmax", "robust", "auto"], default="standard")
@@ -138,6 +156,9 @@ def main(argv: list[str] | None = None) -> None:
     prepare.add_argument("--no-feature-engineering", action="store_true")
     clean = jobs.add_parser("clean")
     clean.add_argument("--report")
+    clean.add_argument("--countries", help="country table: Parquet, or delimited with a header")
+    clean.add_argument("--country-codes", default="", help="its code columns, separated by commas")
+    clean.add_argument("--country-name", default="name", help="its name column")
     for name in ("train", "evaluate", "tune"):
         job = jobs.add_parser(name)
         job.add_argument("--model", choices=sorted(NAMES), required=name != "evaluate")
@@ -151,7 +172,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"siftwork-{args.job}").getOrCreate()
     if args.job == "land":
-        landing_job(spark, args.raw, args.output, args.sample)
+        landing_job(spark, args.raw, args.output, args.sample, args.partitions)
     elif args.job == "prepare":
         prepare_job(
             spark,
@@ -169,7 +190,8 @@ def main(argv: list[str] | None = None) -> None:
             },
         )
     elif args.job == "clean":
-        clean_job(spark, args.input, args.output, args.report)
+        codes = [c for c in args.country_codes.split(",") if c]
+        clean_job(spark, args.input, args.output, args.report, args.countries, codes, args.country_name)
     elif args.job == "train":
         train_job(spark, args.input, args.output, args.model, args.folds, **args.params)
     elif args.job == "evaluate":

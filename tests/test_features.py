@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftwork.functions.labels import clean_list, iso_entries, parse_labels, strict_entries, strict_label
+from siftwork.operators.lookup import clean_column, with_name
 from siftwork.operators import encode
 from siftwork.operators.derive import FeatureDeriver
 from siftwork.operators.encode import FeatureEncoder, FeatureEncoderModel, LabelCoder, out_of_fold_target
@@ -48,6 +49,20 @@ def test_strict_cleaning(spark, entries, cell, expected):
     assert df.select(clean_list(F.col("c"), entries)).collect()[0][0] == expected
 
 
+def test_cleaning_by_join_equals_cleaning_by_cell(spark, entries):
+    cells = [None, "unknown", "", "PER, kor,fr", "en:france,Atlantis", "fr,fr,FR", ",", "Atlantis", "en:", "-"] * 3
+    df = spark.createDataFrame([(n, c) for n, c in enumerate(cells)], "n int, cell string")
+    by_join = clean_column(df, "cell", entries)
+    assert by_join.columns == df.columns
+    assert "map(" not in by_join._jdf.queryExecution().optimizedPlan().toString()
+    by_cell = df.select("n", clean_list(F.col("cell"), entries).alias("cell"))
+    assert sorted(map(tuple, by_join.collect())) == sorted(map(tuple, by_cell.collect()))
+    named = with_name(df, F.col("cell"), "name", entries).select("n", "name")
+    assert sorted(map(tuple, named.collect()), key=str) == sorted(map(tuple, df.select("n", strict_label(F.col("cell"), entries)).collect()), key=str)
+    assert clean_column(df.limit(0), "cell", {}).count() == 0
+    assert {r["cell"] for r in clean_column(df, "cell", {}).collect()} == {"unknown"}
+
+
 def test_strict_label_of_nothing_is_null(spark, entries):
     df = spark.createDataFrame([("en:",), (" ",)], "c string")
     assert [r[0] for r in df.select(strict_label(F.col("c"), entries)).collect()] == [None, None]
