@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,19 @@ def test_density_integrates_to_most_of_one(spark):
     assert 0.97 < sum(r["density"] for r in rows) * step < 1.01
 
 
+def test_density_equals_the_whole_sum(spark):
+    """Hot values, missing ones, a gap wider than the reach and a value far away."""
+    values = [float(i % 50) / 7 for i in range(3000)] + [2.0] * 500 + [400.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    x = np.array(values)
+    width = x.std(ddof=1) * len(x) ** -0.2
+    rows = kernel_density(df, "v", 60).orderBy("point").collect()
+    assert [r["point"] for r in rows] == list(range(60))
+    for r in rows:
+        whole = np.exp(-0.5 * ((x - r["x"]) / width) ** 2).sum() / (len(x) * width * np.sqrt(2 * np.pi))
+        assert r["density"] == pytest.approx(whole, rel=1e-9, abs=1e-17)
+
+
 @pytest.mark.parametrize("bucket_rows", [200_000, 50])
 def test_spearman_matches_ranks(spark, monkeypatch, bucket_rows):
     """Ties, one value on half of the rows, and different missing cells per column."""
