@@ -1,4 +1,5 @@
 import gzip
+import functools
 import json
 import os
 
@@ -11,6 +12,10 @@ from siftwork.sources.delimited import header_of, land, product_schema, read_csv
 from siftwork.sources.documents import landing_document, read_documents
 from siftwork.sources.shared import shared_dir, shared_path, stage
 from siftwork.sources.splits import load_split, save_splits
+from siftwork.operators.profile import missing_profile
+from siftwork.operators.sketches import SKETCH_ERROR, merged_profile, sketched_profile
+from siftwork.operators.split import sample_exact
+from siftwork.streaming import landing
 from siftwork.streaming.landing import land_stream, source
 
 
@@ -137,6 +142,51 @@ def test_stream_picks_up_new_files_only(spark):
     assert {r["grade"]: r["n"] for r in counts.collect()} == {"A": 2, "E": 1, None: 2}
 
 
+def test_a_broken_batch_is_landed_once(spark, monkeypatch):
+    """The job ends between the rows and the counts of a batch; nothing of it shows until it has been repeated."""
+    schema = T.StructType([T.StructField("code", T.LongType()), T.StructField("nutriscore_grade", T.StringType())])
+    arriving, out = shared_path(spark, "in"), shared_path(spark, "out")
+
+    def arrive(low, high):
+        df = spark.range(low, high).selectExpr("id AS code", "element_at(array('a', 'B', 'x', null), int(id % 4) + 1) AS nutriscore_grade")
+        df.coalesce(1).write.mode("append").parquet(arriving)
+
+    def land_all():
+        return land_stream(source(spark, arriving, schema), out, seconds=120, key="code", sample=20)
+
+    arrive(0, 100)
+    land_all()
+    arrive(100, 240)
+    with monkeypatch.context() as broken:
+        broken.setattr(landing, "COUNTS", "no schema at all")
+        with pytest.raises(Exception):
+            land_all()
+    rows = landing.landed(spark, out, "rows", schema)
+    assert rows.count() == 50 and {r["grade"]: r["n"] for r in landing.landed_counts(spark, out).collect()} == {"A": 25, "B": 25, None: 50}
+    rows, counts = land_all()
+    assert rows.count() == 120 == rows.distinct().count()
+    assert {r["grade"]: r["n"] for r in counts.collect()} == {"A": 60, "B": 60, None: 120}
+    drawn = landing.landed_sample(spark, out, schema, "code", 20).collect()
+    assert {r["code"] for r in drawn} == {r["code"] for r in sample_exact(rows, "code", 20).collect()} and len(drawn) == 20
+
+
+def test_nothing_has_arrived(spark):
+    schema = T.StructType([T.StructField("code", T.LongType()), T.StructField("nutriscore_grade", T.StringType())])
+    out = shared_path(spark, "out")
+    assert landing.landed(spark, out, "rows", schema).count() == 0 == landing.landed_counts(spark, out).count()
+
+
+def test_merged_profiles_equal_one_profile(spark):
+    df = spark.range(5000).selectExpr("id", "id % 7 AS few", "IF(id % 5 = 0, null, double(id) / 3) AS part", "array(id % 2) AS list", "string(null) AS none")
+    parts = [sketched_profile(df.where(f"id % 3 = {k}")) for k in range(3)] + [sketched_profile(df.limit(0))]
+    merged = {r["column"]: r for r in merged_profile(functools.reduce(lambda a, b: a.unionByName(b), parts)).collect()}
+    for r in missing_profile(df).collect():
+        got = merged[r["column"]]
+        assert (got["rows"], got["missing_count"], got["missing_percentage"]) == (5000, r["missing_count"], r["missing_percentage"])
+        assert abs(got["unique_values"] - r["unique_values"]) <= SKETCH_ERROR * r["unique_values"]
+    assert (merged["part"]["least"], merged["part"]["greatest"]) == (1 / 3, 4999 / 3) and merged["none"]["unique_values"] == 0
+
+
 FOOD = ["a", "b", "c", "d", "e"]
 
 
@@ -201,6 +251,10 @@ def test_cleaning_job(spark, products, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert "energy_100g" not in out.columns and "fruits-vegetables-nuts_100g" not in out.columns
     assert {r[0] for r in out.select("countries").distinct().collect()} == {"France", "United States", "unknown", "Germany"}
+    (tmp_path / "codes.csv").write_text("two,three,name\nat,atl,Atlantis\n")
+    jobs.main(["clean", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out2"), "--countries", str(tmp_path / "codes.csv")])
+    named = spark.read.parquet(str(tmp_path / "out2")).select("countries").distinct().collect()
+    assert {r[0] for r in named} == {"France", "Atlantis,United States", "unknown", "Germany"}
     with open(next((tmp_path / "report").glob("*.json"))) as f:
         report = json.load(f)
     assert report["dropped_features"] == ["fruits-vegetables-nuts_100g"]
