@@ -23,7 +23,7 @@ from siftwork.catalog.base import (
     table,
 )
 from siftwork.operators.boosting import SoftmaxBooster
-from siftwork.operators.classify import Classifier
+from siftwork.operators.classify import GRIDS, Classifier
 from siftwork.operators.metrics import (
     balanced_weights,
     class_counts,
@@ -39,7 +39,7 @@ from siftwork.operators.neighbours import KNNClassifier
 from siftwork.operators.nystroem import NystroemFeatures
 from siftwork.operators.scale import FeatureScaler
 from siftwork.operators.split import assign_split
-from siftwork.operators.train import HISTORY_SCHEMA, TrainedModel, grid_search
+from siftwork.operators.train import HISTORY_SCHEMA, TrainedModel, grid_points, grid_search
 from siftwork.sources.documents import write_document
 from siftwork.sources.shared import shared_path, stage
 
@@ -420,35 +420,50 @@ def gap(spark, sf_dir):
     return rounded(generalisation_gap(scored, "train_accuracy", "val_accuracy"), "train_accuracy", "val_accuracy", "gap")
 
 
-GRID = {"n_neighbors": [5, 15], "weights": ["uniform", "distance"]}
-GRID_SQL = f"""{EMB_SQL}, {folds_sql('tr', 'vec_id', 'label', 3)},
-gd AS (SELECT q.vec_id, q.fold, q.label AS actual, t.label, list_distance(q.x, t.x) AS d, ROW_NUMBER() OVER
-  (PARTITION BY q.vec_id ORDER BY list_distance(q.x, t.x), t.vec_id) AS rk FROM folded q JOIN folded t ON t.fold <> q.fold),
-grid(pos, k, w) AS (VALUES (0, 5, 'uniform'), (1, 5, 'distance'), (2, 15, 'uniform'), (3, 15, 'distance')),
-gn AS (SELECT pos, k, w, gd.*, MIN(d) OVER (PARTITION BY pos, vec_id) AS mn FROM gd JOIN grid ON rk <= k),
+GRID = GRIDS["knn"]
+GRID_POINTS = ", ".join(f"({i}, {p['n_neighbors']}, '{p['weights']}', '{p['metric']}')" for i, p in enumerate(grid_points(GRID)))
+GRID_PAIRS = " UNION ALL ".join(
+    f"""SELECT {metrics} AS metrics, q.vec_id, q.fold, q.label AS actual, t.label, t.vec_id AS tid, {d} AS d
+  FROM folded q JOIN folded t ON t.fold <> q.fold"""
+    for metrics, d in (
+        ("['minkowski', 'euclidean']", "list_distance(q.x, t.x)"),
+        ("['manhattan']", "list_sum(list_transform(list_zip(q.x, t.x), lambda z: ABS(z[1] - z[2])))"),
+    )
+)
+GRID_SQL = f"""{EMB_SQL}, {folds_sql('tr', 'vec_id', 'label')},
+gd AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY metrics, vec_id ORDER BY d, tid) AS rk FROM ({GRID_PAIRS})
+  QUALIFY rk <= {max(GRID['n_neighbors'])}),
+grid(pos, k, w, metric) AS (VALUES {GRID_POINTS}),
+gn AS (SELECT pos, k, w, gd.*, MIN(d) OVER (PARTITION BY pos, vec_id) AS mn FROM gd JOIN grid ON rk <= k AND list_contains(metrics, metric)),
 gv AS (SELECT pos, k, w, fold, vec_id, actual, label, SUM(CASE WHEN w = 'uniform' THEN 1e0
   WHEN mn = 0 THEN CASE WHEN d = 0 THEN 1e0 ELSE 0e0 END ELSE 1 / d END) AS s FROM gn GROUP BY ALL),
 gp AS (SELECT pos * 10 + fold AS cell, actual, label AS prediction FROM gv
   QUALIFY ROW_NUMBER() OVER (PARTITION BY pos, vec_id ORDER BY s DESC, label) = 1),
 {metrics_ctes('gp', 'g', 'cell')},
-result AS (SELECT pos, ANY_VALUE(k) AS k, ANY_VALUE(w) AS w, AVG(f1_macro) AS f FROM gmetrics JOIN grid ON pos = cell // 10 GROUP BY 1)"""
+result AS (SELECT pos, ANY_VALUE(k) AS k, ANY_VALUE(w) AS w, ANY_VALUE(metric) AS metric, AVG(f1_macro) AS f
+  FROM gmetrics JOIN grid ON pos = cell // 10 GROUP BY 1)"""
 
 
 def search(spark, sf_dir):
+    """The whole grid of the nearest-neighbour model over five folds: two fits a fold answer its thirty points."""
     (train,) = parts(axes(spark, sf_dir), "train")
-    return grid_search(train, knn(), GRID, "vec_id", folds=3, parallelism=4)
+    return grid_search(train, knn(), GRID, "vec_id", folds=5, parallelism=4)
 
 
-@query("k14_grid_search", f"WITH {GRID_SQL} SELECT CAST(k AS INTEGER) AS n_neighbors, w AS weights, {r6_sql('f')} AS f1_macro FROM result")
+@query(
+    "k14_grid_search",
+    f"WITH {GRID_SQL} SELECT CAST(k AS INTEGER) AS n_neighbors, w AS weights, metric, {r6_sql('f')} AS f1_macro FROM result",
+)
 def tuned(spark, sf_dir):
-    rows = [(p["n_neighbors"], p["weights"], float(s)) for p, s in search(spark, sf_dir).table]
-    return rounded(spark.createDataFrame(rows, "n_neighbors int, weights string, f1_macro double"), "f1_macro")
+    rows = [(p["n_neighbors"], p["weights"], p["metric"], s) for p, s in search(spark, sf_dir).table]
+    return rounded(spark.createDataFrame(rows, "n_neighbors int, weights string, metric string, f1_macro double"), "f1_macro")
 
 
 @query(
     "a11_tuning_document",
-    f"""WITH {GRID_SQL}, best AS (SELECT * FROM result ORDER BY f DESC, pos LIMIT 1)
-       SELECT 'knn' AS model, {r6_sql('f')} AS best_score, CAST(k AS VARCHAR) AS n_neighbors, 3 AS cv_folds FROM best""",
+    f"""WITH {GRID_SQL}, best AS (SELECT * FROM result ORDER BY ROUND(f, 12) DESC, pos LIMIT 1)
+       SELECT 'knn' AS model, {r6_sql('f')} AS best_score, CAST(k AS VARCHAR) AS n_neighbors, '"' || metric || '"' AS metric,
+         '"' || w || '"' AS weights, 5 AS cv_folds FROM best""",
 )
 def tuning_document(spark, sf_dir):
     path = shared_path(spark, "tuning")
@@ -456,7 +471,8 @@ def tuning_document(spark, sf_dir):
     back = spark.read.schema(
         "model string, best_score double, best_params map<string,string>, cv_folds int, timestamp string"
     ).json(path)
-    return back.select("model", r6(F.col("best_score")).alias("best_score"), F.col("best_params")["n_neighbors"].alias("n_neighbors"), "cv_folds")
+    best = [F.col("best_params")[n].alias(n) for n in ("n_neighbors", "metric", "weights")]
+    return back.select("model", r6(F.col("best_score")).alias("best_score"), *best, "cv_folds")
 
 
 @query("k15_evaluate_saved", f"WITH {EMB_SQL}, {knn_ctes('te', 'tr')}, {metrics_ctes('pred')} SELECT {METRICS_OUT} FROM metrics")

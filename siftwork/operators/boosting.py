@@ -330,6 +330,30 @@ class SoftmaxModel(FittedStage):
         best = F.array_position("probability", F.array_max("probability")) - 1
         return scored.withColumn("prediction", best.cast("double"))
 
+    def staged(self, df: DataFrame, rounds: Sequence[int], out: str) -> DataFrame:
+        """``df`` with an array of the class codes predicted after the given numbers of rounds, in one reading of the trees."""
+        v = self.values
+        held = df.sparkSession.sparkContext.broadcast(compact(v["trees"][: max(rounds)]))
+        edges, depth, classes = v["edges"], v["depth"], v["n_classes"]
+
+        @F.pandas_udf("array<int>")
+        def codes(x: pd.Series) -> pd.Series:
+            if not len(x):
+                return pd.Series([], dtype=object)
+            bins = binned(np.array([np.asarray(r, float) for r in x]), edges)
+            margins = np.zeros((classes, len(x)))
+            best = np.zeros((len(x), len(rounds)), np.int32)
+            for done, trees in enumerate(held.value, 1):
+                for c, tree in enumerate(trees):
+                    margins[c] += tree["value"][routed(bins, tree, depth)]
+                for i, n in enumerate(rounds):
+                    if n == done:
+                        best[:, i] = softmax(margins).argmax(axis=0)
+            return pd.Series(list(best))
+
+        codes = codes.asNondeterministic()
+        return df.withColumn(out, codes(F.col(v["features"]).cast("array<double>")))
+
     def rounds(self, n: int) -> "SoftmaxModel":
         """The model as it was after the first ``n`` rounds."""
         return SoftmaxModel().with_state(**{**self.values, "trees": self.values["trees"][:n]})

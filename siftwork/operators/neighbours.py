@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -226,6 +227,15 @@ class KNNModel(FittedStage):
             .drop("__scores", "__near")
         )
 
+    def staged(self, df: DataFrame, kinds: Sequence[tuple[int, str]], out: str) -> DataFrame:
+        """``df`` with an array of the class codes that every (k, weights) predicts, k up to the model's own."""
+        if max(k for k, _ in kinds) > self.values["k"]:
+            raise ValueError("the model looks for fewer neighbours")
+        near = F.col("__near")
+        votes = [KNNModel().with_state(**{**self.values, "weights": w})._vote(F.slice(near, 1, k)) for k, w in kinds]
+        best = F.transform(F.array(*votes), lambda s: (F.array_position(s, F.array_max(s)) - 1).cast("int"))
+        return self.neighbours(df).withColumn(out, best).drop("__near")
+
     def _vote(self, near: Column) -> Column:
         """Summed weights per class; neighbours at distance 0 outvote all others."""
         exact = near[0]["distances"] == 0  # nearest first

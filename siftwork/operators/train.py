@@ -8,19 +8,21 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from siftwork.functions.columns import col, numeric_columns
 from siftwork.operators.classify import MAX_TREE_DEPTH, NAMES, Classifier, classes_of
 from siftwork.operators.metrics import GAP_LIMIT, classification_report, confusion_counts, confusion_matrix, evaluate
 from siftwork.operators.split import assign_folds
+from siftwork.operators.staged import families, staged_scores
 from siftwork.sources.documents import write_document
 from siftwork.sources.shared import stage
 
@@ -148,7 +150,7 @@ class TrainedModel:
 
 
 class MacroF1(Evaluator):
-    """Macro F1 as a tuning score."""
+    """Macro F1 as a tuning score, for Spark's own tuners."""
 
     def __init__(self, label: str = "label", prediction: str = "prediction"):
         super().__init__()
@@ -205,12 +207,14 @@ def grid_search(
 ) -> SearchResult:
     """Mean macro F1 over stratified folds for every grid point; refits the best on all rows.
 
-    Points that differ only in what the model ignores, or says in two ways, are fitted once and share their score.
+    Points that differ only in what the model ignores, or says in two ways, share their score. Points that one fit can
+    answer (``families``) share the fit: a fold costs one fit and one reading of its rows per family.
     """
     label = estimator.option("label")
     points = grid_points(grid)
     kinds = [effective(estimator.option("model"), p) for p in points]
-    fitted = list(dict.fromkeys(kinds))
+    different = [points[kinds.index(k)] for k in dict.fromkeys(kinds)]
+    groups = families(estimator.option("model"), different)
     features = estimator.option("features")
     held = stage(assign_folds(df, label, key, folds, out="__fold"), "tuning")
     if features is None:
@@ -218,19 +222,22 @@ def grid_search(
         features = numeric_columns(df, exclude=[*estimator.option("exclude"), label, key])
         options = json.loads(estimator.getOrDefault("options"))
         estimator = estimator.copy({estimator.options: json.dumps({**options, "features": features})})
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=[{estimator.options: estimator.options_json(**points[kinds.index(k)])} for k in fitted],
-        evaluator=MacroF1(label),
-        numFolds=folds,
-        foldCol="__fold",
-        parallelism=parallelism,
-        seed=42,
-    )
-    result = search.fit(held.withColumn("__fold", col("__fold").cast("int")))
-    scores = dict(zip(fitted, result.avgMetrics))
-    means = [scores[k] for k in kinds]
-    best = int(np.argmax(means))
-    return SearchResult(
-        estimator.option("model"), float(means[best]), points[best], folds, list(zip(points, means)), result.bestModel
-    )
+
+    def scored(work: tuple[int, list[int]]) -> list[float]:
+        fold, group = work
+        train, rest = (held.where(c).drop("__fold") for c in (F.col("__fold") != fold, F.col("__fold") == fold))
+        return staged_scores(estimator, [different[i] for i in group], train, rest)
+
+    work = [(fold, group) for group in groups for fold in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(inheritable_thread_target(df.sparkSession)(scored), work, chunksize=1)
+    per_fold: dict[int, list[float]] = {}
+    for (_, group), values in zip(work, found):
+        for i, value in zip(group, values):
+            per_fold.setdefault(i, []).append(value)
+    score = {k: float(np.mean(per_fold[i])) for i, k in enumerate(dict.fromkeys(kinds))}
+    means = [score[k] for k in kinds]
+    # Sums over classes come in any order; equal scores shall stay equal.
+    best = int(np.argmax(np.round(means, 12)))
+    fitted = estimator.with_params(**points[best]).fit(held.drop("__fold"))
+    return SearchResult(estimator.option("model"), means[best], points[best], folds, list(zip(points, means)), fitted)
