@@ -96,6 +96,31 @@ def boxes(spark, sf_dir):
     return rounded(box_stats(df, columns, "o_orderpriority"), "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
+MANY = {"l_quantity": "qty", "l_extendedprice": "price"}
+MANY_KEY = "CASE WHEN l_orderkey % 2 = 0 THEN 0 ELSE l_orderkey END"
+
+
+def _many(c: str) -> str:
+    return f"""SELECT k, '{c}' AS column, {r6_sql('ANY_VALUE(q1)')} AS q1, {r6_sql('ANY_VALUE(q2)')} AS median, {r6_sql('ANY_VALUE(q3)')} AS q3,
+  {r6_sql(f'MIN({c}) FILTER (WHERE {c} >= q1 - 1.5 * (q3 - q1))')} AS whisker_low,
+  {r6_sql(f'MAX({c}) FILTER (WHERE {c} <= q3 + 1.5 * (q3 - q1))')} AS whisker_high,
+  COUNT(*) FILTER (WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers
+  FROM lines JOIN (SELECT k, QUANTILE_CONT({c}, 0.25) AS q1, QUANTILE_CONT({c}, 0.5) AS q2, QUANTILE_CONT({c}, 0.75) AS q3
+    FROM lines GROUP BY 1) USING (k) GROUP BY 1"""
+
+
+@query(
+    "l6_box_stats_many_groups",
+    f"""WITH lines AS (SELECT CAST({MANY_KEY} AS BIGINT) AS k, {", ".join(f"CAST({c} AS DOUBLE) AS {n}" for c, n in MANY.items())}
+       FROM lineitem) {' UNION ALL '.join(_many(n) for n in MANY.values())}""",
+)
+def many_boxes(spark, sf_dir):
+    """Box statistics of every second order's lines, a group each, and of all other lines as one hot group."""
+    cells = [F.col(c).cast("double").alias(n) for c, n in MANY.items()]
+    lines = table(spark, sf_dir, "lineitem").select(F.expr(MANY_KEY).cast("bigint").alias("k"), *cells)
+    return rounded(box_stats(lines, list(MANY.values()), "k"), "q1", "median", "q3", "whisker_low", "whisker_high")
+
+
 @query(
     "l7_histogram",
     f"""WITH s AS (SELECT MIN(o_totalprice) AS lo, (MAX(o_totalprice) - MIN(o_totalprice)) / 50 AS w FROM orders),

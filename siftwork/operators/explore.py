@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from siftwork.functions.columns import col, melt_aggregates, numeric_columns
+from siftwork.operators.group_quantiles import group_quantiles, joined_by_group
 from siftwork.operators.quantiles import exact_quantiles
 from siftwork.sources.shared import stage
 
@@ -62,24 +63,29 @@ def top_categories_by_class(df: DataFrame, column: str, target: str, classes: Se
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], by: str | None = None, whisker: float = TUKEY) -> DataFrame:
-    """Quartiles, whisker ends (extreme rows inside the fences) and outlier count, per class and column."""
-    groups = [by] if by is not None else []
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=groups)
-    key_type = dict(df.dtypes)[by] if by is not None else "string"
-    rows = []
-    for key, found in quartiles.items():
-        values = [key[0] if key else None]
+    """Quartiles, whisker ends (extreme rows inside the fences) and outlier count, per class and column.
+
+    There may be any number of classes; ``df`` is read several times.
+    """
+    names = [f"{s}{i}" for i in range(len(columns)) for s in ("q1_", "q2_", "q3_", "lo_", "hi_")]
+    if by is None:
+        quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])[()]
+        values = []
         for c in columns:
-            q1, q2, q3 = found[c]
+            q1, q2, q3 = quartiles[c]
             spread = None if q1 is None else whisker * (q3 - q1)
             values += [q1, q2, q3, None if q1 is None else q1 - spread, None if q1 is None else q3 + spread]
-        rows.append(tuple(values))
-    names = [f"{s}{i}" for i in range(len(columns)) for s in ("q1_", "q2_", "q3_", "lo_", "hi_")]
-    schema = f"__g {key_type}, " + ", ".join(f"{n} double" for n in names)
-    # One row per class; the group count was checked by exact_quantiles.
-    fences = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-    on = col(by).eqNullSafe(F.col("__g")) if by is not None else F.col("__g").isNull()
-    joined = df.select(*[col(c) for c in dict.fromkeys([*groups, *columns])]).join(fences, on)
+        fences = [F.lit(v).cast("double").alias(n) for n, v in zip(names, values)]
+        joined, groups = df.select(*[col(c) for c in columns], *fences), []
+    else:
+        found = group_quantiles(df, columns, [0.25, 0.5, 0.75], [by])
+        cells = []
+        for i in range(len(columns)):
+            q1, q2, q3 = (F.col(f"__q{i}")[j] for j in range(3))
+            cells += [q1, q2, q3, q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)]
+        fences = stage(found.select(col(by), "__n", *[c.alias(n) for n, c in zip(names, cells)]), "fences")
+        rows = df.select(*[col(c) for c in dict.fromkeys([by, *columns])])
+        joined, groups = joined_by_group(rows, [by], fences), [col(by)]
     packed = []
     for i, c in enumerate(columns):
         v, low, high = col(c).cast("double"), F.col(f"lo_{i}"), F.col(f"hi_{i}")
@@ -95,10 +101,8 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: str | None = None, whis
                 F.count_if(~inside).alias("outliers"),
             )
         )
-    aggregated = joined.groupBy(F.col("__g")).agg(F.array(*packed).alias("r"))
-    if by is None:
-        return aggregated.select(F.inline("r"))
-    return aggregated.select(F.col("__g").alias(by), F.inline("r"))
+    aggregated = joined.groupBy(*groups).agg(F.array(*packed).alias("r"))
+    return aggregated.select(*groups, F.inline("r"))
 
 
 KERNEL_REACH = 9.0
