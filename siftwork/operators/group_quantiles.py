@@ -81,12 +81,11 @@ def _percentiles(rows: DataFrame, keys: list[str], width: int, probs: list[float
 
 def _bracketed(rows: DataFrame, keys: list[str], large: DataFrame, width: int, probs: list[float]) -> DataFrame:
     slots = [(i, j) for i in range(width) for j in range(len(probs))]
-    state = _first_brackets(joined_by_group(rows, keys, large), keys, width, probs)
+    state = stage(_first_brackets(joined_by_group(rows, keys, large), keys, width, probs), "brackets")
     limit = max(GROUP_VALUES // len(slots), LEAST_VALUES)
     is_open = reduce(Column.__or__, [F.col(f"s{i}_{j}.open") for i, j in slots])
     closed = []
     while True:
-        state = stage(state, "brackets")
         closed.append(state.where(~is_open))
         going = state.where(is_open)
         if going.isEmpty():
@@ -95,9 +94,13 @@ def _bracketed(rows: DataFrame, keys: list[str], large: DataFrame, width: int, p
         kept = [F.first(c).alias(c) for c in state.columns if c not in keys]
         counts = [_counts(F.col(f"__v{i}"), F.col(f"s{i}_{j}"), limit).alias(f"r{i}_{j}") for i, j in slots]
         counted = met.groupBy(*keys).agg(*kept, *counts)
-        again = [_narrowed(F.col(f"s{i}_{j}"), F.col(f"r{i}_{j}"), F.col(f"__edges{i}")).alias(f"s{i}_{j}") for i, j in slots]
+        # One expression for all slots, as an array: written out per slot it would be too large to compile.
+        each = [F.struct(F.col(f"s{i}_{j}").alias("s"), F.col(f"r{i}_{j}").alias("r"), F.col(f"__edges{i}").alias("e")) for i, j in slots]
+        judged = F.transform(F.array(*each), lambda x: F.struct(x["s"].alias("s"), x["r"].alias("r"), x["e"].alias("e"), _answer(x["s"], x["r"]).alias("a")))
         edges = [f"__edges{i}" for i in range(width)]
-        state = counted.select(*keys, "__n", *edges, *again)
+        narrowed = counted.select(*keys, "__n", *edges, F.transform(judged, lambda x: _narrowed(x["s"], x["r"], x["e"], x["a"])).alias("slots"))
+        narrowed = stage(narrowed, "narrowed")
+        state = narrowed.select(*keys, "__n", *edges, *[F.col("slots")[n].alias(f"s{i}_{j}") for n, (i, j) in enumerate(slots)])
     done = reduce(DataFrame.unionByName, closed)
     answers = [F.array(*[F.col(f"s{i}_{j}.answer") for j in range(len(probs))]).alias(f"__q{i}") for i in range(width)]
     return done.select(*keys, "__n", *answers)
@@ -141,35 +144,43 @@ def _counts(v: Column, s: Column, limit: int) -> Column:
         F.count_if((v == s["high"]) & (s["high"] > s["low"])).alias("at_high"),
         F.max(F.when(v < s["low"], v)).alias("before"),
         F.min(F.when(v > s["high"], v)).alias("after"),
-        F.collect_list(F.when(inside & few, v)).alias("values"),
+        F.sort_array(F.collect_list(F.when(inside & few, v))).alias("values"),
         F.percentile_approx(F.when(inside & ~few, v), grid, F.lit(ACCURACY)).alias("grid"),
     )
 
 
-def _narrowed(s: Column, r: Column, e: Column) -> Column:
-    """The bracket after a pass: answered, or with edges nearer to its rank."""
+def _answer(s: Column, r: Column) -> Column:
+    """The quantile, where its rank and the next lie on known values; else null."""
     start = r["below"] + r["at_low"]
     end = start + r["inside"]
-    held = F.sort_array(r["values"])
 
     def value_at(rank: Column) -> Column:
         return (
             F.when(rank == r["below"] - 1, r["before"])
             .when(rank < r["below"], None)
             .when(rank < start, s["low"])
-            .when(rank < end, F.get(held, (rank - start).cast("int")))
+            .when(rank < end, F.get(r["values"], (rank - start).cast("int")))
             .when(rank < end + r["at_high"], s["high"])
             .when(rank == end + r["at_high"], r["after"])
         )
 
-    first, second = value_at(s["rank"]), value_at(s["rank"] + 1)
-    answer = F.when(s["fraction"] == 0, first).otherwise(first + s["fraction"] * (second - first))
-    share = (s["rank"] - start) / F.greatest(r["inside"], F.lit(1)) * GRID
-    left, right = F.floor(share).cast("int") - 2, F.floor(share).cast("int") + 3
+    first = value_at(s["rank"])
+    return F.when(s["fraction"] == 0, first).otherwise(first + s["fraction"] * (value_at(s["rank"] + 1) - first))
+
+
+def _narrowed(s: Column, r: Column, e: Column, answer: Column) -> Column:
+    """The bracket after a pass: answered, or with edges nearer to its rank."""
+    start = r["below"] + r["at_low"]
+    end = start + r["inside"]
+    place = F.floor((s["rank"] - start) / F.greatest(r["inside"], F.lit(1)) * GRID).cast("int")
+
+    def edge(at: Column, old: Column) -> Column:
+        return F.coalesce(F.when(at >= 0, F.get(r["grid"], F.greatest(at, F.lit(0)))), old)
+
     on_left, on_right = s["rank"] < r["below"], s["rank"] >= end + r["at_high"]
-    low = F.when(on_left, e["least"]).when(on_right, s["high"]).otherwise(F.coalesce(F.when(left >= 0, F.get(r["grid"], F.greatest(left, F.lit(0)))), s["low"]))
-    high = F.when(on_left, s["low"]).when(on_right, e["most"]).otherwise(F.coalesce(F.when(right >= 0, F.get(r["grid"], F.greatest(right, F.lit(0)))), s["high"]))
-    fewer = F.when(on_left, r["below"].cast("double")).when(on_right, e["n"].cast("double")).otherwise(r["inside"] * 8.0 / GRID + 8.0)
-    moved = _state(s["rank"], s["fraction"], low, high, fewer, answer, F.lit(True))
+    low = F.when(on_left, e["least"]).when(on_right, s["high"]).otherwise(edge(place - 2, s["low"]))
+    high = F.when(on_left, s["low"]).when(on_right, e["most"]).otherwise(edge(place + 3, s["high"]))
+    inside = F.when(on_left, r["below"].cast("double")).when(on_right, e["n"].cast("double")).otherwise(r["inside"] * 8.0 / GRID + 8.0)
+    moved = _state(s["rank"], s["fraction"], low, high, inside, answer, F.lit(True))
     ended = _state(s["rank"], s["fraction"], s["low"], s["high"], s["expected"], F.coalesce(s["answer"], answer), F.lit(False))
     return F.when(~s["open"] | answer.isNotNull(), ended).otherwise(moved)
