@@ -9,13 +9,15 @@ table, which Spark sums; the rates themselves stay in the table.
 Without given targets the domains' present shares are flattened by the power ``flatten``.  Tokens are words.
 
 The classifier is a softmax regression on hashed words, trained with NumPy on at most ``max_labelled`` labelled documents,
-those with the smallest hashes of their ids.  Null texts have no words: they get the posterior of an empty text and weigh
+those with the smallest hashes of their ids, and ``least_each`` of every domain that has fewer among these, so each labelled
+domain is learned, however rare.  Null texts have no words: they get the posterior of an empty text and weigh
 nothing.  Labelled rows with a null domain or id are not learned from.  Without any labelled row there is one domain.
 Rows with equal ids are judged each by its own text.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -78,8 +80,11 @@ def softmax_fit(x: np.ndarray, y: np.ndarray, classes: int, *, epochs: int = 200
     return theta[:-1], theta[-1]
 
 
-def fit_domains(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", domain: str = "lang", max_labelled: int = 4000) -> DomainModel:
-    """Trains on documents that ``labels`` covers; their ``domain`` column is what is to be told from the text."""
+def fit_domains(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", domain: str = "lang", max_labelled: int = 4000, least_each: int = 16) -> DomainModel:
+    """Trains on documents that ``labels`` covers; their ``domain`` column is what is to be told from the text.
+
+    At most ``max_labelled`` documents, and ``least_each`` of each domain that these leave short.
+    """
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "body", 1_000_000):
@@ -95,6 +100,7 @@ def fit_domains(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
     covered = labels.select(F.col(f"`{key}`").cast("string").alias("id")).distinct()
     ranked = rows.select("id", "print", "domain").join(covered, "id", "left_semi").distinct()
     chosen = [tuple(r) for r in ranked.orderBy(F.xxhash64(F.lit("domains"), "id"), "id", "print", "domain").limit(max_labelled).collect()]
+    chosen += rare_rows(ranked, chosen, least_each)
     if not chosen:
         return DomainModel(["all"], np.zeros((BUCKETS, 1)), np.zeros(1))
     few = F.broadcast(df.sparkSession.createDataFrame(chosen, "id string, print long, domain string"))
@@ -107,6 +113,17 @@ def fit_domains(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
     return DomainModel(domains, weights, base)
 
 
+def rare_rows(ranked: DataFrame, chosen: list[tuple], least_each: int) -> list[tuple]:
+    """Up to ``least_each`` further rows of every domain with fewer than that among the chosen: the least hash of each of so many cells."""
+    held = Counter(d for _, _, d in chosen)
+    enough = [d for d, n in held.items() if n >= least_each]
+    cell = F.pmod(F.xxhash64(F.lit("cells"), "id", "print"), F.lit(least_each))
+    first = F.min(F.struct(F.xxhash64(F.lit("domains"), "id").alias("h"), "id", "print")).alias("first")
+    short = ranked.where(~F.col("domain").isin(enough)) if enough else ranked
+    found = short.groupBy("domain", cell.alias("cell")).agg(first).select("first.id", "first.print", "domain")
+    return sorted(set(map(tuple, found.collect())) - set(chosen))
+
+
 def memberships(df: DataFrame, model: DomainModel, key: str, text: str) -> DataFrame:
     """Per row: id, print of the text, words, posterior."""
 
