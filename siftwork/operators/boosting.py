@@ -1,9 +1,11 @@
 """Gradient boosting with the softmax loss, grown level by level on binned features.
 
 A round grows one tree per class.  Rows lie in blocks of binned features with their margins; a level is one Spark job:
-every block sums gradients and Hessians by (class, node, feature, bin), the sums are added up before and after one
-shuffle, the best split of every node is found where its sums are, and only that, a row per node and feature, comes to the driver.  Leaf values carry
-an L1 and an L2 penalty, rows are sampled per round by a hash of the row, features per tree.
+every partition sums gradients and Hessians by (class, node, feature, bin).  As long as the sums of all partitions are
+small they are added up on the driver, which saves a shuffle per level; else a shuffle adds them up, the best split of
+every node is found where its sums are, and only that, a row per node and feature, comes to the driver.  Leaf values
+carry an L1 and an L2 penalty, rows are sampled per round by a hash of the row, features per tree.  Blocks are an RDD:
+hundreds of short jobs on the same few arrays need no query plan each.
 
 Gradients are rounded to 2**-24 and added as whole numbers, so for given edges a model depends neither on partitions nor
 on their order.  Edges that aren't given come from a mergeable sketch, each within a ten-thousandth of its rank.
@@ -15,17 +17,16 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from siftwork.operators.state import FittedStage, OptionEstimator
-from siftwork.sources.shared import stage
+from siftwork.sources.shared import shared_dir, stage
 
 register_pickle_by_value(sys.modules[__name__])
 
@@ -34,6 +35,7 @@ BLOCK_ROWS = 65_536
 TASK_ROWS = 8_192
 ROUNDS_BETWEEN_WRITES = 10
 EDGE_ACCURACY = 10_000
+GATHERED_BYTES = 32 * 1024 * 1024
 LEAF = -1
 
 
@@ -80,21 +82,22 @@ def leaf_value(g, h, alpha: float, l2: float):
     return -shrunk(g, alpha) / (h + l2)
 
 
-def best_split(g: np.ndarray, h: np.ndarray, alpha: float, l2: float, least: float) -> tuple[float, int]:
-    """Gain and bin (rows up to it go left) of the best split of a node by one feature; the first of equal ones."""
-    left_g, left_h = np.cumsum(g)[:-1], np.cumsum(h)[:-1]
-    right_g, right_h = g.sum() - left_g, h.sum() - left_h
+def best_splits(g: np.ndarray, h: np.ndarray, alpha: float, l2: float, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Gain and bin (rows up to it go left) of the best split of every node (a row of bins) by one feature; the first of equal ones."""
+    if g.shape[1] < 2:
+        return np.full(len(g), -np.inf), np.zeros(len(g), int)
+    left_g, left_h = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
+    all_g, all_h = g.sum(axis=1, keepdims=True), h.sum(axis=1, keepdims=True)
+    right_g, right_h = all_g - left_g, all_h - left_h
 
     def score(a, b):
         return shrunk(a, alpha) ** 2 / (b + l2)
 
-    gain = score(left_g, left_h) + score(right_g, right_h) - score(g.sum(), h.sum())
+    gain = score(left_g, left_h) + score(right_g, right_h) - score(all_g, all_h)
     # A side without rows is no split, whatever the least weight.
     gain = np.where((left_h >= least) & (right_h >= least) & (left_h > 0) & (right_h > 0), gain, -np.inf)
-    if not len(gain):
-        return -np.inf, 0
-    at = int(np.argmax(gain))
-    return float(gain[at]), at
+    at = gain.argmax(axis=1)
+    return gain[np.arange(len(g)), at], at
 
 
 BLOCKS = "n int, bins binary, label binary, row binary, margins binary"
@@ -159,17 +162,23 @@ class SoftmaxBooster(OptionEstimator):
             raise ValueError("no rows to learn from")
         edges = self._edges(rows, width)
         # A task should have enough rows to be worth a job per level.
-        blocks = stage(packed(rows.coalesce(-(-n // TASK_ROWS)), edges, opt["n_classes"]), "boosting-blocks").persist(StorageLevel.MEMORY_AND_DISK)
+        table = stage(packed(rows.coalesce(-(-n // TASK_ROWS)), edges, opt["n_classes"]), "boosting-blocks")
+        context = df.sparkSession.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(shared_dir(df.sparkSession))
+        blocks = table.rdd.map(lambda r: Block(*map(bytes_or_int, r))).persist(StorageLevel.MEMORY_AND_DISK)
         held = [blocks]
         trees: list[list[dict]] = []
         draw = np.random.default_rng(opt["seed"])
         for number in range(opt["n_estimators"]):
             trees.append(grown(blocks, opt, width, max(map(len, edges)) + 1, number, draw))
-            later = advanced(blocks, trees[-1], opt)
-            # Margins stay in memory or on the executors' disks; a written table cuts what a lost one would repeat.
-            later = stage(later, "boosting-blocks") if (number + 1) % ROUNDS_BETWEEN_WRITES == 0 else later
-            held.append(later.persist(StorageLevel.MEMORY_AND_DISK))
-            blocks = later
+            if number + 1 == opt["n_estimators"]:
+                break
+            blocks = advanced(blocks, trees[-1], opt).persist(StorageLevel.MEMORY_AND_DISK)
+            # Margins stay in memory or on the executors' disks; what is written cuts what a lost one would repeat.
+            if (number + 1) % ROUNDS_BETWEEN_WRITES == 0:
+                blocks.checkpoint()
+            held.append(blocks)
             # The round before last is behind everything that is held.
             if len(held) > 2:
                 held.pop(0).unpersist()
@@ -199,7 +208,19 @@ def packed(rows: DataFrame, edges: list, classes: int) -> DataFrame:
     return rows.mapInPandas(pack, BLOCKS)
 
 
-def unpacked(block, opt: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+class Block(NamedTuple):
+    n: int
+    bins: bytes
+    label: bytes
+    row: bytes
+    margins: bytes
+
+
+def bytes_or_int(cell):
+    return bytes(cell) if isinstance(cell, bytearray) else cell
+
+
+def unpacked(block: Block, opt: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bins, labels, row hashes and margins of a block."""
     n = block.n
     bins = np.frombuffer(block.bins, np.uint8).reshape(-1, n)
@@ -207,18 +228,15 @@ def unpacked(block, opt: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return bins, np.frombuffer(block.label, np.int32), np.frombuffer(block.row, np.int64).view(np.uint64), margins
 
 
-def advanced(blocks: DataFrame, trees: list[dict], opt: dict) -> DataFrame:
+def advanced(blocks: RDD, trees: list[dict], opt: dict) -> RDD:
     """The blocks with the trees' values added to their margins."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for block in frame.itertuples(index=False):
-                bins, _, _, margins = unpacked(block, opt)
-                more = [np.asarray(tree["value"])[routed(bins, tree, opt["max_depth"])] for tree in trees]
-                margins = margins + np.array(more)
-                yield pd.DataFrame([block._replace(margins=margins.tobytes())], columns=list(block._fields))
+    def run(block: Block) -> Block:
+        bins, _, _, margins = unpacked(block, opt)
+        more = [np.asarray(tree["value"])[routed(bins, tree, opt["max_depth"])] for tree in trees]
+        return block._replace(margins=(margins + np.array(more)).tobytes())
 
-    return blocks.mapInPandas(run, BLOCKS)
+    return blocks.map(run)
 
 
 def sampled_features(opt: dict, width: int, draw: np.random.Generator) -> list[list[int]]:
@@ -227,59 +245,65 @@ def sampled_features(opt: dict, width: int, draw: np.random.Generator) -> list[l
     return [sorted(draw.choice(width, most, replace=False).tolist()) for _ in range(opt["n_classes"])]
 
 
-def histograms(blocks: DataFrame, growing: list[dict], opened: list[list[int]], allowed: list[list[int]], opt: dict, bins_of: int, number: int) -> DataFrame:
-    """Sums of gradients and Hessians over all blocks: one row per class, open node and feature."""
+def histograms(blocks: RDD, growing: list[dict], opened: list[list[int]], allowed: list[list[int]], opt: dict, bins_of: int, number: int) -> RDD:
+    """Sums of gradients and Hessians (2, open nodes, bins) by class and feature, one of each from every partition."""
 
-    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sums(some: Iterator[Block]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
         held: dict[tuple[int, int], np.ndarray] = {}
-        for frame in frames:
-            for block in frame.itertuples(index=False):
-                bins, label, row, margins = unpacked(block, opt)
-                taken = np.flatnonzero(mixed(row, opt["seed"] * 1_000_003 + number) < np.uint64(min(opt["subsample"], 1.0) * (2**64 - 2048)))
-                share = softmax(margins)[:, taken]
-                for c, tree in enumerate(growing):
-                    if not opened[c]:
-                        continue
-                    place = np.full(len(tree["feature"]), -1)
-                    place[opened[c]] = np.arange(len(opened[c]))
-                    at = place[routed(bins[:, taken], tree, opt["max_depth"])]
-                    mine = np.flatnonzero(at >= 0)
-                    p = share[c, mine]
-                    g = np.rint((p - (label[taken[mine]] == c)) * UNIT)
-                    h = np.rint(np.maximum(2.0 * p * (1.0 - p), 1e-16) * UNIT)
-                    size = len(opened[c]) * bins_of
-                    for j in allowed[c]:
-                        spot = at[mine] * bins_of + bins[j, taken[mine]]
-                        both = np.stack([np.bincount(spot, g, size), np.bincount(spot, h, size)])
-                        held[c, j] = held.get((c, j), 0) + both
-        out = []
-        for (c, j), both in held.items():
-            both = both.reshape(2, -1, bins_of)
-            out += [(c, opened[c][i], j, both[:, i].ravel()) for i in np.flatnonzero(both[1].any(axis=1)).tolist()]
-        yield pd.DataFrame(out, columns=["class", "node", "feature", "sums"])
-
-    found = blocks.mapInPandas(sums, "class int, node int, feature int, sums array<double>")
-    added = found.groupBy("class", "node", "feature").agg(Summarizer.sum(array_to_vector("sums")).alias("sums"))
-    return added.select("class", "node", "feature", vector_to_array("sums").alias("sums"))
-
-
-def splits(found: DataFrame, opt: dict) -> DataFrame:
-    """Per class, node and feature: the best split with the sums of its left side and of the node."""
-
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for c, node, j, sums in frame.itertuples(index=False):
-                # Whole numbers, but for the last bits that the summarizer's running means cost.
-                g, h = np.rint(np.asarray(sums)).reshape(2, -1) / UNIT
-                gain, at = best_split(g, h, opt["reg_alpha"], opt["reg_lambda"], opt["min_child_weight"])
-                out.append((c, node, gain, -j, at, g[: at + 1].sum(), h[: at + 1].sum(), g.sum(), h.sum()))
-            yield pd.DataFrame(out, columns=["class", "node", "gain", "minus", "bin", "lg", "lh", "g", "h"])
+        for block in some:
+            bins, label, row, margins = unpacked(block, opt)
+            taken = np.flatnonzero(mixed(row, opt["seed"] * 1_000_003 + number) < np.uint64(min(opt["subsample"], 1.0) * (2**64 - 2048)))
+            share, label, bins = softmax(margins)[:, taken], label[taken], bins[:, taken]
+            for c, tree in enumerate(growing):
+                if not opened[c]:
+                    continue
+                place = np.full(len(tree["feature"]), -1)
+                place[opened[c]] = np.arange(len(opened[c]))
+                at = place[routed(bins, tree, opt["max_depth"])]
+                mine = np.flatnonzero(at >= 0)
+                start = at[mine] * bins_of
+                p = share[c, mine]
+                g = np.rint((p - (label[mine] == c)) * UNIT)
+                h = np.rint(np.maximum(2.0 * p * (1.0 - p), 1e-16) * UNIT)
+                size = len(opened[c]) * bins_of
+                for j in allowed[c]:
+                    spot = start + bins[j, mine]
+                    both = np.stack([np.bincount(spot, g, size), np.bincount(spot, h, size)]).astype(np.int64)
+                    held[c, j] = held.get((c, j), 0) + both.reshape(2, -1, bins_of)
+        yield from held.items()
+
+    return blocks.mapPartitions(sums)
+
+
+def offers(key: tuple[int, int], both: np.ndarray, opened: list[list[int]], opt: dict) -> list[dict]:
+    """The best split of every open node of a class by one feature, with the sums of its left side and of the node."""
+    c, j = key
+    g, h = both / UNIT
+    gain, at = best_splits(g, h, opt["reg_alpha"], opt["reg_lambda"], opt["min_child_weight"])
+    out = []
+    for i in np.flatnonzero(both[1].any(axis=1)).tolist():
+        left = slice(int(at[i]) + 1)
+        sums = dict(lg=float(g[i, left].sum()), lh=float(h[i, left].sum()), g=float(g[i].sum()), h=float(h[i].sum()))
+        out.append({"class": c, "node": opened[c][i], "gain": float(gain[i]), "minus": -j, "bin": int(at[i]), **sums})
+    return out
+
 
-    return found.mapInPandas(judge, "class int, node int, gain double, minus int, bin int, lg double, lh double, g double, h double")
+def all_offers(blocks: RDD, growing: list[dict], opened: list[list[int]], allowed: list[list[int]], opt: dict, bins_of: int, number: int) -> list[dict]:
+    """A row per open node and feature. Few and small histograms are added up here, more or larger ones in a shuffle first."""
+    found = histograms(blocks, growing, opened, allowed, opt, bins_of, number)
+    pairs = sum(len(nodes) > 0 for nodes in opened) * len(allowed[0])
+    size = sum(len(nodes) * len(mine) for nodes, mine in zip(opened, allowed)) * bins_of * 16
+    parts = blocks.getNumPartitions()
+    if parts * size > GATHERED_BYTES:
+        added = found.reduceByKey(np.add, min(parts, pairs))
+        return added.flatMap(lambda kv: offers(*kv, opened, opt)).collect()
+    held: dict[tuple[int, int], np.ndarray] = {}
+    for key, both in found.collect():
+        held[key] = held.get(key, 0) + both
+    return [offer for kv in held.items() for offer in offers(*kv, opened, opt)]
 
 
-def grown(blocks: DataFrame, opt: dict, width: int, bins_of: int, number: int, draw: np.random.Generator) -> list[dict]:
+def grown(blocks: RDD, opt: dict, width: int, bins_of: int, number: int, draw: np.random.Generator) -> list[dict]:
     """One tree per class as heaps: children of node i are 2i+1 and 2i+2."""
     depth, classes = opt["max_depth"], opt["n_classes"]
     size = 2 ** (depth + 1) - 1
@@ -289,9 +313,9 @@ def grown(blocks: DataFrame, opt: dict, width: int, bins_of: int, number: int, d
     for _ in range(depth):
         if not any(opened):
             break
-        offers = splits(histograms(blocks, trees, opened, allowed, opt, bins_of, number), opt).collect()
-        # A row per node and feature; of equal gains the first feature.
-        best = {(r["class"], r["node"]): r for r in sorted(offers, key=lambda r: (r["gain"], r["minus"]))}
+        found = all_offers(blocks, trees, opened, allowed, opt, bins_of, number)
+        # Of equal gains the first feature.
+        best = {(r["class"], r["node"]): r for r in sorted(found, key=lambda r: (r["gain"], r["minus"]))}
         opened = [[] for _ in range(classes)]
         for _, r in sorted(best.items()):
             tree, node = trees[r["class"]], r["node"]

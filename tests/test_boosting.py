@@ -105,3 +105,30 @@ def test_missing_cells_one_class_and_bad_arguments(spark):
     with pytest.raises(ValueError, match="max_bins"):
         bo.SoftmaxBooster(max_bins=500)
     assert model.transform(df.where("id < 0")).collect() == []
+
+
+def test_a_level_is_one_stage_and_large_sums_are_added_in_a_shuffle(spark, monkeypatch):
+    """Few sums: one job of one stage a level. More than the limit: a shuffle adds them up; same trees."""
+    df, _, _ = rows(spark, 400, parts=4)
+    options = dict(n_classes=3, n_estimators=2, max_depth=3, max_bins=16, key="id")
+    monkeypatch.setattr(bo, "TASK_ROWS", 100)
+    stages = []
+    kept = bo.all_offers
+
+    def counted(*args):
+        context = spark.sparkContext
+        context.setJobGroup(name := f"level-{len(stages)}-{bo.GATHERED_BYTES}", "a level of trees")
+        found = kept(*args)
+        jobs = [context.statusTracker().getJobInfo(i) for i in context.statusTracker().getJobIdsForGroup(name)]
+        stages.append(sum(len(j.stageIds) for j in jobs))
+        context._jsc.clearJobGroup()
+        return found
+
+    monkeypatch.setattr(bo, "all_offers", counted)
+    gathered = bo.SoftmaxBooster(**options).fit(df)
+    assert set(stages) == {1}
+    stages.clear()
+    monkeypatch.setattr(bo, "GATHERED_BYTES", 0)
+    shuffled = bo.SoftmaxBooster(**options).fit(df)
+    assert set(stages) == {2}
+    assert gathered.values["trees"] == shuffled.values["trees"]
