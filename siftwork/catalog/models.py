@@ -216,15 +216,18 @@ def kernel_features(spark, sf_dir):
     cells = [(F.col(c) / scale).alias(c) for c, scale in KERNEL_AXES.items()]
     rows = stage(graded(spark, sf_dir).select("code", array_to_vector(F.array(*cells)).alias("v")))
     model = NystroemFeatures("v", "z", 300, 1.0).fit(rows)
-    mapped = model.transform(rows).select("code", vector_to_array("v").alias("v"), vector_to_array("z").alias("z"))
+    probes = rows.orderBy("code").limit(PROBES).collect()
+    points = [p["v"].toArray().tolist() for p in probes]
+    close = model.products(rows, points, "close").select(vector_to_array("v").alias("v"), "close")
+    cells = [F.col("v")[j].alias(f"x{j}") for j in range(len(KERNEL_AXES))]
+    close = close.select(*cells, *[F.col("close")[i].alias(f"close{i}") for i in range(len(points))])
     out = []
-    for p in mapped.orderBy("code").limit(PROBES).collect():
-        gaps = F.zip_with("v", F.lit(p["v"]), lambda a, b: (a - b) * (a - b))
-        exact = F.exp(-F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b))
-        close = F.aggregate(F.zip_with("z", F.lit(p["z"]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-        worst = F.max(F.abs(exact - close)) <= 1e-3
+    for i, (p, at) in enumerate(zip(probes, points)):
+        gaps = [(F.col(f"x{j}") - F.lit(x)) * (F.col(f"x{j}") - F.lit(x)) for j, x in enumerate(at)]
+        exact = F.exp(-sum(gaps[1:], gaps[0]))
+        worst = F.max(F.abs(exact - F.col(f"close{i}"))) <= 1e-3
         out.append(F.struct(F.lit(p["code"]).cast("bigint").alias("code"), F.count(F.lit(1)).alias("rows"), r6(F.avg(exact)).alias("kernel_mean"), worst.alias("within")))
-    return mapped.agg(F.array(*out).alias("found")).select(F.inline("found"))
+    return close.agg(F.array(*out).alias("found")).select(F.inline("found"))
 
 
 @query("k4_random_forest")

@@ -70,7 +70,7 @@ class NystroemFeatures(OptionEstimator):
                 return pd.Series([], dtype=float)
             near = kernel(np.stack(x.to_list()), pilot, gamma)
             # Not cut off at 1: rows that the pilot doesn't span at all come first.
-            return pd.Series(np.maximum((1.0 - np.einsum("ij,jk,ik->i", near, inverse, near)) / weight, 1e-12))
+            return pd.Series(np.maximum((1.0 - ((near @ inverse) * near).sum(axis=1)) / weight, 1e-12))
 
         # The smallest of exponential times with these rates: a sample without replacement by weight.
         chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "x"), 11) + F.lit(0.5)) * F.lit(2.0**-53)
@@ -91,10 +91,14 @@ def first_rows(rows: DataFrame, order: Column, size: int) -> np.ndarray:
 
 
 class NystroemModel(FittedStage):
+    def _arrays(self) -> tuple[np.ndarray, np.ndarray, float]:
+        v = self.values
+        return np.array(v["landmarks"]), np.array(v["projection"]), v["gamma"]
+
     def _transform(self, df: DataFrame) -> DataFrame:
         v = self.values
-        held = df.sparkSession.sparkContext.broadcast((np.array(v["landmarks"]), np.array(v["projection"])))
-        gamma = v["gamma"]
+        landmarks, matrix, gamma = self._arrays()
+        held = df.sparkSession.sparkContext.broadcast((landmarks, matrix))
 
         @F.pandas_udf("array<double>")
         def project(x: pd.Series) -> pd.Series:
@@ -105,3 +109,18 @@ class NystroemModel(FittedStage):
 
         project = project.asNondeterministic()  # evaluate once, wherever the result is used
         return df.withColumn(v["output"], array_to_vector(project(vector_to_array(F.col(v["input"])))))
+
+    def products(self, df: DataFrame, others: np.ndarray, out: str) -> DataFrame:
+        """``df`` with the dot products of every row's features with those of some other points; features stay in their task."""
+        landmarks, matrix, gamma = self._arrays()
+        held = df.sparkSession.sparkContext.broadcast((landmarks, matrix, (kernel(np.asarray(others, float), landmarks, gamma) @ matrix).T))
+
+        @F.pandas_udf("array<double>")
+        def multiply(x: pd.Series) -> pd.Series:
+            if not len(x):
+                return pd.Series([], dtype=object)
+            landmarks, matrix, points = held.value
+            return pd.Series(list(kernel(np.stack(x.to_list()), landmarks, gamma) @ matrix @ points))
+
+        multiply = multiply.asNondeterministic()
+        return df.withColumn(out, multiply(vector_to_array(F.col(self.values["input"]))))

@@ -46,3 +46,16 @@ def test_partitions_copies_and_reload(spark, tmp_path):
     assert NystroemModel.load(str(tmp_path / "m")).values == one.values
     with pytest.raises(ValueError, match="no rows"):
         NystroemFeatures(gamma=1.0).fit(table(spark, x).where("i < 0"))
+
+
+def test_products_with_other_points(spark):
+    """Dot products come without the features: a number per other point leaves the task."""
+    x = np.random.default_rng(5).normal(size=(90, 3))
+    df = table(spark, x)
+    model = NystroemFeatures(size=40, gamma=0.4).fit(df)
+    z = mapped(model, df)
+    found = model.products(df, x[:7], "products")
+    assert found.columns == [*df.columns, "products"]
+    got = np.array([r["products"] for r in sorted(found.collect(), key=lambda r: r["i"])])
+    np.testing.assert_allclose(got, z @ z[:7].T, atol=1e-8)
+    assert model.products(df.where("i < 0"), x[:7], "products").collect() == []
