@@ -10,12 +10,7 @@ import json
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    LinearSVC,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -23,6 +18,7 @@ from siftwork.functions import presets
 from siftwork.functions.columns import col, numeric_columns
 from siftwork.operators.boosting import SoftmaxBooster
 from siftwork.operators.encode import LabelCoder
+from siftwork.operators.kernel_machine import fit_machines
 from siftwork.operators.metrics import balanced_weights
 from siftwork.operators.neighbours import KNNClassifier
 from siftwork.operators.nystroem import NystroemFeatures
@@ -192,19 +188,14 @@ class Classifier(OptionEstimator):
     def _fit_svm(self, train, params, classes) -> list:
         if params["kernel"] != "rbf":
             raise ValueError("only the rbf kernel is approximated")
+        train = stage(train, "kernel-train")
         features = NystroemFeatures(VECTOR, KERNEL, params["components"], params["gamma"], self.option("seed")).fit(train)
-        train = stage(features.transform(train), "kernel-features")
         weighted, extra = self._weighted(train, params)
-        machine = LinearSVC(
-            maxIter=params["max_iter"],
-            regParam=1.0 / (params["C"] * train.count()),
-            standardization=False,
-            **extra,
-        )
-        rest = OneVsRest(classifier=machine, featuresCol=KERNEL, labelCol=LABEL, **extra).fit(weighted)
-        margins = stage(rest.transform(weighted).select(vector_to_array(F.col(RAW)).alias("margins"), LABEL), "margins")
+        penalty = 1.0 / (params["C"] * train.count())
+        machine = fit_machines(weighted, LABEL, extra.get("weightCol"), len(classes), features, penalty, params["max_iter"])
+        margins = stage(machine.transform(train).select(vector_to_array(F.col(RAW)).alias("margins"), LABEL), "margins")
         slopes, offsets = platt_scales(margins, len(classes))
-        return [features, rest, MarginProbability().with_state(slopes=slopes, offsets=offsets)]
+        return [machine, MarginProbability().with_state(slopes=slopes, offsets=offsets)]
 
     def _fit_knn(self, train, params, classes) -> list:
         key = self.option("key")
