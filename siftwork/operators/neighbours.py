@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 20_000
 MAX_PIVOTS = 1_024
 ASKING = "__asking"
+TILE_ROWS, TILE_POINTS = 256, 2_048
 
 
 def _powers(metric: str, p: float) -> float:
@@ -54,6 +55,13 @@ def listed_distances(rows: np.ndarray, points: np.ndarray, p: float) -> np.ndarr
     return gap.sum(axis=2) if p == 1 else (gap**p).sum(axis=2) ** (1 / p)
 
 
+def _rough(rows: np.ndarray, points: np.ndarray, p: float) -> np.ndarray:
+    """Distances by the quickest formula: squared and with rounding for p = 2."""
+    if p != 2:
+        return distances(rows, points, p)
+    return (rows * rows).sum(axis=1)[:, None] + (points * points).sum(axis=1)[None, :] - 2 * rows @ points.T
+
+
 def _ordered(exact: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """First k of each row by distance, then by position (points are sorted by id)."""
     by_id = np.argsort(near, axis=1)
@@ -62,37 +70,67 @@ def _ordered(exact: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, n
     return np.take_along_axis(exact, order, 1), np.take_along_axis(near, order, 1)
 
 
+def _tiles(points: np.ndarray) -> range:
+    return range(0, len(points), TILE_POINTS)
+
+
+def _kept(part: np.ndarray, points: np.ndarray, spare: int, p: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rough distances and positions of the ``spare`` nearest points of each row, and its farthest rough distance."""
+    rough, near = np.zeros((len(part), 0)), np.zeros((len(part), 0), np.int64)
+    far = np.zeros(len(part))
+    for start in _tiles(points):
+        tile = _rough(part, points[start : start + TILE_POINTS], p)
+        far = np.maximum(far, tile.max(axis=1))
+        if tile.shape[1] > spare:
+            best = np.argpartition(tile, spare - 1, axis=1)[:, :spare]
+            tile = np.take_along_axis(tile, best, 1)
+        else:
+            best = np.broadcast_to(np.arange(tile.shape[1]), tile.shape)
+        rough, near = np.hstack([rough, tile]), np.hstack([near, best + start])
+        if rough.shape[1] > spare:
+            best = np.argpartition(rough, spare - 1, axis=1)[:, :spare]
+            rough, near = np.take_along_axis(rough, best, 1), np.take_along_axis(near, best, 1)
+    return rough, near, far
+
+
+def _within(part: np.ndarray, points: np.ndarray, limit: np.ndarray, k: int, p: float) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest of each row among all points whose rough distance is within its limit (at least k are)."""
+    row, at, gap = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    for start in _tiles(points):
+        tile = points[start : start + TILE_POINTS]
+        r, c = np.nonzero(_rough(part, tile, p) <= limit[:, None])
+        exact = [listed_distances(part[r[i : i + TILE_POINTS]], tile[c[i : i + TILE_POINTS], None], p)[:, 0] for i in range(0, len(r), TILE_POINTS)]
+        row, at, gap = np.concatenate([row, r]), np.concatenate([at, c + start]), np.concatenate([gap, *exact])
+        order = np.lexsort((at, gap, row))
+        row, at, gap = row[order], at[order], gap[order]
+        first = np.searchsorted(row, row)
+        kept = np.arange(len(row)) - first < k
+        row, at, gap = row[kept], at[kept], gap[kept]
+    return gap.reshape(len(part), k), at.reshape(len(part), k)
+
+
 def search(rows: np.ndarray, points: np.ndarray, ids: np.ndarray, codes: np.ndarray, k: int, p: float) -> pd.DataFrame:
-    """Per row the k nearest points, ordered by distance then id."""
-    by_id = np.argsort(ids)
-    points, ids, codes = points[by_id], ids[by_id], codes[by_id]
+    """Per row the k nearest points, ordered by distance then id. A tile of rows by points is held at a time."""
+    if (ids[1:] < ids[:-1]).any():
+        by_id = np.argsort(ids)
+        points, ids, codes = points[by_id], ids[by_id], codes[by_id]
     k = min(k, len(points))
     spare = min(k + 8, len(points))
-    norms = (points * points).sum(axis=1)
-    parts = []
-    for start in range(0, len(rows), 256):
-        part = rows[start : start + 256]
-        if p == 2:
-            own = (part * part).sum(axis=1)
-            rough = own[:, None] + norms[None, :] - 2 * part @ points.T
-            # The shortcut formula rounds; this bounds its error.
-            slack = 4e-13 * points.shape[1] * (own + norms.max()) + 1e-300
-        else:
-            rough = distances(part, points, p)
-            slack = 4e-12 * rough.max(axis=1)
-        near = np.argpartition(rough, spare - 1, axis=1)[:, :spare]
+    longest = max(((tile := points[s : s + TILE_POINTS]) * tile).sum(axis=1).max() for s in _tiles(points))
+    found = {"distances": [], "ids": [], "codes": []}
+    for start in range(0, len(rows), TILE_ROWS):
+        part = rows[start : start + TILE_ROWS]
+        rough, near, far = _kept(part, points, spare, p)
+        # The shortcut formula rounds; this bounds its error.
+        slack = 4e-13 * points.shape[1] * ((part * part).sum(axis=1) + longest) + 1e-300 if p == 2 else 4e-12 * far
         exact, best = _ordered(listed_distances(part, points[near], p), near, k)
         if spare < len(points):
             # Points left out are at least as far as the farthest one kept, give or take the error.
-            left_out = np.take_along_axis(rough, near, 1).max(axis=1) - slack
+            left_out = rough.max(axis=1) - slack
             reached = exact[:, -1] ** 2 if p == 2 else exact[:, -1]
-            for i in np.flatnonzero(left_out <= reached + slack):
-                close = np.flatnonzero(rough[i] <= reached[i] + 2 * slack[i])[None, :]
-                gaps = listed_distances(part[i : i + 1], points[close], p)
-                exact[i], best[i] = (x[0] for x in _ordered(gaps, close, k))
-        parts.append((exact, best))
-    found = {"distances": [], "ids": [], "codes": []}
-    for exact, best in parts:
+            again = np.flatnonzero(left_out <= reached + slack)
+            if len(again):
+                exact[again], best[again] = _within(part[again], points, (reached + 2 * slack)[again], k, p)
         found["distances"].extend(exact)
         found["ids"].extend(ids[best].tolist())
         found["codes"].extend(codes[best])
@@ -113,6 +151,12 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, dtype=float) for x in series]) if len(series) else np.zeros((0, 1))
 
 
+def _parts(series: pd.Series) -> Iterator[np.ndarray]:
+    """A batch's rows, as many at a time as a tile has."""
+    for start in range(0, len(series), TILE_ROWS):
+        yield _matrix(series.iloc[start : start + TILE_ROWS])
+
+
 class KNNClassifier(OptionEstimator):
     """k nearest neighbours over an ``array<double>`` feature column with an integer class code.
 
@@ -189,9 +233,14 @@ class KNNClassifier(OptionEstimator):
 
         @F.pandas_udf("struct<cell int, reach double>")
         def nearest_pivot(x: pd.Series) -> pd.DataFrame:
-            gaps = distances(_matrix(x), held.value, p)
-            cell = gaps.argmin(axis=1)
-            return pd.DataFrame({"cell": cell.astype("int32"), "reach": gaps[np.arange(len(cell)), cell]})
+            cells, reach = [], []
+            for part in _parts(x):
+                gaps = distances(part, held.value, p)
+                cells.append(gaps.argmin(axis=1).astype("int32"))
+                reach.append(gaps.min(axis=1))
+            if not cells:
+                return pd.DataFrame({"cell": np.zeros(0, "int32"), "reach": np.zeros(0)})
+            return pd.DataFrame({"cell": np.concatenate(cells), "reach": np.concatenate(reach)})
 
         placed = points.withColumn("place", nearest_pivot("x")).select("id", "code", "x", "place.cell", "place.reach")
         path = shared_path(points.sparkSession, "cells")
@@ -267,7 +316,7 @@ class KNNModel(FittedStage):
         v = self.values
         k, p = v["k"], v["p"]
         # fit() checked that all points fit into the broadcast limit.
-        points = df.sparkSession.read.parquet(v["path"]).select("id", "code", "x").toArrow()
+        points = df.sparkSession.read.parquet(v["path"]).select("id", "code", "x").toArrow().sort_by("id")
         cells = points["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         held = df.sparkSession.sparkContext.broadcast(
             (cells.reshape(len(points), -1), _names(points["id"].to_pandas()), points["code"].to_numpy().astype("int32"))
@@ -299,21 +348,27 @@ class KNNModel(FittedStage):
         def nearest_cells(x: pd.Series) -> pd.Series:
             """The nearest cells that together hold k points."""
             centre, names, sizes, _, _ = held.value
-            order = np.argsort(distances(_matrix(x), centre, p), axis=1)
-            needed = (np.cumsum(sizes[order], axis=1) < k).sum(axis=1) + 1
-            return pd.Series([names[o[:n]] for o, n in zip(order, needed)])
+            out = []
+            for part in _parts(x):
+                order = np.argsort(distances(part, centre, p), axis=1)
+                needed = (np.cumsum(sizes[order], axis=1) < k).sum(axis=1) + 1
+                out += [names[o[:n]] for o, n in zip(order, needed)]
+            return pd.Series(out, dtype=object)
 
         @F.pandas_udf("array<int>")
         def other_cells(x: pd.Series, limit: pd.Series, seen: pd.Series) -> pd.Series:
             """Cells not seen yet that may hold a point within the limit."""
             centre, names, _, low, high = held.value
-            gaps = distances(_matrix(x), centre, p)
-            # A point lies within its cell's radius, beyond its inner radius, and nearer to its own pivot.
-            lower = np.maximum(gaps - high[None, :], low[None, :] - gaps)
-            lower = np.maximum(lower, (gaps - gaps.min(axis=1, keepdims=True)) / 2)
-            edge = limit.to_numpy()[:, None]
-            visit = lower <= edge * (1 + 1e-9) + 1e-12
-            return pd.Series([np.setdiff1d(names[r], s) for r, s in zip(visit, seen)])
+            edges, known, out = limit.to_numpy(), seen.to_list(), []
+            for part in _parts(x):
+                gaps = distances(part, centre, p)
+                # A point lies within its cell's radius, beyond its inner radius, and nearer to its own pivot.
+                lower = np.maximum(gaps - high[None, :], low[None, :] - gaps)
+                lower = np.maximum(lower, (gaps - gaps.min(axis=1, keepdims=True)) / 2)
+                mine = slice(len(out), len(out) + len(part))
+                visit = lower <= edges[mine, None] * (1 + 1e-9) + 1e-12
+                out += [np.setdiff1d(names[r], s) for r, s in zip(visit, known[mine])]
+            return pd.Series(out, dtype=object)
 
         # Every asking row has a number of its own, fixed by writing it; keys may be repeated or missing.
         df = stage(df.withColumn(ASKING, F.monotonically_increasing_id()), "asking-rows")

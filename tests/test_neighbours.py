@@ -117,3 +117,30 @@ def test_asking_rows_need_no_key(spark, points, kind):
     for rows in odd.values():
         got = {r["row"]: [n["ids"] for n in r["__near"]] for r in model.neighbours(rows).collect()}
         assert got == {i: ids for i, (ids, _) in expected.items()}
+
+
+@pytest.mark.parametrize("p", [1, 2, 3])
+@pytest.mark.parametrize("copies", [1, 50])
+def test_search_holds_a_tile_at_a_time(p, copies):
+    """Memory of a search doesn't grow with its points; ties and copies in different tiles go by id."""
+    import tracemalloc
+
+    from siftwork.operators.neighbours import search
+
+    draw = np.random.default_rng(p)
+    rows = draw.normal(size=(256, 4)).round(1)
+    points = np.tile(draw.normal(size=(40_000 // copies, 4)).round(2), (copies, 1))
+    ids = draw.permutation(len(points))
+    ids.sort()
+    tracemalloc.start()
+    got = search(rows, points, ids, np.zeros(len(points), "int32"), 5, p)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All distances at once are 82 MB.
+    assert peak < 60e6
+    for i in range(0, 256, 16):
+        d = (np.abs(points - rows[i]) ** p).sum(axis=1) ** (1 / p)
+        order = np.lexsort((ids, d.round(12)))[:5]
+        np.testing.assert_allclose(got.distances[i], d[order], atol=1e-9)
+        if copies > 1 and p < 3:
+            assert got.ids[i] == ids[order].tolist()
