@@ -32,6 +32,7 @@ BLOCK_ROWS = 20_000
 MAX_PIVOTS = 1_024
 ASKING = "__asking"
 TILE_ROWS, TILE_POINTS = 256, 2_048
+DENSE = 4  # a span is searched whole where a row needs at least this part of its points
 
 
 def _powers(metric: str, p: float) -> float:
@@ -55,58 +56,166 @@ def listed_distances(rows: np.ndarray, points: np.ndarray, p: float) -> np.ndarr
     return gap.sum(axis=2) if p == 1 else (gap**p).sum(axis=2) ** (1 / p)
 
 
-def _rough(rows: np.ndarray, points: np.ndarray, p: float) -> np.ndarray:
-    """Distances by the quickest formula: squared and with rounding for p = 2."""
-    if p != 2:
-        return distances(rows, points, p)
-    return (rows * rows).sum(axis=1)[:, None] + (points * points).sum(axis=1)[None, :] - 2 * rows @ points.T
+class Rough:
+    """Lower bounds of the distances to a set of points, by the quickest arithmetic that tells most points apart.
 
+    ``tile`` gives values per row and point; a point within ``gap`` of a row never has a value above ``limit``.
 
-def _ordered(exact: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """First k of each row by distance, then by position (points are sorted by id)."""
-    by_id = np.argsort(near, axis=1)
-    near, exact = np.take_along_axis(near, by_id, 1), np.take_along_axis(exact, by_id, 1)
-    order = np.argsort(exact, axis=1, kind="stable")[:, :k]
-    return np.take_along_axis(exact, order, 1), np.take_along_axis(near, order, 1)
-
-
-def _tiles(points: np.ndarray) -> range:
-    return range(0, len(points), TILE_POINTS)
-
+    * Squared distances: single precision, one matrix product.  What it may be off by grows with the point's own size,
+      and is taken off there, so that a far point blurs no other.
+    * Sums of differences: whole numbers of 15 bits on a grid over the points' range; rows beyond it are moved to its
+      edge, which takes the same from all distances.  Where the grid is too coarse: single precision.
+    * All else, and what is not finite or beyond single precision: plain differences in double precision.
+    """
 
-def _kept(part: np.ndarray, points: np.ndarray, spare: int, p: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rough distances and positions of the ``spare`` nearest points of each row, and its farthest rough distance."""
-    rough, near = np.zeros((len(part), 0)), np.zeros((len(part), 0), np.int64)
-    far = np.zeros(len(part))
-    for start in _tiles(points):
-        tile = _rough(part, points[start : start + TILE_POINTS], p)
-        far = np.maximum(far, tile.max(axis=1))
-        if tile.shape[1] > spare:
-            best = np.argpartition(tile, spare - 1, axis=1)[:, :spare]
-            tile = np.take_along_axis(tile, best, 1)
+    def __init__(self, points: np.ndarray, p: float):
+        self.points, self.p, self.kind = points, p, "plain"
+        n, d = points.shape
+        if p not in (1, 2) or not n or not d or d > 10_000 or not all(np.isfinite(points[s]).all() for s in self.parts(n)):
+            return
+        self.low, self.high = points.min(axis=0), points.max(axis=0)
+        some = points[:: max(1, n // 10_000)]
+        self.centre = np.median(some, axis=0)
+        away = np.abs(some - self.centre).sum(axis=1).mean()
+        self.error = 2.4e-7 * (d + 8)
+        if not 1e-100 < away < 1e100:
+            return
+        if p == 1:
+            self.step = float((self.high - self.low).sum()) / (32_000 - 2 * d) if d < 8_000 else math.inf
+            if 0 < self.step * d <= 0.05 * away:
+                self.kind, self.held = "grid", np.empty((d, n), np.int16)
+                for s in self.parts(n):
+                    self.held[:, s] = np.rint((points[s] - self.low) / self.step).T
+                return
+        self.scale = away
+        if max(np.abs(self.low - self.centre).max(), np.abs(self.high - self.centre).max()) > 1e12 * away:
+            return
+        self.kind, self.held = "single", np.empty((d + 1, n), np.float32)
+        for s in self.parts(n):
+            x = (points[s] - self.centre) / away
+            if p == 2:
+                self.held[:d, s], self.held[d, s] = -2 * x.T, (x * x).sum(axis=1) * (1 - self.error)
+            else:
+                self.held[:d, s], self.held[d, s] = x.T, -np.abs(x).sum(axis=1) * self.error
+
+    @staticmethod
+    def parts(n: int) -> Iterator[slice]:
+        return (slice(s, s + TILE_POINTS) for s in range(0, n, TILE_POINTS))
+
+    def rows(self, part: np.ndarray) -> "RoughRows":
+        return RoughRows(self, part)
+
+
+class RoughRows:
+    """A few asking rows, made ready for the arithmetic of a ``Rough``."""
+
+    def __init__(self, rough: Rough, part: np.ndarray):
+        self.rough, self.part, self.kind = rough, part, rough.kind
+        if self.kind == "grid" and np.isfinite(part).all():
+            inside = np.clip(part, rough.low, rough.high)
+            self.outside = np.abs(part - inside).sum(axis=1)
+            # What double precision may round in distances of this size, in steps.
+            self.rounding = 4e-15 * (part.shape[1] + 4) * (self.outside / rough.step + 32_000)
+            self.ready = np.rint((inside - rough.low) / rough.step).astype(np.int16)
+        elif self.kind == "single":
+            x = (part - rough.centre) / rough.scale
+            # Beside a row this far off, all points look alike in single precision.
+            if not np.abs(x).max(initial=0) < 1e3:
+                self.kind = "plain"
+                return
+            self.size = (x * x).sum(axis=1) if rough.p == 2 else np.abs(x).sum(axis=1)
+            self.ready = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
         else:
-            best = np.broadcast_to(np.arange(tile.shape[1]), tile.shape)
-        rough, near = np.hstack([rough, tile]), np.hstack([near, best + start])
-        if rough.shape[1] > spare:
-            best = np.argpartition(rough, spare - 1, axis=1)[:, :spare]
-            rough, near = np.take_along_axis(rough, best, 1), np.take_along_axis(near, best, 1)
-    return rough, near, far
-
-
-def _within(part: np.ndarray, points: np.ndarray, limit: np.ndarray, k: int, p: float) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest of each row among all points whose rough distance is within its limit (at least k are)."""
-    row, at, gap = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    for start in _tiles(points):
-        tile = points[start : start + TILE_POINTS]
-        r, c = np.nonzero(_rough(part, tile, p) <= limit[:, None])
-        exact = [listed_distances(part[r[i : i + TILE_POINTS]], tile[c[i : i + TILE_POINTS], None], p)[:, 0] for i in range(0, len(r), TILE_POINTS)]
-        row, at, gap = np.concatenate([row, r]), np.concatenate([at, c + start]), np.concatenate([gap, *exact])
-        order = np.lexsort((at, gap, row))
-        row, at, gap = row[order], at[order], gap[order]
-        first = np.searchsorted(row, row)
-        kept = np.arange(len(row)) - first < k
-        row, at, gap = row[kept], at[kept], gap[kept]
-    return gap.reshape(len(part), k), at.reshape(len(part), k)
+            self.kind = "plain"
+
+    def tile(self, start: int, stop: int) -> np.ndarray:
+        r = self.rough
+        if self.kind == "plain":
+            return distances(self.part, r.points[start:stop], r.p)
+        held = r.held[:, start:stop]
+        if self.kind == "single" and r.p == 2:
+            return self.ready @ held
+        d = r.points.shape[1]
+        total = np.zeros((len(self.part), held.shape[1]), held.dtype)
+        if self.kind == "single":
+            total += held[d]
+        gap = np.empty_like(total)
+        for j in range(d):
+            np.subtract(self.ready[:, j, None], held[j], out=gap)
+            np.abs(gap, out=gap)
+            np.add(total, gap, out=total)
+        return total
+
+    def limit(self, gap: np.ndarray) -> np.ndarray:
+        r = self.rough
+        with np.errstate(over="ignore", invalid="ignore"):
+            if self.kind == "plain":
+                return gap * (1 + 1e-11)
+            if self.kind == "grid":
+                return np.clip((gap - self.outside) / r.step + self.rounding + r.points.shape[1] + 2, -1, 32_767).astype(np.int16)
+            gap = gap / r.scale * (1 + 1e-11)
+            whole = gap * gap - self.size if r.p == 2 else gap
+            return (whole + r.error * self.size + 1e-6 * np.abs(whole) + 1e-30).astype(np.float32)
+
+    def first(self, tile: np.ndarray, k: int) -> np.ndarray:
+        """A limit that leaves in the k nearest of a tile, when no distance is known yet."""
+        edge = np.partition(tile, k - 1, axis=1)[:, k - 1].astype(float)
+        if self.kind == "plain":
+            return edge * (1 + 1e-11)
+        if self.kind == "grid":
+            return edge + 2 * self.rough.points.shape[1] + 4 + 2 * self.rounding
+        return edge + self.rough.error * (12 * self.size + 6 * np.abs(edge)) + 1e-30
+
+
+class Nearest:
+    """The ``k`` nearest points of some rows so far: by exact distance, then by position (points are sorted by id)."""
+
+    def __init__(self, part: np.ndarray, points: np.ndarray, k: int, p: float):
+        self.part, self.points, self.k, self.p = part, points, k, p
+        self.row, self.at, self.gap = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.found: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, row: np.ndarray, at: np.ndarray) -> None:
+        self.found.append((row, at))
+        self.waiting += len(row)
+
+    def settle(self) -> None:
+        """Measures what was added, and forgets what is too far."""
+        row, at = (np.concatenate(x) for x in zip(*self.found)) if self.found else (self.row[:0], self.at[:0])
+        self.found, self.waiting = [], 0
+        for s in range(0, len(row), 64 * TILE_ROWS):
+            r, c = row[s : s + 64 * TILE_ROWS], at[s : s + 64 * TILE_ROWS]
+            exact = [listed_distances(self.part[r[i : i + TILE_POINTS]], self.points[c[i : i + TILE_POINTS], None], self.p)[:, 0] for i in range(0, len(r), TILE_POINTS)]
+            r, c, g = np.concatenate([self.row, r]), np.concatenate([self.at, c]), np.concatenate([self.gap, *exact])
+            order = np.lexsort((c, g, r))
+            r, c, g = r[order], c[order], g[order]
+            kept = np.arange(len(r)) - np.searchsorted(r, r) < self.k
+            self.row, self.at, self.gap = r[kept], c[kept], g[kept]
+
+    def reach(self) -> np.ndarray:
+        """Distance of each row's k-th."""
+        return self.gap.reshape(len(self.part), self.k)[:, -1]
+
+
+def _nearest(part: np.ndarray, rough: Rough, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances and positions of the k nearest points of each row."""
+    points, asking = rough.points, rough.rows(part)
+    best = Nearest(part, points, k, rough.p)
+    first = min(len(points), max(TILE_POINTS, k))
+    tile = asking.tile(0, first)
+    best.add(*np.nonzero(~(tile > asking.first(tile, k)[:, None])))
+    best.settle()
+    limit = asking.limit(best.reach())[:, None]
+    for start in range(first, len(points), TILE_POINTS):
+        tile = asking.tile(start, start + TILE_POINTS)
+        row, at = np.divmod(np.flatnonzero(~(tile > limit)), tile.shape[1])
+        best.add(row, at + start)
+        if best.waiting > 16 * TILE_ROWS:
+            best.settle()
+            limit = asking.limit(best.reach())[:, None]
+    best.settle()
+    return best.gap.reshape(len(part), k), best.at.reshape(len(part), k)
 
 
 def search(rows: np.ndarray, points: np.ndarray, ids: np.ndarray, codes: np.ndarray, k: int, p: float) -> pd.DataFrame:
@@ -115,22 +224,10 @@ def search(rows: np.ndarray, points: np.ndarray, ids: np.ndarray, codes: np.ndar
         by_id = np.argsort(ids)
         points, ids, codes = points[by_id], ids[by_id], codes[by_id]
     k = min(k, len(points))
-    spare = min(k + 8, len(points))
-    longest = max(((tile := points[s : s + TILE_POINTS]) * tile).sum(axis=1).max() for s in _tiles(points))
+    rough = Rough(points, p)
     found = {"distances": [], "ids": [], "codes": []}
     for start in range(0, len(rows), TILE_ROWS):
-        part = rows[start : start + TILE_ROWS]
-        rough, near, far = _kept(part, points, spare, p)
-        # The shortcut formula rounds; this bounds its error.
-        slack = 4e-13 * points.shape[1] * ((part * part).sum(axis=1) + longest) + 1e-300 if p == 2 else 4e-12 * far
-        exact, best = _ordered(listed_distances(part, points[near], p), near, k)
-        if spare < len(points):
-            # Points left out are at least as far as the farthest one kept, give or take the error.
-            left_out = rough.max(axis=1) - slack
-            reached = exact[:, -1] ** 2 if p == 2 else exact[:, -1]
-            again = np.flatnonzero(left_out <= reached + slack)
-            if len(again):
-                exact[again], best[again] = _within(part[again], points, (reached + 2 * slack)[again], k, p)
+        exact, best = _nearest(rows[start : start + TILE_ROWS], rough, k)
         found["distances"].extend(exact)
         found["ids"].extend(ids[best].tolist())
         found["codes"].extend(codes[best])
@@ -157,6 +254,16 @@ def _parts(series: pd.Series) -> Iterator[np.ndarray]:
         yield _matrix(series.iloc[start : start + TILE_ROWS])
 
 
+def spans_of(pivots: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
+    """Per cell the number of its span: cells that lie together and hold about ``rows`` points."""
+    away = pivots - pivots.mean(axis=0)
+    along = np.argsort(away @ np.linalg.svd(away, full_matrices=False)[2][0], kind="stable")
+    before = np.cumsum(count[along]) - count[along]
+    span = np.empty(len(count), np.int64)
+    span[along] = np.unique(before // rows, return_inverse=True)[1]
+    return span
+
+
 class KNNClassifier(OptionEstimator):
     """k nearest neighbours over an ``array<double>`` feature column with an integer class code.
 
@@ -334,7 +441,11 @@ class KNNModel(FittedStage):
         return found.withColumn("__near", zipped).drop("__found")
 
     def _by_cells(self, df: DataFrame) -> DataFrame:
-        """Two joins: the nearest cells give each row a k-th distance, which then rules out most other cells."""
+        """Two joins: the nearest cells give each row a k-th distance, which then rules out other cells.
+
+        In many dimensions few are ruled out.  A row then goes to spans of cells, not to each cell, so what moves is the
+        rows times the points by ``block_rows``.
+        """
         v = self.values
         k, p, spark = v["k"], v["p"], df.sparkSession
         cells = sorted(v["cells"])
@@ -355,11 +466,14 @@ class KNNModel(FittedStage):
                 out += [names[o[:n]] for o, n in zip(order, needed)]
             return pd.Series(out, dtype=object)
 
+        span = spans_of(pivots, count, v["block_rows"])
+        inside = np.where(span[:, None] == np.arange(span.max() + 1)[None, :], count[:, None], 0)
+
         @F.pandas_udf("array<int>")
-        def other_cells(x: pd.Series, limit: pd.Series, seen: pd.Series) -> pd.Series:
-            """Cells not seen yet that may hold a point within the limit."""
+        def reached(x: pd.Series, limit: pd.Series) -> pd.Series:
+            """Cells that may hold a point within the limit; a span of cells that is needed for the most part is one place (-1 - span)."""
             centre, names, _, low, high = held.value
-            edges, known, out = limit.to_numpy(), seen.to_list(), []
+            edges, out = limit.to_numpy(), []
             for part in _parts(x):
                 gaps = distances(part, centre, p)
                 # A point lies within its cell's radius, beyond its inner radius, and nearer to its own pivot.
@@ -367,43 +481,52 @@ class KNNModel(FittedStage):
                 lower = np.maximum(lower, (gaps - gaps.min(axis=1, keepdims=True)) / 2)
                 mine = slice(len(out), len(out) + len(part))
                 visit = lower <= edges[mine, None] * (1 + 1e-9) + 1e-12
-                out += [np.setdiff1d(names[r], s) for r, s in zip(visit, known[mine])]
+                whole = visit @ inside * DENSE >= inside.sum(axis=0)
+                visit &= ~whole[:, span]
+                out += [np.concatenate([names[c], -1 - np.flatnonzero(w).astype("int32")]) for c, w in zip(visit, whole)]
             return pd.Series(out, dtype=object)
 
         # Every asking row has a number of its own, fixed by writing it; keys may be repeated or missing.
         df = stage(df.withColumn(ASKING, F.monotonically_increasing_id()), "asking-rows")
         asking = df.select(F.col(ASKING).alias("q"), col(v["features"]).cast("array<double>").alias("x"))
         asking = stage(asking.withColumn("seen", nearest_cells("x")), "asking")
-        first = stage(self._search_cells(asking.select("q", "x", F.explode("seen").alias("cell"))), "near-cells")
+        whole = {-1 - int(i): int(count[span == i].sum()) for i in range(span.max() + 1)}
+        places = {int(c): {int(c): int(n), -1 - int(i): whole[-1 - int(i)]} for c, n, i in zip(number, count, span)}
+        near = self._search_places(asking.select("q", "x", F.col("seen").alias("places")), places)
         limit = F.array_max(F.slice(F.array_sort(F.flatten(F.collect_list("distances"))), 1, k))
-        limits = first.groupBy("q").agg(limit.alias("limit"), F.sum(F.size("distances")).alias("n"))
+        limits = near.groupBy("q").agg(limit.alias("limit"), F.sum(F.size("distances")).alias("n"))
         # Fewer than k points in reach means that there are no more: any distance will do.
         limits = limits.select("q", F.when(F.col("n") >= k, F.col("limit")).otherwise(float("inf")).alias("limit"))
         bounded = asking.join(limits, "q")
-        reach = bounded.withColumn("more", other_cells.asNondeterministic()("x", "limit", "seen"))
-        rest = stage(reach.select("q", "x", F.explode("more").alias("cell")), "far-cells")
-        candidates = first.unionByName(self._search_cells(rest))
+        # A row travels once per place, so its places are written as a list.
+        reach = stage(bounded.select("q", "x", reached.asNondeterministic()("x", "limit").alias("places")), "reach")
+        candidates = self._search_places(reach, places)
         every = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("distances", "ids", "codes"))))
         merged = candidates.groupBy("q").agg(F.slice(every, 1, k).alias("__near"))
         return df.join(merged, F.col(ASKING) == F.col("q"), "left").drop("q", ASKING)
 
-    def _search_cells(self, visits: DataFrame) -> DataFrame:
-        """For every (q, x, cell) the k nearest points of each block of that cell."""
+    def _search_places(self, asking: DataFrame, places: dict[int, dict[int, int]]) -> DataFrame:
+        """For every (q, x) and each of its places the k nearest points of each block of that place.
+
+        ``places`` names for every cell the places that hold it, with the number of their points.
+        """
         v = self.values
         k, p, rows = v["k"], v["p"], v["block_rows"]
-        # One row per cell, at most MAX_PIVOTS.
-        load = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
-        shape = [(c, -(-n // rows), -(-load[c] // rows)) for c, n, *_ in v["cells"] if c in load]
-        plan = F.broadcast(visits.sparkSession.createDataFrame(shape, "cell int, blocks bigint, copies bigint"))
+        visits = asking.select("q", "x", F.explode("places").alias("place"))
+        # One row per place, at most twice MAX_PIVOTS.
+        load = {r["place"]: r["count"] for r in visits.groupBy("place").count().collect()}
+        shape = [(c, u, -(-n // rows), -(-load[u] // rows)) for c, held in places.items() for u, n in held.items() if u in load]
+        plan = F.broadcast(asking.sparkSession.createDataFrame(shape, "cell int, place int, blocks bigint, copies bigint"))
+        once = F.broadcast(asking.sparkSession.createDataFrame(list({x[1:] for x in shape}), "place int, blocks bigint, copies bigint"))
         zero = F.lit(0).cast("bigint")
         every_copy = F.explode(F.sequence(zero, F.col("copies") - 1)).alias("copy")
         every_block = F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block")
-        points = visits.sparkSession.read.parquet(v["cell_path"]).join(plan, "cell")
+        points = asking.sparkSession.read.parquet(v["cell_path"]).join(plan, "cell")
         right = points.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).select(
-            "cell", "block", every_copy, "id", "code", "x"
+            "place", "block", every_copy, "id", "code", "x"
         )
-        left = visits.join(plan, "cell").withColumn("copy", F.pmod(F.xxhash64("q"), F.col("copies"))).select(
-            "cell", every_block, "copy", "q", "x"
+        left = visits.join(once, "place").withColumn("copy", F.pmod(F.xxhash64("q"), F.col("copies"))).select(
+            "place", every_block, "copy", "q", "x"
         )
 
         def within_block(asking: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -414,6 +537,6 @@ class KNNModel(FittedStage):
             found.insert(0, "q", asking["q"].to_numpy())
             return found
 
-        keys = ["cell", "block", "copy"]
+        keys = ["place", "block", "copy"]
         schema = f"q {dict(visits.dtypes)['q']}, {self._candidates()}"
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(within_block, schema)

@@ -144,3 +144,56 @@ def test_search_holds_a_tile_at_a_time(p, copies):
         np.testing.assert_allclose(got.distances[i], d[order], atol=1e-9)
         if copies > 1 and p < 3:
             assert got.ids[i] == ids[order].tolist()
+
+
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("kind", ["cloud", "grid", "copies", "offset", "outliers", "mixed", "huge", "same"])
+def test_quick_arithmetic_loses_no_neighbour(kind, p):
+    """Bounds in single precision or whole numbers: the lists are those of plain double precision, ties by id."""
+    from siftwork.operators.neighbours import Rough, listed_distances, search
+
+    draw = np.random.default_rng(p)
+    x = draw.normal(size=(5000, 6))
+    if kind == "grid":
+        x = x.round(1)
+    elif kind == "copies":
+        x = np.tile(x[:50], (100, 1))
+    elif kind == "offset":
+        x = x * 1e-3 + 1e6
+    elif kind == "outliers":
+        x[::500] *= 1e9
+    elif kind == "mixed":
+        x[:, 0] *= 1e8
+    elif kind == "huge":
+        x *= 1e120
+    elif kind == "same":
+        x[:] = 1.0
+    if kind == "cloud":
+        assert Rough(x, p).kind == {1: "grid", 2: "single"}[p]
+    asking, ids = np.vstack([x[:60], x[:40] * 1.5 + 0.1, x[:20] * 1e6]), np.arange(len(x))
+    got = search(asking, x, ids, np.zeros(len(x), "int32"), 7, p)
+    for i, row in enumerate(asking):
+        gaps = listed_distances(row[None], x[None], p)[0]
+        order = np.lexsort((ids, gaps))[:7]
+        assert got.ids[i] == order.tolist()
+        np.testing.assert_array_equal(got.distances[i], gaps[order])
+
+
+def test_rows_that_need_most_cells_travel_once_per_span(spark, monkeypatch):
+    """In 16 dimensions hardly a cell is ruled out; a row goes to spans of cells then."""
+    draw = np.random.default_rng(3)
+    cloud = [(i, i % 3, x.tolist()) for i, x in enumerate(draw.normal(size=(600, 16)))]
+    points = spark.createDataFrame(cloud, "id bigint, label int, features array<double>")
+    model = KNNClassifier(n_neighbors=5, broadcast_bytes=0, block_rows=200).fit(points)
+    asking = points.where("id < 50")
+    visits, search_places = [], KNNModel._search_places
+
+    def counted(self, rows, places):
+        visits.append(rows.agg(F.sum(F.size("places"))).first()[0])
+        return search_places(self, rows, places)
+
+    monkeypatch.setattr(KNNModel, "_search_places", counted)
+    got = {r["id"]: [n["ids"] for n in r["__near"]] for r in model.neighbours(asking).collect()}
+    assert got == {i: ids for i, (ids, _) in brute(points, asking, 5, 2).items()}
+    # 24 cells in four spans at most.
+    assert visits[1] <= 50 * 6
