@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from siftwork.llm.common import find_words, slices, text_of
+from siftwork.sources.shared import stage
 
 STEMS = (3, 4, 5, 6)
 MARKS = ".,;:!?¿¡\"'()[]{}«»„“”‘’…-–—*#$%&|<>_/\\"
@@ -112,30 +113,46 @@ def nnpu_fit(
     return theta[:size], float(theta[size])
 
 
-def select_inputs(positive: list[np.ndarray], rest: list[np.ndarray], most: int, least_count: int = 4) -> np.ndarray:
+def tallied(positive: DataFrame, rest: DataFrame, least_count: int = 4) -> list[tuple]:
+    """Input, and how many positives and how many of the rest have it; of those that ``least_count`` positives have."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            known, times = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in frame["inputs"]] or [np.empty(0, "<u4")]), return_counts=True)
+            yield pd.DataFrame({"input": known.astype(np.int64), "n": times})
+
+    none = F.lit(0).cast("long")
+    one, other = (x.select("inputs").mapInPandas(count, "input long, n long") for x in (positive, rest))
+    both = one.select("input", F.col("n").alias("p"), none.alias("u")).unionByName(other.select("input", none.alias("p"), F.col("n").alias("u")))
+    sums = both.groupBy("input").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    return [tuple(r) for r in sums.where(F.col("p") >= least_count).collect()]
+
+
+def select_inputs(tallies: list[tuple], positives: int, others: int, most: int) -> np.ndarray:
     """Hashes that are commoner among positives than in the rest, the most telling first; ties by hash."""
-    known, in_p = np.unique(np.concatenate(positive), return_counts=True)
-    others, counts = np.unique(np.concatenate(rest), return_counts=True)
-    at = np.searchsorted(others, known)
-    at[at == len(others)] = 0
-    in_u = np.where(others[at] == known, counts[at], 0)
-    p, u = in_p / len(positive), in_u / len(rest)
-    mean = (in_p + in_u) / (len(positive) + len(rest))
-    spread = np.sqrt(mean * (1 - mean) * (1 / len(positive) + 1 / len(rest))) + 1e-12
+    known, in_p, in_u = np.array(tallies, np.int64).reshape(-1, 3).T
+    known = known.astype(np.uint32)
+    p, u = in_p / positives, in_u / others
+    mean = (in_p + in_u) / (positives + others)
+    spread = np.sqrt(mean * (1 - mean) * (1 / positives + 1 / others)) + 1e-12
     z = (p - u) / spread
-    good = np.flatnonzero((z > 4.0) & (in_p >= least_count))
+    good = np.flatnonzero(z > 4.0)
     return known[good[np.lexsort((known[good], -z[good]))][:most]]
 
 
-def presence(rows: list[np.ndarray], inputs: np.ndarray) -> np.ndarray:
-    """Rows by inputs, 1 where a row has the input."""
-    order = np.argsort(inputs)
-    out = np.zeros((len(rows), len(inputs)), np.float32)
+def presence(sample: DataFrame, inputs: np.ndarray) -> np.ndarray:
+    """Rows by inputs, 1 where a row has the input; a bit per input travels."""
+
+    def bits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [np.packbits(np.isin(inputs, np.frombuffer(x, "<u4"))).tobytes() for x in frame["inputs"]]
+            yield frame[["rank", "id", "print"]].assign(bits=found)
+
+    # The order is fixed, for the mini-batches depend on it.
+    rows = sorted(map(tuple, sample.mapInPandas(bits, "rank long, id string, print long, bits binary").collect()))
+    out = np.empty((len(rows), len(inputs)), np.uint8)
     for i, row in enumerate(rows):
-        at = np.searchsorted(inputs, row, sorter=order)
-        at[at == len(inputs)] = 0
-        at = order[at]
-        out[i, at[inputs[at] == row]] = 1.0
+        out[i] = np.unpackbits(np.frombuffer(row[3], np.uint8), count=len(inputs))
     return out
 
 
@@ -144,10 +161,10 @@ def fold_of(key: str):
     return F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS
 
 
-def sampled(rows: DataFrame, wanted: DataFrame, most: int) -> list[np.ndarray]:
-    """Inputs of the ``most`` of the ``wanted`` (id, print) with the smallest hashes; a bounded collect.
+def sampled(rows: DataFrame, wanted: DataFrame, most: int) -> DataFrame | None:
+    """Inputs of the ``most`` of the ``wanted`` (id, print) with the smallest hashes, staged; None without any.
 
-    Ids and fingerprints are ranked by themselves, so texts of rows that aren't chosen don't move.
+    Ids and fingerprints are ranked by themselves, so texts of rows that aren't chosen don't move.  Only ids come to the driver.
     """
 
     def inputs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,12 +175,11 @@ def sampled(rows: DataFrame, wanted: DataFrame, most: int) -> list[np.ndarray]:
     ranked = wanted.select("id", "print", F.xxhash64(F.lit("nnpu"), "id").alias("rank")).distinct()
     chosen = [tuple(r) for r in ranked.orderBy("rank", "id", "print").limit(most).collect()]
     if not chosen:
-        return []
+        return None
     few = rows.sparkSession.createDataFrame(chosen, "id string, print long, rank long")
     found = rows.join(F.broadcast(few), ["id", "print"]).mapInPandas(inputs, "rank long, id string, print long, inputs binary")
-    # Copies of a row count once, and the order is fixed, for the mini-batches depend on it.
-    once = found.groupBy("rank", "id", "print").agg(F.min("inputs").alias("inputs")).collect()
-    return [np.frombuffer(r.inputs, "<u4") for r in sorted(once, key=lambda r: (r["rank"], r["id"], r["print"]))]
+    # Copies of a row count once.
+    return stage(found.groupBy("rank", "id", "print").agg(F.min("inputs").alias("inputs")), "toxicity-sample")
 
 
 def fit(
@@ -199,9 +215,9 @@ def fit(
     names = rows.select("id", "print")
     positive = sampled(rows, names.join(marks.where("mark = 1").select("id"), "id", "left_semi"), max_positive)
     rest = sampled(rows, names, max_unlabelled)
-    if not positive or not rest:
+    if positive is None or rest is None:
         return empty
-    inputs = select_inputs(positive, rest, max_inputs)
+    inputs = select_inputs(tallied(positive, rest), positive.count(), rest.count(), max_inputs)
     if not len(inputs):
         return Model(np.empty(0, np.uint32), np.empty(0), math.log(prior / (1 - prior)))
     weights, base = nnpu_fit(presence(positive, inputs), presence(rest, inputs), prior)

@@ -374,3 +374,19 @@ def test_mixing_of_odd_rows(spark):
     assert {r.doc_id for r in mixed.select("doc_id").distinct().collect()} >= {None, 601, 602, *range(600)}
     assert soft_mixing.mixed(df.limit(0), labels).count() == 0
     assert soft_mixing.mixed(df, labels.limit(0)).count() == 600
+
+
+def test_the_sample_of_toxicity_stays_out_of_the_driver(spark, monkeypatch):
+    """Of the sampled documents the driver gets a bit per input, and counts of inputs that several positives have."""
+    rows, marks = toxic_rows(spark)
+    rows, sizes = rows.withColumn("text", F.concat_ws(" ", "text", "text")), []
+    collect = type(rows).collect
+
+    def counted(self):
+        out = collect(self)
+        sizes.append(sum(len(v) for r in out for v in r if isinstance(v, (bytes, bytearray))) / max(1, len(out)))
+        return out
+
+    monkeypatch.setattr(type(rows), "collect", counted)
+    model = nnpu_toxicity.fit(rows, marks, max_inputs=64)
+    assert len(model.inputs) and max(sizes) <= 8
