@@ -30,8 +30,8 @@ from siftwork.llm.common import U64, mix64, signed, slices, small, text_of
 from siftwork.sources.shared import shared_path, stage
 
 ENTRIES = 1_000_000
-GATHER = 50_000
-HOT = 2_000  # distinct contexts from which a key is split by window
+GATHER = 25_000
+HOT, HOT_SHARE = 400, 1_500  # a key is split by window from so many distinct contexts, and such a part of all, on
 SHORT = (1 << 40) - 1  # two texts that share a key are taken for one with a probability of 1e-12
 # Per batch of texts: number of the text, anchor key, first window, last window + 1, place of the anchor.
 Anchors = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
@@ -209,25 +209,42 @@ def contexts(
     return spark.read.parquet(path)
 
 
-def hot_keys(found: DataFrame) -> DataFrame:
-    """Keys with more than about ``HOT`` distinct contexts, by a sample of the marks.
+def hot_from(rows: int) -> int:
+    """Number of distinct contexts from which a key is hot, among ``rows`` of them.
 
-    Only the way to a key's answers depends on it, not the answers.  There are at most rows / ``HOT`` such keys.
+    It grows with the table, so that the same share of it is split by window at every size, up to what a task gathers anyway.
     """
-    every = max(1, HOT // 250)
-    some = found.where(F.pmod(F.col("mark"), F.lit(every)) == 0).select("key", "mark").distinct()
-    return stage(some.groupBy("key").count().where(F.col("count") * every > HOT).select("key"), "hot")
+    return max(HOT, min(GATHER, rows // HOT_SHARE))
+
+
+def hot_keys(distinct: DataFrame) -> DataFrame:
+    """Keys with more than about ``hot_from`` distinct contexts, by a sample of the marks.
+
+    Only the way to a key's answers depends on it, not the answers.  There are at most ``HOT_SHARE`` or rows / ``GATHER``
+    such keys.
+    """
+    least = hot_from(distinct.count())
+    every = max(1, least // 250)
+    some = distinct.where(F.pmod(F.col("mark"), F.lit(every)) == 0).select("key", "mark").distinct()
+    return stage(some.groupBy("key").count().where(F.col("count") * every > least).select("key"), "hot")
 
 
 def distinct_contexts(found: DataFrame) -> DataFrame:
-    return found.groupBy("key", "mark", "lead", "body").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("times"))
+    """Equal contexts as one row with the smallest id and their number; written, so that their shuffle can go."""
+    spark, path = found.sparkSession, shared_path(found.sparkSession, "distinct")
+    rows = found.groupBy("key", "mark", "lead", "body").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("times"))
+    rows.write.option("compression", "zstd").parquet(path)
+    del rows
+    give_up_shuffles(spark)
+    return spark.read.parquet(path)
 
 
 def judged(found: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], windows: Callable[[bytes], list[bytes]], partitions: int) -> DataFrame:
     """Distinct contexts to ``judge`` (key, mark, lead, body, first id, number), whole keys at a time; returns its answers.
 
     Answers: key, mark, froms, tos (windows of the context), lows (smallest id that has those windows).  Hot keys are
-    judged by the contents of their ``windows`` instead.
+    judged by the contents of their ``windows`` instead.  The answers are written, so that the contexts' shuffles are gone
+    before the answers meet the contexts again.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,15 +259,21 @@ def judged(found: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], wind
         if held is not None and len(held):
             yield judge(held.reset_index(drop=True))
 
-    hot = hot_keys(found)
+    distinct = distinct_contexts(found)
+    hot = hot_keys(distinct)
     split = not hot.isEmpty()
-    cold = found.join(F.broadcast(hot), "key", "left_anti") if split else found
-    ordered = distinct_contexts(cold).repartition(partitions, "key").sortWithinPartitions("key")
+    cold = distinct.join(F.broadcast(hot), "key", "left_anti") if split else distinct
+    ordered = cold.repartition(partitions, "key").sortWithinPartitions("key")
     out = ordered.mapInPandas(run, "key long, mark long, froms array<int>, tos array<int>, lows array<long>")
-    return out.unionByName(judged_by_window(found.join(F.broadcast(hot), "key", "left_semi"), windows)) if split else out
+    if split:
+        out = out.unionByName(judged_by_window(distinct.join(F.broadcast(hot), "key", "left_semi"), windows))
+    written = stage(out, "answers")
+    del out, ordered, cold, hot
+    give_up_shuffles(written.sparkSession)
+    return written
 
 
-def judged_by_window(found: DataFrame, windows: Callable[[bytes], list[bytes]]) -> DataFrame:
+def judged_by_window(distinct: DataFrame, windows: Callable[[bytes], list[bytes]]) -> DataFrame:
     """The same answers, from counts per key, place of the anchor in the window, and content; no task holds a key."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -262,8 +285,7 @@ def judged_by_window(found: DataFrame, windows: Callable[[bytes], list[bytes]])
             place = frame["lead"].to_numpy(np.int32)[owner] - inside
             yield rows.assign(inside=inside, place=place, window=[w for x in pieces for w in x])
 
-    distinct = stage(distinct_contexts(found), "hot-contexts")
-    cells = distinct.mapInPandas(cut, "key long, mark long, low long, times long, inside int, place int, window binary")
+    cells = stage(distinct, "hot-contexts").mapInPandas(cut, "key long, mark long, low long, times long, inside int, place int, window binary")
     same = ["key", "place", "window"]
     sums = cells.groupBy(*same).agg(F.min("low").alias("low"), F.sum("times").alias("times"), F.count(F.lit(1)).alias("n"))
     again = stage(sums.where("times > 1").select(*same, "low", "n"), "hot-windows")

@@ -303,6 +303,27 @@ def test_a_passage_in_differing_surroundings_is_split_by_window(spark, monkeypat
         assert (got[key].n_words, got[key].n_removed, got[key].kept_sha256) == e, key
 
 
+def test_the_same_share_of_contexts_is_split_by_window_at_every_size(spark, monkeypatch):
+    """With a fixed number, keys of a larger table pass it one after the other, and what is split grows faster than the table."""
+    monkeypatch.setattr(windows, "HOT", 5)
+    monkeypatch.setattr(windows, "HOT_SHARE", 20, raising=False)
+
+    def split(times):
+        sizes = [(k, k * times) for k in range(1, 13)]
+        found = spark.createDataFrame(sizes, "key long, n int").selectExpr("key", "explode(sequence(1, n)) AS i").selectExpr("key", "xxhash64(key, i) AS mark")
+        return sorted(r.key for r in windows.hot_keys(found).collect())
+
+    assert split(2) == split(20) == list(range(4, 13))
+
+
+def test_answers_are_written_before_they_meet_the_contexts(spark):
+    """So the shuffles that led to them can go first."""
+    judge, split = suffix_dedup.judge_bytes(50), suffix_dedup.byte_windows(50)
+    rows = [(1, 10 + i, 20 + i, 0, 0, bytearray(b"x" * (50 + i)), i) for i in range(3)]
+    found = spark.createDataFrame(rows, "key long, id long, print long, start int, lead int, body binary, mark long")
+    assert windows.judged(found, judge, split, 4).inputFiles()
+
+
 def test_interior_symbols_depend_on_the_window_alone():
     rng = np.random.default_rng(6)
     window = recompression.mix64(rng.integers(0, 6, 35).astype(np.uint64))
