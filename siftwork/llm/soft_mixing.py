@@ -30,16 +30,18 @@ from siftwork.llm.common import find_words, fresh, slices, text_of, word_hashes,
 from siftwork.sources.shared import stage
 
 BUCKETS = 2048
+ENTRIES = 250_000  # shares taken up at once while fitting
 
 
-def word_shares(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Per text the shares of the hashed words, and the number of words."""
+def word_shares(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shares of the hashed words that texts have: offsets of each text, buckets in ascending order, shares."""
     ids, offsets, names = word_ids([find_words(x) for x in texts])
     bucket = (word_hashes([x.lower() for x in names]) % np.uint64(BUCKETS)).astype(np.int64)
     counts = np.diff(offsets)
     owner = np.repeat(np.arange(len(texts)), counts)
-    out = np.bincount(owner * BUCKETS + bucket[ids], minlength=len(texts) * BUCKETS).reshape(len(texts), BUCKETS)
-    return out / np.maximum(counts, 1)[:, None], counts
+    cells, times = np.unique(owner * BUCKETS + bucket[ids], return_counts=True)
+    row, held = np.divmod(cells, BUCKETS)
+    return np.searchsorted(row, np.arange(len(texts) + 1)), held, times / counts[row]
 
 
 @dataclass(frozen=True)
@@ -64,20 +66,40 @@ class DomainModel:
         return p / p.sum(axis=1, keepdims=True), counts
 
 
-def softmax_fit(x: np.ndarray, y: np.ndarray, classes: int, *, epochs: int = 200, rate: float = 0.5, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and base of a softmax regression, by Adam on all rows at once."""
-    theta = np.zeros((x.shape[1] + 1, classes))
+def softmax_fit(
+    offsets: np.ndarray, buckets: np.ndarray, shares: np.ndarray, y: np.ndarray, classes: int, *, epochs: int = 200, rate: float = 0.5, decay: float = 1e-5
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and base of a softmax regression, by Adam on all rows at once.
+
+    Rows are given by the shares that are not 0, and taken up some at a time, so that little is held beside them.
+    """
+    theta = np.zeros((classes, BUCKETS + 1))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
-    hot = np.eye(classes)[y]
+    rows = len(y)
+    cuts = np.unique(np.append(np.searchsorted(offsets, np.arange(0, offsets[-1], ENTRIES)), [0, rows]))
     for step in range(1, epochs + 1):
-        z = x @ theta[:-1] + theta[-1]
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        gap = (p / p.sum(axis=1, keepdims=True) - hot) / len(x)
-        slope = np.vstack([x.T @ gap + decay * theta[:-1], gap.sum(axis=0)])
+        slope = decay * theta
+        slope[:, -1] = 0.0
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            some = slice(offsets[low], offsets[high])
+            at, share, counts = buckets[some], shares[some], np.diff(offsets[low : high + 1])
+            filled = np.flatnonzero(counts)
+            begins = (offsets[low:high] - offsets[low])[filled]
+            z = np.repeat(theta[:, -1:], high - low, axis=1)
+            if len(filled):
+                for k in range(classes):
+                    z[k, filled] += np.add.reduceat(theta[k][at] * share, begins)
+            p = np.exp(z - z.max(axis=0))
+            p /= p.sum(axis=0)
+            p[y[low:high], np.arange(high - low)] -= 1.0
+            p /= rows
+            for k in range(classes):
+                slope[k, :-1] += np.bincount(at, np.repeat(p[k], counts) * share, minlength=BUCKETS)
+            slope[:, -1] += p.sum(axis=1)
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope * slope
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-10)
-    return theta[:-1], theta[-1]
+    return np.ascontiguousarray(theta[:, :-1].T), theta[:, -1].copy()
 
 
 def fit_domains(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", domain: str = "lang", max_labelled: int = 4000, least_each: int = 16) -> DomainModel:
@@ -88,8 +110,9 @@ def fit_domains(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "body", 1_000_000):
-            shares, _ = word_shares(frame["body"].tolist())
-            yield frame[["id", "print", "domain"]].assign(shares=[r.astype("<f4").tobytes() for r in shares])
+            offsets, buckets, shares = word_shares(frame["body"].tolist())
+            parts = [[x.tobytes() for x in np.split(v, offsets[1:-1])] for v in (buckets.astype("<u2"), shares.astype("<f4"))]
+            yield frame[["id", "print", "domain"]].assign(buckets=parts[0], shares=parts[1])
 
     rows = df.select(
         F.col(f"`{key}`").cast("string").alias("id"),
@@ -104,12 +127,16 @@ def fit_domains(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
     if not chosen:
         return DomainModel(["all"], np.zeros((BUCKETS, 1)), np.zeros(1))
     few = F.broadcast(df.sparkSession.createDataFrame(chosen, "id string, print long, domain string"))
-    found = rows.join(few, ["id", "print", "domain"]).mapInPandas(features, "id string, print long, domain string, shares binary")
-    once = found.groupBy("id", "print", "domain").agg(F.min("shares").alias("shares")).collect()
+    found = rows.join(few, ["id", "print", "domain"]).mapInPandas(features, "id string, print long, domain string, buckets binary, shares binary")
+    once = found.groupBy("id", "print", "domain").agg(F.min(F.struct("buckets", "shares")).alias("words")).collect()
     once = sorted(once, key=lambda r: (r["id"], r["print"], r["domain"]))
     domains = sorted({r["domain"] for r in once})
-    x = np.stack([np.frombuffer(r["shares"], "<f4") for r in once])
-    weights, base = softmax_fit(x, np.array([domains.index(r["domain"]) for r in once]), len(domains))
+    y = np.array([domains.index(r["domain"]) for r in once])
+    offsets = np.append(0, np.cumsum([len(r["words"]["buckets"]) // 2 for r in once]))
+    buckets = np.frombuffer(b"".join(r["words"]["buckets"] for r in once), "<u2")
+    shares = np.frombuffer(b"".join(r["words"]["shares"] for r in once), "<f4")
+    del once
+    weights, base = softmax_fit(offsets, buckets, shares, y, len(domains))
     return DomainModel(domains, weights, base)
 
 

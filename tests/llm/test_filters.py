@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -335,6 +336,33 @@ def test_every_labelled_domain_is_learned(spark):
     assert abs(got["hu"] - 0.05) < 0.02
 
 
+def test_domains_are_fitted_without_a_dense_matrix(spark):
+    """Against a plain softmax fit of all shares at once, which would hold 2,000 rows of 2,048 numbers."""
+    rng = random.Random(5)
+    vocabulary = {d: [d + "".join(rng.choice("abcdef") for _ in range(4)) for _ in range(100)] for d in ("de", "en", "fr")}
+    rows = [(i, " ".join(rng.choice(vocabulary[d]) for _ in range(rng.randint(0, 30))), d) for i, d in enumerate(rng.choice(["de", "en", "fr"]) for _ in range(2000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    tracemalloc.start()
+    model = soft_mixing.fit_domains(df, df.select("doc_id"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2000 * soft_mixing.BUCKETS * 4
+    x, y = np.zeros((len(rows), soft_mixing.BUCKETS)), np.eye(3)[[model.domains.index(r[2]) for r in rows]]
+    for i, (_, body, _) in enumerate(rows):
+        for word in body.split():
+            x[i, int(soft_mixing.word_hashes([word])[0]) % soft_mixing.BUCKETS] += 1 / len(body.split())
+    x = x.astype(np.float32).astype(np.float64)
+    theta = np.zeros((soft_mixing.BUCKETS + 1, 3))
+    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    for step in range(1, 201):
+        p = np.exp(x @ theta[:-1] + theta[-1])
+        gap = (p / p.sum(axis=1, keepdims=True) - y) / len(x)
+        slope = np.vstack([x.T @ gap + 1e-5 * theta[:-1], gap.sum(axis=0)])
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope * slope
+        theta -= 0.5 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-10)
+    assert np.allclose(model.weights, theta[:-1], atol=1e-6) and np.allclose(model.base, theta[-1], atol=1e-6)
+
+
 @pytest.mark.parametrize("targets", [None, {"en": 0.3, "de": 0.7}])
 def test_no_document_of_a_very_common_language_is_dropped(spark, monkeypatch, targets):
     rng = random.Random(16)
