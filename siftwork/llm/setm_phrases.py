@@ -32,6 +32,7 @@ from siftwork.llm.windows import give_up_shuffles
 from siftwork.sources.shared import stage
 
 BLOCK = 3_000_000  # positions
+CHUNK = 100_000  # rows of groups that travel at once
 # Everything that ends a piece becomes a line feed, a tab a blank.
 EVEN = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 GAP, NOTHING = 0, 1
@@ -80,8 +81,8 @@ class Block:
         codes = codes[at]
         times = np.bincount(codes, minlength=len(self.names))
         words = list(self.names)
-        for start in range(NOTHING + 1, len(words), 100_000):
-            some = range(start, min(start + 100_000, len(words)))
+        for start in range(NOTHING + 1, len(words), CHUNK):
+            some = range(start, min(start + CHUNK, len(words)))
             yield pd.DataFrame(
                 {
                     "block": block,
@@ -104,7 +105,7 @@ def words_of(df: DataFrame, text: str, lang: str) -> DataFrame:
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base, made = TaskContext.get().partitionId() << BLOCKS, 0
         open_blocks: dict[str, Block] = {}
-        for frame in slices(frames, "body"):
+        for frame in slices(frames, "body", 1_000_000):
             for name, bodies in frame.groupby("lang")["body"]:
                 block = open_blocks.setdefault(name, Block())
                 block.add(bodies.tolist())
@@ -134,12 +135,44 @@ def frequent(level: DataFrame, names: list[str], least: int, name: str) -> DataF
 
 
 def groups_table(block: pa.Scalar, a: np.ndarray, b: np.ndarray, times: np.ndarray) -> pa.Table:
-    """One row per distinct group of a block."""
+    """One row per distinct group of a block, in chunks, which reach Spark one by one."""
     n = len(times)
-    wide, blob = pa.int64(), pa.nulls(n, pa.binary())
-    block = block.as_py()
-    columns = [pa.array(np.full(n, block), wide), pa.array((block << CODES) + np.arange(n), wide), pa.array(a, wide), pa.array(b, wide), pa.array(times, wide), blob, blob]
-    return pa.table(columns, names=[x.split()[0] for x in LEVEL_N.split(", ")])
+    wide, number, chunks = pa.int64(), block.as_py(), []
+    for start in range(0, max(n, 1), CHUNK):
+        some = slice(start, min(start + CHUNK, n))
+        size = some.stop - some.start
+        blob = pa.nulls(size, pa.binary())
+        columns = [pa.array(x, wide) for x in (np.full(size, number), (number << CODES) + np.arange(some.start, some.stop), a[some], b[some], times[some])]
+        chunks.append(pa.table([*columns, blob, blob], names=[x.split()[0] for x in LEVEL_N.split(", ")]))
+    return pa.concat_tables(chunks)
+
+
+def numbered(first: np.ndarray, second: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of numbers below ``size``, sorted and as one number each; the place of every pair among them; their counts.
+
+    A pair and its place are sorted as one number where 63 bits hold both, which takes a third of the memory.
+    """
+    bits = max(1, len(first) - 1).bit_length()
+    packed = first.astype(np.int64)
+    packed *= size
+    packed += second
+    if (size * size - 1).bit_length() + bits > 63:
+        pairs, number, times = np.unique(packed, return_inverse=True, return_counts=True)
+        return pairs, number.astype(np.int32), times
+    packed <<= bits
+    packed += np.arange(len(first), dtype=np.int32)
+    packed.sort()
+    place = (packed & ((1 << bits) - 1)).astype(np.int32)
+    packed >>= bits
+    new = np.ones(len(packed), bool)
+    np.not_equal(packed[1:], packed[:-1], out=new[1:])
+    number = np.empty(len(packed), np.int32)
+    order = np.cumsum(new, dtype=np.int32)
+    order -= 1
+    number[place] = order
+    del place, order
+    start = np.flatnonzero(new)
+    return packed[start], number, np.diff(start, append=len(packed))
 
 
 def extended(level: DataFrame, found: DataFrame, last: bool) -> DataFrame:
@@ -148,20 +181,25 @@ def extended(level: DataFrame, found: DataFrame, last: bool) -> DataFrame:
     def merge(key: tuple, occurrences: pa.Table, kept: pa.Table) -> pa.Table:
         if not len(occurrences) or not len(kept):
             return groups_table(key[0], NONE, NONE, NONE)
-        at, codes = np.cumsum(unpressed(occurrences["at"][0].as_py())), unpressed(occurrences["codes"][0].as_py())
-        frequent_codes = kept["code"].to_numpy()
-        ids = np.full(max(int(codes.max(initial=0)), int(frequent_codes.max())) + 1, -1, np.int64)
-        ids[frequent_codes] = kept["id"].to_numpy()
-        ids = ids[codes]
-        at, ids = at[ids >= 0], ids[ids >= 0]
+        # The frequent groups by the order of their ids; positions and numbers of a block are below 2**31.
+        known, rank = np.unique(kept["id"].to_numpy(), return_inverse=True)
+        codes, frequent_codes = unpressed(occurrences["codes"][0].as_py()), kept["code"].to_numpy()
+        ranks = np.full(max(int(codes.max(initial=0)), int(frequent_codes.max())) + 1, -1, np.int32)
+        ranks[frequent_codes] = rank
+        flat = ranks[codes]
+        del codes
+        at = np.cumsum(unpressed(occurrences["at"][0].as_py()), dtype=np.int32)
+        at = at[flat >= 0]
+        flat = flat[flat >= 0]
         # Both sides are sorted by position, and a position holds one group: the partner is the next row or missing.
-        join = np.flatnonzero(at[1:] == at[:-1] + 1)
-        known, flat = np.unique(ids, return_inverse=True)
-        pair, number, times = np.unique(flat[join] * len(known) + flat[join + 1], return_inverse=True, return_counts=True)
-        groups = groups_table(key[0], known[pair // max(1, len(known))], known[pair % max(1, len(known))], times)
-        if last or not len(join):
+        join = np.flatnonzero(np.diff(at) == 1).astype(np.int32)
+        at = at[join]
+        pair, number, times = numbered(flat[join], flat[join + 1], len(known))
+        del flat, join
+        groups = groups_table(key[0], known[pair // len(known)], known[pair % len(known)], times)
+        if last or not len(at):
             return groups
-        where = {"block": [key[0]], "place": [None], "a": [None], "b": [None], "times": [None], "at": [pressed(np.diff(at[join], prepend=0))], "codes": [pressed(number)]}
+        where = {"block": [key[0]], "place": [None], "a": [None], "b": [None], "times": [None], "at": [pressed(np.diff(at, prepend=0))], "codes": [pressed(number)]}
         return pa.concat_tables([groups, pa.table(where, schema=groups.schema)])
 
     code = F.col("place").bitwiseAND((1 << CODES) - 1).cast("int").alias("code")

@@ -3,6 +3,10 @@
 import collections
 import random
 import re
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 
 from siftwork.llm import setm_phrases
 
@@ -97,3 +101,26 @@ def test_empty_table_and_clashing_columns(spark):
     rows = [("a b", "en")] * 40
     odd = spark.createDataFrame([(t, x, 5, "z", 7) for t, x in rows], "text string, lang string, block int, word string, f long")
     assert mined(odd) == brute(rows, 30, 4, 80, 2000)
+
+
+def test_pairs_of_a_block_are_numbered_in_little_memory():
+    rng = np.random.default_rng(3)
+    for size in (50, 3_000_000_000):
+        first, second = (rng.integers(0, 50, 4000) * (size // 50) for _ in "ab")
+        pairs, number, times = setm_phrases.numbered(first, second, size)
+        known, place, counts = np.unique(first * size + second, return_inverse=True, return_counts=True)
+        assert np.array_equal(pairs, known) and np.array_equal(number, place) and np.array_equal(times, counts)
+    first, second = rng.integers(0, 3000, (2, 400_000)).astype(np.int32)
+    tracemalloc.start()
+    setm_phrases.numbered(first, second, 3000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * len(first)  # np.unique takes 72
+
+
+def test_groups_of_a_block_travel_in_chunks():
+    wide = np.arange(250_000)
+    got = setm_phrases.groups_table(pa.scalar(7), wide, wide + 1, wide + 2)
+    assert max(x.num_rows for x in got.to_batches()) <= setm_phrases.CHUNK < got.num_rows == 250_000
+    assert got["place"].to_pylist() == [(7 << setm_phrases.CODES) + i for i in range(250_000)]
+    assert setm_phrases.groups_table(pa.scalar(7), wide[:0], wide[:0], wide[:0]).num_rows == 0
