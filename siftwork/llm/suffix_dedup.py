@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,17 @@ from siftwork.llm.common import U64, mix64
 
 GRAM = 24
 BASE = 0x9E3779B97F4A7C15
-CHUNK = 1 << 20
+CHUNK, SPARE = 1 << 20, 4096  # buffers of so many bytes take the powers from a table
+
+
+@lru_cache(maxsize=1)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64."""
+    power, back = np.full(n, BASE, np.uint64), np.full(n, pow(BASE, -1, 1 << 64), np.uint64)
+    for x in (power, back):
+        x[0] = 1
+        np.multiply.accumulate(x, out=x)
+    return power, back
 
 
 class PrefixHashes:
@@ -36,12 +47,7 @@ class PrefixHashes:
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        power = np.full(n + 1, BASE, np.uint64)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        self.back = np.full(n + 1, pow(BASE, -1, 1 << 64), np.uint64)
-        self.back[0] = 1
-        np.multiply.accumulate(self.back, out=self.back)
+        power, self.back = powers(CHUNK + SPARE) if n < CHUNK + SPARE else powers.__wrapped__(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + U64(1)) * power[:n], out=self.sums[1:])
 
@@ -53,20 +59,22 @@ class PrefixHashes:
         return (self.sums[size:] - self.sums[:-size]) * self.back[: len(self.sums) - size]
 
 
-def smallest(values: np.ndarray, width: int) -> np.ndarray:
-    """Place of the leftmost minimum in every ``width`` neighbours."""
-    low, at, have = values, np.arange(len(values)), 1
+def smallest(values: np.ndarray, width: int, bits: int) -> np.ndarray:
+    """Place of the leftmost minimum in every ``width`` neighbours, by what is left of the values after ``bits`` for the place.
+
+    As many bits are left in every batch, so that equal neighbours agree.
+    """
+    bits, have = U64(bits), 1
+    low = (values << bits) | np.arange(len(values), dtype=np.uint64)
     while have < width:
         step = min(have, width - have)
-        right = low[step:] < low[:-step]
-        at = np.where(right, at[step:], at[:-step])
-        low = np.where(right, low[step:], low[:-step])
+        low = np.minimum(low[:-step], low[step:])
         have += step
-    return at
+    return (low & ((U64(1) << bits) - U64(1))).astype(np.int64)
 
 
 def byte_anchors(length: int) -> W.Anchors:
-    width = length - GRAM + 1
+    width, bits = length - GRAM + 1, (CHUNK + length).bit_length()
 
     def find(texts: list[str]):
         parts = [x.encode("utf-8", "surrogatepass") for x in texts]
@@ -77,10 +85,11 @@ def byte_anchors(length: int) -> W.Anchors:
         for c in range(0, len(data) - length + 1, CHUNK):
             piece = data[c : c + CHUNK + length - 1]
             grams = mix64(PrefixHashes(piece).grams(GRAM))
-            place = smallest(grams, width)[: len(piece) - length + 1]
-            start = np.arange(len(place)) + c
-            owner = np.searchsorted(ends, start, side="right")
-            valid = start + length <= ends[owner]
+            place = smallest(grams, width, bits)[: len(piece) - length + 1]
+            first, last = np.searchsorted(ends, [c, c + len(place) - 1], side="right")
+            counts = np.diff(np.minimum(ends[first : last + 1], c + len(place)), prepend=c)
+            owner = np.repeat(np.arange(first, last + 1), counts)
+            valid = np.arange(c + length, c + length + len(place)) <= np.repeat(ends[first : last + 1], counts)
             runs, stops = W.grouped_runs(valid, owner, place)
             own = owner[runs]
             out.append((own, grams[place[runs]], runs + c - begins[own], stops + c - begins[own], place[runs] + c - begins[own]))
@@ -216,11 +225,11 @@ def answers(frame: pd.DataFrame, flags: np.ndarray, owner: np.ndarray, inside: n
     """Runs of flagged windows with one smallest id, listed per context."""
     starts, stops = W.grouped_runs(flags, owner, low)
     own = owner[starts]
-    cut = np.flatnonzero(np.diff(own)) + 1
-    some = own[np.append(0, cut)] if len(own) else own
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    some, edges = own[first], [*first.tolist(), len(own)]
 
     def lists(x: np.ndarray) -> pd.Series:
-        return pd.Series(np.split(x, cut) if len(own) else [], dtype=object)
+        return pd.Series([x[a:b] for a, b in zip(edges[:-1], edges[1:])], dtype=object)
 
     return pd.DataFrame(
         {

@@ -370,3 +370,33 @@ def test_near_vectors_of_odd_rows(spark):
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 2, 1, False), (None, 0, None, True)], key=str)
     assert epsilon_grid.near_vectors(df.limit(0)).count() == 0
     assert epsilon_grid.near_vectors(df.where("embedding IS NULL")).count() == 1
+
+
+def test_equal_byte_windows_have_equal_anchors(monkeypatch):
+    """Over chunk borders and batches, empty and short texts; the powers behind the hashes are made once."""
+    rng = random.Random(12)
+    passage = "".join(rng.choice("ab") for _ in range(130))
+    texts = ["", passage, "x", *["".join(rng.choice("ab") for _ in range(rng.randint(0, 90))) + passage + "é" * rng.randint(0, 60) for _ in range(40)], "", passage[:49], ""]
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 200)
+    before = suffix_dedup.powers.cache_info()
+    find = suffix_dedup.byte_anchors(50)
+    found = list(zip(*(x.tolist() for x in find(texts))))
+    after = suffix_dedup.powers.cache_info()
+    assert after.misses - before.misses <= 1 and after.hits - before.hits > 10
+    seen, anchors = [], {}
+    for owner, key, start, stop, place in found:
+        data = texts[owner].encode()
+        for at in range(start, stop):
+            seen.append((owner, at))
+            assert at <= place <= at + 50 - suffix_dedup.GRAM
+            assert anchors.setdefault(data[at : at + 50], (key, place - at)) == (key, place - at)
+    for text in texts:
+        for _, key, start, stop, place in zip(*(x.tolist() for x in find([text]))):
+            assert all(anchors[text.encode()[at : at + 50]] == (key, place - at) for at in range(start, stop))
+    assert sorted(seen) == [(i, at) for i, x in enumerate(texts) for at in range(len(x.encode()) - 49)]
+
+
+def test_leftmost_minimum_of_neighbours():
+    values = np.random.default_rng(1).integers(0, 6, 300).astype(np.uint64)
+    for width in (1, 2, 5, 27):
+        assert suffix_dedup.smallest(values, width, 9).tolist() == [i + int(np.argmin(values[i : i + width])) for i in range(300 - width + 1)]
