@@ -1,14 +1,19 @@
 """Gradient boosting with the softmax loss, grown level by level on binned features.
 
-A round grows one tree per class.  Rows lie in blocks of binned features with their margins; a level is one Spark job:
-every partition sums gradients and Hessians by (class, node, feature, bin).  As long as the sums of all partitions are
-small they are added up on the driver, which saves a shuffle per level; else a shuffle adds them up, the best split of
-every node is found where its sums are, and only that, a row per node and feature, comes to the driver.  Leaf values
-carry an L1 and an L2 penalty, rows are sampled per round by a hash of the row, features per tree.  Blocks are an RDD:
-hundreds of short jobs on the same few arrays need no query plan each.
-
-Gradients are rounded to 2**-24 and added as whole numbers, so for given edges a model depends neither on partitions nor
-on their order.  Edges that aren't given come from a mergeable sketch, each within a ten-thousandth of its rank.
+A round grows one tree per class.  Rows lie in blocks of binned features with their margins; a round draws its rows and
+keeps their bins, gradients and Hessians.  A level is one Spark job: every partition sums gradients and Hessians by (class,
+node, feature, bin), of two sibling nodes only for the one with fewer rows; the other's sums are what is left of their
+parent's.  As long as the sums of all partitions are small they are added up on the driver, which saves a shuffle per
+level; else a shuffle adds them up.  Sums too large for the driver stay where they are, for all nodes: the best split of
+every node is found there, and only that, a row per node and feature, comes to the driver.  Leaf values carry an L1 and an
+L2 penalty, rows are sampled per round by a hash of the row, features per tree.  Blocks are an RDD: hundreds of short jobs
+on the same few arrays need no query plan each.
+
+A row's leaf is found without walking down: each feature's bin names a set of leaves that it leaves possible, as bits, and
+all features' sets together leave one (six levels at a time, a word of 64 leaves).
+
+Gradients are rounded to 2**-24 (whole numbers of single precision) and added as whole numbers, so for given edges a model
+depends neither on partitions nor on their order.  Edges that aren't given come from a mergeable sketch, each within a ten-thousandth of its rank.
 Margins are kept with the blocks, each round's on top of the last, and written every few rounds, so a lost executor costs
 a few rounds' additions and no more.
 """
@@ -31,12 +36,14 @@ from siftwork.sources.shared import shared_dir, stage
 register_pickle_by_value(sys.modules[__name__])
 
 UNIT = float(1 << 24)
-BLOCK_ROWS = 65_536
-TASK_ROWS = 8_192
+BLOCK_ROWS = 32_768
+TASK_ROWS, TASK_MOST = 8_192, 1 << 22
 ROUNDS_BETWEEN_WRITES = 10
 EDGE_ACCURACY = 10_000
 GATHERED_BYTES = 32 * 1024 * 1024
 LEAF = -1
+WORD_LEVELS = 6
+HELD = StorageLevel.MEMORY_AND_DISK_DESER  # arrays as bytes: compressing them at every level costs more than it saves
 
 
 def binned(x: np.ndarray, edges: Sequence[Sequence[float]]) -> np.ndarray:
@@ -47,17 +54,61 @@ def binned(x: np.ndarray, edges: Sequence[Sequence[float]]) -> np.ndarray:
     return out
 
 
-def routed(bins: np.ndarray, tree: dict, depth: int) -> np.ndarray:
-    """Heap number of the node that every row reaches; rows stop at leaves and at nodes that aren't split yet."""
+class Router(NamedTuple):
+    """The upper levels of a tree: per feature and bin the leaves that stay possible, and the node of every leaf's place."""
+
+    masks: list[tuple[int, np.ndarray]]
+    nodes: np.ndarray
+    feature: np.ndarray
+    cut: np.ndarray
+    below: int
+
+
+def router(tree: dict, depth: int, bins_of: int) -> Router:
+    """For trees split on ``depth`` levels at most."""
     feature, cut = np.asarray(tree["feature"]), np.asarray(tree["bin"])
-    node = np.zeros(bins.shape[1], np.int64)
-    for _ in range(depth):
-        inner = np.flatnonzero(feature[node] != LEAF)
+    levels = min(depth, WORD_LEVELS)
+    kind = np.dtype(f"u{max(1, 2**levels // 8)}")
+    masks: dict[int, np.ndarray] = {}
+    nodes = np.zeros(2**levels, np.int64)
+    for level in range(levels + 1):
+        first, width = 2**level - 1, 2 ** (levels - level)
+        for k in range(2**level):
+            node, low = first + k, k * width
+            if level and feature[(node - 1) // 2] == LEAF:
+                continue
+            nodes[low : low + width] = node
+            if level == levels or feature[node] == LEAF:
+                continue
+            half = (1 << (width // 2)) - 1
+            mask = masks.setdefault(int(feature[node]), np.full(bins_of, np.iinfo(kind).max, kind))
+            mask[: cut[node] + 1] &= kind.type(np.iinfo(kind).max ^ (half << (low + width // 2)))
+            mask[cut[node] + 1 :] &= kind.type(np.iinfo(kind).max ^ (half << low))
+    return Router(sorted(masks.items()), nodes, feature, cut, depth - levels)
+
+
+def reached(bins: np.ndarray, way: Router, table: np.ndarray) -> np.ndarray:
+    """Per row ``table``'s entry for the node that it reaches; rows stop at leaves and at nodes that aren't split yet.
+
+    ``bins`` should be of the type for places, ``np.intp``: NumPy's ``take`` is several times slower for others.
+    """
+    if not way.masks:
+        return np.full(bins.shape[1], table[0])
+    (j, mask), *rest = way.masks
+    left = mask.take(bins[j])
+    for j, mask in rest:
+        left &= mask.take(bins[j])
+    place = np.bitwise_count((left & -left) - left.dtype.type(1)).astype(np.intp)
+    if not way.below:
+        return table[way.nodes].take(place)
+    node = way.nodes.take(place)
+    for _ in range(way.below):
+        inner = np.flatnonzero(way.feature[node] != LEAF)
         if not len(inner):
             break
         at = node[inner]
-        node[inner] = 2 * at + 1 + (bins[feature[at], inner] > cut[at])
-    return node
+        node[inner] = 2 * at + 1 + (bins[way.feature[at], inner] > way.cut[at])
+    return table[node]
 
 
 def softmax(margins: np.ndarray) -> np.ndarray:
@@ -161,20 +212,28 @@ class SoftmaxBooster(OptionEstimator):
         if not width or width < 1:
             raise ValueError("no rows to learn from")
         edges = self._edges(rows, width)
-        # A task should have enough rows to be worth a job per level.
-        table = stage(packed(rows.coalesce(-(-n // TASK_ROWS)), edges, opt["n_classes"]), "boosting-blocks")
         context = df.sparkSession.sparkContext
+        # A task should have enough rows to be worth a job per level, and all of them as many: starting one takes as long as
+        # a level of half a million rows.
+        parts = min(-(-n // TASK_ROWS), max(context.defaultParallelism, n // TASK_MOST))
+        spread = rows.repartition(parts) if n > parts * TASK_ROWS else rows.coalesce(parts)
+        bins_of = max(map(len, edges)) + 1
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(shared_dir(df.sparkSession))
-        blocks = table.rdd.map(lambda r: Block(*map(bytes_or_int, r))).persist(StorageLevel.MEMORY_AND_DISK)
+        blocks = packed(spread, edges, opt["n_classes"]).rdd.map(lambda r: tuple(map(bytes_or_int, r))).persist(HELD)
+        # Written as it is dealt; a table read again would be dealt by its size.
+        blocks.checkpoint()
+        blocks.count()
         held = [blocks]
         trees: list[list[dict]] = []
         draw = np.random.default_rng(opt["seed"])
         for number in range(opt["n_estimators"]):
-            trees.append(grown(blocks, opt, width, max(map(len, edges)) + 1, number, draw))
+            rows_drawn = drawn(blocks, opt, number).persist(HELD)
+            trees.append(grown(rows_drawn, opt, width, bins_of, draw))
+            rows_drawn.unpersist()
             if number + 1 == opt["n_estimators"]:
                 break
-            blocks = advanced(blocks, trees[-1], opt).persist(StorageLevel.MEMORY_AND_DISK)
+            blocks = advanced(blocks, trees[-1], opt, bins_of).persist(HELD)
             # Margins stay in memory or on the executors' disks; what is written cuts what a lost one would repeat.
             if (number + 1) % ROUNDS_BETWEEN_WRITES == 0:
                 blocks.checkpoint()
@@ -208,33 +267,43 @@ def packed(rows: DataFrame, edges: list, classes: int) -> DataFrame:
     return rows.mapInPandas(pack, BLOCKS)
 
 
-class Block(NamedTuple):
-    n: int
-    bins: bytes
-    label: bytes
-    row: bytes
-    margins: bytes
-
-
 def bytes_or_int(cell):
     return bytes(cell) if isinstance(cell, bytearray) else cell
 
 
-def unpacked(block: Block, opt: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(block: tuple, opt: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bins, labels, row hashes and margins of a block."""
-    n = block.n
-    bins = np.frombuffer(block.bins, np.uint8).reshape(-1, n)
-    margins = np.frombuffer(block.margins).reshape(opt["n_classes"], n)
-    return bins, np.frombuffer(block.label, np.int32), np.frombuffer(block.row, np.int64).view(np.uint64), margins
+    n, bins, label, row, margins = block
+    bins = np.frombuffer(bins, np.uint8).reshape(-1, n)
+    margins = np.frombuffer(margins).reshape(opt["n_classes"], n)
+    return bins, np.frombuffer(label, np.int32), np.frombuffer(row, np.int64).view(np.uint64), margins
 
 
-def advanced(blocks: RDD, trees: list[dict], opt: dict) -> RDD:
+def advanced(blocks: RDD, trees: list[dict], opt: dict, bins_of: int) -> RDD:
     """The blocks with the trees' values added to their margins."""
+    ways = [(router(tree, opt["max_depth"], bins_of), np.asarray(tree["value"])) for tree in trees]
 
-    def run(block: Block) -> Block:
+    def run(block: tuple) -> tuple:
         bins, _, _, margins = unpacked(block, opt)
-        more = [np.asarray(tree["value"])[routed(bins, tree, opt["max_depth"])] for tree in trees]
-        return block._replace(margins=(margins + np.array(more)).tobytes())
+        bins = bins.astype(np.intp)
+        more = [reached(bins, *way) for way in ways]
+        return (*block[:4], (margins + np.array(more)).tobytes())
+
+    return blocks.map(run)
+
+
+def drawn(blocks: RDD, opt: dict, number: int) -> RDD:
+    """A round's rows: their number, bins, and per class gradients and Hessians as whole numbers of ``UNIT``."""
+
+    def run(block: tuple) -> tuple:
+        bins, label, row, margins = unpacked(block, opt)
+        taken = np.flatnonzero(mixed(row, opt["seed"] * 1_000_003 + number) < np.uint64(min(opt["subsample"], 1.0) * (2**64 - 2048)))
+        p, label = softmax(margins.take(taken, axis=1)), label[taken]
+        g = p - (label == np.arange(len(p))[:, None])
+        h = np.maximum(2.0 * p * (1.0 - p), 1e-16)
+        # At most 2**24 each, which single precision holds.
+        whole = [np.rint(x * UNIT).astype(np.float32).tobytes() for x in (g, h)]
+        return (len(taken), bins.take(taken, axis=1).tobytes(), *whole)
 
     return blocks.map(run)
 
@@ -245,78 +314,128 @@ def sampled_features(opt: dict, width: int, draw: np.random.Generator) -> list[l
     return [sorted(draw.choice(width, most, replace=False).tolist()) for _ in range(opt["n_classes"])]
 
 
-def histograms(blocks: RDD, growing: list[dict], opened: list[list[int]], allowed: list[list[int]], opt: dict, bins_of: int, number: int) -> RDD:
-    """Sums of gradients and Hessians (2, open nodes, bins) by class and feature, one of each from every partition."""
+def histograms(rows: RDD, growing: list[dict], built: list[list[int]], allowed: list[list[int]], opt: dict, bins_of: int) -> RDD:
+    """Sums of gradients and Hessians (built nodes, bins) by class and feature, one of each from every partition.
+
+    Beside them the number of rows, of the partition's first block only: enough to tell the larger of two nodes.
+    """
+    ways = []
+    for tree, nodes in zip(growing, built):
+        place = np.full(len(tree["feature"]), -1, np.int16 if len(nodes) < 32768 else np.int64)
+        place[nodes] = np.arange(len(nodes))
+        ways.append((router(tree, depth_of(nodes), bins_of), place))
 
-    def sums(some: Iterator[Block]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    def sums(some: Iterator[tuple]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
         held: dict[tuple[int, int], np.ndarray] = {}
-        for block in some:
-            bins, label, row, margins = unpacked(block, opt)
-            taken = np.flatnonzero(mixed(row, opt["seed"] * 1_000_003 + number) < np.uint64(min(opt["subsample"], 1.0) * (2**64 - 2048)))
-            share, label, bins = softmax(margins)[:, taken], label[taken], bins[:, taken]
-            for c, tree in enumerate(growing):
-                if not opened[c]:
+        for count, (n, *arrays) in enumerate(block for block in some if block[0]):
+            bins = np.frombuffer(arrays[0], np.uint8).reshape(-1, n).astype(np.intp)
+            gradients, hessians = (np.frombuffer(x, np.float32).reshape(-1, n) for x in arrays[1:])
+            for c, nodes in enumerate(built):
+                if not nodes:
                     continue
-                place = np.full(len(tree["feature"]), -1)
-                place[opened[c]] = np.arange(len(opened[c]))
-                at = place[routed(bins, tree, opt["max_depth"])]
-                mine = np.flatnonzero(at >= 0)
-                start = at[mine] * bins_of
-                p = share[c, mine]
-                g = np.rint((p - (label[mine] == c)) * UNIT)
-                h = np.rint(np.maximum(2.0 * p * (1.0 - p), 1e-16) * UNIT)
-                size = len(opened[c]) * bins_of
+                g, h, size = gradients[c], hessians[c], len(nodes) * bins_of
+                root = nodes == [0]
+                if not root:
+                    at = reached(bins, *ways[c])
+                    mine = np.flatnonzero(at >= 0)
+                    g, h, start = g.take(mine), h.take(mine), at.take(mine).astype(np.intp) * bins_of
+                g, h = g.astype(float), h.astype(float)
                 for j in allowed[c]:
-                    spot = start + bins[j, mine]
-                    both = np.stack([np.bincount(spot, g, size), np.bincount(spot, h, size)]).astype(np.int64)
-                    held[c, j] = held.get((c, j), 0) + both.reshape(2, -1, bins_of)
-        yield from held.items()
+                    spot = bins[j] if root else bins[j].take(mine) + start
+                    if (c, j) not in held:
+                        held[c, j] = np.zeros((3, size), np.int64)
+                    into = held[c, j]
+                    into[0] += np.bincount(spot, g, size).astype(np.int64)
+                    into[1] += np.bincount(spot, h, size).astype(np.int64)
+                    if not count:
+                        into[2] += np.bincount(spot, minlength=size)
+        for key, both in held.items():
+            yield key, both.reshape(3, -1, bins_of)
+
+    return rows.mapPartitions(sums)
 
-    return blocks.mapPartitions(sums)
+
+def depth_of(nodes: list[int]) -> int:
+    """Level of the nodes, 0 for the root."""
+    return (max(nodes, default=0) + 1).bit_length() - 1
 
 
 def offers(key: tuple[int, int], both: np.ndarray, opened: list[list[int]], opt: dict) -> list[dict]:
     """The best split of every open node of a class by one feature, with the sums of its left side and of the node."""
     c, j = key
-    g, h = both / UNIT
+    g, h = both[:2] / UNIT
     gain, at = best_splits(g, h, opt["reg_alpha"], opt["reg_lambda"], opt["min_child_weight"])
     out = []
     for i in np.flatnonzero(both[1].any(axis=1)).tolist():
         left = slice(int(at[i]) + 1)
         sums = dict(lg=float(g[i, left].sum()), lh=float(h[i, left].sum()), g=float(g[i].sum()), h=float(h[i].sum()))
-        out.append({"class": c, "node": opened[c][i], "gain": float(gain[i]), "minus": -j, "bin": int(at[i]), **sums})
+        # Whether the left side has at most half of the counted rows.
+        few = bool(2 * both[2, i, left].sum() <= both[2, i].sum())
+        out.append({"class": c, "node": opened[c][i], "gain": float(gain[i]), "minus": -j, "bin": int(at[i]), "few": few, **sums})
+    return out
+
+
+Sums = dict[tuple[int, int], np.ndarray]
+
+
+def with_siblings(found: Sums, built: list[list[int]], opened: list[list[int]], before: list[list[int]], parents: Sums) -> Sums:
+    """Sums of all open nodes, from those of one of each two siblings and those of their parents."""
+    out = {}
+    for key, sums in found.items():
+        at, above = {node: i for i, node in enumerate(built[key[0]])}, {node: i for i, node in enumerate(before[key[0]])}
+
+        def of(node: int) -> np.ndarray:
+            if node in at:
+                return sums[:, at[node]]
+            return parents[key][:, above[(node - 1) // 2]] - sums[:, at[node + 1 if node % 2 else node - 1]]
+
+        out[key] = np.stack([of(node) for node in opened[key[0]]], axis=1)
     return out
 
 
-def all_offers(blocks: RDD, growing: list[dict], opened: list[list[int]], allowed: list[list[int]], opt: dict, bins_of: int, number: int) -> list[dict]:
-    """A row per open node and feature. Few and small histograms are added up here, more or larger ones in a shuffle first."""
-    found = histograms(blocks, growing, opened, allowed, opt, bins_of, number)
+def all_offers(
+    rows: RDD, growing: list[dict], opened: list[list[int]], lesser: list[list[int]], allowed: list[list[int]], opt: dict, bins_of: int,
+    before: list[list[int]], parents: Sums | None,
+) -> tuple[list[dict], Sums | None]:
+    """A row per open node and feature, and the sums of the open nodes if the driver can hold them.
+
+    Few and small histograms are added up here, more or larger ones in a shuffle first.
+    """
+    parts = rows.getNumPartitions()
+
+    def size(nodes: list[list[int]]) -> int:
+        return sum(len(some) * len(mine) for some, mine in zip(nodes, allowed)) * bins_of * 24
+
     pairs = sum(len(nodes) > 0 for nodes in opened) * len(allowed[0])
-    size = sum(len(nodes) * len(mine) for nodes, mine in zip(opened, allowed)) * bins_of * 16
-    parts = blocks.getNumPartitions()
-    if parts * size > GATHERED_BYTES:
-        added = found.reduceByKey(np.add, min(parts, pairs))
-        return added.flatMap(lambda kv: offers(*kv, opened, opt)).collect()
-    held: dict[tuple[int, int], np.ndarray] = {}
-    for key, both in found.collect():
-        held[key] = held.get(key, 0) + both
-    return [offer for kv in held.items() for offer in offers(*kv, opened, opt)]
-
-
-def grown(blocks: RDD, opt: dict, width: int, bins_of: int, number: int, draw: np.random.Generator) -> list[dict]:
+    if size(opened) > GATHERED_BYTES:
+        added = histograms(rows, growing, opened, allowed, opt, bins_of).reduceByKey(np.add, min(parts, pairs))
+        return added.flatMap(lambda kv: offers(*kv, opened, opt)).collect(), None
+    built = opened if parents is None else lesser
+    found = histograms(rows, growing, built, allowed, opt, bins_of)
+    if parts * size(built) > GATHERED_BYTES:
+        found = found.reduceByKey(np.add, min(parts, pairs))
+    held: Sums = {}
+    for key, sums in found.collect():
+        held[key] = held.get(key, 0) + sums
+    if parents is not None:
+        held = with_siblings(held, built, opened, before, parents)
+    return [offer for kv in held.items() for offer in offers(*kv, opened, opt)], held
+
+
+def grown(rows: RDD, opt: dict, width: int, bins_of: int, draw: np.random.Generator) -> list[dict]:
     """One tree per class as heaps: children of node i are 2i+1 and 2i+2."""
     depth, classes = opt["max_depth"], opt["n_classes"]
     size = 2 ** (depth + 1) - 1
     trees = [{"feature": [LEAF] * size, "bin": [0] * size, "value": [0.0] * size} for _ in range(classes)]
     allowed = sampled_features(opt, width, draw)
-    opened = [[0] for _ in range(classes)]
+    opened, lesser, before, sums = [[0] for _ in range(classes)], [], [], None
     for _ in range(depth):
         if not any(opened):
             break
-        found = all_offers(blocks, trees, opened, allowed, opt, bins_of, number)
+        found, sums = all_offers(rows, trees, opened, lesser, allowed, opt, bins_of, before, sums)
         # Of equal gains the first feature.
         best = {(r["class"], r["node"]): r for r in sorted(found, key=lambda r: (r["gain"], r["minus"]))}
-        opened = [[] for _ in range(classes)]
+        before, opened, lesser = opened, [[] for _ in range(classes)], [[] for _ in range(classes)]
         for _, r in sorted(best.items()):
             tree, node = trees[r["class"]], r["node"]
             value = lambda g, h: float(opt["learning_rate"] * leaf_value(g, h, opt["reg_alpha"], opt["reg_lambda"]))
@@ -327,6 +446,7 @@ def grown(blocks: RDD, opt: dict, width: int, bins_of: int, number: int, draw: n
             tree["value"][2 * node + 1] = value(r["lg"], r["lh"])
             tree["value"][2 * node + 2] = value(r["g"] - r["lg"], r["h"] - r["lh"])
             opened[r["class"]] += [2 * node + 1, 2 * node + 2]
+            lesser[r["class"]].append(2 * node + (1 if r["few"] else 2))
     return trees
 
 
@@ -335,18 +455,18 @@ class SoftmaxModel(FittedStage):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         v = self.values
-        held = df.sparkSession.sparkContext.broadcast(compact(v["trees"]))
-        edges, depth, classes = v["edges"], v["depth"], v["n_classes"]
+        edges, classes = v["edges"], v["n_classes"]
+        held = df.sparkSession.sparkContext.broadcast(compact(v["trees"], v["depth"], max(map(len, edges)) + 1))
 
         @F.pandas_udf("array<double>")
         def shares(x: pd.Series) -> pd.Series:
             if not len(x):
                 return pd.Series([], dtype=object)
-            bins = binned(np.array([np.asarray(r, float) for r in x]), edges)
+            bins = binned(np.array([np.asarray(r, float) for r in x]), edges).astype(np.intp)
             margins = np.zeros((classes, len(x)))
             for trees in held.value:
                 for c, tree in enumerate(trees):
-                    margins[c] += tree["value"][routed(bins, tree, depth)]
+                    margins[c] += reached(bins, *tree)
             return pd.Series(list(softmax(margins).T))
 
         shares = shares.asNondeterministic()  # evaluate once, wherever the result is used
@@ -357,19 +477,19 @@ class SoftmaxModel(FittedStage):
     def staged(self, df: DataFrame, rounds: Sequence[int], out: str) -> DataFrame:
         """``df`` with an array of the class codes predicted after the given numbers of rounds, in one reading of the trees."""
         v = self.values
-        held = df.sparkSession.sparkContext.broadcast(compact(v["trees"][: max(rounds)]))
-        edges, depth, classes = v["edges"], v["depth"], v["n_classes"]
+        edges, classes = v["edges"], v["n_classes"]
+        held = df.sparkSession.sparkContext.broadcast(compact(v["trees"][: max(rounds)], v["depth"], max(map(len, edges)) + 1))
 
         @F.pandas_udf("array<int>")
         def codes(x: pd.Series) -> pd.Series:
             if not len(x):
                 return pd.Series([], dtype=object)
-            bins = binned(np.array([np.asarray(r, float) for r in x]), edges)
+            bins = binned(np.array([np.asarray(r, float) for r in x]), edges).astype(np.intp)
             margins = np.zeros((classes, len(x)))
             best = np.zeros((len(x), len(rounds)), np.int32)
             for done, trees in enumerate(held.value, 1):
                 for c, tree in enumerate(trees):
-                    margins[c] += tree["value"][routed(bins, tree, depth)]
+                    margins[c] += reached(bins, *tree)
                 for i, n in enumerate(rounds):
                     if n == done:
                         best[:, i] = softmax(margins).argmax(axis=0)
@@ -383,5 +503,5 @@ class SoftmaxModel(FittedStage):
         return SoftmaxModel().with_state(**{**self.values, "trees": self.values["trees"][:n]})
 
 
-def compact(trees: list) -> list:
-    return [[{n: np.asarray(x) for n, x in tree.items()} for tree in row] for row in trees]
+def compact(trees: list, depth: int, bins_of: int) -> list:
+    return [[(router(tree, depth, bins_of), np.asarray(tree["value"])) for tree in row] for row in trees]

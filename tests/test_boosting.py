@@ -132,3 +132,60 @@ def test_a_level_is_one_stage_and_large_sums_are_added_in_a_shuffle(spark, monke
     shuffled = bo.SoftmaxBooster(**options).fit(df)
     assert set(stages) == {2}
     assert gathered.values["trees"] == shuffled.values["trees"]
+
+
+def test_one_of_two_siblings_is_summed(spark, monkeypatch):
+    """The other's sums are what is left of the parent's, wherever sums are added up; all nodes where they stay apart."""
+    df, _, _ = rows(spark, 400, parts=4)
+    options = dict(n_classes=3, n_estimators=2, max_depth=4, max_bins=16, key="id")
+    monkeypatch.setattr(bo, "TASK_ROWS", 100)
+    built = []
+    kept = bo.histograms
+
+    def seen(rows, growing, nodes, *args):
+        built.append(nodes)
+        return kept(rows, growing, nodes, *args)
+
+    monkeypatch.setattr(bo, "histograms", seen)
+    halves = lambda: [len({(n - 1) // 2 for n in nodes}) == len(nodes) for level in built for nodes in level if max(nodes, default=0)]
+    gathered = bo.SoftmaxBooster(**options).fit(df)
+    assert halves() and all(halves())
+    built.clear()
+    # Enough for the sums of all nodes of the last level once: 3 classes, 8 nodes, 3 features, 16 bins.
+    monkeypatch.setattr(bo, "GATHERED_BYTES", 3 * 8 * 3 * 16 * 24)
+    added = bo.SoftmaxBooster(**options).fit(df)
+    assert halves() and all(halves())
+    built.clear()
+    monkeypatch.setattr(bo, "GATHERED_BYTES", 0)
+    apart = bo.SoftmaxBooster(**options).fit(df)
+    assert not any(halves())
+    assert gathered.values["trees"] == added.values["trees"] == apart.values["trees"]
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 4, 5, 6, 7, 9])
+def test_leaves_are_found_as_by_walking_down(depth):
+    rng = np.random.default_rng(depth)
+    bins = rng.integers(0, 16, (5, 700))
+    size = 2 ** (depth + 1) - 1
+    tree = {"feature": [bo.LEAF] * size, "bin": [0] * size}
+    for node in range(size // 2):
+        if (not node or tree["feature"][(node - 1) // 2] != bo.LEAF) and rng.random() < 0.85:
+            tree["feature"][node], tree["bin"][node] = int(rng.integers(5)), int(rng.integers(16))
+    want = []
+    for row in bins.T:
+        node = 0
+        while tree["feature"][node] != bo.LEAF:
+            node = 2 * node + 1 + int(row[tree["feature"][node]] > tree["bin"][node])
+        want.append(node)
+    assert bo.reached(bins.astype(np.intp), bo.router(tree, depth, 16), np.arange(size)).tolist() == want
+
+
+def test_rows_are_dealt_evenly(spark, monkeypatch):
+    """More rows than a task per core needs: as many blocks of rows in every partition, whatever the files."""
+    monkeypatch.setattr(bo, "TASK_ROWS", 20)
+    seen = []
+    kept = bo.grown
+    monkeypatch.setattr(bo, "grown", lambda rows, *args: (seen.append(rows.map(lambda b: b[0]).glom().map(sum).collect()), kept(rows, *args))[1])
+    df, _, _ = rows(spark, 800, parts=1)
+    bo.SoftmaxBooster(n_classes=3, n_estimators=1, max_depth=2, subsample=1.0, key="id").fit(df)
+    assert len(seen[0]) == spark.sparkContext.defaultParallelism and max(seen[0]) <= 1.2 * min(seen[0])
