@@ -1,9 +1,10 @@
 """Suffix-array deduplication: bytes covered by a string that also starts in an earlier document.
 
-Suffixes are compared by prefix polynomial hashes: a binary search over lengths finds the longest common extension in
-logarithmic time, and the byte after it decides.  With that comparison the suffixes that can share ``length`` bytes are
-merge-sorted, and neighbours with a common extension of ``length`` form a class, whose smallest document id decides what
-is removed.  Classes are checked byte by byte; where a hash has collided, the group is sorted by its bytes.
+Suffixes are compared by their first words of eight bytes, and where these agree by prefix polynomial hashes: a binary
+search over lengths finds the longest common extension in logarithmic time, and the byte after it decides.  Suffixes that
+share ``length`` bytes have one hash of so many bytes and are one class, for which one of them is merge-sorted with that
+comparison among the suffixes of its group; the smallest document id of a class decides what is removed.  Classes are
+checked byte by byte; where a hash has collided, the group is sorted by its bytes.
 
 Which suffixes can share that much is found through anchors: every window of ``length`` bytes picks the leftmost of its
 smallest hashes of ``GRAM`` bytes.  Equal windows pick the same one, so only windows around recurring anchors are sorted,
@@ -29,7 +30,9 @@ from siftwork.llm.common import U64, mix64
 
 GRAM = 24
 BASE = 0x9E3779B97F4A7C15
-CHUNK, SPARE = 1 << 20, 4096  # buffers of so many bytes take the powers from a table
+CHUNK, SPARE = 1 << 15, 4096  # texts are searched in pieces whose arrays stay in the processor's cache
+TABLE = 1 << 21  # buffers of so many bytes take the powers from a table
+WORDS = 8  # words compared before hashes are
 
 
 @lru_cache(maxsize=1)
@@ -47,7 +50,7 @@ class PrefixHashes:
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        power, self.back = powers(CHUNK + SPARE) if n < CHUNK + SPARE else powers.__wrapped__(n + 1)
+        power, self.back = powers(TABLE) if n < TABLE else powers.__wrapped__(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + U64(1)) * power[:n], out=self.sums[1:])
 
@@ -118,6 +121,10 @@ class SuffixOrder:
 
     def __init__(self, data: np.ndarray, length: int):
         self.data, self.length, self.hashes = data, length, PrefixHashes(data)
+        # The eight bytes from every place on, first byte highest; zeros follow the last.
+        self.words = np.zeros(len(data), np.uint64)
+        for i in range(min(8, len(data))):
+            self.words[: len(data) - i] |= data[i:].astype(np.uint64) << U64(56 - 8 * i)
 
     def extension(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Longest common extension of the suffixes at ``a`` and ``b``, up to ``length``."""
@@ -134,15 +141,25 @@ class SuffixOrder:
         same[differ] = low
         return same
 
-    def before(self, a: np.ndarray, b: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
-        """Whether suffix ``a`` comes before ``b`` in their first ``length`` bytes (or is equal, where asked)."""
-        shared = self.extension(a, b)
-        whole = shared == self.length
-        at = np.minimum(shared, self.length - 1)
-        return np.where(whole, or_equal, self.data[a + at] < self.data[b + at])
+    def before(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether suffix ``a`` comes before ``b`` in their first ``length`` bytes; they differ in these."""
+        out, todo = np.zeros(len(a), bool), None
+        for step in range(0, min(self.length, 8 * WORDS), 8):
+            x, y = (self.words.take(p + step if todo is None else p[todo] + step, mode="clip") for p in (a, b))
+            if todo is None:
+                out, todo = x < y, np.flatnonzero(x == y)
+            else:
+                out[todo] = x < y
+                todo = todo[x == y]
+            if not len(todo):
+                return out
+        a, b = a[todo], b[todo]
+        at = np.minimum(self.extension(a, b), self.length - 1)
+        out[todo] = self.data[a + at] < self.data[b + at]
+        return out
 
     def sort(self, order: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """``order`` holds suffixes group after group; per element its group's begin and size."""
+        """``order`` holds suffixes group after group, all of a group different; per element its group's begin and size."""
         order, index, width = order.copy(), np.arange(len(order)), 1
         while True:
             at = index[size > width]
@@ -160,8 +177,7 @@ class SuffixOrder:
             while len(todo):
                 half = (low[todo] + high[todo]) // 2
                 theirs = order[first[todo] + half]
-                # Elements of the left run go before equal ones of the right run.
-                ahead = self.before(theirs, mine[todo], right[todo])
+                ahead = self.before(theirs, mine[todo])
                 low[todo] = np.where(ahead, half + 1, low[todo])
                 high[todo] = np.where(ahead, high[todo], half)
                 todo = todo[low[todo] < high[todo]]
@@ -172,10 +188,27 @@ class SuffixOrder:
 
     def classes(self, order: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sorted suffixes, and where a new class of equal first ``length`` bytes starts."""
-        order = self.sort(order, begin, size)
-        new = np.ones(len(order), bool)
-        mates = np.flatnonzero(begin[1:] == begin[:-1]) + 1
-        new[mates] = self.extension(order[mates - 1], order[mates]) < self.length
+        order, new = order.copy(), np.ones(len(order), bool)
+        several = np.flatnonzero(size > 1)
+        if not len(several):
+            return order, new
+        # One of equal suffixes is sorted, the others follow it.
+        mine, first = order[several], several == begin[several]
+        group, whole = np.cumsum(first) - 1, self.hashes.of(mine, self.length)
+        by = np.lexsort((whole, group))
+        head = np.ones(len(by), bool)
+        head[1:] = (group[by[1:]] != group[by[:-1]]) | (whole[by[1:]] != whole[by[:-1]])
+        heads = np.flatnonzero(head)
+        ones, group = mine[by[heads]], group[by[heads]]
+        sizes = np.bincount(group)
+        begins = np.cumsum(sizes) - sizes
+        places = np.argsort(ones)
+        ranks = places[np.searchsorted(ones, self.sort(ones, begins[group], sizes[group]), sorter=places)]
+        counts = np.diff(np.append(heads, len(by)))[ranks]
+        begun = np.cumsum(counts) - counts
+        order[several] = mine[by[np.repeat(heads[ranks] - begun, counts) + np.arange(len(by))]]
+        new[several] = False
+        new[several[begun]] = True
         equal, steps = np.flatnonzero(~new), np.arange(self.length)
         wrong = []
         for s in range(0, len(equal), 65536):
@@ -210,7 +243,9 @@ def judge_bytes(length: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         size = np.diff(np.append(at, len(by)))
         suffixes = SuffixOrder(np.frombuffer(b"".join(bodies), np.uint8), length)
         order, fresh = suffixes.classes(start[by], np.repeat(at, size), np.repeat(size, size))
-        where = np.searchsorted(start, order)
+        where = np.empty(sum(sizes), np.int64)
+        where[start] = np.arange(len(start))
+        where = where[order]
         low = frame["low"].to_numpy(np.int64)
         heads = np.flatnonzero(fresh)
         least = np.empty(len(order), np.int64)

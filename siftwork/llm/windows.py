@@ -143,7 +143,12 @@ def recurring(docs: DataFrame, anchors: Anchors, same_document: bool, partitions
                 yield pd.DataFrame({"print": pi[at][yes], "key": signed(pk[at][yes])})
 
     sent = docs.select("print", "body").mapInPandas(entries, "room int, ids binary, keys binary, again binary, first binary")
-    return sent.repartition(partitions, "room").mapInPandas(answers, "print long, key long").groupBy("print").agg(F.collect_set("key").alias("keys"))
+    return dealt(sent, partitions).mapInPandas(answers, "print long, key long").groupBy("print").agg(F.collect_set("key").alias("keys"))
+
+
+def dealt(sent: DataFrame, partitions: int) -> DataFrame:
+    """A partition per room; by a hash of the room some tasks would get several and a third of them none."""
+    return sent.repartitionById(partitions, "room")
 
 
 def zipped(docs: DataFrame) -> DataFrame:

@@ -221,6 +221,33 @@ def test_suffix_order_survives_collisions(monkeypatch):
             assert texts == sorted(texts) and new.sum() == len(set(texts))
 
 
+def test_one_of_equal_suffixes_is_sorted(monkeypatch):
+    """Groups of many equal suffixes among a few others: the sort sees one of each, the order and the classes are those of all."""
+    rng = random.Random(5)
+    parts = ["".join(rng.choice("ab") for _ in range(12)) + "x" * 70 for _ in range(6)] + ["ab" * 41]
+    texts = [rng.choice(parts) for _ in range(300)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    start = np.arange(300) * 82
+    size = np.repeat([100, 1, 199], [100, 1, 199])
+    begin = np.repeat([0, 100, 101], [100, 1, 199])
+    seen = []
+    kept = suffix_dedup.SuffixOrder.sort
+    monkeypatch.setattr(suffix_dedup.SuffixOrder, "sort", lambda self, order, *rest: (seen.append(len(order)), kept(self, order, *rest))[1])
+    for length in (50, 75):
+        order, new = suffix_dedup.SuffixOrder(data, length).classes(start, begin, size)
+        got = [data[p : p + length].tobytes() for p in order]
+        groups = [slice(0, 100), slice(100, 101), slice(101, 300)]
+        for g in groups:
+            assert got[g] == sorted(data[p : p + length].tobytes() for p in start[g])
+            assert new[g].tolist() == [True, *[a != b for a, b in zip(got[g], got[g][1:])]]
+        assert seen.pop() == sum(len(set(got[g])) for g in groups if g.stop - g.start > 1) <= 14
+
+
+def test_every_room_has_its_partition(spark):
+    rooms = windows.dealt(spark.range(24).selectExpr("int(id) AS room"), 24).selectExpr("room", "spark_partition_id() AS part")
+    assert sorted((r.room, r.part) for r in rooms.collect()) == [(i, i) for i in range(24)]
+
+
 def brute_words(texts, length=35):
     lists = [WORD.findall(t or "") for t in texts]
     count = collections.Counter(tuple(w[i : i + length]) for w in lists for i in range(len(w) - length + 1))
