@@ -31,7 +31,7 @@ from siftwork.llm.common import U64, mix64
 GRAM = 24
 BASE = 0x9E3779B97F4A7C15
 CHUNK, SPARE = 1 << 15, 4096  # texts are searched in pieces whose arrays stay in the processor's cache
-TABLE = 1 << 21  # buffers of so many bytes take the powers from a table
+TABLE = 1 << 20  # buffers of so many bytes take the powers from a table
 WORDS = 8  # words compared before hashes are
 
 

@@ -31,6 +31,7 @@ from siftwork.sources.shared import shared_path, stage
 
 ENTRIES = 1_000_000
 GATHER = 25_000
+JUDGED = 8_000  # distinct contexts judged at once, or a key
 HOT, HOT_SHARE = 400, 1_500  # a key is split by window from so many distinct contexts, and such a part of all, on
 SHORT = (1 << 40) - 1  # two texts that share a key are taken for one with a probability of 1e-12
 # Per batch of texts: number of the text, anchor key, first window, last window + 1, place of the anchor.
@@ -257,7 +258,7 @@ def judged(found: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], wind
         for frame in frames:
             held = frame if held is None else pd.concat([held, frame], ignore_index=True)
             last = held["key"].iloc[-1]
-            if len(held) >= GATHER and held["key"].iloc[0] != last:
+            if len(held) >= min(GATHER, JUDGED) and held["key"].iloc[0] != last:
                 whole = (held["key"] != last).to_numpy()
                 yield judge(held[whole].reset_index(drop=True))
                 held = held[~whole].reset_index(drop=True)
